@@ -7,6 +7,24 @@ from pyspark.sql import DataFrame, SparkSession
 from overlace.llm.common import table
 
 
+def op3_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from overlace.llm.lm import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
+def op6_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from overlace.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from overlace.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op9_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     from overlace.llm.quality import quality
 
@@ -19,6 +37,6 @@ def op10_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op9_factorisation_machine, op10_subword_toxicity)}
+QUERIES = {f.__name__: f for f in (op3_context_tree_weighting, op6_minmax_near_dedup, op8_certified_packing, op9_factorisation_machine, op10_subword_toxicity)}
 
 SQL: dict[str, str] = {}
