@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from overlace.llm import decontaminate, exactdup
 from overlace.llm.common import table
 
 
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from overlace.llm.decontaminate import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from overlace.llm.lm import score
 
@@ -19,6 +26,12 @@ def op6_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_fuse_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from overlace.llm.exactdup import table_duplicates
+
+    return table_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from overlace.llm.packing import pack
 
@@ -37,6 +50,6 @@ def op10_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_context_tree_weighting, op6_minmax_near_dedup, op8_certified_packing, op9_factorisation_machine, op10_subword_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_winnowing, op3_context_tree_weighting, op6_minmax_near_dedup, op7_fuse_exact_dedup, op8_certified_packing, op9_factorisation_machine, op10_subword_toxicity)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_winnowing": decontaminate.SQL, "op7_fuse_exact_dedup": exactdup.SQL}
