@@ -21,7 +21,6 @@ SPAN = WINDOW - GRAM + 1
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 #: Rows up to which a side of a join is broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 300_000
-NO_HASHES = F.array().cast("array<bigint>")
 
 
 def let(value: Column, body) -> Column:
@@ -37,7 +36,7 @@ def words_of(text: str) -> Column:
 def grams(words: Column, size: int) -> Column:
     """Hashes of all grams of ``size`` words, in order."""
     every = F.transform(F.sequence(F.lit(1), F.size(words) - (size - 1)), lambda i: F.xxhash64(F.slice(words, i, size)))
-    return F.when(F.size(words) >= size, every).otherwise(NO_HASHES)
+    return F.when(F.size(words) >= size, every).otherwise(F.array().cast("array<bigint>"))
 
 
 def fingerprints(words: Column, lengths: list[int]) -> Column:
@@ -45,7 +44,7 @@ def fingerprints(words: Column, lengths: list[int]) -> Column:
 
     def winnow(hashes: Column) -> Column:
         least = F.transform(F.sequence(F.lit(1), F.size(hashes) - (SPAN - 1)), lambda i: F.array_min(F.slice(hashes, i, SPAN)))
-        return F.when(F.size(hashes) >= SPAN, F.array_distinct(least)).otherwise(NO_HASHES)
+        return F.when(F.size(hashes) >= SPAN, F.array_distinct(least)).otherwise(F.array().cast("array<bigint>"))
 
     found = let(grams(words, GRAM), winnow)
     for n in lengths:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from overlace.llm import decontaminate, exactdup
+from overlace.llm import decontaminate, exactdup, urls
 from overlace.llm.common import table
 
 
@@ -20,6 +20,18 @@ def op3_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"))
 
 
+def op4_token_indexed_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from overlace.llm.urls import filter_urls
+
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
+def op5_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from overlace.llm.pii import pseudonyms
+
+    return pseudonyms(table(spark, sf_dir, "documents"))
+
+
 def op6_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from overlace.llm.neardup import near_duplicates
 
@@ -50,6 +62,6 @@ def op10_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_winnowing, op3_context_tree_weighting, op6_minmax_near_dedup, op7_fuse_exact_dedup, op8_certified_packing, op9_factorisation_machine, op10_subword_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_winnowing, op3_context_tree_weighting, op4_token_indexed_urls, op5_feistel_pseudonyms, op6_minmax_near_dedup, op7_fuse_exact_dedup, op8_certified_packing, op9_factorisation_machine, op10_subword_toxicity)}
 
-SQL: dict[str, str] = {"op1_winnowing": decontaminate.SQL, "op7_fuse_exact_dedup": exactdup.SQL}
+SQL: dict[str, str] = {"op1_winnowing": decontaminate.SQL, "op4_token_indexed_urls": urls.SQL, "op7_fuse_exact_dedup": exactdup.SQL}

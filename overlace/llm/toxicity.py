@@ -58,7 +58,7 @@ def fit(texts: list[str | None], labels: np.ndarray, *, dim: int = 8, buckets: i
     trains embeddings, softmax and bias together. An embedding's steps are scaled by
     the evidence for it, so n-grams of a few documents stay near zero.
 
-    Without texts, or with one class only, the model is a constant.
+    Without words, or with one class only, the model is a constant.
     """
     labels = np.asarray(labels, np.int64)
     kinds = np.bincount(labels, minlength=2)
@@ -66,7 +66,15 @@ def fit(texts: list[str | None], labels: np.ndarray, *, dim: int = 8, buckets: i
         return {"weights": np.zeros(buckets, np.float32), "bias": 6.0 if kinds[1] else -6.0, "buckets": buckets}
     data, at = K.text_bytes(pa.array(texts, pa.large_string()))
     data = K.LOWER[data]
-    starts, ends, rows, which = distinct_words(data, at)
+    found = []
+    for low, _, part, where in K.chunks(data, at, 1 << 20):
+        starts, ends, rows = K.words(part, where, BREAK)
+        found.append((starts + at[low], ends + at[low], rows + low, K.span_hashes(K.prefix_hashes(part), starts, ends)))
+    starts, ends, rows, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
+    if not len(starts):
+        return {"weights": np.zeros(buckets, np.float32), "bias": 0.0, "buckets": buckets}
+    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    starts, ends = starts[first], ends[first]
     owner, code = subwords(data, starts, ends, buckets)
     used, code = np.unique(code, return_inverse=True)
     n, m = len(texts), len(starts)
