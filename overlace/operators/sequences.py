@@ -10,3 +10,8 @@ from pyspark.sql import functions as F
 def renumbered(reads: DataFrame, *by: str) -> DataFrame:
     """rid and its new number, counted from 0 within ``by`` in rid order."""
     return reads.select("rid", (F.row_number().over(W.partitionBy(*by).orderBy("rid")) - 1).cast("long").alias("new_id"))
+
+
+def best_per_well(reads: DataFrame) -> DataFrame:
+    """The longest read of each well, the smallest id of equals."""
+    return reads.withColumn("_k", F.row_number().over(W.partitionBy("well").orderBy(F.desc("rlen"), "rid"))).where("_k = 1").drop("_k")
