@@ -7,10 +7,10 @@
 2. Bands of signature values make buckets. In a bucket every node is checked on full
    sets against one hub, the node that shares most buckets with others: copies of a text
    gather around it, so links grow with the bucket, not with its square.
-3. What is left in a bucket are pairs of nodes that aren't connected yet, one of them
-   not linked to the hub. Jaccard distance is a metric, and the distances to the hub are
-   known: pairs that the triangle inequality or the set sizes rule out can't be links; all
-   others are checked on full sets. No pair that shares a bucket is dropped.
+3. What is left are nodes of a hub's buckets that aren't connected with it. They are
+   checked, on full sets, against all others of these buckets: in blocks of a bounded
+   number of shingles, two blocks to a task, and a task returns only links that connect
+   what isn't connected yet. No pair that shares a bucket is dropped, and none is a row.
 4. Connected components by distributed union-find.
 
 With 96 permutations (192 values, 32 bands of 6) a pair at the threshold 0.85 misses all
@@ -20,6 +20,7 @@ buckets with probability (1 - 0.85**6)**32 < 3e-7.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -151,6 +152,80 @@ def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", both.alias("i"), (F.size("_a") + F.size("_b") - both).alias("u"))
 
 
+def _block_links(percent: int):
+    """Links between two blocks of nodes that join different roots, as few as connect what they connect."""
+
+    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("node").sort_values("node", ignore_index=True)
+        stray, size = rows["stray"].to_numpy(bool), rows["n"].to_numpy(np.int64)
+        at = np.concatenate([[0], np.cumsum([len(x) for x in rows["items"]])])
+        _, code, times = np.unique(np.concatenate(rows["items"].to_list()), return_inverse=True, return_counts=True)
+        owner, shared = np.repeat(np.arange(len(rows)), np.diff(at)), np.flatnonzero(times > 1)
+        number = np.full(len(times), -1)
+        number[shared] = np.arange(len(shared))
+        code = number[code]
+        owner, code = owner[code >= 0], code[code >= 0]
+        order = np.argsort(code, kind="stable")
+        owner, code = owner[order], code[order]
+        both = np.zeros((len(rows), len(rows)), np.float32)
+        for low in range(0, len(shared), 2048):
+            part = slice(*np.searchsorted(code, [low, low + 2048]))
+            has = np.zeros((len(rows), 2048), np.float32)
+            has[owner[part], code[part] - low] = 1
+            both += has @ has.T
+        linked = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (stray[:, None] | stray[None, :])
+        names = {r: i for i, r in enumerate(dict.fromkeys(rows["root"]))}
+        parent = list(range(len(names)))
+        root_of = [names[r] for r in rows["root"]]
+
+        def find(i):
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        found = []
+        for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+            a, b = find(root_of[i]), find(root_of[j])
+            if a != b:
+                parent[a] = b
+                found.append((rows["node"][i], rows["node"][j]))
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    return run
+
+
+def linked_roots(members: DataFrame, sets: DataFrame, percent: int, *, block: int = 100_000) -> DataFrame:
+    """(node, root) of nodes that are linked with others.
+
+    ``members``: (bucket, node, n), buckets of two nodes or more, n the size of the set;
+    ``sets``: (node, items), the full sets of all of them. ``block``: items in a block of
+    sets, about. Memory of a task follows two blocks, and the largest set.
+    """
+    popular = members.join(members.groupBy("bucket").agg(F.count("*").alias("members")), "bucket").groupBy("node").agg(F.sum("members").alias("popularity"))
+    ranked = members.join(popular, "node")
+    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("popularity", "n", "node")).alias("h")).select("bucket", F.col("h.node").alias("hub"))
+    around = stored(members.join(hubs, "bucket").where("node != hub").select("hub", "node", "n").distinct())
+    first = _checked(around.select(F.col("node").alias("a"), F.col("hub").alias("b")), sets)
+    links = stored(first.where(F.col("i") * 100 >= F.col("u") * percent).select("a", "b"))
+    roots = components(links)
+
+    rooted = around.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    hub_roots = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+    rooted = rooted.join(hub_roots, "hub", "left").withColumn("stray", F.col("root") != F.coalesce("hub_root", "hub")).select("hub", "node", "n", "root", "stray")
+    # A hub's strays and its other nodes are cut to blocks apart; strays meet strays and others.
+    sizes = rooted.groupBy("hub").agg(
+        F.ceil(F.sum(F.when(F.col("stray"), F.col("n"))) / block).cast("int").alias("s"), F.ceil(F.coalesce(F.sum(F.when(~F.col("stray"), F.col("n"))), F.lit(0)) / block).cast("int").alias("m"), F.count("*").alias("c")
+    ).where("s > 0 and c > 1")
+    dealt = rooted.join(sizes, "hub").withColumn("own", F.when(F.col("stray"), F.pmod(F.xxhash64("node"), "s")).otherwise(F.col("s") + F.pmod(F.xxhash64("node", "hub"), F.greatest("m", F.lit(1)))))
+    partners = F.when(F.col("stray"), F.sequence(F.lit(0).cast("long"), (F.col("s") + F.col("m") - 1).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), (F.col("s") - 1).cast("long")))
+    met = dealt.withColumn("other", F.explode(partners)).select("hub", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "node", "n", "root", "stray")
+    more = stored(met.join(sets, "node").groupBy("hub", "x", "y").applyInPandas(_block_links(percent), "a binary, b binary"))
+    if more.limit(1).count():
+        roots = components(links.unionByName(more))
+    return roots
+
+
 def near_duplicates(docs: DataFrame, *, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document.
 
@@ -169,38 +244,12 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85) -> DataFrame:
 
     spread = nodes.select("node", "n", F.explode("keys").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    members = stored(spread.join(shared, "bucket"))
-    popular = members.groupBy("node").agg(F.sum("members").alias("popularity"))
-    ranked = members.join(popular, "node")
-    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("popularity", "n", "node")).alias("h")).select("bucket", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"))
-    members = stored(members.join(hubs, "bucket"))
-
-    wanted = nodes.join(popular.select("node"), "node", "left_semi").select("doc_id", F.col("node").alias("want"))
+    members = stored(spread.join(shared.select("bucket"), "bucket"))
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("doc_id", F.col("node").alias("want"))
     texts = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = stored(_map_sets(texts, bands=False).join(wanted.select(F.col("want").alias("node")), "node", "left_semi").select("node", "items").dropDuplicates(["node"]))
 
-    first = stored(_checked(members.where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), sets))
-    is_link = F.col("i") * 100 >= F.col("u") * percent
-    links = first.where(is_link).select("a", "b")
-    roots = components(links)
-
-    # Buckets that still hold more than one component: who isn't with the hub against all others.
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    hub_roots = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-    rooted = rooted.join(hub_roots, "hub", "left").withColumn("hub_root", F.coalesce("hub_root", "hub"))
-    distances = first.select(F.col("a").alias("node"), F.col("b").alias("hub"), (1 - F.col("i") / F.col("u")).alias("far"))
-    rooted = stored(rooted.where("node != hub").join(distances, ["node", "hub"]).select("bucket", "node", "n", "root", (F.col("root") != F.col("hub_root")).alias("stray"), "far"))
-    reach = 1 - percent / 100 + 1e-9
-    x = rooted.where("stray").select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("r_a"), F.col("far").alias("f_a"))
-    y = rooted.select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("r_b"), F.col("far").alias("f_b"), F.col("stray").alias("s_b"))
-    possible = (
-        (F.col("r_a") != F.col("r_b")) & (~F.col("s_b") | (F.col("a") < F.col("b"))) & (F.abs(F.col("f_a") - F.col("f_b")) <= reach)
-        & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    )
-    rest = x.alias("x").join(y.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & possible).select("a", "b").distinct()
-    more = stored(_checked(rest, sets).where(is_link).select("a", "b"))
-    if more.limit(1).count():
-        roots = components(links.unionByName(more))
+    roots = linked_roots(members, sets, percent)
 
     found = roots.join(nodes.select("node", "doc_id"), "node")
     smallest = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
