@@ -1,20 +1,57 @@
 """A corpus cleaning pipeline of five stages over ``documents``.
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and
-returns the rows it keeps, all but the last with the columns of ``documents``.
+returns the rows it keeps, all but the last with the columns of ``documents``. A doc_id
+names one document.
 """
 
 from __future__ import annotations
 
-from overlace.llm.common import stored, table
+from overlace.llm.common import is_small, stored, table
+from overlace.llm.decontaminate import contamination
+from overlace.llm.exactdup import table_duplicates
+from overlace.llm.neardup import near_duplicates
+from overlace.llm.packing import pack
 from overlace.llm.toxicity import keep_clean
 
+from pyspark.sql import functions as F
+
+#: Ids of dropped documents up to which they are broadcast; beyond, the join shuffles.
+BROADCAST_ROWS = 1_000_000
+
+
+def without(docs, dropped):
+    """``docs`` but for the documents whose doc_id is in ``dropped``; null doc_ids stay."""
+    dropped = stored(dropped.select("doc_id").distinct())
+    return docs.join(F.broadcast(dropped) if is_small(dropped, BROADCAST_ROWS) else dropped, "doc_id", "left_anti").select(*docs.columns)
+
 
 def toxicity_stage(spark, docs, sf_dir):
+    """Documents that the model takes for toxic go."""
     return keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES = [("toxicity", toxicity_stage)]
+def exact_stage(spark, docs, sf_dir):
+    """Of equal texts the document with the largest doc_id stays."""
+    return without(docs, table_duplicates(docs).where("not kept"))
+
+
+def near_stage(spark, docs, sf_dir):
+    """Of each group of near copies the document with the smallest doc_id stays."""
+    return without(docs, near_duplicates(docs).where("not kept"))
+
+
+def benchmark_stage(spark, docs, sf_dir):
+    """Documents contaminated by benchmark passages go."""
+    return without(docs, contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
+
+
+def packing_stage(spark, docs, sf_dir):
+    """The pieces of all documents left, packed into sequences."""
+    return pack(docs)
+
+
+STAGES = [("toxicity", toxicity_stage), ("exact_dedup", exact_stage), ("near_dedup", near_stage), ("decontamination", benchmark_stage), ("packing", packing_stage)]
 
 #: A trained model decides in the first stage, which SQL can't express.
 ORACLE_SQL = None

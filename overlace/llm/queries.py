@@ -14,6 +14,12 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from overlace.llm.lines import line_report
+
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op3_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from overlace.llm.lm import score
 
@@ -62,6 +68,6 @@ def op10_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_winnowing, op3_context_tree_weighting, op4_token_indexed_urls, op5_feistel_pseudonyms, op6_minmax_near_dedup, op7_fuse_exact_dedup, op8_certified_packing, op9_factorisation_machine, op10_subword_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_winnowing, op2_fuzzy_lines, op3_context_tree_weighting, op4_token_indexed_urls, op5_feistel_pseudonyms, op6_minmax_near_dedup, op7_fuse_exact_dedup, op8_certified_packing, op9_factorisation_machine, op10_subword_toxicity)}
 
 SQL: dict[str, str] = {"op1_winnowing": decontaminate.SQL, "op4_token_indexed_urls": urls.SQL, "op7_fuse_exact_dedup": exactdup.SQL}
