@@ -105,5 +105,5 @@ def duckdb_sql(text: str) -> str:
         views.append(f"{name} AS ({body})")
     text = text.strip()
     starts = re.match(r"(?i)select\b", text)
-    whole = f"WITH {', '.join(views)}" + (" " if starts else ", ") + text if views else (text if starts else f"WITH {text}")
+    whole = f"WITH RECURSIVE {', '.join(views)}" + (" " if starts else ", ") + text if views else (text if starts else f"WITH {text}")
     return re.sub(r"\{(\w+)\}", r"\1", whole)
