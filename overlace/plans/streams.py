@@ -1 +1,61 @@
-"""Queries."""
+"""Queries of the live masks: overlaps are written as files and read as a stream."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from overlace.operators.storage import stored
+from overlace.plans.intervals import hysteresis, merged
+from overlace.plans.registry import query
+from overlace.streaming import masks as M
+
+
+def _stream(v):
+    """f_ovl as eight files by ovl_id, some of them a second time, and a folder for results."""
+    o = stored(v("f_ovl"))
+    spark = o.sparkSession
+    root = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/overlace-stream-{uuid.uuid4().hex}"
+    o.repartition(8, F.col("ovl_id") % 8).write.parquet(f"{root}/blocks")
+    o.where("ovl_id % 8 = 0").coalesce(1).write.mode("append").parquet(f"{root}/blocks")
+    return spark, M.ingest(spark, f"{root}/blocks", o.schema), root
+
+
+def _hits(v, ends=0):
+    spark, stream, root = _stream(v)
+    M.accumulate(stream, f"{root}/hits", f"{root}/state", ends=ends)
+    return M.read_hits(spark, f"{root}/hits")
+
+
+HITS = "h AS (SELECT aread AS rid, bread, GREATEST(ab, ENDS) AS beg, LEAST(ae, alen - ENDS) AS fin FROM {f_ovl} WHERE (flags & 2) = 0 AND aread <> bread AND LEAST(ae, alen - ENDS) > GREATEST(ab, ENDS))"
+MASK = f"{merged('h', 'rid, bread', name='m1')}, ev AS (SELECT rid, beg AS pos, 1 AS delta FROM m1 UNION ALL SELECT rid, fin, -1 FROM m1), cv AS (SELECT rid, pos, delta, SUM(delta) OVER (PARTITION BY rid ORDER BY pos, delta ROWS UNBOUNDED PRECEDING) AS cov FROM ev), {hysteresis('cv', '10', '11')}"
+
+
+@query("t1_ingest_blocks", f"{HITS.replace('ENDS', '0')}, {merged('h', 'rid, bread', name='m1')} SELECT rid, COUNT(*) AS n, CAST(SUM(fin - beg) AS BIGINT) AS bases FROM m1 GROUP BY 1")
+def _(v):
+    from overlace.operators import intervals as I  # noqa: E741
+
+    return I.merge(_hits(v), ["rid", "bread"]).groupBy("rid").agg(F.count("*").alias("n"), F.sum(F.col("fin") - F.col("beg")).alias("bases"))
+
+
+@query("t3_accumulate_coverage", f"{HITS.replace('ENDS', '0')} SELECT rid, COUNT(*) AS n, CAST(SUM(fin - beg) AS BIGINT) AS bases FROM h GROUP BY 1")
+def _(v):
+    spark, stream, root = _stream(v)
+    done = M.running_totals(stream, f"{root}/totals", f"{root}/state")
+    return spark.read.parquet(f"{root}/totals/{done.lastProgress['batchId']}")
+
+
+@query("t4_emit_masks", f"{HITS.replace('ENDS', '0')}, {MASK}, {merged('hy')} SELECT rid, beg, fin FROM mg")
+def _(v):
+    return M.masks(_hits(v), above=10)
+
+
+@query("t5_ends_unmasked", f"{HITS.replace('ENDS', '700')}, {MASK}, {merged('hy')} SELECT rid, beg, fin FROM mg")
+def _(v):
+    return M.masks(_hits(v, ends=700), above=10)
+
+
+@query("t7_initialise_from_dust", f"{HITS.replace('ENDS', '0')}, {MASK}, al AS (SELECT rid, beg, fin FROM hy UNION ALL SELECT rid, beg, fin FROM {{f_track}} WHERE track = 'dust'), {merged('al')} SELECT rid, beg, fin FROM mg")
+def _(v):
+    return M.masks(_hits(v), above=10, dust=v("f_track").where("track = 'dust'"))
