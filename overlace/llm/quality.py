@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from overlace.llm import kernels as K
 from overlace.llm.common import crc_mod
-from overlace.llm.toxicity import training_sample
+from overlace.llm.toxicity import fit_in_task
 
 WORDS, BINS = 1 << 16, 16
 _sets = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "!?", "*$%&#@^~", "|<>{}[]\\=+_", "0123456789", " \t\r", "\n", ".,;:", "\"'()-"]
@@ -130,7 +130,7 @@ def score_texts(column, n_chars, model: dict) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 3000) -> dict:
     """The model from at most ``max_rows`` labelled rows outside the held-out fold, half of each class."""
-    return fit(*training_sample(docs, labels, "quality", folds=3, held=1, max_rows=max_rows, extra=("n_chars",) if "n_chars" in docs.columns else ()))
+    return fit_in_task(docs, labels, "quality", fit, folds=3, held=1, max_rows=max_rows, extra=("n_chars",) if "n_chars" in docs.columns else ())
 
 
 def quality(docs: DataFrame, labels: DataFrame, *, max_rows: int = 3000) -> DataFrame:

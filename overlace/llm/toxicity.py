@@ -10,6 +10,8 @@ needs each distinct word of a chunk once.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -85,30 +87,36 @@ def fit(texts: list[str | None], labels: np.ndarray, *, dim: int = 8, buckets: i
     unit = 1 / kinds.min()
     seen = [np.bincount(code, weights=x[owner], minlength=len(used)) + unit for x in in_class]
     ratio = np.log(seen[1] / seen[0])
-    evidence = (np.abs(ratio) / max(np.abs(ratio).max(), 1e-6)).astype(np.float32)[:, None] ** 2
-    scale = (1 / np.bincount(owner, minlength=m)).astype(np.float32)[:, None]
+    evidence = (np.abs(ratio) / max(np.abs(ratio).max(), 1e-6)).astype(np.float32) ** 2
+    scale = (1 / np.bincount(owner, minlength=m)).astype(np.float32)
     first_code = np.flatnonzero(np.diff(owner, prepend=-1))
     by_word, by_code = np.argsort(word, kind="stable"), np.argsort(code, kind="stable")
     word_starts, code_starts = np.flatnonzero(np.diff(word[by_word], prepend=-1)), np.flatnonzero(np.diff(code[by_code], prepend=-1))
-    owner_by_code = owner[by_code]
+    owner_by_code, code = owner[by_code].astype(np.int32), code.astype(np.int32)
+    doc_by_word, share_by_word = doc[by_word], share[by_word]
     doc_starts, docs_seen = np.flatnonzero(np.diff(doc, prepend=-1)), np.unique(doc)
+    del owner, by_code, found, hashes, pair, which, rows
 
+    # One embedding axis at a time, so that temporaries stay as small as one axis.
     rng = np.random.default_rng(seed)
-    theta = {"E": rng.normal(size=(len(used), dim)).astype(np.float32) * 1e-3, "W": rng.normal(size=(dim, 2)).astype(np.float32) * 0.1, "b": np.zeros(2, np.float32)}
-    theta["E"][:, 0] = ratio**3 / max(np.abs(ratio).max(), 1e-6) ** 3
+    theta = {"E": rng.normal(size=(dim, len(used))).astype(np.float32) * 1e-3, "W": rng.normal(size=(dim, 2)).astype(np.float32) * 0.1, "b": np.zeros(2, np.float32)}
+    theta["E"][0] = ratio**3 / max(np.abs(ratio).max(), 1e-6) ** 3
     theta["W"][0] = -1, 1
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in theta.items()}
     cost, truth = (0.5 / kinds)[labels].astype(np.float32)[:, None], np.eye(2, dtype=np.float32)[labels]
     bags, unit = np.zeros((n, dim), np.float32), np.float32(200)  # a mean over words is small
     for step in range(1, epochs + 1):
-        vectors = np.add.reduceat(theta["E"][code], first_code) * scale
-        bags[docs_seen] = np.add.reduceat(vectors[word] * share[:, None], doc_starts) * unit
+        for d in range(dim):
+            vector = np.add.reduceat(theta["E"][d][code], first_code) * scale
+            bags[docs_seen, d] = np.add.reduceat(vector[word] * share, doc_starts) * unit
         z = bags @ theta["W"] + theta["b"]
         z = np.exp(z - z.max(1)[:, None])
         error = (z / z.sum(1)[:, None] - truth) * cost
         up = error @ theta["W"].T * unit
-        to_word = np.add.reduceat((up[doc] * share[:, None])[by_word], word_starts) * scale
-        grad = {"E": np.add.reduceat(to_word[owner_by_code], code_starts), "W": bags.T @ error, "b": error.sum(0)}
+        grad = {"E": np.empty_like(theta["E"]), "W": bags.T @ error, "b": error.sum(0)}
+        for d in range(dim):
+            to_word = np.add.reduceat(up[:, d][doc_by_word] * share_by_word, word_starts) * scale
+            grad["E"][d] = np.add.reduceat(to_word[owner_by_code], code_starts)
         for k, g in grad.items():
             first, second = moment[k]
             first += 0.1 * (g - first)
@@ -116,7 +124,7 @@ def fit(texts: list[str | None], labels: np.ndarray, *, dim: int = 8, buckets: i
             move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-10)
             theta[k] -= move * evidence * 0.2 if k == "E" else move * 2
     weights = np.zeros(buckets, np.float32)
-    weights[used] = theta["E"] @ (theta["W"][:, 1] - theta["W"][:, 0]) * unit
+    weights[used] = (theta["W"][:, 1] - theta["W"][:, 0]) @ theta["E"] * unit
     return {"weights": weights, "bias": float(theta["b"][1] - theta["b"][0]), "buckets": buckets}
 
 
@@ -136,19 +144,29 @@ def score_texts(column, model: dict) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(out, -60, 60)))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, *, folds: int, held: int, max_rows: int, extra: tuple[str, ...] = ()) -> tuple:
-    """At most ``max_rows`` labelled training rows, half of each class, in hash order.
+def fit_in_task(docs: DataFrame, labels: DataFrame, label: str, fit_, *, folds: int, held: int, max_rows: int, extra: tuple[str, ...] = ()) -> dict:
+    """``fit_(texts, labels, *extra)`` of at most ``max_rows`` labelled training rows, half of each class, in hash order.
 
     Rows whose crc32(doc_id as text) mod ``folds`` is ``held``, and rows with a null in
-    the id or the label, are never taken.
+    the id or the label, are never taken. The fit runs in one Spark task over the bounded
+    sample; only the model comes to the driver.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (crc_mod("doc_id", folds) != held)).select("doc_id", F.col(label).cast("int").alias("_label")).distinct()
     picked = None
     for kind in (0, 1):
         part = known.where(F.col("_label") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows // 2)
         picked = part if picked is None else picked.unionByName(part)
-    rows = docs.select("doc_id", "text", *extra).join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_rows).select("text", "_label", *extra).toPandas()
-    return rows["text"].tolist(), rows["_label"].to_numpy(np.int64), *(rows[x].tolist() for x in extra)
+    sample = docs.select("doc_id", "text", *extra).join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_rows).select("_label", "text", *extra)
+
+    def run(batches):
+        columns: list[list] = [[] for _ in range(2 + len(extra))]
+        for batch in batches:
+            for i, values in enumerate(columns):
+                values += batch.column(i).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_(columns[1], np.array(columns[0], np.int64), *columns[2:]))], pa.binary())], names=["model"])
+
+    made = sample.coalesce(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(made["model"]) if made else fit_([], np.zeros(0, np.int64), *([] for _ in extra))
 
 
 def score(docs: DataFrame, scorer, *, folds: int, held: int) -> DataFrame:
@@ -166,7 +184,7 @@ def score(docs: DataFrame, scorer, *, folds: int, held: int) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 3000) -> dict:
     """The toxicity model from at most ``max_rows`` labelled rows outside the held-out fold."""
-    return fit(*training_sample(docs, labels, "toxic", folds=5, held=0, max_rows=max_rows))
+    return fit_in_task(docs, labels, "toxic", fit, folds=5, held=0, max_rows=max_rows)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, max_rows: int = 3000) -> DataFrame:
