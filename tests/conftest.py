@@ -7,9 +7,6 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 os.environ["PYTHONPATH"] = os.pathsep.join([str(Path(__file__).resolve().parent.parent), os.environ.get("PYTHONPATH", "")])
 
-SMALL = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
@@ -26,24 +23,9 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def duck():
     import duckdb
+    from helpers import SMALL
 
     con = duckdb.connect()
     for p in sorted(Path(SMALL).glob("*.parquet")):
         con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
     return con
-
-
-def plain(value):
-    """A value as text that doesn't depend on the engine's number types."""
-    if isinstance(value, bool) or value is None or isinstance(value, str):
-        return str(value)
-    if isinstance(value, (list, tuple)):
-        return str([plain(x) for x in value])
-    if isinstance(value, (bytes, bytearray)):
-        return bytes(value).hex()
-    return f"{float(value):.9g}"
-
-
-def table(rows, names):
-    order = sorted(range(len(names)), key=lambda i: names[i])
-    return [names[i] for i in order], sorted(tuple(plain(r[i]) for i in order) for r in rows)

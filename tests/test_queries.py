@@ -6,7 +6,7 @@ By default one of every kind of operator; with OVERLACE_ALL=1 every query of the
 import os
 
 import pytest
-from conftest import SMALL, table
+from helpers import SMALL, table
 
 from overlace.plans import registry
 
