@@ -24,7 +24,7 @@ BUCKET, BROADCAST_ROWS = 50_000, 300_000
 
 def _slots(keys: np.ndarray, seed: int, length: int, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """The three slots of each key, in three successive segments, and its fingerprint."""
-    h = mix(keys + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15))
+    h = mix(keys + np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64)))
     first = ((h >> np.uint64(32)) * np.uint64(segments * length)) >> np.uint64(32)
     part = np.uint64(length - 1)
     second = (first + np.uint64(length)) ^ ((h >> np.uint64(18)) & part)
