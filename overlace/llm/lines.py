@@ -5,14 +5,16 @@ space at the ends removed) are one node. MinHash bands make buckets, pairs withi
 are verified by exact Jaccard similarity and a distributed union-find keeps one line, the
 first by (doc_id, line number), of each component.
 
-With 50 permutations (100 values, 20 bands of 5) a pair at the threshold 0.8 shares a
-bucket with probability 1 - (1 - 0.8**5)**20 > 0.9996.
+A shingle is eight bytes, read as one integer. With 40 permutations (80 values, 16 bands
+of 5) a pair at the threshold 0.8 shares a bucket with probability
+1 - (1 - 0.8**5)**16 > 0.998, one at 0.9 with 0.999999.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,10 +23,10 @@ from overlace.llm import kernels as K
 from overlace.llm.common import is_small, stored
 from overlace.llm.neardup import PLUS, TIMES, linked_roots
 
-SHINGLE, PERMUTATIONS, BANDS, ROWS = 8, 50, 20, 5
+SHINGLE, PERMUTATIONS, BANDS, ROWS = 8, 40, 16, 5
 BROADCAST_ROWS = 300_000
-#: 20 bands take five values each of the 50 minima and 50 maxima.
-PICK = np.array([[(b * ROWS + j) * 41 % (2 * PERMUTATIONS) for j in range(ROWS)] for b in range(BANDS)])
+#: 16 bands take five values each of the 40 minima and 40 maxima.
+PICK = np.array([[(b * ROWS + j) * 33 % (2 * PERMUTATIONS) for j in range(ROWS)] for b in range(BANDS)])
 
 
 def split_lines(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -47,13 +49,29 @@ def stripped(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     return np.where(full, first, starts), np.where(full, last, starts)
 
 
-def line_sets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct character-shingle hashes of each line, ascending, and the line offsets; a short line is one shingle."""
-    total = K.prefix_hashes(data)
-    count = np.where(ends > starts, np.maximum(ends - starts - SHINGLE + 1, 1), 0)
+def shingles(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of each line in order, and the line offsets; a line of fewer bytes is one shingle."""
+    two = data[:-1].astype(np.uint64)
+    two |= data[1:].astype(np.uint64) << np.uint64(8)
+    four = two[:-2] | two[2:] << np.uint64(16)
+    eight = four[:-4] | four[4:] << np.uint64(32)
+    size = ends - starts
+    count = np.where(size > 0, np.maximum(size - SHINGLE + 1, 1), 0)
+    at = np.concatenate([[0], np.cumsum(count)])
     begin = K.ranges(starts, count)
-    of = np.repeat(np.arange(len(starts)), count)
-    made = K.span_hashes(total, begin, np.minimum(begin + SHINGLE, ends[of]))
+    made = np.zeros(len(begin), np.uint64)
+    inside = begin < len(eight)
+    made[inside] = eight[begin[inside]]
+    short = np.flatnonzero((size > 0) & (size < SHINGLE))
+    if len(short):
+        made[at[short]] = K.span_hashes(K.prefix_hashes(data), starts[short], ends[short])
+    return made, at
+
+
+def line_sets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each line, ascending, and the line offsets."""
+    made, at = shingles(data, starts, ends)
+    of = np.repeat(np.arange(len(starts)), np.diff(at))
     order = np.lexsort((made, of))
     made, of = made[order], of[order]
     fresh = np.ones(len(made), bool)
@@ -63,7 +81,9 @@ def line_sets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
 
 
 def _band_keys(made: np.ndarray, at: np.ndarray) -> np.ndarray:
-    x, first = (made >> np.uint64(32)).astype(np.uint32), at[:-1]
+    first = at[:-1]
+    x = made * np.uint64(0x9E3779B97F4A7C15)
+    x = ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32)
     values = np.empty((2 * PERMUTATIONS, len(first)), np.uint64)
     for k in range(PERMUTATIONS):
         h = x * TIMES[k] + PLUS[k]
@@ -77,57 +97,58 @@ def _band_keys(made: np.ndarray, at: np.ndarray) -> np.ndarray:
     return keys
 
 
-def _nodes(data, starts, ends) -> list[bytes]:
-    """128 bits of each line's bytes."""
-    total = K.prefix_hashes(data)
-    one = K.span_hashes(total, starts, ends)
+def _hashes(data, starts, ends) -> np.ndarray:
+    """128 bits of each line's bytes: array [lines, 2]."""
+    one = K.span_hashes(K.prefix_hashes(data), starts, ends)
     turned = np.ascontiguousarray(data[::-1])
-    two = K.span_hashes(K.prefix_hashes(turned), len(data) - ends, len(data) - starts)
-    raw = np.stack([one, two], 1).astype(">u8").tobytes()
-    return [raw[i : i + 16] for i in range(0, len(raw), 16)]
+    return np.stack([one, K.span_hashes(K.prefix_hashes(turned), len(data) - ends, len(data) - starts)], 1)
+
+
+def _binary(hashes: np.ndarray, full: np.ndarray) -> pa.Array:
+    """The hashes as 16 bytes each, null where not ``full``."""
+    raw = pa.Array.from_buffers(pa.binary(16), len(hashes), [None, pa.py_buffer(hashes.astype(">u8").tobytes())]).cast(pa.binary())
+    return pc.if_else(pa.array(full), raw, pa.scalar(None, pa.binary()))
 
 
 def _chunks(column):
-    for low, _, part, where in K.chunks(*K.text_bytes(column), 1 << 20):
+    for low, _, part, where in K.chunks(*K.text_bytes(column), 2 << 20):
         starts, ends, rows = split_lines(part, where)
         lower = K.LOWER[part]
         yield low, lower, *stripped(lower, starts, ends), rows
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, node) of every line; node is null for a line of white space only. Lines count from 0."""
+    """(doc_id, line, node, key, n) of every line: 128 bits of it, 64 of them as ``key``, its bytes; node is null for a line of white space only. Lines count from 0."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for low, data, starts, ends, rows in _chunks(batch.column(1)):
                 first = np.flatnonzero(np.diff(rows, prepend=-1))
-                number = np.arange(len(rows)) - first[rows]
-                nodes = pa.array([x if full else None for x, full in zip(_nodes(data, starts, ends), (ends > starts).tolist(), strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(low + rows)), pa.array(number, pa.int32()), nodes], names=["doc_id", "line", "node"])
+                hashes = _hashes(data, starts, ends)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(low + rows)), pa.array(np.arange(len(rows)) - first[rows], pa.int32()), _binary(hashes, ends > starts), pa.array(hashes[:, 0].copy().view(np.int64)), pa.array(ends - starts, pa.int64())],
+                    names=["doc_id", "line", "node", "key", "n"],
+                )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, line int, node binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, line int, node binary, key long, n long")
 
 
 def _bands(docs: DataFrame) -> DataFrame:
-    """(bucket, node, n) of the distinct lines of each chunk of documents."""
+    """(bucket, key) of the distinct lines of each chunk of documents."""
 
     def run(batches):
         for batch in batches:
             for _, data, starts, ends, _ in _chunks(batch.column(0)):
-                _, pick = np.unique(K.span_hashes(K.prefix_hashes(data), starts, ends), return_index=True)
-                pick = pick[ends[pick] > starts[pick]]
-                if not len(pick):
-                    continue
-                starts, ends = starts[pick], ends[pick]
-                made, at = line_sets(data, starts, ends)
-                keys, ids = _band_keys(made, at), _nodes(data, starts, ends)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel().view(np.int64)), pa.array(ids, pa.binary()).take(pa.array(np.repeat(np.arange(len(ids)), BANDS))), pa.array(np.repeat(np.diff(at), BANDS), pa.int64())],
-                    names=["bucket", "node", "n"],
-                )
+                key, pick = np.unique(K.span_hashes(K.prefix_hashes(data), starts, ends), return_index=True)
+                full = ends[pick] > starts[pick]
+                key, pick = key[full], pick[full]
+                if len(pick):
+                    buckets = _band_keys(*shingles(data, starts[pick], ends[pick]))
+                    listed = pa.ListArray.from_arrays(pa.array(np.arange(len(pick) + 1, dtype=np.int32) * BANDS), pa.array(buckets.ravel().view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), listed], names=["key", "buckets"])
 
-    return docs.select("text").mapInArrow(run, "bucket long, node binary, n long")
+    return docs.select("text").mapInArrow(run, "key long, buckets array<long>").select("key", F.explode("buckets").alias("bucket"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -147,7 +168,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 pick = pick[ends[pick] > starts[pick]]
                 made, at = line_sets(data, starts[pick], ends[pick])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_nodes(data, starts[pick], ends[pick]), pa.binary()), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(made.view(np.int64)))], names=["node", "items"]
+                    [_binary(_hashes(data, starts[pick], ends[pick]), np.ones(len(pick), bool)), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(made.view(np.int64)))], names=["node", "items"]
                 )
 
     return texts.select("doc_id", "text", "lines").mapInArrow(run, "node binary, items array<long>").join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
@@ -166,11 +187,13 @@ def fuzzy_lines(docs: DataFrame, *, percent: int = 80) -> DataFrame:
     lines = stored(lines_of(docs))
     named = lines.where("node is not null and doc_id is not null")
     w = W.partitionBy("bucket")
-    shared = _bands(docs.where("doc_id is not null")).withColumn("lo", F.min("node").over(w)).withColumn("hi", F.max("node").over(w)).where("lo != hi").select("bucket", "node", "n").distinct()
-    members = stored(shared)
-    wanted = stored(named.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "line")).alias("at")).select("at.doc_id", "at.line", "node"))
-    roots = linked_roots(members, stored(_sets(docs, wanted)), percent)
-    placed = stored(named.join(roots, "node", "left").select("doc_id", "line", F.coalesce("root", "node").alias("component")))
+    shared = _bands(docs.where("doc_id is not null")).withColumn("lo", F.min("key").over(w)).withColumn("hi", F.max("key").over(w)).where("lo != hi").select("bucket", "key").distinct()
+    shared = stored(shared)
+    keys = shared.select("key").distinct()
+    nodes = stored(named.join(keys, "key", "left_semi").groupBy("key", "node").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.max("n").alias("n")))
+    sets = stored(_sets(docs, nodes.select("at.doc_id", "at.line", "node")))
+    roots = linked_roots(shared.join(nodes, "key").select("bucket", "node", "n"), sets, percent)
+    placed = stored(named.select("doc_id", "line", "node").join(roots, "node", "left").select("doc_id", "line", F.coalesce("root", "node").alias("component")))
     first = placed.groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("first"))
     marked = placed.join(first, "component").select("doc_id", "line", "component", ((F.col("doc_id") == F.col("first.doc_id")) & (F.col("line") == F.col("first.line"))).alias("kept"))
     rest = lines.where("node is null or doc_id is null").select("doc_id", "line", F.lit(None).cast("binary").alias("component"), F.lit(True).alias("kept"))
