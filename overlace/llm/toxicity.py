@@ -41,15 +41,16 @@ def subwords(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, buckets: in
     line[head], line[head + size - 1] = 60, 62
     line[K.ranges(head + 1, size - 2)] = data[K.ranges(starts, size - 2)]
     total = K.prefix_hashes(line)
-    owner, codes = [np.arange(len(starts))], [K.span_hashes(total, head, head + size)]
+    reduced = lambda h: (h % np.uint64(buckets)).astype(np.int32)
+    owner, codes = [np.arange(len(starts), dtype=np.int32)], [reduced(K.span_hashes(total, head, head + size))]
     for n in SIZES:
         count = np.maximum(size - n + 1, 0)
         begin = K.ranges(head, count)
-        owner.append(np.repeat(np.arange(len(starts)), count))
-        codes.append(K.span_hashes(total, begin, begin + n))
+        owner.append(np.repeat(np.arange(len(starts), dtype=np.int32), count))
+        codes.append(reduced(K.span_hashes(total, begin, begin + n)))
     owner, codes = np.concatenate(owner), np.concatenate(codes)
-    order = np.argsort(owner, kind="stable")
-    return owner[order], (codes[order] % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(owner, kind="stable").astype(np.int32)
+    return owner[order], codes[order]
 
 
 def fit(texts: list[str | None], labels: np.ndarray, *, dim: int = 8, buckets: int = 1 << 18, epochs: int = 30, rate: float = 0.05, seed: int = 1) -> dict:
@@ -78,7 +79,9 @@ def fit(texts: list[str | None], labels: np.ndarray, *, dim: int = 8, buckets: i
     _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
     starts, ends = starts[first], ends[first]
     owner, code = subwords(data, starts, ends, buckets)
+    del data, found, hashes, first
     used, code = np.unique(code, return_inverse=True)
+    code = code.astype(np.int32)
     n, m = len(texts), len(starts)
     pair, count = np.unique(rows * m + which, return_counts=True)
     doc, word = pair // m, pair % m
@@ -92,10 +95,10 @@ def fit(texts: list[str | None], labels: np.ndarray, *, dim: int = 8, buckets: i
     first_code = np.flatnonzero(np.diff(owner, prepend=-1))
     by_word, by_code = np.argsort(word, kind="stable"), np.argsort(code, kind="stable")
     word_starts, code_starts = np.flatnonzero(np.diff(word[by_word], prepend=-1)), np.flatnonzero(np.diff(code[by_code], prepend=-1))
-    owner_by_code, code = owner[by_code].astype(np.int32), code.astype(np.int32)
+    owner_by_code = owner[by_code]
     doc_by_word, share_by_word = doc[by_word], share[by_word]
     doc_starts, docs_seen = np.flatnonzero(np.diff(doc, prepend=-1)), np.unique(doc)
-    del owner, by_code, found, hashes, pair, which, rows
+    del owner, by_code, by_word, pair, which, rows
 
     # One embedding axis at a time, so that temporaries stay as small as one axis.
     rng = np.random.default_rng(seed)
@@ -182,12 +185,12 @@ def score(docs: DataFrame, scorer, *, folds: int, held: int) -> DataFrame:
     return scored.select("doc_id", F.coalesce(crc_mod("doc_id", folds) == held, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
-def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 3000) -> dict:
+def train(docs: DataFrame, labels: DataFrame, *, max_rows: int = 2000) -> dict:
     """The toxicity model from at most ``max_rows`` labelled rows outside the held-out fold."""
     return fit_in_task(docs, labels, "toxic", fit, folds=5, held=0, max_rows=max_rows)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, *, max_rows: int = 3000) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, *, max_rows: int = 2000) -> DataFrame:
     """Toxicity of every document.
 
     ``docs``: doc_id, text and any other columns; ``labels``: doc_id, toxic. Returns
