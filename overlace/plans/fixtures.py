@@ -65,7 +65,7 @@ FROM (SELECT l_orderkey, l_linenumber, MIN(l_partkey) AS l_partkey, MIN(l_suppke
       FROM {lineitem} WHERE l_linenumber <= 2 GROUP BY l_orderkey, l_linenumber) u""",
     "f_graph": """
 SELECT DISTINCT aread AS src, bread AS dst, CASE WHEN ovl_id % 2 = 0 THEN 'l' ELSE 'r' END AS side, 1 + ovl_id % 997 AS ovh, ovl_id % 40 AS div
-FROM {f_ovl} WHERE aread <> bread AND ovl_id % 7 = 0""",
+FROM {f_ovl} o JOIN {f_reads} a ON a.rid = o.aread WHERE aread <> bread AND ab = tb""",
 }
 #: Where DuckDB says the same differently.
 DUCKDB = {

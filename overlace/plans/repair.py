@@ -193,9 +193,9 @@ def _(v):
     return G.shared_reads(v("f_ovl").select(F.floor(F.col("aread") / 10).cast("long").alias("contig"), F.col("bread").alias("rid")))
 
 
-@query("r10_classify_contigs", "r AS (SELECT aread AS contig, CASE WHEN diffs < 40 THEN 'contained' ELSE 'bridge' END AS kind FROM {f_ovl} WHERE ovl_id % 23 = 0), n AS (SELECT contig, COUNT(*) FILTER (kind = 'contained') AS i FROM r GROUP BY 1) SELECT rid AS contig, CASE WHEN i IS NULL THEN CASE WHEN (well % 9 > 4 AND tb % 100 <= 40) OR rlen > 9000 THEN 'primary' ELSE 'discard' END WHEN i > 0 THEN 'alternative' ELSE 'primary' END AS kind FROM {f_reads} LEFT JOIN n ON n.contig = rid")
+@query("r10_classify_contigs", "r AS (SELECT aread AS contig, CASE WHEN diffs < 100 THEN 'contained' ELSE 'bridge' END AS kind FROM {f_ovl} WHERE (ae - ab) * 2 > alen), n AS (SELECT contig, COUNT(*) FILTER (kind = 'contained') AS i FROM r GROUP BY 1) SELECT rid AS contig, CASE WHEN i IS NULL THEN CASE WHEN (well % 9 > 4 AND tb % 100 <= 40) OR rlen > 9000 THEN 'primary' ELSE 'discard' END WHEN i > 0 THEN 'alternative' ELSE 'primary' END AS kind FROM {f_reads} LEFT JOIN n ON n.contig = rid")
 def _(v):
-    relations = v("f_ovl").where("ovl_id % 23 = 0").select(F.col("aread").alias("contig"), F.when(F.col("diffs") < 40, "contained").otherwise("bridge").alias("kind"))
+    relations = v("f_ovl").where("(ae - ab) * 2 > alen").select(F.col("aread").alias("contig"), F.when(F.col("diffs") < 100, "contained").otherwise("bridge").alias("kind"))
     contigs = v("f_reads").select(F.col("rid").alias("contig"), F.col("rlen").alias("len"), (F.col("well") % 9).alias("reads"), (F.col("tb") % 100).alias("repeat"))
     return G.classify_contigs(relations, contigs, length=9000, reads=4, repeat=40)
 
