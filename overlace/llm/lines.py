@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from overlace.llm import kernels as K
 from overlace.llm.common import is_small, stored
+from overlace.llm.kernels import tidy
 from overlace.llm.neardup import PLUS, TIMES, linked_roots
 
 SHINGLE, PERMUTATIONS, BANDS, ROWS = 8, 40, 16, 5
@@ -131,7 +132,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "line", "node", "key", "n"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, line int, node binary, key long, n long")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, line int, node binary, key long, n long")
 
 
 def _bands(docs: DataFrame) -> DataFrame:
@@ -148,7 +149,7 @@ def _bands(docs: DataFrame) -> DataFrame:
                     listed = pa.ListArray.from_arrays(pa.array(np.arange(len(pick) + 1, dtype=np.int32) * BANDS), pa.array(buckets.ravel().view(np.int64)))
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), listed], names=["key", "buckets"])
 
-    return docs.select("text").mapInArrow(run, "key long, buckets array<long>").select("key", F.explode("buckets").alias("bucket"))
+    return docs.select("text").mapInArrow(tidy(run), "key long, buckets array<long>").select("key", F.explode("buckets").alias("bucket"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -171,7 +172,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     [_binary(_hashes(data, starts[pick], ends[pick]), np.ones(len(pick), bool)), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(made.view(np.int64)))], names=["node", "items"]
                 )
 
-    return texts.select("doc_id", "text", "lines").mapInArrow(run, "node binary, items array<long>").join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    return texts.select("doc_id", "text", "lines").mapInArrow(tidy(run), "node binary, items array<long>").join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
 
 
 def fuzzy_lines(docs: DataFrame, *, percent: int = 80) -> DataFrame:

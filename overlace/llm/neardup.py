@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from overlace.llm import kernels as K
 from overlace.llm.common import stored
+from overlace.llm.kernels import tidy
 
 SHINGLE, PERMUTATIONS, BANDS, ROWS = 5, 96, 32, 6
 _rng = np.random.Generator(np.random.PCG64(20))
@@ -118,7 +119,7 @@ def _map_sets(docs: DataFrame, bands: bool) -> DataFrame:
                     [batch.column(0).slice(low, high - low), pa.array(ids, pa.binary()), pa.array(size, pa.int64()), listed], names=["doc_id", "node", "n_shingles", "items"]
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, node binary, n_shingles long, items array<long>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, node binary, n_shingles long, items array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 
 from overlace.llm import kernels as K
 from overlace.llm.common import stored
+from overlace.llm.kernels import tidy
 
 CAPACITY, END_ID = 4096, 1
-#: Pieces in one partition, about; parts of texts that a Python worker remembers.
-GROUP, REMEMBERED = 40_000, 1_000_000
+#: Pieces in one partition, about; parts of texts that a task remembers.
+GROUP, REMEMBERED = 40_000, 500_000
 
 
 #: Kinds of bytes: 0 white space, 1 letters a-z (and, by ``parts``, the Latin-1 letters), 3 ASCII punctuation but the apostrophe, 2 the rest.
@@ -119,22 +120,12 @@ class Parts:
             yield low, ids, np.concatenate([[0], np.cumsum(line_count)[last]])
 
 
-_workers: dict[str, Parts] = {}
-
-
-def _parts(path: str) -> Parts:
-    """One per Python worker: its tasks share what they have met."""
-    if path not in _workers:
-        _workers[path] = Parts(path)
-    return _workers[path]
-
-
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        words = _parts(tokenizer)
+        words = Parts(tokenizer)
         for batch in batches:
             for low, ids, at in words.encode(batch.column(1)):
                 size = np.diff(at)
@@ -151,7 +142,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -21,6 +21,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from overlace.llm.kernels import tidy
+
 ROUNDS = 8
 DIGITS, HEX, UPPER, LOWER = "0123456789", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyz"
 #: Dates of this span are permuted among themselves, as days.
@@ -188,4 +190,4 @@ def pseudonyms(docs: DataFrame, *, key: str = "public test key") -> DataFrame:
                 made = [pseudonymise(t, secret) if m else (t, 0) for t, m in zip(texts.to_pylist(), may.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([t for t, _ in made], pa.string()), pa.array([n for _, n in made], pa.int32())], names=["doc_id", "text", "n_replaced"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, text string, n_replaced int")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, text string, n_replaced int")

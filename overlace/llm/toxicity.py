@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from overlace.llm import kernels as K
 from overlace.llm.common import crc_mod
+from overlace.llm.kernels import tidy
 
 #: Bytes that end a word: all of ASCII but letters, digits and the apostrophe.
 BREAK = np.array([b < 128 and not (chr(b).isalnum() or b == 39) for b in range(256)])
@@ -168,7 +169,7 @@ def fit_in_task(docs: DataFrame, labels: DataFrame, label: str, fit_, *, folds:
                 values += batch.column(i).to_pylist()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_(columns[1], np.array(columns[0], np.int64), *columns[2:]))], pa.binary())], names=["model"])
 
-    made = sample.coalesce(1).mapInArrow(run, "model binary").first()
+    made = sample.coalesce(1).mapInArrow(tidy(run), "model binary").first()
     return pickle.loads(made["model"]) if made else fit_([], np.zeros(0, np.int64), *([] for _ in extra))
 
 
@@ -181,7 +182,7 @@ def score(docs: DataFrame, scorer, *, folds: int, held: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+    scored = docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, score double, predicted int")
     return scored.select("doc_id", F.coalesce(crc_mod("doc_id", folds) == held, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
@@ -215,4 +216,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
             clean = score_texts(batch.column(names.index("text")), model.value) < 0.5
             yield batch.filter(pa.array(clean))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
