@@ -5,9 +5,14 @@ space at the ends removed) are one node. MinHash bands make buckets, pairs withi
 are verified by exact Jaccard similarity and a distributed union-find keeps one line, the
 first by (doc_id, line number), of each component.
 
-A shingle is eight bytes, read as one integer. With 40 permutations (80 values, 16 bands
-of 5) a pair at the threshold 0.8 shares a bucket with probability
-1 - (1 - 0.8**5)**16 > 0.998, one at 0.9 with 0.999999.
+A shingle is a run of code points, as the 64-bit hash of its bytes. With 50 permutations
+(100 values, 20 bands of 5) a pair at the threshold 0.8 shares a bucket with probability
+1 - (1 - 0.8**5)**20 > 0.9996.
+
+Before the full sets are fetched, pairs of small buckets are bounded: a line's shingles are
+counted in ``BINS`` bins by hash, two lines have at most the sum of the smaller counts in
+common, and a line that no bound lets reach the threshold leaves the bucket. The bound is
+never below the true intersection, so no linked pair goes.
 """
 
 from __future__ import annotations
@@ -24,9 +29,11 @@ from overlace.llm.common import is_small, stored
 from overlace.llm.kernels import tidy
 from overlace.llm.neardup import PLUS, TIMES, linked_roots
 
-SHINGLE, PERMUTATIONS, BANDS, ROWS = 8, 40, 16, 5
+PERMUTATIONS, BANDS, ROWS, BINS = 50, 20, 5, 64
+#: Buckets of more rows aren't bounded: all their lines stay.
+SMALL_BUCKET = 8
 BROADCAST_ROWS = 300_000
-#: 16 bands take five values each of the 40 minima and 40 maxima.
+#: 20 bands take five values each of the 50 minima and 50 maxima.
 PICK = np.array([[(b * ROWS + j) * 33 % (2 * PERMUTATIONS) for j in range(ROWS)] for b in range(BANDS)])
 
 
@@ -50,28 +57,20 @@ def stripped(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     return np.where(full, first, starts), np.where(full, last, starts)
 
 
-def shingles(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All shingles of each line in order, and the line offsets; a line of fewer bytes is one shingle."""
-    two = data[:-1].astype(np.uint64)
-    two |= data[1:].astype(np.uint64) << np.uint64(8)
-    four = two[:-2] | two[2:] << np.uint64(16)
-    eight = four[:-4] | four[4:] << np.uint64(32)
-    size = ends - starts
-    count = np.where(size > 0, np.maximum(size - SHINGLE + 1, 1), 0)
-    at = np.concatenate([[0], np.cumsum(count)])
-    begin = K.ranges(starts, count)
-    made = np.zeros(len(begin), np.uint64)
-    inside = begin < len(eight)
-    made[inside] = eight[begin[inside]]
-    short = np.flatnonzero((size > 0) & (size < SHINGLE))
-    if len(short):
-        made[at[short]] = K.span_hashes(K.prefix_hashes(data), starts[short], ends[short])
-    return made, at
-
-
-def line_sets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shingles(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of ``size`` code points of each line in order, and the line offsets; a shorter line is one shingle."""
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    low, high = np.searchsorted(lead, starts), np.searchsorted(lead, ends)
+    count = np.where(high > low, np.maximum(high - low - size + 1, 1), 0)
+    begin = K.ranges(low, count)
+    edge = np.append(lead, len(data))
+    until = np.minimum(begin + size, np.repeat(high, count))
+    return K.span_hashes(K.prefix_hashes(data), edge[begin], edge[until]), np.concatenate([[0], np.cumsum(count)])
+
+
+def line_sets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of each line, ascending, and the line offsets."""
-    made, at = shingles(data, starts, ends)
+    made, at = shingles(data, starts, ends, size)
     of = np.repeat(np.arange(len(starts)), np.diff(at))
     order = np.lexsort((made, of))
     made, of = made[order], of[order]
@@ -135,7 +134,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, line int, node binary, key long, n long")
 
 
-def _bands(docs: DataFrame) -> DataFrame:
+def _bands(docs: DataFrame, size: int) -> DataFrame:
     """(bucket, key) of the distinct lines of each chunk of documents."""
 
     def run(batches):
@@ -145,17 +144,25 @@ def _bands(docs: DataFrame) -> DataFrame:
                 full = ends[pick] > starts[pick]
                 key, pick = key[full], pick[full]
                 if len(pick):
-                    buckets = _band_keys(*shingles(data, starts[pick], ends[pick]))
+                    buckets = _band_keys(*shingles(data, starts[pick], ends[pick], size))
                     listed = pa.ListArray.from_arrays(pa.array(np.arange(len(pick) + 1, dtype=np.int32) * BANDS), pa.array(buckets.ravel().view(np.int64)))
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), listed], names=["key", "buckets"])
 
     return docs.select("text").mapInArrow(tidy(run), "key long, buckets array<long>").select("key", F.explode("buckets").alias("bucket"))
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def bins(made: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many shingles of each set are in each bin: array [sets, BINS]; False where a count doesn't fit a byte."""
+    of = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    counts = np.bincount(of * BINS + (made >> np.uint64(58)).astype(np.int64), minlength=(len(at) - 1) * BINS).reshape(-1, BINS)
+    return counts.astype(np.uint8), (counts < 256).all(1)
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, size: int, *, sketch: bool = False) -> DataFrame:
     """(node, items): the shingle sets of the wanted nodes, from the first line that is each.
 
-    ``wanted``: (doc_id, line, node).
+    ``wanted``: (doc_id, line, node). With ``sketch`` (node, size, bins), the size of the set
+    and its counts by bin, null where one doesn't fit a byte.
     """
     spots = wanted.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))  # at most a document's lines
     texts = docs.select("doc_id", "text").join(F.broadcast(spots) if is_small(spots, BROADCAST_ROWS) else spots, "doc_id")
@@ -167,19 +174,55 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 first = np.flatnonzero(np.diff(rows, prepend=-1))
                 pick = np.array([first[i] + x for i in range(len(first)) for x in want[low + i] if first[i] + x < (first[i + 1] if i + 1 < len(first) else len(rows))], np.int64)
                 pick = pick[ends[pick] > starts[pick]]
-                made, at = line_sets(data, starts[pick], ends[pick])
-                yield pa.RecordBatch.from_arrays(
-                    [_binary(_hashes(data, starts[pick], ends[pick]), np.ones(len(pick), bool)), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(made.view(np.int64)))], names=["node", "items"]
-                )
+                made, at = line_sets(data, starts[pick], ends[pick], size)
+                node = _binary(_hashes(data, starts[pick], ends[pick]), np.ones(len(pick), bool))
+                if sketch:
+                    counts, fit = bins(made, at)
+                    raw = pa.Array.from_buffers(pa.binary(BINS), len(pick), [None, pa.py_buffer(counts.tobytes())]).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays([node, pa.array(np.diff(at), pa.int64()), pc.if_else(pa.array(fit), raw, pa.scalar(None, pa.binary()))], names=["node", "size", "bins"])
+                else:
+                    yield pa.RecordBatch.from_arrays([node, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(made.view(np.int64)))], names=["node", "items"])
+
+    found = texts.select("doc_id", "text", "lines").mapInArrow(tidy(run), "node binary, size long, bins binary" if sketch else "node binary, items array<long>")
+    return found.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+
+
+def may_link(bucket: np.ndarray, size: np.ndarray, counts: np.ndarray, fit: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows, sorted by bucket, may reach ``percent`` with another of their bucket; all rows of the
+    first and the last bucket, which other batches may hold too, and of buckets of more than SMALL_BUCKET rows."""
+    may = (bucket == bucket[0]) | (bucket == bucket[-1])
+    for d in range(1, min(SMALL_BUCKET + 1, len(bucket))):
+        i = np.flatnonzero(bucket[d:] == bucket[:-d])
+        most = np.minimum(counts[i], counts[i + d]).sum(1, dtype=np.int64)
+        near = (100 * most >= percent * (size[i] + size[i + d] - most)) | ~fit[i] | ~fit[i + d] | (d == SMALL_BUCKET)
+        may[i[near]] = may[i[near] + d] = True
+    # A bucket of more rows has a pair at the last distance: all of it stays.
+    if len(bucket) > SMALL_BUCKET:
+        may |= np.isin(bucket, bucket[SMALL_BUCKET:][bucket[SMALL_BUCKET:] == bucket[:-SMALL_BUCKET]])
+    return may
+
+
+def _bounded(members: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, n) of the rows (bucket, node, n, size, bins) that may be linked within their bucket."""
+
+    def run(batches):
+        for batch in batches:
+            if len(batch):
+                fit = batch.column(4).is_valid()
+                raw = pc.fill_null(batch.column(4), bytes(BINS)).cast(pa.large_binary())
+                counts = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(-1, BINS)
+                may = may_link(batch.column(0).to_numpy(), batch.column(3).to_numpy(), counts, fit.to_numpy(zero_copy_only=False), percent)
+                yield batch.select(["bucket", "node", "n"]).filter(pa.array(may))
 
-    return texts.select("doc_id", "text", "lines").mapInArrow(tidy(run), "node binary, items array<long>").join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    dealt = members.select("bucket", "node", "n", "size", "bins").repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(tidy(run), "bucket long, node binary, n long")
 
 
-def fuzzy_lines(docs: DataFrame, *, percent: int = 80) -> DataFrame:
+def fuzzy_lines(docs: DataFrame, *, percent: int = 80, shingle: int = 8) -> DataFrame:
     """(doc_id, line, component, kept) of every line of every document.
 
     Lines are split at line feeds and count from 0. Two lines are linked when 100 *
-    |intersection| >= ``percent`` * |union| of their shingle sets, and of each component
+    |intersection| >= ``percent`` * |union| of their sets of shingles of ``shingle`` characters, and of each component
     the first line by (doc_id, line) is kept. Lines of white space only are in no
     component and kept; so are all lines of a null doc_id. Null text counts as empty, one
     empty line. Repeated rows of one doc_id and text are marked alike. An empty table
@@ -188,12 +231,17 @@ def fuzzy_lines(docs: DataFrame, *, percent: int = 80) -> DataFrame:
     lines = stored(lines_of(docs))
     named = lines.where("node is not null and doc_id is not null")
     w = W.partitionBy("bucket")
-    shared = _bands(docs.where("doc_id is not null")).withColumn("lo", F.min("key").over(w)).withColumn("hi", F.max("key").over(w)).where("lo != hi").select("bucket", "key").distinct()
-    shared = stored(shared)
+    shared = _bands(docs.where("doc_id is not null"), shingle).withColumn("lo", F.min("key").over(w)).withColumn("hi", F.max("key").over(w)).withColumn("members", F.count("*").over(w))
+    shared = stored(shared.where("lo != hi").select("bucket", "key", "members").distinct())
     keys = shared.select("key").distinct()
     nodes = stored(named.join(keys, "key", "left_semi").groupBy("key", "node").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.max("n").alias("n")))
-    sets = stored(_sets(docs, nodes.select("at.doc_id", "at.line", "node")))
-    roots = linked_roots(shared.join(nodes, "key").select("bucket", "node", "n"), sets, percent)
+    small = F.col("members") <= SMALL_BUCKET
+    spots = nodes.select("key", "at.doc_id", "at.line", "node")
+    sketches = stored(_sets(docs, spots.join(shared.where(small).select("key").distinct(), "key", "left_semi").select("doc_id", "line", "node"), shingle, sketch=True))
+    few = _bounded(shared.where(small).join(nodes, "key").join(sketches, "node"), percent)
+    members = stored(few.unionByName(shared.where(~small).join(nodes, "key").select("bucket", "node", "n")))
+    sets = stored(_sets(docs, spots.join(members.select("node").distinct(), "node", "left_semi").select("doc_id", "line", "node"), shingle))
+    roots = linked_roots(members, sets, percent)
     placed = stored(named.select("doc_id", "line", "node").join(roots, "node", "left").select("doc_id", "line", F.coalesce("root", "node").alias("component")))
     first = placed.groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("first"))
     marked = placed.join(first, "component").select("doc_id", "line", "component", ((F.col("doc_id") == F.col("first.doc_id")) & (F.col("line") == F.col("first.line"))).alias("kept"))

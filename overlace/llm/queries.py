@@ -17,7 +17,7 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from overlace.llm.lines import line_report
 
-    return line_report(table(spark, sf_dir, "documents"))
+    return line_report(table(spark, sf_dir, "documents"), shingle=5)
 
 
 def op3_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import pytest
 from helpers import table
 from pyspark.sql import functions as F
 
-from overlace.llm import decontaminate, exactdup, kernels, lines, lm, neardup, packing, pii, quality, toxicity, urls
+from overlace.llm import decontaminate, exactdup, kernels, lines, lm, neardup, packing, pii, quality, queries, toxicity, urls
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 DOCS = "doc_id long, text string"
@@ -125,6 +125,29 @@ def test_lines_of_odd_and_empty(spark, odd):
     assert lines.line_report(odd.limit(0)).count() == 0
 
 
+def test_one_typo_in_a_short_line_is_fuzzy(spark, tmp_path):
+    line = "Subscribe to our newsletter for weekly updates and news"
+    other = "читайте также другие новости нашего сайта на сегодня и завтра"
+    docs = [(1, f"{line}\nfirst page"), (2, line.replace("letter", "lettex")), (3, other), (4, other.replace("сайта", "сайтx")), (5, "an entirely different line about rivers and boats")]
+    spark.createDataFrame(docs, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    got = as_dict(queries.op2_fuzzy_lines(spark, str(tmp_path)))
+    assert {d: r["dropped"] for d, r in got.items()} == {1: [], 2: [0], 3: [], 4: [0], 5: []}
+    assert (1 - 0.8**lines.ROWS) ** lines.BANDS < 4e-4
+
+
+def test_bounds_keep_every_linked_pair():
+    rng = np.random.default_rng(4)
+    base = [kernels.mix(rng.integers(0, 1 << 63, 60, dtype=np.uint64)) for _ in range(40)]
+    sets = [s for b in base for s in (b, b[:50], rng.permutation(base[0])[:30])]
+    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    counts, fit = lines.bins(np.concatenate(sets), at)
+    bucket = np.repeat(np.arange(40), 3)
+    may = lines.may_link(bucket, np.diff(at), counts, fit, 80)
+    linked = np.array([any(i != j and bucket[i] == bucket[j] and 5 * len(set(a.tolist()) & set(b.tolist())) >= 4 * len(set(a.tolist()) | set(b.tolist())) for j, b in enumerate(sets)) for i, a in enumerate(sets)])
+    assert may[linked].all() and not may[3:-3][~linked[3:-3]].any()
+    assert lines.may_link(np.repeat([1, 2, 3], [2, 12, 2]), np.full(16, 60), counts[:16], fit[:16], 80)[2:14].all()
+
+
 # 3 language model
 
 
