@@ -147,9 +147,31 @@ RULES = (
     (("-",), r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])", _date),
     ((), r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])", _card),
 )
+#: Numbers in groups, whose pattern may run on into the next number: shorter ends and later starts are tried.
+GROUPED = (_iban, _card)
 COMPILED = tuple((marks, re.compile(pattern), make) for marks, pattern, make in RULES)
 
 
+def _found(text: str, pattern: re.Pattern, make, key: bytes, taken: list) -> None:
+    """Adds (begin, end, pseudonym) of each value to ``taken``.
+
+    Of a number in groups every run of whole groups is tried; of runs that pass the check
+    and overlap, the longest counts.
+    """
+    at, passed = 0, []
+    free = lambda begin, end: all(end <= b or e <= begin for b, e, _ in taken)
+    while match := pattern.search(text, at):
+        begin, end = match.span()
+        ends, at = [end], end
+        if make in GROUPED:
+            at = begin + 1
+            ends += [e for e in range(end - 1, begin, -1) if text[e] in " -" and text[e - 1] not in " -" and pattern.fullmatch(text, begin, e)]
+        passed += [(begin - e, begin, e, made) for e in ends if free(begin, e) and (made := make(text[begin:e], key)) is not None]
+    for _, begin, end, made in sorted(passed):
+        if free(begin, end):
+            taken.append((begin, end, made))
+
+
 def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, int]:
     """The text with its values replaced, and how many were."""
     if not text:
@@ -158,10 +180,7 @@ def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, int]:
     for marks, pattern, make in COMPILED:
         if marks and not any(m in lowered for m in marks):
             continue
-        for match in pattern.finditer(text):
-            begin, end = match.span()
-            if all(end <= b or e <= begin for b, e, _ in taken) and (made := make(match[0], key)) is not None:
-                taken.append((begin, end, made))
+        _found(text, pattern, make, key, taken)
     out, at = [], 0
     for begin, end, made in sorted(taken):
         out += text[at:begin], made

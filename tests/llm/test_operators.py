@@ -248,6 +248,22 @@ def test_pseudonyms_link_documents(spark, odd):
     assert pii.pseudonyms(odd).count() == odd.count() and pii.pseudonyms(odd.limit(0)).count() == 0
 
 
+def test_numbers_beside_numbers_get_pseudonyms():
+    card, account = "4111 1111 1111 1111", "ES9121000418450200051332"
+    for text, value in (
+        (f"{card} 12/27", card), ("4111111111111111 123", "4111111111111111"), ("no 7 4111111111111111", "4111111111111111"), (f"{card} 2024-05-06", card), (f"9 8 7 6 {card} 5", card),
+        (f"{account} 2024", account), (f"{account} BIC", account), ("ES91 2100 0418 4502 0005 1332 BIC", "ES91 2100 0418 4502 0005 1332"), (f"AB12 CDEF GHIJ {account}", account), ("GB82WEST12345698765432 2024 BIC", "GB82WEST12345698765432"),
+    ):
+        made, n = pii.pseudonymise(text, b"k")
+        at = text.index(value)
+        assert n >= 1 and len(made) == len(text) and made[:at] == text[:at] and value not in made, text
+        fresh = made[at : at + len(value)]
+        again = pii._card if value[0] == "4" else pii._iban
+        assert fresh == again(value, b"k") and again(fresh, b"k") is not None
+    assert pii.pseudonymise("4111 1111 1111 1112", b"k")[1] == 0
+
+
+
 # 6 near duplicates
 
 
