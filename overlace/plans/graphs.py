@@ -53,6 +53,11 @@ def _(v):
     return G.components(v("f_graph").where("div < 5"))
 
 
+@query("g6_components_all")
+def _(v):
+    return G.components(v("f_graph"))
+
+
 @query("g7_neighborhood", """e AS (SELECT DISTINCT src, dst FROM {f_graph}), s AS (SELECT DISTINCT rid FROM {f_reads} WHERE tb = 0), h1 AS (SELECT DISTINCT dst AS rid FROM e JOIN s ON s.rid = src WHERE dst NOT IN (SELECT rid FROM s)),
 h2 AS (SELECT DISTINCT dst AS rid FROM e JOIN h1 ON h1.rid = src WHERE dst NOT IN (SELECT rid FROM s) AND dst NOT IN (SELECT rid FROM h1)) SELECT rid, 0 AS hop FROM s UNION ALL SELECT rid, 1 FROM h1 UNION ALL SELECT rid, 2 FROM h2""")
 def _(v):

@@ -96,3 +96,24 @@ def test_a_stream_resumes_and_drops_repeats(spark, tmp_path):
     found = masks.read_hits(spark, places[1])
     assert found.count() == 3
     assert rows(masks.masks(found, above=2)) == [(1, 60, 100)]
+
+
+def test_components_of_all_edges_equal_union_find(spark):
+    from helpers import SMALL
+
+    from overlace.plans import registry
+    from overlace.plans.fixtures import view
+
+    registry.load()
+    parent = {}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for src, dst in view(spark, SMALL, "f_graph").select("src", "dst").collect():
+        a, b = find(parent.setdefault(src, src)), find(parent.setdefault(dst, dst))
+        parent[max(a, b)] = min(a, b)
+    got = {r.rid: r.component for r in registry.QUERIES["g6_components_all"](spark, SMALL).collect()}
+    assert got == {x: find(x) for x in parent}
