@@ -37,8 +37,8 @@ def exact_stage(spark, docs, sf_dir):
 
 
 def near_stage(spark, docs, sf_dir):
-    """Of each group of near copies the document with the smallest doc_id stays."""
-    return without(docs, near_duplicates(docs).where("not kept"))
+    """Of each group of near copies (similarity 0.8 or more) the document with the smallest doc_id stays."""
+    return without(docs, near_duplicates(docs, percent=80).where("not kept"))
 
 
 def benchmark_stage(spark, docs, sf_dir):

@@ -6,6 +6,7 @@ import zlib
 from test_operators import brute_contamination, brute_near
 
 import corpus_pipeline
+from overlace.llm import neardup
 
 
 def test_pipeline_equals_its_stages(spark, tmp_path):
@@ -37,3 +38,12 @@ def test_pipeline_equals_its_stages(spark, tmp_path):
     assert got == set(left) - dirty and 161 not in got and len([i for i in range(101, 120, 2) if i in got]) == 1
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "packing"]
     assert zlib.crc32(b"1")
+
+
+def test_near_stage_drops_copies_from_0_8(spark):
+    # 104 words are 100 shingles; another last half of n words leaves J = (100 - n) / (100 + n): 0.835, 0.802, 0.786.
+    said = [f"w{i}" for i in range(104)]
+    docs = [(k, " ".join(said[: 104 - n] + [f"x{k}y{i}" for i in range(n)])) for k, n in enumerate((0, 9, 11, 12))]
+    got = {r.doc_id for r in corpus_pipeline.near_stage(spark, spark.createDataFrame(docs, "doc_id long, text string"), None).collect()}
+    assert got == {0, 3}
+    assert (1 - 0.8**neardup.ROWS) ** neardup.BANDS < 1e-4
