@@ -1,27 +1,97 @@
-"""k-mers, seed joins and diagonal bands on reads (rid, seq)."""
+"""k-mers, seed joins and diagonal bands on reads (rid, seq).
+
+A k-mer of up to 31 bases is a number, two bits a base. Tasks make the numbers from runs of
+bases with numpy and count them before the shuffle; everything after is joins and
+aggregates on the number. The two strands share one pass: a k-mer and its reverse
+complement have one canonical number, the smaller one.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from overlace.functions.scalar import floor_div, reverse_complement
 
-
-def kmers(seqs: DataFrame, k: int, *, chunk: int = 1000) -> DataFrame:
-    """(rid, pos, kmer) at every position. Reads are cut to overlapping chunks first, so that
-    taking substrings stays linear in the read's length."""
-    pieces = seqs.where(F.length("seq") >= k).select("rid", F.explode(F.expr(f"sequence(0, length(seq) - {k}, {chunk})")).alias("c"), "seq")
-    pieces = pieces.select("rid", "c", F.expr(f"substring(seq, c + 1, {chunk + k - 1})").alias("piece"))
-    spots = pieces.select("rid", "c", "piece", F.explode(F.expr(f"sequence(0, length(piece) - {k})")).alias("i"))
-    return spots.select("rid", (F.col("c") + F.col("i")).cast("long").alias("pos"), F.expr(f"substring(piece, i + 1, {k})").alias("kmer"))
+#: Bases that a task handles at a time; a longer read is cut to pieces that overlap.
+RUN = 1 << 20
+BASE = np.full(256, 4, np.uint8)
+for _i, _letters in enumerate(("aA", "cC", "gG", "tT")):
+    BASE[[ord(x) for x in _letters]] = _i
+#: How a k-mer reads on either strand: forward it's canonical, backward it's canonical, or it is its own reverse complement.
+FORWARD, BACKWARD, PALINDROME = 0, 1, 2
+#: Distinct k-mers up to which a table of them is broadcast.
+FEW = 1 << 20
+
+
+def _spots(column, k: int):
+    """(row, pos, code, turned) in runs of bases: every k-mer of a column of reads without other letters than acgt,
+    its number and that of its reverse complement."""
+    column = column.cast(pa.large_string()).fill_null("")
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.zeros(0, np.uint8)
+    low = 0
+    while low < len(column):
+        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + RUN, side="right")) - 1)
+        high = min(high, len(column))
+        for begin in range(int(offsets[low]), max(int(offsets[high]) - k + 1, int(offsets[low]) + 1), RUN if high == low + 1 else 1 << 62):
+            end = min(int(offsets[high]), begin + RUN + k - 1) if high == low + 1 else int(offsets[high])
+            base = BASE[data[begin:end]]
+            m = len(base) - k + 1
+            if m < 1:
+                continue
+            code, turned = np.zeros(m, np.int64), np.zeros(m, np.int64)
+            bits = base.astype(np.int64) & 3
+            for i in range(k):
+                code = code << 2 | bits[i : i + m]
+                turned |= (3 - bits[i : i + m]) << 2 * i
+            other = np.concatenate([[0], np.cumsum(base == 4)])
+            row = np.searchsorted(offsets[low : high + 1], begin + np.arange(m), side="right") - 1
+            whole = (other[k:] == other[:m]) & (begin + np.arange(m) + k <= offsets[low + row + 1])
+            row = row[whole] + low
+            yield row, begin + np.flatnonzero(whole) - offsets[row], code[whole], turned[whole]
+        low = high
+
+
+def kmer_codes(seqs: DataFrame, k: int) -> DataFrame:
+    """(rid, pos, code) of every k-mer of acgt."""
+
+    def run(batches):
+        for batch in batches:
+            for row, pos, code, _ in _spots(batch.column(1), k):
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(pos), pa.array(code)], names=["rid", "pos", "code"])
+
+    return seqs.select("rid", "seq").mapInArrow(run, "rid long, pos long, code long")
+
+
+def code_counts(seqs: DataFrame, k: int) -> DataFrame:
+    """(code, n): how often each k-mer of acgt occurs; counted in the tasks first."""
+
+    def run(batches):
+        for batch in batches:
+            for _, _, code, _ in _spots(batch.column(1), k):
+                found, n = np.unique(code, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["code", "n"])
+
+    return seqs.select("rid", "seq").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def kmer_text(code, k: int):
+    """The letters of a k-mer's number."""
+    return F.translate(F.lpad(F.conv(code.cast("string"), 10, 4), k, "0"), "0123", "acgt")
+
+
+def kmers(seqs: DataFrame, k: int) -> DataFrame:
+    """(rid, pos, kmer) of every k-mer of acgt, as text."""
+    return kmer_codes(seqs, k).select("rid", "pos", kmer_text(F.col("code"), k).alias("kmer"))
 
 
 def kmer_counts(seqs: DataFrame, k: int, *, most: int = 255) -> DataFrame:
-    return kmers(seqs, k).groupBy("kmer").agg(F.least(F.count("*"), F.lit(most)).alias("n"))
+    return code_counts(seqs, k).select(kmer_text(F.col("code"), k).alias("kmer"), F.least("n", F.lit(most)).alias("n"))
 
 
 def kmer_histogram(counts: DataFrame, *, most: int = 255) -> DataFrame:
@@ -38,32 +108,65 @@ def kmer_cutoffs(counts: DataFrame, *, share: float = 0.01, error: float = 0.15,
     return over.select("over", F.lit(int(expected)).cast("long").alias("noise"))
 
 
-def frequent_removed(spots: DataFrame, most: int) -> DataFrame:
-    """k-mer positions without those of k-mers that occur more than ``most`` times: a semi join on aggregated counts, before any self-join."""
-    rare = spots.groupBy("kmer").agg(F.count("*").alias("n")).where(F.col("n") <= most).select("kmer")
-    return spots.join(rare, "kmer", "left_semi")
+def _with_counts(spots: DataFrame, counts: DataFrame, k: int, how: str = "inner") -> DataFrame:
+    """A join on the code; the counts are broadcast where there can't be more than ``FEW``."""
+    return spots.join(F.broadcast(counts) if 4**k <= FEW else counts, "code", how)
+
+
+def frequent_removed(seqs: DataFrame, k: int, most: int) -> DataFrame:
+    """(rid, pos, code) of the k-mers that occur at most ``most`` times: a semi join on aggregated counts, before any self-join."""
+    return _with_counts(kmer_codes(seqs, k), code_counts(seqs, k).where(F.col("n") <= most).select("code"), k, "left_semi")
 
 
 def seed_pairs(seqs: DataFrame, k: int, *, most: int = 10, identity: bool = False) -> DataFrame:
     """(aread, bread, apos, bpos, comp): equal k-mers of two reads on either strand, bread < aread.
 
     With ``identity`` also hits of a read with itself, bpos < apos, and, on the complement, bpos <= apos.
-    k-mers of more than ``most`` positions (both strands of B) are left out first.
+    k-mers of more than ``most`` positions (both strands of B) are left out first, so that
+    the positions of a k-mer, which then meet in one row, are at most that many.
+    """
+
+    def run(batches):
+        for batch in batches:
+            size = batch.column(1).cast(pa.large_string()).fill_null("")
+            size = np.diff(np.frombuffer(size.buffers()[1], np.int64)[size.offset : size.offset + len(size) + 1])
+            for row, pos, code, turned in _spots(batch.column(1), k):
+                strand = np.where(code == turned, PALINDROME, np.where(code < turned, FORWARD, BACKWARD))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(row)), pa.array(pos), pa.array(size[row] - k - pos), pa.array(strand, pa.int32()), pa.array(np.minimum(code, turned))], names=["rid", "pos", "back", "strand", "code"]
+                )
+
+    def count(batches):
+        for batch in batches:
+            for _, _, code, turned in _spots(batch.column(1), k):
+                found, n = np.unique(np.minimum(code, turned), return_counts=True)
+                own = np.isin(found, code[code == turned], assume_unique=False)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n * (1 + own))], names=["code", "n"])
+
+    reads = seqs.select("rid", "seq")
+    # A palindrome stands on both strands at each of its places.
+    counts = reads.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    ok = counts.where(F.col("n").between(1 if identity else 2, most)).select("code")
+    spots = reads.mapInArrow(run, "rid long, pos long, back long, strand int, code long").join(ok, "code", "left_semi")
+    place = F.struct("rid", "pos", "back", "strand")
+    met = spots.groupBy("code").agg(F.collect_list(place).alias("places")).withColumn("a", F.explode("places")).withColumn("b", F.explode("places"))
+    same, turned = F.array(F.lit(0)), F.array(F.lit(1))
+    strands = F.when(F.col("a.strand") == PALINDROME, F.array(F.lit(0), F.lit(1))).when(F.col("a.strand") == F.col("b.strand"), same).otherwise(turned)
+    pairs = met.where("b.rid < a.rid" + (" or b.rid = a.rid" if identity else "")).withColumn("comp", F.explode(strands))
+    pairs = pairs.select(
+        F.col("a.rid").alias("aread"), F.col("b.rid").alias("bread"), F.col("a.pos").alias("apos"), F.when(F.col("comp") == 0, F.col("b.pos")).otherwise(F.col("b.back")).alias("bpos"), "comp"
+    )
+    return pairs.where("bread < aread or bpos < apos or (comp = 1 and bpos = apos)")
+
+
+def bands(pairs: DataFrame, k: int, *, width: int = 64, panel: int = 50_000, overlap: int = 10_000, least: int = 35) -> DataFrame:
+    """(aread, bread, comp, panel, band, bases, a1, a2, b1, b2): pairs of adjacent diagonal bands whose seeds cover ``least`` bases of A.
+
+    Panels of A overlap: a seed within ``overlap`` bases after a border is in the panel before it, too.
     """
-    own = kmers(seqs, k)
-    turned = kmers(seqs.select("rid", reverse_complement(F.col("seq")).alias("seq")), k)
-    ok = own.select("kmer").unionByName(turned.select("kmer")).groupBy("kmer").agg(F.count("*").alias("n")).where(F.col("n") <= most).select("kmer")
-    a = own.join(ok, "kmer", "left_semi").select("kmer", F.col("rid").alias("aread"), F.col("pos").alias("apos"))
-    b = own.withColumn("comp", F.lit(0)).unionByName(turned.withColumn("comp", F.lit(1))).join(ok, "kmer", "left_semi").select("kmer", F.col("rid").alias("bread"), F.col("pos").alias("bpos"), "comp")
-    rule = F.col("bread") < F.col("aread")
-    if identity:
-        rule = rule | ((F.col("bread") == F.col("aread")) & ((F.col("bpos") < F.col("apos")) | ((F.col("comp") == 1) & (F.col("bpos") == F.col("apos")))))
-    return a.join(b, "kmer").where(rule).select("aread", "bread", "apos", "bpos", "comp")
-
-
-def bands(pairs: DataFrame, k: int, *, width: int = 64, panel: int = 50_000, least: int = 35) -> DataFrame:
-    """(aread, bread, comp, panel, band, bases, a1, a2, b1, b2): pairs of adjacent diagonal bands whose seeds cover ``least`` bases of A."""
-    p = pairs.withColumn("panel", floor_div(F.col("apos"), panel)).withColumn("band", floor_div(F.col("apos") - F.col("bpos"), width))
+    own = floor_div(F.col("apos"), panel)
+    panels = F.when((F.col("apos") % panel < overlap) & (own > 0), F.array(own - 1, own)).otherwise(F.array(own))
+    p = pairs.withColumn("panel", F.explode(panels)).withColumn("band", floor_div(F.col("apos") - F.col("bpos"), width))
     w = W.partitionBy("aread", "bread", "comp", "panel", "band").orderBy("apos", "bpos")
     fresh = F.least(F.lit(k), F.coalesce(F.col("apos") - F.lag("apos").over(w), F.lit(k)))
     per = p.withColumn("fresh", fresh).groupBy("aread", "bread", "comp", "panel", "band").agg(
@@ -74,16 +177,27 @@ def bands(pairs: DataFrame, k: int, *, width: int = 64, panel: int = 50_000, lea
     return per.withColumn("bases", F.col("own") + beside).where(F.col("bases") >= least).drop("own")
 
 
-def candidates(found: DataFrame, seqs: DataFrame, *, least: int = 100, most: int = 64) -> DataFrame:
-    """One alignment per band: the anchors' extent with its edit distance up to ``most`` (null beyond), where both lengths add up to 2 * ``least``."""
-    c = found.where(F.col("a2") - F.col("a1") + F.col("b2") - F.col("b1") >= 2 * least)
+def candidates(found: DataFrame, seqs: DataFrame, *, least: int = 100, seg: int = 100) -> DataFrame:
+    """One alignment per band, the anchors' extent, where both lengths add up to 2 * ``least``:
+    (aread, bread, comp, a1, a2, b1, b2, diffs, segments), segments the edit distances of A's
+    segments of ``seg`` bases to the stretch of B beside them, diffs their sum.
+
+    B's place beside a segment end is interpolated between the extreme anchors.
+    """
+    c = found.where(F.col("a2") - F.col("a1") + F.col("b2") - F.col("b1") >= 2 * least).select("aread", "bread", "comp", "a1", "a2", "b1", "b2")
     a = seqs.select(F.col("rid").alias("aread"), F.col("seq").alias("a_seq"))
     b = seqs.select(F.col("rid").alias("bread"), F.col("seq").alias("b_seq"))
-    j = c.join(a, "aread").join(b, "bread")
-    b_side = F.when(F.col("comp") == 1, reverse_complement(F.col("b_seq"))).otherwise(F.col("b_seq"))
-    cut = lambda s, x, y: F.substring(s, F.col(x) + 1, F.col(y) - F.col(x))
-    d = F.levenshtein(cut(F.col("a_seq"), "a1", "a2"), cut(b_side, "b1", "b2"), most)
-    return j.select("aread", "bread", "comp", "a1", "a2", "b1", "b2", F.when(d >= 0, d).alias("diffs"))
+    j = c.join(a, "aread").join(b, "bread").withColumn("b_side", F.when(F.col("comp") == 1, reverse_complement(F.col("b_seq"))).otherwise(F.col("b_seq")))
+
+    def differences(s):
+        lo, hi = F.greatest("a1", s * seg), F.least("a2", s * seg + seg)
+        beside = lambda x: F.col("b1") + F.floor((x - F.col("a1")) * (F.col("b2") - F.col("b1")) / (F.col("a2") - F.col("a1")))
+        cut = lambda text, x, y: F.substring(text, (x + 1).cast("int"), (y - x).cast("int"))
+        return F.levenshtein(cut(F.col("a_seq"), lo, hi), cut(F.col("b_side"), beside(lo), beside(hi)))
+
+    each = j.withColumn("segments", F.transform(F.sequence(floor_div(F.col("a1"), seg), floor_div(F.col("a2") - 1, seg)), differences))
+    total = F.aggregate("segments", F.lit(0).cast("long"), lambda acc, d: acc + d)
+    return each.select("aread", "bread", "comp", "a1", "a2", "b1", "b2", total.alias("diffs"), "segments")
 
 
 def without_redundant(alignments: DataFrame) -> DataFrame:
@@ -98,15 +212,30 @@ def without_redundant(alignments: DataFrame) -> DataFrame:
 
 
 def tandem_hits(seqs: DataFrame, k: int, *, farthest: int = 200) -> DataFrame:
-    """(rid, pos, period): a k-mer that recurs within ``farthest`` bases of its last occurrence in the read."""
-    w = W.partitionBy("rid", "kmer").orderBy("pos")
-    return kmers(seqs, k).withColumn("period", F.col("pos") - F.lag("pos").over(w)).where(F.col("period") <= farthest).select("rid", "pos", "period")
+    """(rid, pos, period): a k-mer that recurs within ``farthest`` bases of its last occurrence in the read; no shuffle."""
+
+    def run(batches):
+        for batch in batches:
+            # The pieces of a read that was cut overlap by k - 1 bases: its last places are carried on.
+            held = None
+            for row, pos, code, _ in _spots(batch.column(1), k):
+                new = len(row)
+                if held is not None and len(row) and held[0][-1] == row[0]:
+                    row, pos, code = (np.concatenate(x) for x in zip(held, (row, pos, code), strict=True))
+                order = np.lexsort((pos, code, row))
+                r, p, c = row[order], pos[order], code[order]
+                period = np.diff(p, prepend=-1)
+                hit = np.concatenate([[False], (r[1:] == r[:-1]) & (c[1:] == c[:-1])]) & (period <= farthest) & (order >= len(row) - new)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(r[hit])), pa.array(p[hit]), pa.array(period[hit])], names=["rid", "pos", "period"])
+                near = (row == row[-1]) & (pos > pos[-1] - farthest) if len(row) else np.zeros(0, bool)
+                held = (row[near], pos[near], code[near]) if near.any() else None
+
+    return seqs.select("rid", "seq").mapInArrow(run, "rid long, pos long, period long")
 
 
 def kmer_lookup(seqs: DataFrame, k: int) -> DataFrame:
     """(rid, pos, n): each position's global k-mer count. Counts come by a join on the k-mer."""
-    spots = kmers(seqs, k)
-    return spots.join(spots.groupBy("kmer").agg(F.count("*").alias("n")), "kmer").select("rid", "pos", "n")
+    return _with_counts(kmer_codes(seqs, k), code_counts(seqs, k), k).select("rid", "pos", "n")
 
 
 def window_classes(looked: DataFrame, *, noise: int, over: int, width: int = 250, expected: float = 0.5) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -57,8 +60,12 @@ def split_long(seqs: DataFrame, most: int, overlap: int) -> DataFrame:
 
 def restriction_sites(seqs: DataFrame, site: str) -> DataFrame:
     """(rid, pos): every place of the recognition sequence, from 1, and the length as the last place."""
-    k = len(site)
-    from overlace.operators.seeds import kmers
+    pattern = re.compile(f"(?={re.escape(site)})")
+
+    def find(batches):
+        for frame in batches:
+            found = [(rid, m.start() + 1) for rid, seq in zip(frame["rid"], frame["seq"], strict=True) for m in pattern.finditer(seq or "")]
+            yield pd.DataFrame(found, columns=["rid", "pos"])
 
-    found = kmers(seqs, k).where(F.col("kmer") == site).select("rid", (F.col("pos") + 1).alias("pos"))
+    found = seqs.select("rid", "seq").mapInPandas(find, "rid long, pos long")
     return found.unionByName(seqs.select("rid", F.length("seq").cast("long").alias("pos")))

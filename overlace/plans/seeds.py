@@ -33,7 +33,7 @@ def _(v):
 
 @query("a13_kmer_suppression", f"{km(12)}, c AS (SELECT kmer, COUNT(*) AS n FROM km GROUP BY 1) SELECT rid, COUNT(*) AS kept FROM km JOIN c ON c.kmer = km.kmer WHERE n <= 20 GROUP BY 1")
 def _(v):
-    return K.frequent_removed(K.kmers(v("f_seq"), 12), 20).groupBy("rid").agg(F.count("*").alias("kept"))
+    return K.frequent_removed(v("f_seq"), 12, 20).groupBy("rid").agg(F.count("*").alias("kept"))
 
 
 PAIRS = f"""tu AS (SELECT rid, reverse(translate(seq, 'acgt', 'tgca')) AS seq FROM {{f_seq}}), {km(16)}, {km(16, 'kt', 'tu')},
@@ -60,7 +60,8 @@ def _(v):
     return s.select("rid", F.lit(0).alias("comp"), "seq").unionByName(s.select("rid", F.lit(1).alias("comp"), reverse_complement(F.col("seq")).alias("seq")))
 
 
-BANDS = f"""{PR}, pd AS (SELECT *, CAST(FLOOR(apos / 50000) AS BIGINT) AS panel, CAST(FLOOR((apos - bpos) / 64) AS BIGINT) AS band FROM pr),
+BANDS = f"""{PR}, pn AS (SELECT *, CAST(FLOOR(apos / 50000) AS BIGINT) AS panel FROM pr UNION ALL SELECT *, CAST(FLOOR(apos / 50000) AS BIGINT) - 1 FROM pr WHERE apos >= 50000 AND apos % 50000 < 10000),
+pd AS (SELECT *, CAST(FLOOR((apos - bpos) / 64) AS BIGINT) AS band FROM pn),
 fr AS (SELECT *, LEAST(16, COALESCE(apos - LAG(apos) OVER (PARTITION BY aread, bread, comp, panel, band ORDER BY apos, bpos), 16)) AS fresh FROM pd),
 pe AS (SELECT aread, bread, comp, panel, band, SUM(fresh) AS own, MIN(apos) AS a1, MAX(apos) + 16 AS a2, MIN(bpos) AS b1, MAX(bpos) + 16 AS b2 FROM fr GROUP BY 1, 2, 3, 4, 5),
 bn AS (SELECT *, CAST(own + CASE WHEN LEAD(band) OVER w = band + 1 THEN LEAD(own) OVER w ELSE 0 END AS BIGINT) AS bases FROM pe WINDOW w AS (PARTITION BY aread, bread, comp, panel ORDER BY band))"""
@@ -82,9 +83,12 @@ def _(v):
     return b.unionByName(turned)
 
 
-@query("j6_align_candidates")
+@query("j6_align_candidates", f"""{BANDS}, cn AS (SELECT *, UNNEST(RANGE(CAST(FLOOR(a1 / 100) AS BIGINT), CAST(FLOOR((a2 - 1) / 100) AS BIGINT) + 1)) AS seg FROM bn WHERE bases >= 35 AND a2 - a1 + b2 - b1 >= 200),
+cx AS (SELECT *, GREATEST(a1, seg * 100) AS lo, LEAST(a2, seg * 100 + 100) AS hi FROM cn), cb AS (SELECT *, CAST(b1 + FLOOR((lo - a1) * (b2 - b1) / (a2 - a1)) AS BIGINT) AS p, CAST(b1 + FLOOR((hi - a1) * (b2 - b1) / (a2 - a1)) AS BIGINT) AS q FROM cx)
+SELECT aread, bread, CAST(comp AS INT) AS comp, a1, a2, b1, b2, CAST(SUM(levenshtein(substring(a.seq, lo + 1, hi - lo), substring(CASE WHEN comp = 1 THEN t.seq ELSE b.seq END, p + 1, q - p))) AS BIGINT) AS diffs, COUNT(*) AS segs
+FROM cb JOIN {{f_seq}} a ON a.rid = aread JOIN {{f_seq}} b ON b.rid = bread JOIN tu t ON t.rid = bread GROUP BY aread, bread, comp, panel, band, a1, a2, b1, b2""")
 def _(v):
-    return K.candidates(_bands(v), v("f_seq"))
+    return K.candidates(_bands(v), v("f_seq")).withColumn("segs", F.size("segments").cast("long")).drop("segments")
 
 
 @query("j7_redundancy_removal", f"""{BANDS}, u AS (SELECT DISTINCT aread, bread, comp, a1, a2, b1, b2 FROM bn WHERE bases >= 35)
@@ -123,4 +127,4 @@ def _(v):
 def _(v):
     from overlace.functions.scalar import kmer_code
 
-    return K.kmers(v("f_seq"), 8).select("kmer").distinct().withColumn("code", kmer_code(F.col("kmer")))
+    return K.code_counts(v("f_seq"), 8).select(K.kmer_text(F.col("code"), 8).alias("kmer")).withColumn("code", kmer_code(F.col("kmer")))
