@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from overlace.functions.scalar import reverse_complement
 from overlace.operators import intervals as I  # noqa: E741
 from overlace.operators.overlaps import a_len, comp, discarded, with_trim
 
@@ -20,9 +21,15 @@ def _chain_rule(lookahead: int):
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        o = rows.sort_values(["comp", "ab", "ae", "bb", "be", "ovl_id"]).to_dict("records")
-        inside = lambda x, y: x["ab"] >= y["ab"] and x["ae"] <= y["ae"] and x["bb"] >= y["bb"] and x["be"] <= y["be"] and x["comp"] == y["comp"]
-        left = [x for i, x in enumerate(o) if not any(inside(x, y) and (not inside(y, x) or j < i) for j, y in enumerate(o) if j != i)]
+        rows_sorted = rows.sort_values(["comp", "ab", "ae", "bb", "be", "ovl_id"])
+        o = rows_sorted.to_dict("records")
+        at = {k: rows_sorted[k].to_numpy() for k in ("comp", "ab", "ae", "bb", "be")}
+        left = []
+        for i, x in enumerate(o):  # each against all others at once
+            holds = (at["comp"] == x["comp"]) & (at["ab"] <= x["ab"]) & (at["ae"] >= x["ae"]) & (at["bb"] <= x["bb"]) & (at["be"] >= x["be"])
+            same = holds & (at["ab"] == x["ab"]) & (at["ae"] == x["ae"]) & (at["bb"] == x["bb"]) & (at["be"] == x["be"])
+            if not (holds & ~same).any() and not same[:i].any():
+                left.append(x)
         out, chain = [], 0
         while left:
             seed = max(left, key=lambda x: (x["ae"] - x["ab"], -x["ovl_id"]))
@@ -101,9 +108,9 @@ def hairpins(ovl: DataFrame, *, margin: int = 400, spanners: int = 1) -> DataFra
     ``spanners`` other overlaps span the middle; the longer side of the read is kept."""
     own = ovl.where((F.col("aread") == F.col("bread")) & comp()).withColumn("lo", F.greatest("ab", F.col("alen") - F.col("be"))).withColumn("hi", F.least("ae", F.col("alen") - F.col("bb"))).where("hi > lo")
     points = own.select(F.col("aread").alias("rid"), "alen", F.floor((F.col("lo") + F.col("hi")) / 2).cast("long").alias("point")).distinct()
-    others = ovl.where(~discarded() & (F.col("aread") != F.col("bread"))).select(F.col("aread").alias("rid"), "ab", "ae")
-    over = points.join(others, "rid").where((F.col("ab") <= F.col("point") - margin) & (F.col("ae") >= F.col("point") + margin)).groupBy("rid", "point").agg(F.count("*").alias("n"))
-    found = points.join(over, ["rid", "point"], "left").where(F.coalesce("n", F.lit(0)) <= spanners)
+    others = ovl.where(~discarded() & (F.col("aread") != F.col("bread"))).select(F.col("aread").alias("rid"), (F.col("ab") + margin).alias("beg"), (F.col("ae") - margin).alias("fin"))
+    over = I.stab_counts(points.select("rid", F.col("point").alias("pos")), others, ["rid"]).select("rid", F.col("pos").alias("point"), "n")
+    found = points.join(over, ["rid", "point"]).where(F.col("n") <= spanners)
     longer_left = F.col("point") >= F.col("alen") - F.col("point")
     return found.select("rid", "point", F.when(longer_left, 0).otherwise(F.col("point")).cast("long").alias("beg"), F.when(longer_left, F.col("point")).otherwise(F.col("alen")).alias("fin"))
 
@@ -122,38 +129,92 @@ def gap_patches(ovl: DataFrame, *, margin: int = 400, spanners: int = 1, widest:
     kept = ovl.where(~discarded() & (F.col("aread") != F.col("bread"))).withColumn("comp", comp().cast("int"))
     w = W.partitionBy("aread", "bread", "comp").orderBy("ab", "ae", "bb", "be", "ovl_id")
     gaps = kept.select("aread", "bread", "comp", F.lag("ae").over(w).alias("beg"), F.col("ab").alias("fin"), F.lag("be").over(w).alias("b_beg"), F.col("bb").alias("b_fin")).where((F.col("fin") > F.col("beg")) & (F.col("b_fin") >= F.col("b_beg")) & (F.col("fin") - F.col("beg") <= widest))
-    side = kept.select("aread", "ab", "ae")
-    spots = gaps.select("aread", "beg", "fin").distinct()
-    over = spots.join(side, "aread").where((F.col("ab") <= F.col("beg") - margin) & (F.col("ae") >= F.col("fin") + margin)).groupBy("aread", "beg", "fin").agg(F.count("*").alias("n"))
+    side = kept.select("aread", F.col("ab").alias("beg"), F.col("ae").alias("fin"))
+    met = I.interval_join(gaps.select("aread", "beg", "fin").distinct(), side, "aread").where((F.col("o_beg") <= F.col("beg") - margin) & (F.col("o_fin") >= F.col("fin") + margin))
+    over = met.groupBy("aread", "beg", "fin").agg(F.count("*").alias("n"))
     return gaps.join(over, ["aread", "beg", "fin"], "left").where(F.coalesce("n", F.lit(0)) <= spanners).drop("n")
 
 
+def _absorb(rows: pd.DataFrame) -> pd.DataFrame:
+    """Best supported first, a patch absorbs what is left of those that overlap it."""
+    left = rows.sort_values(["support", "beg", "fin", "bread", "b_beg"], ascending=[False, True, True, True, True]).to_dict("records")
+    kept: list[dict] = []
+    for x in left:
+        over = next((y for y in kept if x["beg"] < y["fin"] and y["beg"] < x["fin"]), None)
+        if over is None:
+            kept.append(x)
+        else:
+            over["support"] += x["support"]
+    return pd.DataFrame(kept, columns=rows.columns)
+
+
 def merge_patches(patches: DataFrame, *, near: int = 50) -> DataFrame:
-    """Patches of one A interval and about one B length become one with their number as support; of overlapping ones on a read only the best supported stay."""
+    """Patches of one A interval and about one B length become one, with their number as support. Of
+    overlapping ones on a read the best supported absorbs the others and their support; one that only
+    overlaps an absorbed patch stays. Reads without overlapping patches, most of them, stay in the JVM."""
     size = F.floor((F.col("b_fin") - F.col("b_beg")) / near)
     one = patches.groupBy("aread", "beg", "fin", size.alias("size")).agg(F.count("*").alias("support"), F.min(F.struct("bread", "comp", "b_beg", "b_fin")).alias("b"))
     p = one.select("aread", "beg", "fin", "support", "b.*")
-    x, y = p.alias("x"), p.alias("y")
-    rank = lambda s: F.struct(F.col(f"{s}.support"), -F.col(f"{s}.beg"), -F.col(f"{s}.fin"), -F.col(f"{s}.bread"), -F.col(f"{s}.b_beg"))
-    return x.join(y, [F.col("x.aread") == F.col("y.aread"), F.col("x.beg") < F.col("y.fin"), F.col("y.beg") < F.col("x.fin"), rank("x") < rank("y")], "left_anti")
+    before = W.partitionBy("aread").orderBy("beg", "fin").rowsBetween(W.unboundedPreceding, -1)
+    clash = p.withColumn("_clash", F.col("beg") < F.max("fin").over(before)).withColumn("_clash", F.bool_or(F.coalesce("_clash", F.lit(False))).over(W.partitionBy("aread")))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in p.schema)
+    return clash.where("not _clash").drop("_clash").unionByName(clash.where("_clash").drop("_clash").groupBy("aread").applyInPandas(_absorb, fields))
 
 
-def segment_patches(trace: DataFrame, q: DataFrame, *, bad: int = 30) -> DataFrame:
-    """(rid, seg, ovl_id, d): each bad segment (q 0 or at least ``bad``) with the complete B segment of fewest differences, of equals the first."""
-    wanted = q.where((F.col("q") == 0) | (F.col("q") >= bad)).select(F.col("rid").alias("aread"), "seg")
-    whole = trace.where("a_to - a_from = 100 and aread != bread").join(wanted, ["aread", "seg"])
-    return whole.withColumn("_k", F.row_number().over(W.partitionBy("aread", "seg").orderBy("d", "ovl_id"))).where("_k = 1").select(F.col("aread").alias("rid"), "seg", "ovl_id", "d")
+def patch_texts(patches: DataFrame, seqs: DataFrame) -> DataFrame:
+    """(rid, beg, fin, text): patches (aread, beg, fin, bread, comp, b_beg, b_fin) with their bases, cut from B on its strand."""
+    b = patches.join(seqs.select(F.col("rid").alias("bread"), "seq"), "bread")
+    side = F.when(F.col("comp") == 1, reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
+    return b.withColumn("side", side).select(F.col("aread").alias("rid"), "beg", "fin", F.expr("substring(side, cast(b_beg + 1 as int), cast(b_fin - b_beg as int))").alias("text"))
+
+
+def converted_intervals(track: DataFrame, patches: DataFrame) -> DataFrame:
+    """``track`` (rid, beg, fin) in the coordinates of patched reads; patches: (rid, beg, fin, text), apart.
+
+    A place behind a patch moves by the bases it adds or takes, one inside goes to its begin.
+    """
+    moves = patches.select("rid", F.col("beg").alias("p_beg"), F.col("fin").alias("p_fin"), (F.length("text") - (F.col("fin") - F.col("beg"))).alias("gain"))
+    listed = moves.groupBy("rid").agg(F.collect_list(F.struct("p_beg", "p_fin", "gain")).alias("moves"))  # a read's patches
+    out = track.join(listed, "rid", "left").withColumn("moves", F.coalesce("moves", F.array().cast("array<struct<p_beg:bigint,p_fin:bigint,gain:bigint>>")))
+
+    def moved(x: str):
+        inside = F.filter("moves", lambda m: (m["p_beg"] < F.col(x)) & (F.col(x) < m["p_fin"]))
+        at = F.coalesce(F.get(inside, 0)["p_beg"], F.col(x))
+        return at + F.aggregate(F.filter("moves", lambda m: m["p_fin"] <= F.col(x)), F.lit(0).cast("long"), lambda acc, m: acc + m["gain"])
+
+    return out.select(*[c for c in track.columns if c not in ("beg", "fin")], moved("beg").alias("beg"), moved("fin").alias("fin")).where("fin > beg")
 
 
-def apply_patches(seqs: DataFrame, patches: DataFrame) -> DataFrame:
-    """(rid, seq, source): sequences with patches (rid, beg, fin, text) put in; patches of a read don't overlap."""
+def segment_patches(trace: DataFrame, ovl: DataFrame, q: DataFrame, *, bad: int = 30, patches: DataFrame | None = None) -> DataFrame:
+    """(rid, seg, ovl_id, quality): each bad segment (q 0 or at least ``bad``) with the complete B segment of lowest mean quality, of equals the first.
+
+    A B segment's mean is that of the B segments it lies on. Segments that touch one of
+    ``patches`` (aread, beg, fin) are left out.
+    """
+    wanted = q.where((F.col("q") == 0) | (F.col("q") >= bad)).select(F.col("rid").alias("aread"), "seg")
+    if patches is not None:
+        taken = patches.where("fin > beg").select("aread", F.explode(F.sequence(F.floor(F.col("beg") / 100), F.floor((F.col("fin") - 1) / 100))).alias("seg")).distinct()
+        wanted = wanted.join(taken, ["aread", "seg"], "left_anti")
+    w = W.partitionBy("ovl_id").orderBy("seg").rowsBetween(W.unboundedPreceding, 0)
+    steps = trace.withColumn("after", F.sum("blen").over(w)).where("a_to - a_from = 100 and aread != bread and blen > 0").join(wanted, ["aread", "seg"])
+    o = ovl.select("ovl_id", "bb", "blen", comp().alias("c")).withColumnRenamed("blen", "b_size")
+    b = steps.join(o, "ovl_id").withColumn("hi", F.col("bb") + F.col("after")).withColumn("lo", F.col("hi") - F.col("blen"))
+    lo, hi = F.when(F.col("c"), F.col("b_size") - F.col("hi")).otherwise(F.col("lo")), F.when(F.col("c"), F.col("b_size") - F.col("lo")).otherwise(F.col("hi"))
+    spread = b.select("aread", "seg", "ovl_id", "bread", F.explode(F.sequence(F.floor(lo / 100), F.floor((hi - 1) / 100))).alias("b_seg"))
+    known = spread.join(q.select(F.col("rid").alias("bread"), F.col("seg").alias("b_seg"), "q"), ["bread", "b_seg"])
+    means = known.groupBy("aread", "seg", "ovl_id").agg(F.avg("q").alias("quality"))
+    return means.withColumn("_k", F.row_number().over(W.partitionBy("aread", "seg").orderBy("quality", "ovl_id"))).where("_k = 1").select(F.col("aread").alias("rid"), "seg", "ovl_id", "quality")
+
+
+def apply_patches(seqs: DataFrame, patches: DataFrame, *, shortest: int = 0) -> DataFrame:
+    """(rid, seq, source): sequences with patches (rid, beg, fin, text) put in, those of ``shortest`` bases or more; patches of a read don't overlap."""
     w = W.partitionBy("rid").orderBy("beg")
     p = patches.withColumn("from", F.coalesce(F.lag("fin").over(w), F.lit(0))).join(seqs, "rid")
     parts = p.withColumn("part", F.concat(F.expr("substring(seq, cast(from + 1 as int), cast(greatest(0, beg - from) as int))"), F.col("text")))
     whole = parts.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("beg", "part"))).alias("v"), F.max("fin").alias("last"))
     out = seqs.join(whole, "rid", "left")
     new = F.concat(F.array_join(F.transform("v", lambda x: x["part"]), ""), F.expr("substring(seq, cast(last + 1 as int))"))
-    return out.select("rid", F.when(F.col("v").isNull(), F.col("seq")).otherwise(new).alias("seq"), F.col("rid").alias("source"))
+    return out.select("rid", F.when(F.col("v").isNull(), F.col("seq")).otherwise(new).alias("seq"), F.col("rid").alias("source")).where(F.length("seq") >= shortest)
 
 
 def homogenize(projected: DataFrame, ovl: DataFrame, *, least: int = 500) -> DataFrame:

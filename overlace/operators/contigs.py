@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from overlace.functions.scalar import floor_div, reverse_complement
+from overlace.functions.scalar import floor_div
 from overlace.operators.overlaps import a_len, comp, discarded
 
+#: Bases of a tile and of a piece; diagonals on either side that an alignment may use; bases put in at one place; rows and tiles handled at a time.
+SEG, BAND, SLOTS, ROWS, ALIGNED = 100, 32, 3, 512, 2048
+LETTERS = np.frombuffer(b"acgt-", np.uint8)
+BASE = np.full(256, 4, np.uint8)
+for _i, _letters in enumerate(("aA", "cC", "gG", "tT")):
+    BASE[[ord(x) for x in _letters]] = _i
+
 
 def tiles(trace: DataFrame, *, most: int = 39) -> DataFrame:
     """(aread, seg, k, ovl_id, bread, d): at most ``most`` B tiles of each A tile, by fewest differences."""
@@ -25,33 +35,199 @@ def tile_rank(trace: DataFrame, ovl: DataFrame, q: DataFrame) -> DataFrame:
     return j.withColumn("rank", F.row_number().over(W.partitionBy("aread", "seg").orderBy(F.coalesce("q", F.lit(1 << 30)), "ovl_id")).cast("long")).select("aread", "seg", "ovl_id", "rank")
 
 
-def tile_texts(trace: DataFrame, ovl: DataFrame, seqs: DataFrame, *, most: int = 19) -> DataFrame:
-    """(aread, seg, k, text): the A tile (k 0) and up to ``most`` B tiles, cut from the sequences."""
-    w = W.partitionBy("ovl_id").orderBy("seg").rowsBetween(W.unboundedPreceding, 0)
-    t = trace.where("aread != bread and a_to - a_from = 100").withColumn("after", F.sum("blen").over(w))
-    t = t.withColumn("k", F.row_number().over(W.partitionBy("aread", "seg").orderBy("d", "ovl_id"))).where(F.col("k") <= most)
-    o = ovl.select("ovl_id", "bb", comp().alias("c"))
-    b = t.join(o, "ovl_id").join(seqs.select(F.col("rid").alias("bread"), "seq"), "bread")
-    side = F.when(F.col("c"), reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
-    b = b.withColumn("side", side).select("aread", "seg", "k", F.expr("substring(side, cast(bb + after - blen + 1 as int), cast(blen as int))").alias("text"))
-    a = t.select("aread", "seg").distinct().join(seqs.select(F.col("rid").alias("aread"), "seq"), "aread").select("aread", "seg", F.lit(0).alias("k"), F.expr("substring(seq, cast(seg * 100 + 1 as int), 100)").alias("text"))
-    return a.unionByName(b).where(F.length("text") >= 20)
+def pieces(seqs: DataFrame) -> DataFrame:
+    """(rid, piece, text): sequences in pieces of ``SEG`` bases."""
+
+    def cut(batches):
+        for frame in batches:
+            rows = [(rid, i // SEG, seq[i : i + SEG]) for rid, seq in zip(frame["rid"], frame["seq"], strict=True) for i in range(0, len(seq or ""), SEG)]
+            yield pd.DataFrame(rows, columns=["rid", "piece", "text"])
 
+    return seqs.select("rid", "seq").mapInPandas(cut, "rid long, piece long, text string")
 
-def vote(texts: DataFrame) -> DataFrame:
-    """(aread, seg, col, base, n, of): the majority base of each column of a tile, of equals the first of a, c, g, t."""
-    cols = texts.select("aread", "seg", F.posexplode(F.split("text", "")).alias("col", "base")).where("base != ''")
-    counts = cols.groupBy("aread", "seg", "col", "base").agg(F.count("*").alias("n"))
-    w = W.partitionBy("aread", "seg", "col")
-    best = counts.withColumn("of", F.sum("n").over(w)).withColumn("_k", F.row_number().over(w.orderBy(F.desc("n"), "base"))).where("_k = 1").drop("_k")
-    return best
 
+def tile_pieces(trace: DataFrame, ovl: DataFrame, seqs: DataFrame, *, most: int = 19) -> DataFrame:
+    """(aread, seg, parts) of every complete A tile with overlaps: the pieces (k, piece, text, lo, hi, comp) that
+    the A tile (k 0) and up to ``most`` B tiles, those of fewest differences, are cut from.
 
-def consensus(texts: DataFrame, *, share: float = 0.5) -> DataFrame:
-    """(aread, seg, seq): the voted columns that at least ``share`` of the tile's sequences reach, in order."""
-    size = texts.groupBy("aread", "seg").agg(F.count("*").alias("size"))
-    kept = vote(texts).join(size, ["aread", "seg"]).where(F.col("of") >= share * F.col("size"))
-    return kept.groupBy("aread", "seg").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col", "base"))), lambda x: x["base"]), "").alias("seq"))
+    A tile is the bases lo to hi of the read's forward strand. Only the pieces that tiles lie
+    on are joined, never whole reads.
+    """
+    w = W.partitionBy("ovl_id").orderBy("seg").rowsBetween(W.unboundedPreceding, 0)
+    t = trace.where(f"aread != bread and a_to - a_from = {SEG}").withColumn("after", F.sum("blen").over(w))
+    t = t.withColumn("k", F.row_number().over(W.partitionBy("aread", "seg").orderBy("d", "ovl_id"))).where(F.col("k") <= most)
+    sizes = seqs.select(F.col("rid").alias("bread"), F.length("seq").cast("long").alias("size"))
+    b = t.join(ovl.select("ovl_id", "bb", comp().alias("comp")), "ovl_id").join(sizes, "bread").withColumn("x", F.col("bb") + F.col("after") - F.col("blen"))
+    lo, hi = F.when(F.col("comp"), F.col("size") - F.col("x") - F.col("blen")).otherwise(F.col("x")), F.when(F.col("comp"), F.col("size") - F.col("x")).otherwise(F.col("x") + F.col("blen"))
+    b = b.select("aread", "seg", "k", F.col("bread").alias("rid"), F.greatest(lo, F.lit(0)).alias("lo"), F.least(hi, "size").alias("hi"), "comp")
+    a = t.select("aread", "seg").distinct().select("aread", "seg", F.lit(0).alias("k"), F.col("aread").alias("rid"), (F.col("seg") * SEG).alias("lo"), (F.col("seg") * SEG + SEG).alias("hi"), F.lit(False).alias("comp"))
+    wanted = a.unionByName(b).where("hi > lo").withColumn("piece", F.explode(F.sequence(floor_div(F.col("lo"), SEG), floor_div(F.col("hi") - 1, SEG))))
+    found = wanted.join(pieces(seqs), ["rid", "piece"])
+    return found.groupBy("aread", "seg").agg(F.array_sort(F.collect_list(F.struct("k", "piece", "text", "lo", "hi", "comp"))).alias("parts"))
+
+
+class Tiles:
+    """The tiles of a batch of ``tile_pieces``: row and k of each, its bases as codes 0-3 (4 for other letters), and its length."""
+
+    def __init__(self, parts: pa.ListArray, shortest: int = 20):
+        offsets = np.asarray(parts.offsets)
+        flat = parts.flatten()
+        column = {name: flat.field(i) for i, name in enumerate(("k", "piece", "text", "lo", "hi", "comp"))}
+        get = lambda name: column[name].to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(parts)), np.diff(offsets))
+        k, piece, lo, hi = get("k").astype(np.int64), get("piece"), get("lo"), get("hi")
+        text = column["text"].cast(pa.large_string())
+        at = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
+        data = BASE[np.frombuffer(text.buffers()[2], np.uint8)] if len(text) and text.buffers()[2] else np.zeros(0, np.uint8)
+        begin, end = np.maximum(lo, piece * SEG), np.minimum(hi, piece * SEG + np.diff(at))
+        count = np.maximum(end - begin, 0)
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (k[1:] != k[:-1])
+        tile, first = np.cumsum(new) - 1, np.flatnonzero(new)
+        length = np.bincount(tile, weights=count, minlength=len(first)).astype(np.int64)
+        width = int(length.max(initial=0))
+        spread = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        codes = np.full(len(first) * width, 4, np.uint8)
+        codes[np.repeat(tile * width + begin - lo[first][tile], count) + spread] = data[np.repeat(at[:-1] + begin - piece * SEG, count) + spread]
+        codes = codes.reshape(len(first), width)
+        turned = get("comp")[first].astype(bool)
+        if turned.any():
+            place = length[turned][:, None] - 1 - np.arange(width)
+            back = np.take_along_axis(codes[turned], np.maximum(place, 0), 1)
+            codes[turned] = np.where(place >= 0, np.where(back < 4, 3 - back, 4), 4)
+        keep = length >= shortest
+        self.row, self.k, self.codes, self.length = row[first][keep], k[first][keep], codes[keep], length[keep]
+
+    def text(self, i: int) -> str:
+        return LETTERS[self.codes[i, : self.length[i]]].tobytes().decode()
+
+
+def align(pivot: np.ndarray, p_len: np.ndarray, other: np.ndarray, o_len: np.ndarray, *, band: int = BAND) -> tuple[np.ndarray, np.ndarray]:
+    """Each sequence against its pivot, end to end by unit costs within ``band`` diagonals.
+
+    Returns the code that stands at every pivot base (4 for a gap, 5 beyond the pivot) and up
+    to ``SLOTS`` codes put in before each pivot base and behind the last one (5 for none).
+    Of equally good steps from the end a match or mismatch goes first, then a gap, then an
+    inserted base. Lengths must differ by less than ``band``.
+    """
+    n, width = pivot.shape
+    span, far = 2 * band + 1, np.int16(9999)
+    j0 = np.arange(span) - band
+    padded = np.full((n, band + max(width, other.shape[1]) + span), 9, np.uint8)
+    padded[:, band : band + other.shape[1]] = other
+    cost = np.full((width + 1, n, span), far, np.int16)
+    slope = np.arange(span, dtype=np.int16)
+    cost[0] = np.where((j0 >= 0) & (j0 <= o_len[:, None]), j0, far)
+    for i in range(1, width + 1):
+        j = i + j0
+        ok = (j >= 0) & (j <= o_len[:, None])
+        differs = (padded[:, i - 1 : i - 1 + span] != pivot[:, i - 1 : i]).astype(np.int16)
+        best = np.where(j >= 1, cost[i - 1] + differs, far)
+        best[:, :-1] = np.minimum(best[:, :-1], cost[i - 1][:, 1:] + 1)
+        best = np.where(ok, np.minimum(best, far), far)
+        cost[i] = np.where(ok, np.minimum.accumulate(best - slope, axis=1) + slope, far)
+    stands, put = np.full((n, width), 5, np.uint8), np.full((n, width + 1, SLOTS), 5, np.uint8)
+    i, j, who = p_len.copy(), o_len.copy(), np.arange(n)
+    while True:
+        live = np.flatnonzero((i > 0) | (j > 0))
+        if not len(live):
+            return stands, put
+        x, y = i[live], j[live]
+        b = y - x + band
+        here = cost[x, live, b]
+        up, left = np.maximum(x - 1, 0), np.maximum(y - 1, 0)
+        base = other[live, left]
+        diagonal = (x > 0) & (y > 0) & (here == cost[up, live, b] + (pivot[live, up] != base))
+        gap = ~diagonal & (x > 0) & (b + 1 < span) & (here == cost[up, live, np.minimum(b + 1, span - 1)] + 1)
+        fill = ~diagonal & ~gap
+        stands[who[live[diagonal]], up[diagonal]] = base[diagonal]
+        stands[who[live[gap]], up[gap]] = 4
+        spot = (live[fill], x[fill])
+        put[spot] = np.concatenate([base[fill][:, None], put[spot][:, :-1]], 1)  # the first of a run ends in front
+        i[live[diagonal | gap]] -= 1
+        j[live[diagonal | fill]] -= 1
+
+
+def votes(tiles_: Tiles, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per row: counts of the codes 0-4 at each base of its pivot, the tile of lowest k, counts of the codes 0-3
+    of each slot put in before it, the pivot's length (0 without tiles), and how many tiles vote."""
+    first = np.full(rows, -1)
+    first[tiles_.row[::-1]] = np.arange(len(tiles_.row))[::-1]
+    has = first >= 0
+    size = np.zeros(rows, np.int64)
+    size[has] = tiles_.length[first[has]]
+    width = int(size.max(initial=0))
+    counts, more, voters = np.zeros((rows, width, 5), np.int32), np.zeros((rows, width + 1, SLOTS, 4), np.int32), np.zeros(rows, np.int64)
+    near = np.flatnonzero(np.abs(tiles_.length - size[tiles_.row]) < BAND)
+    np.add.at(voters, tiles_.row[near], 1)
+    for low in range(0, len(near), ALIGNED):
+        t = near[low : low + ALIGNED]
+        row = tiles_.row[t]
+        stands, put = align(tiles_.codes[first[row]][:, :width], size[row], tiles_.codes[t], tiles_.length[t])
+        i, c = np.nonzero(stands < 5)
+        np.add.at(counts, (row[i], c, stands[i, c]), 1)
+        i, c, s = np.nonzero(put < 4)
+        np.add.at(more, (row[i], c, s, put[i, c, s]), 1)
+    return counts, more, size, voters
+
+
+def _consensus_of(parts: pa.ListArray) -> list[str | None]:
+    """A base is the one most tiles have, of equals the first of a, c, g, t and gap; a base is put in where more than half of the tiles do."""
+    counts, more, size, voters = votes(Tiles(parts), len(parts))
+    best, extra, often = counts.argmax(2).astype(np.uint8), more.argmax(3).astype(np.uint8), more.sum(3) * 2 > voters[:, None, None]
+    out = []
+    for r in range(len(parts)):
+        n = size[r]
+        line = np.full((n + 1, SLOTS + 1), 4, np.uint8)
+        line[:, :SLOTS] = np.where(often[r, : n + 1], extra[r, : n + 1], 4)
+        line[:n, SLOTS] = best[r, :n]
+        line = line.ravel()
+        out.append(LETTERS[line[line < 4]].tobytes().decode() if n else None)
+    return out
+
+
+def tile_texts(parts: DataFrame) -> DataFrame:
+    """(aread, seg, k, text): the tiles of 20 bases or more, on the strand of A."""
+
+    def run(batches):
+        for batch in batches:
+            t = Tiles(batch.column(2))
+            take = pa.array(t.row)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(t.k, pa.int32()), pa.array([t.text(i) for i in range(len(t.row))], pa.string())], names=["aread", "seg", "k", "text"])
+
+    return parts.select("aread", "seg", "parts").mapInArrow(run, "aread long, seg long, k int, text string")
+
+
+def consensus(parts: DataFrame) -> DataFrame:
+    """(aread, seg, seq): the tiles of each A tile aligned to it and voted on base by base."""
+
+    def run(batches):
+        for batch in batches:
+            for low in range(0, len(batch), ROWS):
+                part = batch.slice(low, ROWS)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(_consensus_of(part.column(2)), pa.string())], names=["aread", "seg", "seq"])
+
+    return parts.select("aread", "seg", "parts").mapInArrow(run, "aread long, seg long, seq string").where("seq is not null")
+
+
+def profile(parts: DataFrame) -> DataFrame:
+    """(aread, seg, col, base, n, of): the letter, - for a gap, that most tiles have at each base of the A tile, how many have it, and how many vote."""
+
+    def run(batches):
+        for batch in batches:
+            for low in range(0, len(batch), ROWS):
+                part = batch.slice(low, ROWS)
+                counts, _, size, voters = votes(Tiles(part.column(2)), len(part))
+                row, col = np.nonzero(np.arange(counts.shape[1]) < size[:, None])
+                best = counts[row, col].argmax(1)
+                letters = np.array(["a", "c", "g", "t", "-"])[best]
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(take), part.column(1).take(take), pa.array(col, pa.int32()), pa.array(letters), pa.array(counts[row, col, best].astype(np.int64)), pa.array(voters[row])],
+                    names=["aread", "seg", "col", "base", "n", "of"],
+                )
+
+    return parts.select("aread", "seg", "parts").mapInArrow(run, "aread long, seg long, col int, base string, n long, of long")
 
 
 def assembled(tiles_: DataFrame) -> DataFrame:
@@ -76,11 +252,10 @@ def convert(ovl: DataFrame, mapped: DataFrame) -> DataFrame:
 
 
 def region(trace: DataFrame, ovl: DataFrame, seqs: DataFrame, rids: DataFrame, *, first: int, last: int) -> DataFrame:
-    """Votes of the segments ``first`` to ``last`` of the listed reads, from overlaps that span all of them."""
+    """Votes of the segments ``first`` to ``last`` of the listed reads, from overlaps that span all of them; gaps count among the voters."""
     span = ovl.where((F.col("ab") <= first * 100) & (F.col("ae") >= last * 100 + 100)).join(rids.select(F.col("rid").alias("aread")), "aread", "left_semi").select("ovl_id")
-    part = trace.join(span, "ovl_id", "left_semi")
-    texts = tile_texts(part, ovl, seqs)
-    return vote(texts.where(F.col("seg").between(first, last)))
+    parts = tile_pieces(trace.join(span, "ovl_id", "left_semi").select(*trace.columns), ovl, seqs)
+    return profile(parts.where(F.col("seg").between(first, last)))
 
 
 def contig_chains(ovl: DataFrame, *, fuzz: int) -> DataFrame:

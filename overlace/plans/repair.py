@@ -78,21 +78,67 @@ def _(v):
     return H.gap_patches(v("f_ovl"), spanners=4)
 
 
-@query("c10_merge_patches", f"""{GAPS}, o AS (SELECT aread, beg, fin, FLOOR((b_fin - b_beg) / 50) AS size, COUNT(*) AS support, MIN(ROW(bread, comp, b_beg, b_fin)) AS b FROM gp GROUP BY 1, 2, 3, 4), p AS (SELECT aread, beg, fin, support, b[1] AS bread, b[2] AS comp, b[3] AS b_beg, b[4] AS b_fin FROM o)
-SELECT aread, beg, fin, support, bread, CAST(comp AS INT) AS comp, b_beg, b_fin FROM p x WHERE NOT EXISTS (SELECT 1 FROM p y WHERE y.aread = x.aread AND x.beg < y.fin AND y.beg < x.fin AND (x.support, -x.beg, -x.fin, -x.bread, -x.b_beg) < (y.support, -y.beg, -y.fin, -y.bread, -y.b_beg))""")
-def _(v):
+def _patches(v):
     return H.merge_patches(H.gap_patches(v("f_ovl"), spanners=4))
 
 
-@query("c11_segment_patches", "w AS (SELECT t.aread, t.seg, ovl_id, d, ROW_NUMBER() OVER (PARTITION BY t.aread, t.seg ORDER BY d, ovl_id) AS k FROM {f_trace} t JOIN {f_q} q ON q.rid = t.aread AND q.seg = t.seg WHERE (q = 0 OR q >= 30) AND a_to - a_from = 100 AND aread <> bread) SELECT aread AS rid, seg, ovl_id, d FROM w WHERE k = 1")
+@query("c10_merge_patches")
 def _(v):
-    return H.segment_patches(v("f_trace"), v("f_q"))
+    return _patches(v)
 
 
-@query("c12_apply_patches", "p AS (SELECT rid, MIN(beg) AS beg, MIN(beg) + 40 AS fin FROM {f_track} WHERE track = 'tan' GROUP BY 1) SELECT s.rid, CASE WHEN p.rid IS NULL THEN seq ELSE substring(seq, 1, beg) || 'gattaca' || substring(seq, fin + 1) END AS seq, s.rid AS source FROM {f_seq} s LEFT JOIN p ON p.rid = s.rid")
+@query("c10_distinct_patches", f"{GAPS}, o AS (SELECT aread, beg, fin, FLOOR((b_fin - b_beg) / 50) AS size, COUNT(*) AS support FROM gp GROUP BY 1, 2, 3, 4) SELECT aread, COUNT(*) AS patches, CAST(SUM(support) AS BIGINT) AS support FROM o GROUP BY 1")
 def _(v):
-    p = v("f_track").where("track = 'tan'").groupBy("rid").agg(F.min("beg").alias("beg")).select("rid", "beg", (F.col("beg") + 40).alias("fin"), F.lit("gattaca").alias("text"))
-    return H.apply_patches(v("f_seq"), p)
+    """What merging has to keep: the support of a read's patches, however they absorb each other."""
+    one = H.gap_patches(v("f_ovl"), spanners=4).groupBy("aread", "beg", "fin", F.floor((F.col("b_fin") - F.col("b_beg")) / 50).alias("size")).agg(F.count("*").alias("support"))
+    kept = _patches(v).groupBy("aread").agg(F.sum("support").alias("support"))
+    return one.groupBy("aread").agg(F.count("*").alias("patches")).join(kept, "aread").select("aread", "patches", "support")
+
+
+C11 = """b0 AS (SELECT t.aread, t.bread, t.seg, t.ovl_id, t.blen, t.a_to - t.a_from AS size, o.flags & 1 AS c, o.blen AS b_size, o.bb + SUM(t.blen) OVER (PARTITION BY t.ovl_id ORDER BY t.seg ROWS UNBOUNDED PRECEDING) AS hi FROM {f_trace} t JOIN {f_ovl} o ON o.ovl_id = t.ovl_id),
+b1 AS (SELECT b0.*, hi - blen AS lo FROM b0 JOIN {f_q} q ON q.rid = aread AND q.seg = b0.seg WHERE (q = 0 OR q >= 30) AND size = 100 AND aread <> bread AND blen > 0),
+b2 AS (SELECT aread, seg, ovl_id, bread, UNNEST(RANGE(CAST(FLOOR((CASE WHEN c = 1 THEN b_size - hi ELSE lo END) / 100) AS BIGINT), CAST(FLOOR((CASE WHEN c = 1 THEN b_size - lo ELSE hi END - 1) / 100) AS BIGINT) + 1)) AS b_seg FROM b1),
+me AS (SELECT b2.aread, b2.seg, ovl_id, AVG(q) AS quality FROM b2 JOIN {f_q} q ON q.rid = bread AND q.seg = b_seg GROUP BY 1, 2, 3), w AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY aread, seg ORDER BY quality, ovl_id) AS k FROM me)"""
+
+
+@query("c11_segment_patches", f"{C11} SELECT aread AS rid, seg, ovl_id, quality FROM w WHERE k = 1")
+def _(v):
+    return H.segment_patches(v("f_trace"), v("f_ovl"), v("f_q"))
+
+
+@query("c11_outside_patches", f"{GAPS}, {C11}, tk AS (SELECT DISTINCT aread, UNNEST(RANGE(CAST(FLOOR(beg / 100) AS BIGINT), CAST(FLOOR((fin - 1) / 100) AS BIGINT) + 1)) AS seg FROM gp) SELECT aread AS rid, seg, ovl_id, quality FROM w WHERE k = 1 AND NOT EXISTS (SELECT 1 FROM tk WHERE tk.aread = w.aread AND tk.seg = w.seg)")
+def _(v):
+    return H.segment_patches(v("f_trace"), v("f_ovl"), v("f_q"), patches=H.gap_patches(v("f_ovl"), spanners=4))
+
+
+#: Patches that overlap no other one of their read: what SQL can say without absorption.
+ALONE = f"""{GAPS}, o AS (SELECT aread, beg, fin, FLOOR((b_fin - b_beg) / 50) AS size, MIN(ROW(bread, comp, b_beg, b_fin)) AS b FROM gp GROUP BY 1, 2, 3, 4), p0 AS (SELECT aread, beg, fin, b[1] AS bread, b[2] AS comp, b[3] AS b_beg, b[4] AS b_fin FROM o),
+p1 AS (SELECT * FROM p0 x WHERE NOT EXISTS (SELECT 1 FROM p0 y WHERE y.aread = x.aread AND x.beg < y.fin AND y.beg < x.fin AND (x.beg, x.fin, x.bread, x.b_beg) <> (y.beg, y.fin, y.bread, y.b_beg))),
+pt AS (SELECT aread AS rid, beg, fin, substring(CASE WHEN comp = 1 THEN reverse(translate(seq, 'acgt', 'tgca')) ELSE seq END, b_beg + 1, b_fin - b_beg) AS text FROM p1 JOIN {{f_seq}} s ON s.rid = bread)"""
+
+
+def _alone(v):
+    from overlace.operators import intervals as I  # noqa: E741
+
+    size = F.floor((F.col("b_fin") - F.col("b_beg")) / 50)
+    p = H.gap_patches(v("f_ovl"), spanners=4).groupBy("aread", "beg", "fin", size.alias("size")).agg(F.min(F.struct("bread", "comp", "b_beg", "b_fin")).alias("b")).select("aread", "beg", "fin", "b.*")
+    key = ["aread", "beg", "fin", "bread", "b_beg"]
+    met = I.interval_join(p.select(*key), p.select("aread", F.col("beg"), F.col("fin"), F.col("bread").alias("o_bread"), F.col("b_beg").alias("o_b_beg")), "aread")
+    other = (F.col("beg") != F.col("o_beg")) | (F.col("fin") != F.col("o_fin")) | (F.col("bread") != F.col("o_bread")) | (F.col("b_beg") != F.col("o_b_beg"))
+    return H.patch_texts(p.join(met.where(other).select(*key).distinct(), key, "left_anti"), v("f_seq"))
+
+
+@query("c12_apply_patches", f"""{ALONE}, pz AS (SELECT p.rid, beg, fin, COALESCE(LAG(fin) OVER (PARTITION BY p.rid ORDER BY beg), 0) AS fr, text, seq FROM pt p JOIN {{f_seq}} s ON s.rid = p.rid), wh AS (SELECT rid, string_agg(substring(seq, fr + 1, GREATEST(0, beg - fr)) || text, '' ORDER BY beg) AS body, MAX(fin) AS last FROM pz GROUP BY 1),
+ou AS (SELECT s.rid, CASE WHEN w.rid IS NULL THEN seq ELSE body || substring(seq, last + 1) END AS seq FROM {{f_seq}} s LEFT JOIN wh w ON w.rid = s.rid) SELECT rid, seq, rid AS source FROM ou WHERE length(seq) >= 500""")
+def _(v):
+    return H.apply_patches(v("f_seq"), _alone(v), shortest=500)
+
+
+@query("c12_converted_intervals", f"""{ALONE}, tr AS (SELECT ROW_NUMBER() OVER () AS k, rid, track, beg, fin FROM {{f_track}}), e AS (SELECT k, rid, track, beg AS x, 0 AS which FROM tr UNION ALL SELECT k, rid, track, fin, 1 FROM tr),
+m AS (SELECT e.k, e.rid, track, which, COALESCE(MIN(CASE WHEN p.beg < x AND x < p.fin THEN p.beg END), x) + COALESCE(SUM(CASE WHEN p.fin <= x THEN length(text) - (p.fin - p.beg) END), 0) AS y FROM e LEFT JOIN pt p ON p.rid = e.rid GROUP BY e.k, e.rid, track, which, x)
+SELECT a.rid, a.track, CAST(a.y AS BIGINT) AS beg, CAST(b.y AS BIGINT) AS fin FROM m a JOIN m b ON a.k = b.k AND a.which = 0 AND b.which = 1 WHERE b.y > a.y""")
+def _(v):
+    return H.converted_intervals(v("f_track"), _alone(v))
 
 
 @query("i4_homogenize", f"{PROJECT}, h AS (SELECT p.bread AS rid, CASE WHEN (flags & 1) = 1 THEN blen - (bb + q) ELSE bb + p END AS beg, CASE WHEN (flags & 1) = 1 THEN blen - (bb + p) ELSE bb + q END AS fin FROM p JOIN {{f_ovl}} o ON o.ovl_id = p.ovl_id WHERE q - p >= 500), {merged('h')} SELECT rid, CAST(beg AS BIGINT) AS beg, CAST(fin AS BIGINT) AS fin FROM mg")
@@ -122,35 +168,35 @@ def _(v):
 
 TEXTS = """fl AS (SELECT *, SUM(blen) OVER (PARTITION BY ovl_id ORDER BY seg ROWS UNBOUNDED PRECEDING) AS aft, ROW_NUMBER() OVER (PARTITION BY aread, seg ORDER BY d, ovl_id) AS k FROM {f_trace} WHERE aread <> bread AND a_to - a_from = 100),
 bt AS (SELECT fl.aread, fl.seg, k, substring(CASE WHEN (flags & 1) = 1 THEN reverse(translate(seq, 'acgt', 'tgca')) ELSE seq END, CAST(bb + aft - fl.blen + 1 AS BIGINT), fl.blen) AS text FROM fl JOIN {f_ovl} o ON o.ovl_id = fl.ovl_id JOIN {f_seq} s ON s.rid = fl.bread WHERE k <= 19),
-at_ AS (SELECT aread, seg, 0 AS k, substring(seq, seg * 100 + 1, 100) AS text FROM (SELECT DISTINCT aread, seg FROM fl WHERE k <= 19) x JOIN {f_seq} s ON s.rid = aread), tx AS (SELECT * FROM (SELECT * FROM bt UNION ALL SELECT * FROM at_) u WHERE length(text) >= 20),
-cl AS (SELECT aread, seg, UNNEST(RANGE(0, length(text))) AS col, text FROM tx), ct AS (SELECT aread, seg, col, substring(text, col + 1, 1) AS base, COUNT(*) AS n FROM cl GROUP BY 1, 2, 3, 4),
-vt AS (SELECT * FROM (SELECT *, SUM(n) OVER (PARTITION BY aread, seg, col) AS tot, ROW_NUMBER() OVER (PARTITION BY aread, seg, col ORDER BY n DESC, base) AS r FROM ct) w WHERE r = 1),
-sz AS (SELECT aread, seg, COUNT(*) AS size FROM tx GROUP BY 1, 2), cs AS (SELECT vt.aread, vt.seg, string_agg(base, '' ORDER BY col) AS seq FROM vt JOIN sz ON sz.aread = vt.aread AND sz.seg = vt.seg WHERE tot >= 0.5 * size GROUP BY 1, 2)"""
+at_ AS (SELECT aread, seg, 0 AS k, substring(seq, seg * 100 + 1, 100) AS text FROM (SELECT DISTINCT aread, seg FROM fl WHERE k <= 19) x JOIN {f_seq} s ON s.rid = aread), tx AS (SELECT * FROM (SELECT * FROM bt UNION ALL SELECT * FROM at_) u WHERE length(text) >= 20)"""
 
 
 def _consensus(v):
-    return G.consensus(G.tile_texts(v("f_trace"), v("f_ovl"), v("f_seq")))
+    return G.consensus(G.tile_pieces(v("f_trace"), v("f_ovl"), v("f_seq")))
 
 
-@query("r3_tile_consensus", f"{TEXTS} SELECT aread, seg, seq FROM cs")
+@query("r3_tile_texts", f"{TEXTS} SELECT aread, seg, CAST(k AS INT) AS k, text FROM tx")
 def _(v):
-    return _consensus(v)
+    """What the consensus is made of: the A tile and its B tiles, cut from pieces."""
+    return G.tile_texts(G.tile_pieces(v("f_trace"), v("f_ovl"), v("f_seq")))
 
 
-@query("r4_assemble_corrected", f"{TEXTS} SELECT aread AS rid, string_agg(seq, '' ORDER BY seg) AS seq FROM cs GROUP BY 1")
+@query("r3_tile_consensus")
 def _(v):
-    return G.assembled(_consensus(v))
+    return _consensus(v)
 
 
-MAPPED = f"{TEXTS}, mp AS (SELECT aread AS rid, seg * 100 AS old_beg, seg * 100 + 100 AS old_fin, SUM(length(seq)) OVER w - length(seq) AS new_beg, SUM(length(seq)) OVER w AS new_fin FROM cs WINDOW w AS (PARTITION BY aread ORDER BY seg ROWS UNBOUNDED PRECEDING))"
+@query("r4_assemble_corrected")
+def _(v):
+    return G.assembled(_consensus(v))
 
 
-@query("r5_position_map", f"{MAPPED} SELECT rid, old_beg, old_fin, CAST(new_beg AS BIGINT) AS new_beg, CAST(new_fin AS BIGINT) AS new_fin FROM mp")
+@query("r5_position_map")
 def _(v):
     return G.position_map(_consensus(v))
 
 
-@query("r6_convert_overlaps", f"{MAPPED} SELECT o.ovl_id, CAST(LEAST(a.new_beg + ab - a.old_beg, a.new_fin) AS BIGINT) AS ab, CAST(LEAST(e.new_beg + ae - e.old_beg, e.new_fin) AS BIGINT) AS ae FROM {{f_ovl}} o JOIN mp a ON a.rid = aread AND a.old_beg = FLOOR(ab / 100) * 100 JOIN mp e ON e.rid = aread AND e.old_beg = FLOOR((ae - 1) / 100) * 100")
+@query("r6_convert_overlaps")
 def _(v):
     return G.convert(v("f_ovl"), stored(G.position_map(_consensus(v))))
 
@@ -193,11 +239,37 @@ def _(v):
     return G.shared_reads(v("f_ovl").select(F.floor(F.col("aread") / 10).cast("long").alias("contig"), F.col("bread").alias("rid")))
 
 
-@query("r10_classify_contigs", "r AS (SELECT aread AS contig, CASE WHEN diffs < 100 THEN 'contained' ELSE 'bridge' END AS kind FROM {f_ovl} WHERE (ae - ab) * 2 > alen), n AS (SELECT contig, COUNT(*) FILTER (kind = 'contained') AS i FROM r GROUP BY 1) SELECT rid AS contig, CASE WHEN i IS NULL THEN CASE WHEN (well % 9 > 4 AND tb % 100 <= 40) OR rlen > 9000 THEN 'primary' ELSE 'discard' END WHEN i > 0 THEN 'alternative' ELSE 'primary' END AS kind FROM {f_reads} LEFT JOIN n ON n.contig = rid")
+R8 = """k AS (SELECT *, flags & 1 AS c FROM {f_ovl} WHERE (flags & 2) = 0 AND aread <> bread), s AS (SELECT *, COALESCE(c = LAG(c) OVER w AND bb >= LAG(bb) OVER w AND ABS(ab - LAG(ae) OVER w) <= 1500 AND ABS(bb - LAG(be) OVER w) <= 1500, TRUE) AS ok FROM k WINDOW w AS (PARTITION BY aread, bread ORDER BY ab, ae, bb, be, ovl_id)),
+g AS (SELECT aread, bread, MIN(ab) AS ab, MAX(ae) AS ae, MIN(bb) AS bb, MAX(be) AS be, MAX(alen) AS alen, MAX(blen) AS blen FROM s GROUP BY 1, 2 HAVING BOOL_AND(ok)),
+rl AS (SELECT aread, bread, CASE WHEN (ab <= 1500 AND alen - ae <= 1500) OR (bb <= 1500 AND blen - be <= 1500) THEN 'contained' WHEN (ab <= 1500 AND blen - be <= 1500) OR (bb <= 1500 AND alen - ae <= 1500) THEN 'bridge' ELSE 'inner' END AS kind FROM g)"""
+R10 = f"""{R8}, rx AS (SELECT aread AS contig, COUNT(*) AS n, COUNT(*) FILTER (kind = 'contained') AS i FROM rl WHERE kind <> 'inner' GROUP BY 1), rd AS (SELECT aread AS contig, COUNT(DISTINCT bread) AS reads FROM k GROUP BY 1),
+rp AS (SELECT rid, beg, fin FROM {{f_track}} WHERE track = 'repeats'), {merged('rp')}, rc AS (SELECT rid AS contig, SUM(fin - beg) AS rep FROM mg GROUP BY 1),
+ct AS (SELECT r.rid AS contig, rlen AS len, COALESCE(reads, 0) AS reads, CAST(FLOOR(COALESCE(rep, 0) * 100 / rlen) AS BIGINT) AS repeat FROM {{f_reads}} r LEFT JOIN rd ON rd.contig = r.rid LEFT JOIN rc ON rc.contig = r.rid),
+cl AS (SELECT ct.contig, len, CASE WHEN n IS NULL THEN CASE WHEN (reads > 20 AND repeat <= 10) OR len > 12000 THEN 'primary' ELSE 'discard' END WHEN i > 0 THEN 'alternative' ELSE 'primary' END AS kind FROM ct LEFT JOIN rx ON rx.contig = ct.contig)"""
+
+
+def _classified(v, ovl=None, repeats=None):
+    """Contigs with their length and kind, from chains of overlaps, partners and repeat share."""
+    from overlace.operators import intervals as I  # noqa: E741
+
+    ovl = v("f_ovl") if ovl is None else ovl
+    repeats = v("f_track").where("track = 'repeats'").select("rid", "beg", "fin") if repeats is None else repeats
+    relations = G.contig_chains(ovl, fuzz=1500).where("kind != 'inner'").select(F.col("aread").alias("contig"), "kind")
+    partners = O.purge(ovl).where("aread != bread").groupBy(F.col("aread").alias("contig")).agg(F.count_distinct("bread").alias("reads"))
+    share = I.merge(repeats, ["rid"]).groupBy(F.col("rid").alias("contig")).agg(F.sum(F.col("fin") - F.col("beg")).alias("rep"))
+    contigs = v("f_reads").select(F.col("rid").alias("contig"), F.col("rlen").alias("len")).join(partners, "contig", "left").join(share, "contig", "left")
+    contigs = contigs.select("contig", "len", F.coalesce("reads", F.lit(0)).alias("reads"), F.floor(F.coalesce("rep", F.lit(0)) * 100 / F.col("len")).cast("long").alias("repeat"))
+    return G.classify_contigs(relations, contigs, length=12000, reads=20, repeat=10).join(contigs.select("contig", "len"), "contig")
+
+
+@query("r10_classify_contigs", f"{R10} SELECT contig, kind FROM cl")
+def _(v):
+    return _classified(v).select("contig", "kind")
+
+
+@query("r14_classified_report", f"{R10} SELECT kind, COUNT(*) AS contigs, CAST(SUM(len) AS BIGINT) AS bases, MAX(len) AS longest FROM cl GROUP BY 1")
 def _(v):
-    relations = v("f_ovl").where("(ae - ab) * 2 > alen").select(F.col("aread").alias("contig"), F.when(F.col("diffs") < 100, "contained").otherwise("bridge").alias("kind"))
-    contigs = v("f_reads").select(F.col("rid").alias("contig"), F.col("rlen").alias("len"), (F.col("well") % 9).alias("reads"), (F.col("tb") % 100).alias("repeat"))
-    return G.classify_contigs(relations, contigs, length=9000, reads=4, repeat=40)
+    return _classified(v).groupBy("kind").agg(F.count("*").alias("contigs"), F.sum("len").alias("bases"), F.max("len").alias("longest"))
 
 
 ENDS = "en AS (SELECT rid AS path, CASE WHEN rid % 3 = 0 THEN -1 ELSE well % 7 END AS end1, CASE WHEN rid % 4 = 0 THEN -1 ELSE tb % 7 END AS end2, rlen * 20 AS len FROM {f_reads})"
@@ -212,6 +284,26 @@ def _(v):
     return G.tour_relations(_ends(v))
 
 
+def _tour_ends(v):
+    """Ends of the unitigs of f_graph: the path that each end runs into, and the bases of the path's reads."""
+    from overlace.operators import graph as GR
+
+    chosen = GR.stored(GR.best_next(v("f_graph")))
+    paths = GR.stored(GR.unitigs(chosen))
+    size = paths.join(v("f_reads").select("rid", "rlen"), "rid").groupBy("path").agg(F.sum("rlen").alias("len"))
+    return GR.end_labels(paths, chosen).join(size, "path")
+
+
+@query("r11_relations_of_tours")
+def _(v):
+    return G.tour_relations(_tour_ends(v))
+
+
+@query("r13_haplotypes_of_tours")
+def _(v):
+    return G.split_haplotypes(_tour_ends(v))
+
+
 @query("r13_split_haplotypes", f"{ENDS} SELECT path, CASE WHEN (end1 >= 0 AND end1 = end2) OR ((end1 >= 0) <> (end2 >= 0) AND len < 100000) THEN 'alternative' ELSE 'primary' END AS kind FROM en")
 def _(v):
     return G.split_haplotypes(_ends(v))
@@ -228,12 +320,3 @@ def _(v):
 def _(v):
     ends = _ends(v)
     return G.split_haplotypes(ends).join(ends.select("path", "len"), "path").groupBy("kind").agg(F.count("*").alias("contigs"), F.sum("len").alias("bases"), F.max("len").alias("longest"))
-
-
-@query("recipe_scrub", f"{REPEATS}, al AS (SELECT rid, beg, fin FROM hy UNION ALL SELECT rid, beg, fin FROM {{f_track}} WHERE track IN ('dust', 'tan')), {merged('al')} SELECT rid, beg, fin FROM mg")
-def _(v):
-    """Repeat track from coverage, combined with the dust and tandem tracks."""
-    from overlace.operators import intervals as I  # noqa: E741
-
-    other = v("f_track").where("track in ('dust', 'tan')").select("rid", "beg", "fin")
-    return I.merge(C.repeats(v("f_ovl"), 10).unionByName(other), ["rid"]).select("rid", "beg", "fin")
