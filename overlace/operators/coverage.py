@@ -32,11 +32,11 @@ def repeats(ovl: DataFrame, cov: float, *, high: float = 2.0, low: float = 1.7,
 def extend_to_ends(track: DataFrame, ovl: DataFrame, *, near: int = 1000, slack: int = 200, more_than: int = 2) -> DataFrame:
     """Repeats near a read end reach it when more than ``more_than`` overlaps begin there and end by the repeat's other end."""
     side = ovl.where(~has(F.col("flags"), "discard")).select(F.col("aread").alias("rid"), "ab", "ae", "alen")
-    met = track.join(side, "rid", "left").groupBy("rid", "beg", "fin").agg(
-        F.max("alen").alias("alen"),
-        F.count_if((F.col("ab") == 0) & (F.abs(F.col("ae") - F.col("fin")) <= slack)).alias("left"),
-        F.count_if((F.col("ae") == F.col("alen")) & (F.abs(F.col("ab") - F.col("beg")) <= slack)).alias("right"),
-    )
+    # Ends within ``slack`` of a repeat's end are counted by one sweep, not by pairs.
+    around = lambda x: ((F.col(x) - slack).alias("beg"), (F.col(x) + slack).alias("fin"))
+    left = I.stab_counts(track.select("rid", F.col("fin").alias("pos")), side.where("ab = 0").select("rid", *around("ae")), ["rid"]).select("rid", F.col("pos").alias("fin"), F.col("n").alias("left"))
+    right = I.stab_counts(track.select("rid", F.col("beg").alias("pos")), side.where("ae = alen").select("rid", *around("ab")), ["rid"]).select("rid", F.col("pos").alias("beg"), F.col("n").alias("right"))
+    met = track.join(left, ["rid", "fin"]).join(right, ["rid", "beg"]).join(side.groupBy("rid").agg(F.max("alen").alias("alen")), "rid", "left")
     return met.select(
         "rid", F.when((F.col("beg") <= near) & (F.col("left") > more_than), 0).otherwise(F.col("beg")).alias("beg"),
         F.when((F.col("alen") - F.col("fin") <= near) & (F.col("right") > more_than), F.col("alen")).otherwise(F.col("fin")).alias("fin"),
@@ -119,14 +119,15 @@ def walls(ovl: DataFrame, *, seg: int = 100, at_least: int = 5, within: int = 12
         return bins.withColumn("n2", two).where(F.col("n2") >= at_least).select("rid", "bin")
 
     pairs = wall(ends).withColumnRenamed("bin", "e").join(wall(begs).withColumnRenamed("bin", "b"), "rid").where((F.col("b") >= F.col("e")) & ((F.col("b") - F.col("e")) * seg <= within))
-    across = side.select(F.col("aread").alias("rid"), "ab", "ae")
-    crossed = pairs.join(across, "rid").where((F.col("ab") < F.col("e") * seg) & (F.col("ae") > (F.col("b") + 1) * seg)).select("rid", "e", "b")
+    spans = pairs.select("rid", "e", "b", (F.col("e") * seg).alias("beg"), ((F.col("b") + 1) * seg).alias("fin"))
+    across = side.select(F.col("aread").alias("rid"), F.col("ab").alias("beg"), F.col("ae").alias("fin"))
+    crossed = I.interval_join(spans, across).where("o_beg < beg and o_fin > fin").select("rid", "e", "b")
     return pairs.join(crossed.distinct(), ["rid", "e", "b"], "left_anti").select("rid", (F.col("e") * seg).alias("end_wall"), (F.col("b") * seg).alias("begin_wall"))
 
 
 def chimer_spans(ovl: DataFrame, *, fewest: int = 1, anchor: int = 100) -> DataFrame:
     """Reads with an overlap end that fewer than ``fewest`` overlaps span by ``anchor`` on both sides: (rid, pos, spanning)."""
     side = a_side(ovl)
-    spots = side.select("rid", F.col("fin").alias("pos")).distinct()
-    over = spots.join(side, "rid").where((F.col("beg") <= F.col("pos") - anchor) & (F.col("fin") >= F.col("pos") + anchor)).groupBy("rid", "pos").agg(F.count("*").alias("spanning"))
-    return spots.join(over, ["rid", "pos"], "left").withColumn("spanning", F.coalesce("spanning", F.lit(0))).where(F.col("spanning") < fewest)
+    spans = side.select("rid", (F.col("beg") + anchor).alias("beg"), (F.col("fin") - anchor).alias("fin"))
+    counts = I.stab_counts(side.select("rid", F.col("fin").alias("pos")), spans, ["rid"])
+    return counts.select("rid", "pos", F.col("n").alias("spanning")).where(F.col("spanning") < fewest)

@@ -5,6 +5,9 @@ Edges are (src, dst, side, ovh, div); side l or r is the end of ``src`` that the
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -109,21 +112,22 @@ def neighbourhood(edge: DataFrame, start: DataFrame, hops: int) -> DataFrame:
     return found
 
 
-def best_next(edge: DataFrame, *, lookahead: int = 3) -> DataFrame:
+def best_next(edge: DataFrame, *, lookahead: int = 6) -> DataFrame:
     """(rid, side, next): of all walks of at most ``lookahead`` edges that leave by one side and go on
     by it, the most visited vertex (the smallest of equals); ``next`` is the first step of a shortest walk to it.
 
-    Walks are counted per (start, first step, vertex, length), never listed.
+    Walks are counted per (start, vertex, length) with their smallest first step, never listed.
     """
     step = edge.select("src", "side", "dst").distinct()
-    walks = step.select(F.col("src").alias("rid"), "side", F.col("dst").alias("first"), F.col("dst").alias("at"), F.lit(1).alias("depth"), F.lit(1).cast("long").alias("n"))
-    seen = walks
-    for depth in range(2, lookahead + 1):
-        on = step.select(F.col("src").alias("at"), "side", F.col("dst").alias("to"))
-        walks = walks.join(on, ["at", "side"]).where("to != rid").groupBy("rid", "side", "first", F.col("to").alias("at")).agg(F.sum("n").alias("n")).withColumn("depth", F.lit(depth))
-        seen = seen.unionByName(walks)
-    seen = stored(seen)
-    visits = seen.groupBy("rid", "side", "at").agg(F.sum("n").alias("n"), F.min(F.struct("depth", "first")).alias("way"))
+    walks = step.select(F.col("src").alias("rid"), "side", F.col("dst").alias("at"), F.col("dst").alias("first"), F.lit(1).cast("long").alias("n"))
+    on = step.select(F.col("src").alias("at"), "side", F.col("dst").alias("to"))
+    seen = []
+    for depth in range(1, lookahead + 1):
+        if depth > 1:
+            walks = walks.join(on, ["at", "side"]).where("to != rid").groupBy("rid", "side", F.col("to").alias("at")).agg(F.min("first").alias("first"), F.sum("n").alias("n"))
+        walks = stored(walks)
+        seen.append(walks.withColumn("depth", F.lit(depth)))
+    visits = reduce(DataFrame.unionByName, seen).groupBy("rid", "side", "at").agg(F.sum("n").alias("n"), F.min(F.struct("depth", "first")).alias("way"))
     best = W.partitionBy("rid", "side").orderBy(F.desc("n"), "at")
     return visits.withColumn("k", F.row_number().over(best)).where("k = 1").select("rid", "side", F.col("way.first").alias("next"))
 
@@ -176,6 +180,37 @@ def path_joins(paths: DataFrame, edge: DataFrame) -> DataFrame:
     return met.withColumn("_ok", alone).where("_ok").drop("_ok")
 
 
+def joined_paths(paths: DataFrame, edge: DataFrame) -> DataFrame:
+    """(path, pos, rid): paths joined end to end by ``path_joins``, again and again until no two ends are each other's only partners."""
+    while True:
+        joins = stored(path_joins(paths, edge))
+        if not joins.limit(1).count():
+            return paths
+        # A run of joined paths is a chain of pointers; a ring of them is cut before its smallest path.
+        ends = path_ends(paths).select(F.col("path").alias("rid"), "n")
+        first = stored(ends.select("rid").join(joins.select(F.col("follows").alias("rid"), F.col("path").alias("back")), "rid", "left"))
+        done = _double(first, first.count())
+        loops = stored(done.where("back is not null").select("rid", "low"))
+        if loops.limit(1).count():
+            cut = stored(first.join(loops, "rid").select("rid", F.when(F.col("rid") != F.col("low"), F.col("back")).alias("back")))
+            done = done.where("back is null").unionByName(_double(cut, cut.count()))
+        order = W.partitionBy("head").orderBy("far").rowsBetween(W.unboundedPreceding, -1)
+        placed = done.join(ends, "rid").withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0))).select(F.col("rid").alias("path"), "head", "before")
+        paths = stored(paths.join(placed, "path").select(F.col("head").alias("path"), (F.col("pos") + F.col("before")).alias("pos"), "rid"))
+
+
+def end_labels(paths: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(path, end1, end2): the path that the first vertex's choice on the left, and the last one's on the right, lies on; -1 where it is free or on the path itself."""
+    e = path_ends(paths)
+    on = paths.select(F.col("rid").alias("next"), F.col("path").alias("other"))
+
+    def label(end: str, side: str, name: str) -> DataFrame:
+        ahead = e.select("path", F.col(end).alias("rid")).join(chosen.where(F.col("side") == side).select("rid", "next"), "rid", "left").join(on, "next", "left")
+        return ahead.select("path", F.when(F.coalesce("other", "path") == F.col("path"), -1).otherwise(F.col("other")).cast("long").alias(name))
+
+    return label("first", "l", "end1").join(label("last", "r", "end2"), "path")
+
+
 def sharing_paths(paths: DataFrame, edge: DataFrame, *, more_than: int = 10) -> DataFrame:
     """(p1, p2, shared): pairs of paths with more than so many common targets of their vertices."""
     targets = paths.join(edge.select(F.col("src").alias("rid"), "dst"), "rid").select("path", "dst").distinct()
@@ -198,15 +233,16 @@ def path_sequences(paths: DataFrame, seqs: DataFrame, edge: DataFrame) -> DataFr
     return s.withColumn("part", part).groupBy("path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "part"))), lambda x: x["part"]), "").alias("seq"))
 
 
-def add_contained(edge: DataFrame, kinds: DataFrame, spare: DataFrame, *, per_end: int = 1, rounds: int = 3) -> DataFrame:
+def add_contained(edge: DataFrame, kinds: DataFrame, spare: DataFrame, *, per_end: int = 1, rounds: int | None = None) -> DataFrame:
     """Edges with contained reads added, as optional, at sides without a proper edge.
 
     ``kinds``: (rid, kind); ``spare``: candidate edges (src, dst, side, ovh, div) to contained reads. Each
     round, every open side of a read in use takes up to ``per_end`` of the longest overhang; those reads are in use from then on.
+    Rounds go on until one adds nothing, or ``rounds`` of them.
     """
     cols = ["src", "dst", "side", "ovh", "div"]
     out = edge.select(*cols, F.lit(0).alias("optional"))
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         used = out.select(F.col("src").alias("rid")).unionByName(out.select(F.col("dst").alias("rid"))).distinct()
         sides = used.withColumn("side", F.explode(F.array(F.lit("l"), F.lit("r"))))
         gaps = sides.join(out.select(F.col("src").alias("rid"), "side").distinct(), ["rid", "side"], "left_anti")

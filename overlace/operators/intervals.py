@@ -80,3 +80,26 @@ def hysteresis(events: DataFrame, by: list[str], enter: Column, leave: Column) -
     edge = held.withColumn("before", F.coalesce(F.lag("state").over(rows), F.lit(0))).where("state != before")
     numbered = edge.withColumn("n", F.row_number().over(W.partitionBy(*by, "state").orderBy("pos", "delta")))
     return numbered.groupBy(*by, "n").agg(F.min(F.when(F.col("state") == 1, F.col("pos"))).alias("beg"), F.max(F.when(F.col("state") == 0, F.col("pos"))).alias("fin")).where("fin > beg").drop("n")
+
+
+def stab_counts(points: DataFrame, spans: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., pos, n): how many of the spans [beg, fin], both ends in, hold each distinct point (pos).
+
+    One sort of points and ends together, so a read with many spans costs no pairs.
+    """
+    event = lambda pos, kind, step: F.struct(F.col(pos).cast("long").alias("pos"), F.lit(kind).alias("kind"), F.lit(step).alias("step"))
+    ends = spans.where("fin >= beg").select(*by, F.explode(F.array(event("beg", 0, 1), event("fin", 2, -1))).alias("e"))
+    asked = points.select(*by, "pos").distinct().select(*by, event("pos", 1, 0).alias("e"))
+    rows = W.partitionBy(*by).orderBy("e.pos", "e.kind").rowsBetween(W.unboundedPreceding, 0)
+    return ends.unionByName(asked).withColumn("n", F.sum("e.step").over(rows)).where("e.kind = 1").select(*by, "e.pos", "n")
+
+
+def concat_blocks(blocks: list[DataFrame], by: str = "rid") -> DataFrame:
+    """One table of per-block tables; an error if a read is in two blocks. Each needs the same columns."""
+    whole = blocks[0].withColumn("block", F.lit(0))
+    for k, block in enumerate(blocks[1:], 1):
+        whole = whole.unionByName(block.withColumn("block", F.lit(k)))
+    clash = whole.groupBy(by).agg(F.count_distinct("block").alias("n")).where("n > 1").select(by).limit(5).collect()
+    if clash:
+        raise ValueError(f"in two blocks: {', '.join(str(r[0]) for r in clash)}")
+    return whole.drop("block")

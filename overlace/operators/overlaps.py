@@ -77,13 +77,23 @@ def max_divergence(ovl: DataFrame, most: float) -> DataFrame:
     return flagged(ovl, "diff", 100.0 * F.col("diffs") / F.least(a_len(), b_len()) > most)
 
 
-def nonrepeat_bases(ovl: DataFrame, repeats: DataFrame, least: int) -> DataFrame:
-    """Fewer than ``least`` bases outside repeats on A, or, where A passes, on B."""
+def nonrepeat_bases(ovl: DataFrame, repeats: DataFrame, least: int, *, tips: DataFrame | None = None, tip: int = 0) -> DataFrame:
+    """Fewer than ``least`` bases outside repeats on A, or, where A passes, on B.
+
+    ``tips``: (rid, tb, te, left, right); where left or right is true the first or last
+    ``tip`` bases of the trimmed A read count as repeat, so A's window begins or ends inside them.
+    """
     merged = I.merge(repeats, ["rid"]).select("rid", "beg", "fin")
-    a = I.intersect_sums(ovl.select("ovl_id", F.col("aread").alias("rid"), F.col("ab").alias("beg"), F.col("ae").alias("fin")), merged, "ovl_id").select("ovl_id", F.col("inside").alias("a_rep"))
+    window = ovl.select("ovl_id", F.col("aread").alias("rid"), F.col("ab").alias("beg"), F.col("ae").alias("fin"))
+    if tips is not None:
+        window = window.join(tips, "rid", "left")
+        beg = F.when(F.col("left"), F.greatest("beg", F.col("tb") + tip)).otherwise(F.col("beg"))
+        fin = F.when(F.col("right"), F.least("fin", F.col("te") - tip)).otherwise(F.col("fin"))
+        window = window.select("ovl_id", "rid", beg.alias("beg"), F.greatest(beg, fin).alias("fin"))
+    a = I.intersect_sums(window, merged, "ovl_id").join(window.select("ovl_id", (F.col("fin") - F.col("beg")).alias("a_size")), "ovl_id").select("ovl_id", (F.col("a_size") - F.col("inside")).alias("a_free"))
     b = I.intersect_sums(ovl.select("ovl_id", F.col("bread").alias("rid"), b_forward()[0].alias("beg"), b_forward()[1].alias("fin")), merged, "ovl_id").select("ovl_id", F.col("inside").alias("b_rep"))
     joined = ovl.join(a, "ovl_id").join(b, "ovl_id")
-    return flagged(joined, "repeat", (a_len() - F.col("a_rep") < least) | (b_len() - F.col("b_rep") < least)).select(*ovl.columns)
+    return flagged(joined, "repeat", (F.col("a_free") < least) | (b_len() - F.col("b_rep") < least)).select(*ovl.columns)
 
 
 def merged_tips(repeats: DataFrame, trim: DataFrame, tip: int) -> DataFrame:
@@ -95,11 +105,41 @@ def merged_tips(repeats: DataFrame, trim: DataFrame, tip: int) -> DataFrame:
     return sums.select("rid", (F.coalesce("l", F.lit(0)) > 1 + tip // 3).alias("left"), (F.coalesce("r", F.lit(0)) > 1 + tip // 3).alias("right"))
 
 
-def anchor_bases(ovl: DataFrame, repeats: DataFrame, low: DataFrame, *, join: int, least: int) -> DataFrame:
-    """Unique anchors of A after joining repeats with low-complexity stretches and gaps up to ``join`` (P8): fewer than ``least`` -> repeat."""
-    both = I.merge(repeats.select("rid", "beg", "fin").unionByName(low.select("rid", "beg", "fin")), ["rid"], dist=join).select("rid", "beg", "fin")
-    a = I.intersect_sums(ovl.select("ovl_id", F.col("aread").alias("rid"), F.col("ab").alias("beg"), F.col("ae").alias("fin")), both, "ovl_id")
-    return flagged(ovl.join(a.select("ovl_id", "inside"), "ovl_id"), "repeat", a_len() - F.col("inside") < least).select(*ovl.columns)
+def unique_anchors(repeats: DataFrame, low: DataFrame, reads: DataFrame, *, join: int, tip: int, shortest: int = 10) -> DataFrame:
+    """(rid, beg, fin): what repeats and low-complexity stretches leave of each trimmed read (rid, rlen, tb, te).
+
+    A gap between repeats of up to ``join`` bases is no anchor, so that the repeats beside it
+    join, where low complexity makes more than half of it, or 15 percent with a stretch of
+    over 100 bases, or a stretch of over 20 in a gap below 100; or where a flank of 100, 200,
+    ... up to ``tip`` bases has more than 20 percent with a stretch of over 30.
+    """
+    repeats, low = (I.merge(x.select("rid", "beg", "fin"), ["rid"]).select("rid", "beg", "fin") for x in (repeats, low))
+    whole = I.complement(repeats, reads.select("rid", F.lit(0).cast("long").alias("lo"), F.col("rlen").alias("hi")), shortest=shortest + 1)
+    anchors = whole.join(reads, "rid").select("rid", "rlen", F.greatest("beg", "tb").alias("beg"), F.least("fin", "te").alias("fin")).where("fin > beg")
+    small = anchors.where(F.col("fin") - F.col("beg") <= join).withColumn("key", F.struct("rid", "beg", "fin"))
+    size = F.col("key.fin") - F.col("key.beg")
+    share = 100.0 * F.col("inside") / size
+    own = I.intersect_sums(small, low, "key").where((share > 50) | ((share > 15) & (F.col("longest") > 100)) | ((size < 100) & (F.col("longest") > 20))).select("key.*")
+    widths = F.array(*(F.lit(w).cast("long") for w in sorted({*range(100, tip + 1, 100), max(tip, 1)})))
+    flanks = small.select("rid", "rlen", "key", F.explode(widths).alias("w")).select(
+        "rid", "key", "w",
+        F.explode(F.array(F.struct(F.lit("l").alias("side"), F.greatest(F.lit(0), F.col("key.beg") - F.col("w")).alias("beg"), F.col("key.beg").alias("fin")), F.struct(F.lit("r").alias("side"), F.col("key.fin").alias("beg"), F.least("rlen", F.col("key.fin") + F.col("w")).alias("fin")))).alias("f"),
+    ).select("rid", "f.beg", "f.fin", F.struct("key", "w", "f.side").alias("k"))
+    beside = I.intersect_sums(flanks, low, "k").where((100.0 * F.col("inside") / F.col("k.w") > 20) & (F.col("longest") > 30)).select("k.key.*")
+    kept = anchors.select("rid", "beg", "fin").join(own.unionByName(beside).distinct(), ["rid", "beg", "fin"], "left_anti")
+    # Of what is left, low complexity isn't unique either.
+    cut = I.interval_join(kept, low).select("rid", "beg", "fin", F.greatest("beg", "o_beg").alias("c_beg"), F.least("fin", "o_fin").alias("c_fin"))
+    w = W.partitionBy("rid", "beg", "fin").orderBy("c_beg")
+    before = cut.select("rid", F.coalesce(F.lag("c_fin").over(w), F.col("beg")).alias("beg"), F.col("c_beg").alias("fin"))
+    after = cut.groupBy("rid", "beg", "fin").agg(F.max("c_fin").alias("c_fin")).select("rid", F.col("c_fin").alias("beg"), "fin")
+    clean = kept.join(cut.select("rid", "beg", "fin").distinct(), ["rid", "beg", "fin"], "left_anti")
+    return clean.unionByName(before).unionByName(after).where("fin > beg")
+
+
+def anchor_bases(ovl: DataFrame, anchors: DataFrame, least: int) -> DataFrame:
+    """Fewer than ``least`` bases of A on unique anchors (rid, beg, fin) -> repeat."""
+    a = I.intersect_sums(ovl.select("ovl_id", F.col("aread").alias("rid"), F.col("ab").alias("beg"), F.col("ae").alias("fin")), anchors, "ovl_id")
+    return flagged(ovl.join(a.select("ovl_id", "inside"), "ovl_id"), "repeat", F.col("inside") < least).select(*ovl.columns)
 
 
 def trace_sum_check(ovl: DataFrame, trace: DataFrame) -> DataFrame:
@@ -127,17 +167,22 @@ def trim_leading_indels(ovl: DataFrame, trace: DataFrame) -> DataFrame:
 
 
 def trim_overlaps(ovl: DataFrame, trace: DataFrame, trim: DataFrame) -> DataFrame:
-    """Clip overlaps to both trim intervals, on whole trace segments: (ovl_id, ab, ae, bb, be, flags).
+    """Clip overlaps to both trim intervals through the trace: (ovl_id, ab, ae, bb, be, flags).
 
-    A segment stays when its A and its B interval lie inside the trims; cuts inside a
-    segment drop it. Nothing left -> discard and trim, coordinates as before.
+    A segment that a trim cuts is clipped on both reads, its other end by linear
+    interpolation. Nothing left -> discard and trim, coordinates as before.
     """
     w = W.partitionBy("ovl_id").orderBy("seg").rowsBetween(W.unboundedPreceding, 0)
     t = with_trim(ovl.select("ovl_id", "aread", "bread", "bb", "blen", "flags"), trim)
     placed = trace.select("ovl_id", "seg", "a_from", "a_to", F.col("blen").alias("step")).join(t, "ovl_id").withColumn("b_to", F.col("bb") + F.sum("step").over(w)).withColumn("b_from", F.col("b_to") - F.col("step"))
-    inside = placed.where("a_from >= ta_b and a_to <= ta_e and b_from >= tb_b and b_to <= tb_e")
-    cut = inside.groupBy("ovl_id").agg(F.min("a_from").alias("a1"), F.max("a_to").alias("a2"), F.min("b_from").alias("b1"), F.max("b_to").alias("b2"))
-    o = ovl.join(cut, "ovl_id", "left")
+    size, step = F.col("a_to") - F.col("a_from"), F.greatest("step", F.lit(1))
+    # A's clip, moved on where B's trim lies further in; then B's clip of the same stretch.
+    lo = F.greatest("a_from", "ta_b", F.col("a_from") + F.ceil(F.greatest(F.lit(0), F.col("tb_b") - F.col("b_from")) * size / step))
+    hi = F.least("a_to", "ta_e", F.col("a_to") - F.ceil(F.greatest(F.lit(0), F.col("b_to") - F.col("tb_e")) * size / step))
+    clipped = placed.where("step > 0").withColumn("lo", lo).withColumn("hi", hi).where("hi > lo")
+    at = lambda x: F.col("b_from") + F.floor((F.col(x) - F.col("a_from")) * F.col("step") / size)
+    cut = clipped.groupBy("ovl_id").agg(F.min("lo").alias("a1"), F.max("hi").alias("a2"), F.min(F.greatest(at("lo"), "tb_b")).alias("b1"), F.max(F.least(at("hi"), "tb_e")).alias("b2"))
+    o = ovl.join(cut.where("b2 > b1"), "ovl_id", "left")
     pick = lambda new, old: F.coalesce(new, old).alias(old)
     return o.select("ovl_id", pick("a1", "ab"), pick("a2", "ae"), pick("b1", "bb"), pick("b2", "be"), with_flag(F.col("flags"), "trim", F.col("a1").isNull()).alias("flags"))
 
@@ -276,3 +321,29 @@ def overlap_scan(ovl: DataFrame, function, schema: str, by: tuple[str, ...] = ("
 def sorted_overlaps(ovl: DataFrame) -> DataFrame:
     """Partitioned by A read and sorted within; the layout that later windows reuse."""
     return ovl.withColumn("comp", comp().cast("int")).repartition("aread").sortWithinPartitions("aread", "bread", *ORDER).drop("comp")
+
+
+def identity_filters(ovl: DataFrame, *, stitched: bool = False, modules: bool = False, others: bool = False, own: bool = False) -> DataFrame:
+    """Without stitched overlaps (they have no trace), those at repeat modules, those of two different reads, or those of a read with itself."""
+    gone = F.lit(False)
+    for wanted, rule in ((stitched, has(F.col("flags"), "stitch")), (modules, has(F.col("flags"), "module")), (others, F.col("aread") != F.col("bread")), (own, F.col("aread") == F.col("bread"))):
+        if wanted:
+            gone = gone | rule
+    return ovl.where(~gone)
+
+
+def out_of_order(ovl: DataFrame, place: str) -> DataFrame:
+    """Overlaps that stand, by the column ``place``, behind one of the same A read that sorts after them: the order check of a sorted table."""
+    key = F.struct("bread", comp().cast("int").alias("c"), "ab", "ae", "bb", "be", "ovl_id")
+    before = F.max(key).over(W.partitionBy("aread").orderBy(place).rowsBetween(W.unboundedPreceding, -1))
+    return ovl.where(F.lit(True)).withColumn("_late", before > key).where("_late").drop("_late")
+
+
+def split_parts(ovl: DataFrame, parts: int) -> DataFrame:
+    """``ovl`` with a part 0 .. parts - 1 that holds whole A reads, and laid out by it."""
+    return ovl.withColumn("part", F.pmod("aread", F.lit(parts)).cast("int")).repartition("part", "aread")
+
+
+def first_reads(ovl: DataFrame, n: int) -> DataFrame:
+    """The overlaps of the first ``n`` A reads by id, for estimates."""
+    return ovl.join(ovl.select("aread").distinct().orderBy("aread").limit(n), "aread", "left_semi").select(*ovl.columns)

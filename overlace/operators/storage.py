@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet below ``spark.checkpoint.dir`` and read back: it cuts the lineage of
-    iterative plans. Only where that isn't set, as in tests, a temporary folder takes its place."""
+    iterative plans. Only in a local session without that setting a temporary folder takes its place."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="overlace-")
         spark.conf.set("spark.checkpoint.dir", folder)
     path = f"{folder.rstrip('/')}/overlace-{uuid.uuid4().hex}"

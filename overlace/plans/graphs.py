@@ -48,12 +48,16 @@ def _(v):
     return G.add_contained(e.where("dst % 5 != 0 and src % 5 != 0"), kinds, e.where("dst % 5 = 0"), rounds=1)
 
 
-@query("g6_components", "b AS (SELECT src, dst FROM {f_graph} WHERE div < 5 UNION SELECT dst, src FROM {f_graph} WHERE div < 5), r(rid, low) AS (SELECT src, src FROM b UNION SELECT b.dst, r.low FROM r JOIN b ON b.src = r.rid) SELECT rid, MIN(low) AS component FROM r GROUP BY 1")
+@query("g5_add_contained_until_stable")
 def _(v):
-    return G.components(v("f_graph").where("div < 5"))
+    """With the kinds of G2, until a round adds nothing."""
+    kinds, e = G.stored(G.classify(v("f_ovl"), trim(v))), G.remove_duplicates(v("f_graph"))
+    inside = kinds.where("kind = 'contained'").select("rid")
+    proper = e.join(inside.withColumnRenamed("rid", "src"), "src", "left_anti").join(inside.withColumnRenamed("rid", "dst"), "dst", "left_anti")
+    return G.add_contained(proper.select(*e.columns), kinds, e.join(inside.withColumnRenamed("rid", "dst"), "dst", "left_semi").select(*e.columns))
 
 
-@query("g6_components_all")
+@query("g6_components", "b AS (SELECT src, dst FROM {f_graph} UNION SELECT dst, src FROM {f_graph}), r(rid, low) AS (SELECT src, src FROM b UNION SELECT b.dst, r.low FROM r JOIN b ON b.src = r.rid) SELECT rid, MIN(low) AS component FROM r GROUP BY 1")
 def _(v):
     return G.components(v("f_graph"))
 
@@ -80,10 +84,13 @@ def _(v):
     return G.vertex_quality(v("f_graph"))
 
 
-NEXT = """st AS (SELECT DISTINCT src, side, dst FROM {f_graph}), w1 AS (SELECT src AS rid, side, dst AS first, dst  AS v, 1 AS depth, 1 AS n FROM st),
-w2 AS (SELECT rid, w.side, first, s.dst  AS v, 2 AS depth, SUM(n) AS n FROM w1 w JOIN st s ON s.src = w.v AND s.side = w.side WHERE s.dst <> rid GROUP BY 1, 2, 3, 4),
-w3 AS (SELECT rid, w.side, first, s.dst  AS v, 3 AS depth, SUM(n) AS n FROM w2 w JOIN st s ON s.src = w.v AND s.side = w.side WHERE s.dst <> rid GROUP BY 1, 2, 3, 4),
-al AS (SELECT * FROM w1 UNION ALL SELECT * FROM w2 UNION ALL SELECT * FROM w3), vi AS (SELECT rid, side, v, SUM(n) AS n, MIN(depth * 10000000000 + first) % 10000000000 AS first FROM al GROUP BY 1, 2, 3),
+LOOKAHEAD = 6
+_steps = ", ".join(
+    f"w{d} AS (SELECT rid, w.side, s.dst AS v, MIN(first) AS first, {d} AS depth, SUM(n) AS n FROM w{d - 1} w JOIN st s ON s.src = w.v AND s.side = w.side WHERE s.dst <> rid GROUP BY 1, 2, 3)" for d in range(2, LOOKAHEAD + 1)
+)
+_all = " UNION ALL ".join(f"SELECT * FROM w{d}" for d in range(1, LOOKAHEAD + 1))
+NEXT = f"""st AS (SELECT DISTINCT src, side, dst FROM {{f_graph}}), w1 AS (SELECT src AS rid, side, dst AS v, dst AS first, 1 AS depth, 1 AS n FROM st), {_steps},
+vi AS (SELECT rid, side, v, SUM(n) AS n, MIN(depth * 10000000000 + first) % 10000000000 AS first FROM ({_all}) al GROUP BY 1, 2, 3),
 nx AS (SELECT rid, side, CAST(first AS BIGINT) AS next FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY rid, side ORDER BY n DESC, v) AS k FROM vi) t WHERE k = 1)"""
 
 
@@ -106,6 +113,17 @@ def _(v):
     return G.path_joins(G.stored(_paths(v)), v("f_graph"))
 
 
+@query("g13_joined_paths")
+def _(v):
+    return G.joined_paths(G.stored(_paths(v)), v("f_graph"))
+
+
+@query("g12_end_labels")
+def _(v):
+    chosen = G.stored(G.best_next(v("f_graph")))
+    return G.end_labels(G.stored(G.unitigs(chosen)), chosen)
+
+
 @query("g14_path_sequences")
 def _(v):
     return G.path_sequences(_paths(v), v("f_seq"), v("f_graph").withColumn("c", F.col("div") % 2))

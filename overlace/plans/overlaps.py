@@ -68,12 +68,39 @@ def _(v):
     return O.merged_tips(v("f_track").where("track = 'repeats'").select("rid", "beg", "fin"), trim(v), 1500)
 
 
-@query("p8_anchor_bases_lowcomp", f"""al AS (SELECT rid, beg, fin FROM {{f_track}} WHERE track IN ('repeats', 'dust')), {merged('al', dist=200)},
-x AS (SELECT ovl_id, SUM(LEAST(ae, fin) - GREATEST(ab, beg)) AS rep FROM {{f_ovl}} JOIN mg ON mg.rid = aread AND beg < ae AND ab < fin GROUP BY 1), z AS (SELECT o.*, COALESCE(rep, 0) AS rep FROM {{f_ovl}} o LEFT JOIN x ON x.ovl_id = o.ovl_id)
-SELECT ovl_id, {set_bit('ae - ab - rep < 600', 'repeat')} FROM z""")
+TIPS = f"""{REP}, tp AS (SELECT r.rid, r.tb, r.te, SUM(CASE WHEN mg.rid IS NULL THEN 0 ELSE GREATEST(0, LEAST(fin, tb + 1500) - GREATEST(beg, tb)) END) > 501 AS l, SUM(CASE WHEN mg.rid IS NULL THEN 0 ELSE GREATEST(0, LEAST(fin, te) - GREATEST(beg, te - 1500)) END) > 501 AS r FROM {{f_reads}} r LEFT JOIN mg ON mg.rid = r.rid WHERE te > tb GROUP BY 1, 2, 3)"""
+
+
+@query("p7_tip_window", f"""{TIPS}, o0 AS (SELECT o.ovl_id, flags, aread, bread, be - bb AS bl, CASE WHEN (flags & 1) = 1 THEN blen - be ELSE bb END AS b1, CASE WHEN (flags & 1) = 1 THEN blen - bb ELSE be END AS b2,
+ CASE WHEN l THEN GREATEST(ab, tb + 1500) ELSE ab END AS ab, CASE WHEN r THEN LEAST(ae, te - 1500) ELSE ae END AS ae FROM {{f_ovl}} o LEFT JOIN tp ON tp.rid = aread), o AS (SELECT * REPLACE (GREATEST(ab, ae) AS ae) FROM o0),
+x AS (SELECT ovl_id, SUM(LEAST(ae, fin) - GREATEST(ab, beg)) AS a_rep FROM o JOIN mg ON mg.rid = aread AND beg < ae AND ab < fin GROUP BY 1),
+y AS (SELECT ovl_id, SUM(LEAST(b2, fin) - GREATEST(b1, beg)) AS b_rep FROM o JOIN mg ON mg.rid = bread AND beg < b2 AND b1 < fin GROUP BY 1),
+z AS (SELECT o.*, COALESCE(a_rep, 0) AS a_rep, COALESCE(b_rep, 0) AS b_rep FROM o LEFT JOIN x ON x.ovl_id = o.ovl_id LEFT JOIN y ON y.ovl_id = o.ovl_id)
+SELECT ovl_id, {set_bit('ae - ab - a_rep < 800 OR bl - b_rep < 800', 'repeat')} FROM z""")
+def _(v):
+    """P6 with A's window moved by P7."""
+    repeats = v("f_track").where("track = 'repeats'").select("rid", "beg", "fin")
+    return flags(O.nonrepeat_bases(v("f_ovl"), repeats, 800, tips=O.merged_tips(repeats, trim(v), 1500).join(trim(v), "rid"), tip=1500))
+
+
+ANCHORS = f"""rp AS (SELECT rid, beg, fin FROM {{f_track}} WHERE track = 'repeats'), {merged('rp', name='mr')}, du AS (SELECT rid, beg, fin FROM {{f_track}} WHERE track = 'dust'), {merged('du', name='md')},
+ed AS (SELECT rid, beg, fin FROM mr UNION ALL SELECT rid, 0, 0 FROM {{f_reads}} UNION ALL SELECT rid, rlen, rlen FROM {{f_reads}}), {merged('ed', name='me')}, nx AS (SELECT rid, fin AS beg, LEAD(beg) OVER (PARTITION BY rid ORDER BY beg) AS fin FROM me),
+an AS (SELECT nx.rid, rlen, GREATEST(beg, tb) AS beg, LEAST(fin, te) AS fin FROM nx JOIN {{f_reads}} r ON r.rid = nx.rid WHERE fin - beg >= 11 AND LEAST(fin, te) > GREATEST(beg, tb)),
+fl AS (SELECT rid, beg, fin, beg AS lo, fin AS hi, 0 AS w FROM an WHERE fin - beg <= 600 UNION ALL SELECT rid, beg, fin, GREATEST(0, beg - w), beg, w FROM an, (VALUES (100), (200), (250)) v(w) WHERE fin - beg <= 600 UNION ALL SELECT rid, beg, fin, fin, LEAST(rlen, fin + w), w FROM an, (VALUES (100), (200), (250)) v(w) WHERE fin - beg <= 600),
+st AS (SELECT f.rid, f.beg, f.fin, f.lo, f.hi, w, COALESCE(SUM(CASE WHEN md.rid IS NOT NULL THEN LEAST(hi, md.fin) - GREATEST(lo, md.beg) END), 0) AS d, COALESCE(MAX(CASE WHEN md.rid IS NOT NULL THEN LEAST(hi, md.fin) - GREATEST(lo, md.beg) END), 0) AS g FROM fl f LEFT JOIN md ON md.rid = f.rid AND md.beg < hi AND lo < md.fin GROUP BY 1, 2, 3, 4, 5, 6),
+bd AS (SELECT DISTINCT rid, beg, fin FROM st WHERE CASE WHEN w = 0 THEN 100.0 * d / (fin - beg) > 50 OR (100.0 * d / (fin - beg) > 15 AND g > 100) OR (fin - beg < 100 AND g > 20) ELSE 100.0 * d / w > 20 AND g > 30 END),
+kp AS (SELECT rid, beg, fin FROM an WHERE NOT EXISTS (SELECT 1 FROM bd WHERE bd.rid = an.rid AND bd.beg = an.beg AND bd.fin = an.fin)),
+ct AS (SELECT k.rid, k.beg, k.fin, GREATEST(k.beg, md.beg) AS c1, LEAST(k.fin, md.fin) AS c2 FROM kp k JOIN md ON md.rid = k.rid AND md.beg < k.fin AND k.beg < md.fin),
+ua AS (SELECT rid, beg, fin FROM kp WHERE NOT EXISTS (SELECT 1 FROM ct WHERE ct.rid = kp.rid AND ct.beg = kp.beg AND ct.fin = kp.fin) UNION ALL SELECT rid, COALESCE(LAG(c2) OVER (PARTITION BY rid, beg, fin ORDER BY c1), beg), c1 FROM ct UNION ALL SELECT rid, MAX(c2), fin FROM ct GROUP BY rid, beg, fin),
+mg AS (SELECT * FROM ua WHERE fin > beg)"""
+
+
+@query("p8_anchor_bases_lowcomp", f"""{ANCHORS}, x AS (SELECT ovl_id, SUM(LEAST(ae, fin) - GREATEST(ab, beg)) AS free FROM {{f_ovl}} JOIN mg ON mg.rid = aread AND beg < ae AND ab < fin GROUP BY 1), z AS (SELECT o.*, COALESCE(free, 0) AS free FROM {{f_ovl}} o LEFT JOIN x ON x.ovl_id = o.ovl_id)
+SELECT ovl_id, {set_bit('free < 600', 'repeat')} FROM z""")
 def _(v):
     t = v("f_track")
-    return flags(O.anchor_bases(v("f_ovl"), t.where("track = 'repeats'"), t.where("track = 'dust'"), join=200, least=600))
+    anchors = O.unique_anchors(t.where("track = 'repeats'"), t.where("track = 'dust'"), v("f_reads").select("rid", "rlen", "tb", "te"), join=600, tip=250)
+    return flags(O.anchor_bases(v("f_ovl"), anchors, 600))
 
 
 @query("p9_trace_sum_check", "s AS (SELECT ovl_id, CAST(SUM(blen) AS BIGINT) AS found FROM {f_trace} GROUP BY 1) SELECT o.ovl_id, be - bb AS expected, COALESCE(found, 0) AS found FROM {f_ovl} o LEFT JOIN s ON s.ovl_id = o.ovl_id WHERE be - bb <> COALESCE(found, 0)")
@@ -93,9 +120,10 @@ def _(v):
     return O.trim_leading_indels(v("f_ovl"), v("f_trace"))
 
 
-@query("p12_trim_overlaps", f"""{TRIMMED}, st AS (SELECT t.ovl_id, a_from, a_to, t.blen AS step, ta_b, ta_e, tb_b, tb_e, tr.bb + SUM(t.blen) OVER (PARTITION BY t.ovl_id ORDER BY seg ROWS UNBOUNDED PRECEDING) AS b_to FROM {{f_trace}} t JOIN tr ON tr.ovl_id = t.ovl_id),
-c AS (SELECT ovl_id, MIN(a_from) AS a1, MAX(a_to) AS a2, CAST(MIN(b_to - step) AS BIGINT) AS b1, CAST(MAX(b_to) AS BIGINT) AS b2 FROM st WHERE a_from >= ta_b AND a_to <= ta_e AND b_to - step >= tb_b AND b_to <= tb_e GROUP BY 1)
-SELECT o.ovl_id, COALESCE(a1, ab) AS ab, COALESCE(a2, ae) AS ae, COALESCE(b1, bb) AS bb, COALESCE(b2, be) AS be, CASE WHEN a1 IS NULL THEN flags | {S.bit('trim') | 2} ELSE flags END AS flags FROM {{f_ovl}} o LEFT JOIN c ON c.ovl_id = o.ovl_id""")
+@query("p12_trim_overlaps", f"""{TRIMMED}, st AS (SELECT t.ovl_id, a_from, a_to, t.blen AS step, ta_b, ta_e, tb_b, tb_e, CAST(tr.bb + SUM(t.blen) OVER (PARTITION BY t.ovl_id ORDER BY seg ROWS UNBOUNDED PRECEDING) AS BIGINT) AS b_to FROM {{f_trace}} t JOIN tr ON tr.ovl_id = t.ovl_id),
+cl AS (SELECT *, b_to - step AS b_from, GREATEST(a_from, ta_b, a_from + CAST(CEIL(GREATEST(0, tb_b - b_to + step) * (a_to - a_from) / step) AS BIGINT)) AS lo, LEAST(a_to, ta_e, a_to - CAST(CEIL(GREATEST(0, b_to - tb_e) * (a_to - a_from) / step) AS BIGINT)) AS hi FROM st WHERE step > 0),
+c AS (SELECT ovl_id, MIN(lo) AS a1, MAX(hi) AS a2, MIN(GREATEST(b_from + CAST(FLOOR((lo - a_from) * step / (a_to - a_from)) AS BIGINT), tb_b)) AS b1, MAX(LEAST(b_from + CAST(FLOOR((hi - a_from) * step / (a_to - a_from)) AS BIGINT), tb_e)) AS b2 FROM cl WHERE hi > lo GROUP BY 1)
+SELECT o.ovl_id, COALESCE(a1, ab) AS ab, COALESCE(a2, ae) AS ae, COALESCE(b1, bb) AS bb, COALESCE(b2, be) AS be, CASE WHEN a1 IS NULL THEN flags | {S.bit('trim') | 2} ELSE flags END AS flags FROM {{f_ovl}} o LEFT JOIN (SELECT * FROM c WHERE b2 > b1) c ON c.ovl_id = o.ovl_id""")
 def _(v):
     return O.trim_overlaps(v("f_ovl"), v("f_trace"), trim(v))
 
@@ -122,6 +150,58 @@ def _(v):
     return v("f_ovl").where("aread = bread").select("ovl_id", "aread", "bread")
 
 
+STITCHED = "k AS (SELECT *, flags & 1 AS comp FROM {f_ovl} WHERE (flags & 2) = 0), l AS (SELECT *, ab - LAG(ae) OVER w AS da, bb - LAG(be) OVER w AS db FROM k WINDOW w AS (PARTITION BY aread, bread, comp ORDER BY ab, ae, bb, be, ovl_id)), sx AS (SELECT DISTINCT ovl_id FROM l WHERE ABS(da) < 2000 AND ABS(db) < 2000 AND ABS(da - db) < 1500)"
+
+
+@query("p16_flagged_identity_filters", f"{STITCHED} SELECT ovl_id, aread, bread FROM {{f_ovl}} WHERE aread <> bread AND ovl_id NOT IN (SELECT ovl_id FROM sx)")
+def _(v):
+    """Without self overlaps and those that a stitch has taken in."""
+    from pyspark.sql import Window as W
+
+    w = W.partitionBy("aread", "bread", O.comp()).orderBy("ab", "ae", "bb", "be", "ovl_id")
+    da, db = F.col("ab") - F.lag("ae").over(w), F.col("bb") - F.lag("be").over(w)
+    near = (F.abs(da) < 2000) & (F.abs(db) < 2000) & (F.abs(da - db) < 1500)
+    kept = O.purge(v("f_ovl")).withColumn("near", near).where("near").drop("near").select("ovl_id", F.lit(True).alias("taken"))
+    o = v("f_ovl").join(kept, "ovl_id", "left").withColumn("flags", F.when(F.col("taken"), F.col("flags").bitwiseOR(F.lit(S.bit("stitch")))).otherwise(F.col("flags")))
+    return O.identity_filters(o, stitched=True, own=True).select("ovl_id", "aread", "bread")
+
+
+@query("o2_order_checks", "k AS (SELECT *, ROW(bread, flags & 1, ab, ae, bb, be, ovl_id) AS key FROM {f_ovl}), m AS (SELECT *, MAX(key) OVER (PARTITION BY aread ORDER BY ovl_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM k) SELECT aread, COUNT(*) AS late FROM m WHERE before > key GROUP BY 1")
+def _(v):
+    """Where the id order isn't the sort order."""
+    return O.out_of_order(v("f_ovl"), "ovl_id").groupBy("aread").agg(F.count("*").alias("late"))
+
+
+@query("o3_concatenate_split", "SELECT CAST(aread % 8 AS INT) AS part, COUNT(*) AS n, COUNT(DISTINCT aread) AS reads FROM {f_ovl} GROUP BY 1")
+def _(v):
+    o = v("f_ovl")
+    whole = o.where(O.discarded()).unionByName(o.where(~O.discarded()))
+    return O.split_parts(whole, 8).groupBy("part").agg(F.count("*").alias("n"), F.count_distinct("aread").alias("reads"))
+
+
+@query("o5_take_n", "SELECT aread, COUNT(*) AS n, CAST(SUM(ae - ab) AS BIGINT) AS bases FROM {f_ovl} WHERE aread IN (SELECT DISTINCT aread FROM {f_ovl} ORDER BY aread LIMIT 100) GROUP BY 1")
+def _(v):
+    return O.first_reads(v("f_ovl"), 100).groupBy("aread").agg(F.count("*").alias("n"), F.sum(O.a_len()).alias("bases"))
+
+
+@query("o6_union_anti_semi", "SELECT rid, track, beg, fin FROM {f_track} t WHERE track IN ('repeats', 'dust') AND rid NOT IN (SELECT rid FROM {f_reads} WHERE best = 0) AND rid IN (SELECT aread FROM {f_ovl})")
+def _(v):
+    t = v("f_track")
+    both = t.where("track = 'repeats'").unionByName(t.where("track = 'dust'"))
+    return both.join(v("f_reads").where("best = 0").select("rid"), "rid", "left_anti").join(v("f_ovl").select(F.col("aread").alias("rid")), "rid", "left_semi").select("rid", "track", "beg", "fin")
+
+
+@query("overlap_scan", "SELECT aread, COUNT(*) AS n, MAX(ae - ab) AS longest, COUNT(DISTINCT bread) AS partners FROM {f_ovl} GROUP BY 1")
+def _(v):
+    """A user's function of each A read's overlaps."""
+    import pandas as pd
+
+    def function(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(rows["aread"].iloc[0], len(rows), (rows["ae"] - rows["ab"]).max(), rows["bread"].nunique())], columns=["aread", "n", "longest", "partners"])
+
+    return O.overlap_scan(v("f_ovl").select("aread", "bread", "ab", "ae"), function, "aread long, n long, longest long, partners long")
+
+
 @query("p17_extract_by_aread", "SELECT ovl_id, aread FROM {f_ovl} WHERE aread IN (SELECT rid FROM {f_reads} WHERE best = 0)")
 def _(v):
     return O.extract_by_aread(v("f_ovl"), v("f_reads").where("best = 0")).select("ovl_id", "aread")

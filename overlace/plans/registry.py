@@ -9,6 +9,8 @@ from overlace.plans.fixtures import duckdb_sql, view
 
 QUERIES: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
+#: A query's SQL as a common table expression of its name, for queries that build on others.
+NESTED: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
@@ -21,6 +23,8 @@ def query(name: str, sql: str | None = None):
         run.__name__, run.__doc__ = name, make.__doc__
         QUERIES[name] = run
         if sql:
+            text = sql.strip()
+            NESTED[name] = f"{name} AS ({text if text.lower().startswith('select') else 'WITH ' + text})"
             SQL[name] = duckdb_sql(sql)
         return make
 
@@ -29,4 +33,4 @@ def query(name: str, sql: str | None = None):
 
 def load() -> None:
     """Import every module of queries."""
-    from overlace.plans import aggregates, graphs, intervals, overlaps, repair, seeds, sequences, streams  # noqa: F401
+    from overlace.plans import aggregates, graphs, intervals, overlaps, recipes, repair, seeds, sequences, streams  # noqa: F401

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from overlace.functions import scalar as S
 from overlace.operators import sequences as Q
 
-from overlace.plans.registry import query
+from overlace.plans import intervals  # noqa: F401
+from overlace.plans.registry import NESTED, query
 from overlace.sources import sinks, text
 
 
@@ -131,6 +132,24 @@ def _(v):
     return v("f_ovl").where(discarded()).select(F.least("aread", "bread").alias("lo"), F.greatest("aread", "bread").alias("hi")).distinct()
 
 
+@query("k8_read_lists", f"""{NESTED['p19_spanning_repeats']}, {NESTED['w14_chimer_walls']}, {NESTED['w10_gap_bins']}, {NESTED['w13_tip_coverage']}
+SELECT DISTINCT 'spanning' AS kind, rid FROM p19_spanning_repeats UNION SELECT 'chimer', rid FROM w14_chimer_walls UNION SELECT 'gap', rid FROM w10_gap_bins UNION SELECT 'low', rid FROM w13_tip_coverage WHERE bad""")
+def _(v):
+    """Reads that span a repeat, that have chimeric walls, a gap, or too little coverage at a tip."""
+    from overlace.operators import coverage as C
+
+    t = v("f_track").where("track = 'repeats'").join(v("f_reads").select("rid", "tb", "te"), "rid")
+    lists = {
+        "spanning": t.where("beg - tb >= 300 and te - fin >= 300"), "chimer": C.walls(v("f_ovl")), "gap": C.breaks(v("f_ovl")),
+        "low": C.tip_coverage(v("f_ovl"), v("f_reads").select("rid", "tb", "te")).where("bad"),
+    }
+    out = None
+    for kind, df in lists.items():
+        one = df.select(F.lit(kind).alias("kind"), "rid").distinct()
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("w22_lowercase_tips", "d AS (SELECT doc_id AS rid, regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g') AS seq FROM {documents}) SELECT rid, regexp_replace(regexp_replace(seq, '^[a-z]+', ''), '[a-z]+$', '') AS trimmed, regexp_full_match(seq, '[a-z]*') AS garbage FROM d")
 def _(v):
     return Q.lower_case_tips(v("documents").select(F.col("doc_id").alias("rid"), F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z]", "").alias("seq")))

@@ -59,3 +59,23 @@ def _(v):
 @query("t7_initialise_from_dust", f"{HITS.replace('ENDS', '0')}, {MASK}, al AS (SELECT rid, beg, fin FROM hy UNION ALL SELECT rid, beg, fin FROM {{f_track}} WHERE track = 'dust'), {merged('al')} SELECT rid, beg, fin FROM mg")
 def _(v):
     return M.masks(_hits(v), above=10, dust=v("f_track").where("track = 'dust'"))
+
+
+@query("t2_merge_multi_hits", f"{HITS.replace('ENDS', '0')}, {merged('h', 'rid, bread', name='m1')} SELECT rid, CAST(SUM(n - 1) AS BIGINT) AS joined FROM m1 WHERE n > 1 GROUP BY 1")
+def _(v):
+    """Hits of one B read that touch on A count once: how many each read loses to that."""
+    from overlace.operators import intervals as I  # noqa: E741
+
+    return I.merge(M.hits(v("f_ovl")), ["rid", "bread"]).where("n > 1").groupBy("rid").agg(F.sum(F.col("n") - 1).alias("joined"))
+
+
+@query("t6_checkpoint_resume", f"{HITS.replace('ENDS', '0')} SELECT rid, COUNT(*) AS n, CAST(SUM(fin - beg) AS BIGINT) AS bases FROM h GROUP BY 1")
+def _(v):
+    """The totals of a stream that stopped after half of the files and went on from its checkpoint."""
+    o = stored(v("f_ovl"))
+    spark = o.sparkSession
+    root = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/overlace-stream-{uuid.uuid4().hex}"
+    for half in (0, 1):
+        o.where(F.col("ovl_id") % 2 == half).repartition(2).write.mode("append").parquet(f"{root}/blocks")
+        done = M.running_totals(M.ingest(spark, f"{root}/blocks", o.schema), f"{root}/totals", f"{root}/state")
+    return spark.read.parquet(f"{root}/totals/{done.lastProgress['batchId']}")

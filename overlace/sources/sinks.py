@@ -42,4 +42,4 @@ def path_lines(paths: DataFrame) -> DataFrame:
 
 def write_track(track: DataFrame, path: str) -> None:
     """Parquet, one folder per track, rows sorted by read so that row-group statistics prune."""
-    track.repartition("track").sortWithinPartitions("rid", "beg").write.partitionBy("track").parquet(path)
+    track.repartition("track").sortWithinPartitions("track", "rid", "beg").write.partitionBy("track").parquet(path)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 def read_fasta(spark: SparkSession, path: str, *, shortest: int = 1000) -> DataFrame:
     """(name, header, seq) of FASTA records of at least ``shortest`` bases."""
-    records = spark.read.text(path, lineSep=">").where(F.trim("value") != "")
+    # A record begins at a > that begins a line; one inside a header is part of it.
+    lines = spark.read.text(path, lineSep="\n>")
+    records = lines.select(F.regexp_replace("value", "^>", "").alias("value")).where(F.trim("value") != "")
     return fasta_records(records).where(F.length("seq") >= shortest)
 
 
@@ -82,5 +84,5 @@ def tgf_edges(lines: DataFrame) -> DataFrame:
 def path_lines(lines: DataFrame) -> DataFrame:
     """Lines ``PATH id end1 end2 v-w v-w ...``: (path, end1, end2, pos, src, dst)."""
     p = F.split("value", " ")
-    steps = lines.where(F.col("value").startswith("PATH ")).select(p[1].cast("long").alias("path"), p[2].cast("long").alias("end1"), p[3].cast("long").alias("end2"), F.posexplode(F.slice(p, 5, F.greatest(F.size(p) - 4, F.lit(0)))).alias("pos", "step"))
+    steps = lines.where(F.col("value").startswith("PATH ")).select(p[1].cast("long").alias("path"), p[2].cast("long").alias("end1"), p[3].cast("long").alias("end2"), F.posexplode(F.filter(F.slice(p, 5, F.greatest(F.size(p) - 4, F.lit(0))), lambda x: x != "")).alias("pos", "step"))
     return steps.select("path", "end1", "end2", "pos", F.split_part("step", F.lit("-"), F.lit(1)).cast("long").alias("src"), F.split_part("step", F.lit("-"), F.lit(2)).cast("long").alias("dst"))
