@@ -126,7 +126,10 @@ def _(v):
 
 @query("g14_path_sequences")
 def _(v):
-    return G.path_sequences(_paths(v), v("f_seq"), v("f_graph").withColumn("c", F.col("div") % 2))
+    """Sequences of the unitigs of the overlaps' own edges, whose strands turn the reads along a path."""
+    edges = G.stored(G.edges(v("f_ovl"), trim(v)))
+    plain = G.remove_duplicates(edges.select("src", "dst", "side", "ovh", "div"))
+    return G.path_sequences(G.stored(G.unitigs(G.best_next(plain))), v("f_seq"), edges)
 
 
 @query("g15_path_reads", f"{NEXT} SELECT DISTINCT rid FROM nx")
