@@ -2,14 +2,17 @@
 
 Documents become token sequences; only those longer than a bin are cut. The pieces are
 dealt to partitions of a bounded number of pieces, each packed by best-fit decreasing.
-Dual-feasible functions give a lower bound on any packing of the same pieces. While the
-bins in use exceed the bound of all pieces, partitions with gaps exchange documents: the
-pieces of bins that aren't full are dealt anew, to fewer partitions, and best-fit
-decreasing runs again; a round that saves no bin is undone.
+Dual-feasible functions give a lower bound on the bins of each partition: a partition
+that uses no more is certified. While the bins of all partitions exceed the bound of all
+pieces, those with gaps exchange documents: the pieces of the uncertified partitions' bins
+that aren't full are dealt anew and best-fit decreasing runs again; a round that saves no
+bin is undone. Then the open bins of all partitions take part, in partitions that grow up
+to ``MOST`` pieces. It ends at the bound of all pieces or where no round saves a bin.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -21,12 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from overlace.llm import kernels as K
-from overlace.llm.common import stored
-from overlace.llm.kernels import tidy
+from overlace.llm.common import discard, map_batches, stored
 
 CAPACITY, END_ID = 4096, 1
-#: Pieces in one partition, about; parts of texts that a task remembers.
-GROUP, REMEMBERED = 40_000, 500_000
+#: Pieces in one partition, about, and at most; parts of texts that a task remembers; bytes of text, and new parts, handled at a time.
+GROUP, MOST, REMEMBERED, TEXT, NEW = 40_000, 640_000, 300_000, 512 << 10, 4096
+#: The steps of the tokenizers whose texts ``parts`` may cut.
+STEPS = (
+    r"""Sequence(normalizers=[NFC(), Replace(pattern=Regex("\s+"), content=" "), Lowercase()])""",
+    r"""Sequence(pretokenizers=[Split(pattern=Regex("'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"), behavior=Removed, invert=True), ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=False)])""",
+)
 
 
 #: Kinds of bytes: 0 white space, 1 letters a-z (and, by ``parts``, the Latin-1 letters), 3 ASCII punctuation but the apostrophe, 2 the rest.
@@ -71,17 +78,32 @@ class Parts:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        self.cuts = (str(self.tokenizer.normalizer), str(self.tokenizer.pre_tokenizer)) == STEPS
+        added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile(b"|".join(map(re.escape, added))) if added else None
         self.clear()
 
     def clear(self) -> None:
         self.hashes, self.starts, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.array([END_ID], np.uint32)
 
+    def made(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, letters: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts and how many each has."""
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for low in range(0, len(starts), NEW):
+            spans = zip(starts[low : low + NEW].tolist(), ends[low : low + NEW].tolist(), strict=True)
+            if letters:
+                found = [[t.id for t in self.model.tokenize(raw[i:j].decode("latin-1").translate(BYTE_CHARS))] for i, j in spans]
+            else:
+                found = [self.tokenizer.encode(raw[i:j].decode(), add_special_tokens=False).ids for i, j in spans]
+            counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(counts[-1].sum())))
+        return np.concatenate(ids), np.concatenate(counts)
+
     def places(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and number of ids of each distinct part; new ones are tokenised."""
-        if len(self.hashes) > REMEMBERED:
+        if len(self.hashes) + len(hashes) > REMEMBERED:
             self.clear()
         at = np.searchsorted(self.hashes, hashes)
         known = at < len(self.hashes)
@@ -89,13 +111,10 @@ class Parts:
         if not known.all():
             raw, new = data.tobytes(), np.flatnonzero(~known)
             plain, other = new[letters[new]], new[~letters[new]]
-            model = self.model.tokenize
-            made = [[t.id for t in model(raw[i:j].decode("latin-1").translate(BYTE_CHARS))] for i, j in zip(starts[plain].tolist(), ends[plain].tolist(), strict=True)]
-            texts = [raw[i:j].decode() for i, j in zip(starts[other].tolist(), ends[other].tolist(), strict=True)]
-            made += [e.ids for low in range(0, len(texts), 4096) for e in self.tokenizer.encode_batch_fast(texts[low : low + 4096], add_special_tokens=False)]
-            counts = np.fromiter(map(len, made), np.int64, len(made))
+            (ids, counts), (more, further) = self.made(raw, starts[plain], ends[plain], True), self.made(raw, starts[other], ends[other], False)
+            counts = np.concatenate([counts, further])
             begin = len(self.ids) + np.cumsum(counts) - counts
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(made), np.uint32, int(counts.sum()))])
+            self.ids = np.concatenate([self.ids, ids, more])
             new = np.concatenate([plain, other])
             order = np.argsort(hashes[new])
             where = at[new][order]
@@ -104,9 +123,33 @@ class Parts:
             at = np.searchsorted(self.hashes, hashes)
         return self.starts[at], self.counts[at]
 
+    def whole(self, data: np.ndarray) -> np.ndarray:
+        """Ids of one text by the library alone, and the end."""
+        return np.array([*self.tokenizer.encode(data.tobytes().decode(), add_special_tokens=False).ids, END_ID], np.uint32)
+
     def encode(self, column) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(first row, ids, offsets) of runs of rows; each row ends with ``END_ID``."""
-        for low, high, part, where in K.chunks(*K.text_bytes(column)):
+        """(first row, ids, offsets) of runs of rows; each row ends with ``END_ID``.
+
+        Texts that hold an added token's string, and all texts of a tokenizer of other
+        ``STEPS``, are left to the library as a whole.
+        """
+        data, at = K.text_bytes(column)
+        apart = np.ones(len(at) - 1, bool)
+        if self.cuts:
+            hits = [m.start() for m in self.special.finditer(data)] if self.special and len(data) else []
+            apart = np.zeros(len(at) - 1, bool)
+            apart[np.searchsorted(at[1:], hits, side="right")] = True
+        for first, end in _runs(apart):
+            if apart[first]:
+                for i in range(first, end):
+                    ids = self.whole(data[at[i] : at[i + 1]])
+                    yield i, ids, np.array([0, len(ids)])
+            else:
+                for low, ids, where in self.by_parts(data[at[first] : at[end]], at[first : end + 1] - at[first]):
+                    yield first + low, ids, where
+
+    def by_parts(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for low, high, part, where in K.chunks(data, at, TEXT):
             part, starts, ends, rows, letters = parts(part, where)
             hashes, first, which = np.unique(K.span_hashes(K.prefix_hashes(part), starts, ends), return_index=True, return_inverse=True)
             begin, count = self.places(hashes, starts[first], ends[first], letters[first], part)
@@ -120,6 +163,12 @@ class Parts:
             yield low, ids, np.concatenate([[0], np.cumsum(line_count)[last]])
 
 
+def _runs(flags: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, end) of each run of equal flags."""
+    edges = np.concatenate([[0], np.flatnonzero(flags[1:] != flags[:-1]) + 1, [len(flags)]]) if len(flags) else [0]
+    yield from zip(edges[:-1], edges[1:], strict=True)
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -142,7 +191,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -190,62 +239,96 @@ def lower_bound(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> int:
 
 
 def _pack_group(capacity: int, round_: int):
+    """Packs one partition; ``certified`` says that its bins are as few as its own lower bound."""
+
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        bin_of, offset, gaps = best_fit_decreasing(rows["length"].to_numpy(), capacity)
-        return rows.assign(sequence_id=(round_ << 56) + (int(key[0]) << 28) + bin_of, offset=offset, gap=gaps[bin_of])
+        lengths = rows["length"].to_numpy(np.int64)
+        bin_of, offset, gaps = best_fit_decreasing(lengths, capacity)
+        certified = len(gaps) <= lower_bound(*np.unique(lengths, return_counts=True), capacity)
+        return rows.assign(sequence_id=(round_ << 56) + (int(key[0]) << 28) + bin_of, offset=offset, gap=gaps[bin_of], certified=certified)
 
     return run
 
 
-def pack_pieces(items: DataFrame, capacity: int = CAPACITY, *, group: int = GROUP, rounds: int = 4) -> DataFrame:
-    """Give every row of ``items`` (a column ``length`` of 1 to ``capacity``) a sequence_id and an offset."""
-    spark = items.sparkSession
-    lengths = items.groupBy("length").count().toPandas()  # at most `capacity` rows
-    bound = lower_bound(lengths["length"].to_numpy(np.int64), lengths["count"].to_numpy(np.int64), capacity)
-    number = int(lengths["count"].sum())
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema), "sequence_id long", "offset long", "gap long"])
-
-    def packed(part: DataFrame, n: int, round_: int) -> DataFrame:
-        groups = max(1, -(-n // group))
-        dealt = part.withColumn("_part", F.pmod(F.xxhash64(F.lit(round_), *part.columns), F.lit(groups)))
-        return stored(dealt.groupBy("_part").applyInPandas(_pack_group(capacity, round_), schema.replace("sequence_id", "_part long, sequence_id", 1)).drop("_part"))
-
-    def bins(df: DataFrame) -> tuple[int, int]:
-        """Bins, and pieces in bins that aren't full."""
-        row = df.agg(F.sum((F.col("offset") == 0).cast("long")).alias("bins"), F.sum((F.col("gap") > 0).cast("long")).alias("open")).first()
-        return row["bins"] or 0, row["open"] or 0
-
-    done, current = None, packed(items, number, 0)
-    used, open_ = bins(current)
-    closed = 0
-    for round_ in range(1, rounds + 1):
-        if closed + used <= bound or open_ <= 1 or (-(-open_ // group) == 1 and round_ > 1):
-            break
-        full = current.where("gap = 0")
-        again = packed(current.where("gap > 0").drop("sequence_id", "offset", "gap"), open_, round_)
-        used_again, open_again = bins(again)
-        full_bins = full.where("offset = 0").count()
-        if full_bins + used_again >= used:
+def total_bound(items: DataFrame, capacity: int = CAPACITY) -> int:
+    """The lower bound on the bins of all of ``items``, from at most ``capacity`` counts of lengths."""
+    lengths = items.groupBy("length").count().toPandas()
+    return lower_bound(lengths["length"].to_numpy(np.int64), lengths["count"].to_numpy(np.int64), capacity)
+
+
+def pack_pieces(items: DataFrame, capacity: int = CAPACITY, *, group: int = GROUP, most: int = MOST) -> DataFrame:
+    """Give every row of ``items`` (a column ``length`` of 1 to ``capacity``) a sequence_id and an
+    offset; ``certified`` says that the partition that packed it met its own bound.
+
+    ``items`` must be a table, so that a task that runs again reads the same rows.
+    """
+    names = items.columns
+    # A row's number deals it out, so that equal rows don't meet in one partition.
+    numbered = stored(items.withColumn("_row", F.monotonically_increasing_id()))
+    bound = total_bound(numbered, capacity)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema)
+    schema = f"{fields}, _part long, sequence_id long, offset long, gap long, certified boolean"
+
+    def packed(part: DataFrame, groups: int, round_: int) -> DataFrame:
+        dealt = part.withColumn("_part", F.pmod(F.xxhash64(F.lit(round_), "_row"), F.lit(groups)))
+        return stored(dealt.groupBy("_part").applyInPandas(_pack_group(capacity, round_), schema).drop("_part"))
+
+    def counts(df: DataFrame) -> tuple[int, int, int]:
+        """Bins; pieces in open bins; those of uncertified partitions."""
+        open_ = F.col("gap") > 0
+        row = df.agg(F.sum((F.col("offset") == 0).cast("long")).alias("bins"), F.sum(open_.cast("long")).alias("open"), F.sum((open_ & ~F.col("certified")).cast("long")).alias("loose")).first()
+        return row["bins"] or 0, row["open"] or 0, row["loose"] or 0
+
+    number = numbered.count()
+    current, closed = packed(numbered, max(1, -(-number // group)), 0), []
+    used, open_, loose = counts(current)
+    size, everyone, round_ = group, False, 0
+    while used > bound and open_ > 1:
+        everyone = everyone or loose == 0
+        taken = (F.col("gap") > 0) & (F.lit(everyone) | ~F.col("certified"))
+        pool, n = current.where(taken), open_ if everyone else loose
+        groups = max(1, -(-n // size))
+        round_ += 1
+        again = packed(pool.select(*numbered.columns), groups, round_)
+        before, (after, *_) = pool.where("offset = 0").count(), counts(again)
+        if after < before:
+            merged = stored(current.where(~taken).where("gap > 0").unionByName(again))
+            closed.append(current.where("gap = 0"))
+            used -= before - after
+            _, open_, loose = counts(merged)
+            current = merged
+        elif not everyone:
+            everyone = True
+        elif groups == 1 or size >= most:
             break
-        done = full if done is None else done.unionByName(full)
-        closed += full_bins
-        current, used, open_ = again, used_again, open_again
-    return (current if done is None else done.unionByName(current)).drop("gap")
+        else:
+            size = min(size * 4, most)
+        discard(again)
+    for df in closed:
+        current = current.unionByName(df)
+    return current.select(*names, "sequence_id", "offset", "certified")
+
+
+def certificate(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row: bins, bound (no packing of these pieces has fewer) and gap, the difference."""
+    bound = total_bound(packed, capacity)
+    bins = packed.agg(F.coalesce(F.sum((F.col("offset") == 0).cast("long")), F.lit(0)).alias("bins"))
+    return bins.select("bins", F.lit(bound).cast("long").alias("bound"), (F.col("bins") - bound).alias("gap"))
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, **options) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens.
 
     ``docs``: doc_id, text and any other columns. Returns one row per piece: doc_id,
-    piece, start, length, ids_crc32, sequence_id, offset.
+    piece, start, length, ids_crc32, sequence_id, offset, certified.
 
     A document is its tokenizer's ids and then id 1. Null text counts as empty: id 1
-    alone. Special tokens' strings in a text are ordinary text. Repeated rows are each
-    packed, null doc_ids too. Of pieces that fit equally well, any order. An empty table
-    gives an empty result.
+    alone. Special tokens' strings in a text become their ids, as the library reads them.
+    Repeated rows are each packed, null doc_ids too. Of pieces that fit equally well, any
+    order. An empty table gives an empty result.
     """
     if tokenizer is None:
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return pack_pieces(stored(pieces(docs, tokenizer, capacity)), capacity, **options)
+    return pack_pieces(pieces(docs, tokenizer, capacity), capacity, **options)

@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from overlace.llm import kernels as K
-from overlace.llm.common import crc_mod
-from overlace.llm.kernels import tidy
+from overlace.llm.common import crc_mod, map_batches
 from overlace.llm.toxicity import fit_in_task
 
 WORDS, BINS = 1 << 16, 16
@@ -152,5 +151,5 @@ def quality(docs: DataFrame, labels: DataFrame, *, max_rows: int = 3000) -> Data
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", "text", *(["n_chars"] if counted else [])).mapInArrow(tidy(run), f"doc_id {kind}, score double, predicted int")
+    scored = map_batches(docs.select("doc_id", "text", *(["n_chars"] if counted else [])), run, f"doc_id {kind}, score double, predicted int")
     return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")

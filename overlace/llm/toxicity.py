@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from overlace.llm import kernels as K
-from overlace.llm.common import crc_mod
-from overlace.llm.kernels import tidy
+from overlace.llm.common import crc_mod, map_batches
 
 #: Bytes that end a word: all of ASCII but letters, digits and the apostrophe.
 BREAK = np.array([b < 128 and not (chr(b).isalnum() or b == 39) for b in range(256)])
@@ -54,6 +53,66 @@ def subwords(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, buckets: in
     return owner[order], codes[order]
 
 
+UNIT = np.float32(200)  # a mean over words is small
+
+
+class Bags:
+    """Which n-grams make up which words and documents: sums over them and back, an embedding axis at a time."""
+
+    def __init__(self, texts: list[str | None], buckets: int):
+        data, at = K.text_bytes(pa.array(texts, pa.large_string()))
+        data = K.LOWER[data]
+        found = [(np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)]
+        for low, _, part, where in K.chunks(data, at, 1 << 20):
+            starts, ends, rows = K.words(part, where, BREAK)
+            found.append((starts + at[low], ends + at[low], rows + low, K.span_hashes(K.prefix_hashes(part), starts, ends)))
+        starts, ends, rows, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        self.owner, code = subwords(data, starts[first], ends[first], buckets)
+        self.used, code = np.unique(code, return_inverse=True)
+        self.code = code.astype(np.int32)
+        self.n, self.words = len(texts), len(first)
+        pair, count = np.unique(rows * max(self.words, 1) + which, return_counts=True)
+        self.doc, self.word = pair // max(self.words, 1), pair % max(self.words, 1)
+        self.share = (count / np.maximum(np.bincount(rows, minlength=self.n), 1)[self.doc]).astype(np.float32)
+        self.scale = (1 / np.bincount(self.owner, minlength=self.words)).astype(np.float32)
+        by_word, by_code = np.argsort(self.word, kind="stable"), np.argsort(self.code, kind="stable")
+        heads = lambda x: np.flatnonzero(np.diff(x, prepend=-1))
+        self.first_code, self.word_starts, self.code_starts, self.doc_starts = heads(self.owner), heads(self.word[by_word]), heads(self.code[by_code]), heads(self.doc)
+        self.owner_by_code, self.doc_by_word, self.share_by_word = self.owner[by_code], self.doc[by_word], self.share[by_word]
+
+    def counts(self, weight: np.ndarray) -> np.ndarray:
+        """The sum, over the words that hold an n-gram, of the weights of the documents that hold the word."""
+        held = np.bincount(self.word, weights=weight[self.doc], minlength=self.words)
+        return np.bincount(self.code, weights=held[self.owner], minlength=len(self.used))
+
+    def pooled(self, embedding: np.ndarray) -> np.ndarray:
+        """Each document's mean of its words' means of their n-grams' values, times ``UNIT``."""
+        vector = np.add.reduceat(embedding[self.code], self.first_code) * self.scale
+        out = np.zeros(self.n, np.float32)
+        out[self.doc[self.doc_starts]] = np.add.reduceat(vector[self.word] * self.share, self.doc_starts) * UNIT
+        return out
+
+    def pulled(self, error: np.ndarray) -> np.ndarray:
+        """The gradient of ``pooled``: each n-gram's share of the documents' errors."""
+        to_word = np.add.reduceat(error[self.doc_by_word] * self.share_by_word, self.word_starts) * self.scale * UNIT
+        return np.add.reduceat(to_word[self.owner_by_code], self.code_starts)
+
+
+def loss_and_gradient(theta: dict, bags: Bags, labels: np.ndarray) -> tuple[float, dict]:
+    """Class-balanced cross-entropy of the softmax over averaged embeddings, and its gradient in E, W and b."""
+    kinds = np.bincount(labels, minlength=2)
+    cost, truth = (0.5 / kinds)[labels].astype(np.float32)[:, None], np.eye(2, dtype=np.float32)[labels]
+    pooled = np.stack([bags.pooled(axis) for axis in theta["E"]], 1)
+    z = pooled @ theta["W"] + theta["b"]
+    z = z - z.max(1)[:, None]
+    p = np.exp(z) / np.exp(z).sum(1)[:, None]
+    error = (p - truth) * cost
+    up = error @ theta["W"].T
+    loss = float(-(np.log(np.maximum((p * truth).sum(1), 1e-30)) * cost[:, 0]).sum())
+    return loss, {"E": np.stack([bags.pulled(axis) for axis in up.T]), "W": pooled.T @ error, "b": error.sum(0)}
+
+
 def fit(texts: list[str | None], labels: np.ndarray, *, dim: int = 8, buckets: int = 1 << 18, epochs: int = 30, rate: float = 0.05, seed: int = 1) -> dict:
     """Embeddings and softmax trained jointly; returns what each n-gram adds to the log-odds.
 
@@ -68,59 +127,20 @@ def fit(texts: list[str | None], labels: np.ndarray, *, dim: int = 8, buckets: i
     kinds = np.bincount(labels, minlength=2)
     if not kinds.all():
         return {"weights": np.zeros(buckets, np.float32), "bias": 6.0 if kinds[1] else -6.0, "buckets": buckets}
-    data, at = K.text_bytes(pa.array(texts, pa.large_string()))
-    data = K.LOWER[data]
-    found = []
-    for low, _, part, where in K.chunks(data, at, 1 << 20):
-        starts, ends, rows = K.words(part, where, BREAK)
-        found.append((starts + at[low], ends + at[low], rows + low, K.span_hashes(K.prefix_hashes(part), starts, ends)))
-    starts, ends, rows, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
-    if not len(starts):
+    bags = Bags(texts, buckets)
+    if not bags.words:
         return {"weights": np.zeros(buckets, np.float32), "bias": 0.0, "buckets": buckets}
-    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-    starts, ends = starts[first], ends[first]
-    owner, code = subwords(data, starts, ends, buckets)
-    del data, found, hashes, first
-    used, code = np.unique(code, return_inverse=True)
-    code = code.astype(np.int32)
-    n, m = len(texts), len(starts)
-    pair, count = np.unique(rows * m + which, return_counts=True)
-    doc, word = pair // m, pair % m
-    share = (count / np.maximum(np.bincount(rows, minlength=n), 1)[doc]).astype(np.float32)
-    in_class = [np.bincount(word[labels[doc] == k], minlength=m) / kinds[k] for k in (0, 1)]
-    unit = 1 / kinds.min()
-    seen = [np.bincount(code, weights=x[owner], minlength=len(used)) + unit for x in in_class]
+    seen = [bags.counts((labels == k) / kinds[k]) + 1 / kinds.min() for k in (0, 1)]
     ratio = np.log(seen[1] / seen[0])
-    evidence = (np.abs(ratio) / max(np.abs(ratio).max(), 1e-6)).astype(np.float32) ** 2
-    scale = (1 / np.bincount(owner, minlength=m)).astype(np.float32)
-    first_code = np.flatnonzero(np.diff(owner, prepend=-1))
-    by_word, by_code = np.argsort(word, kind="stable"), np.argsort(code, kind="stable")
-    word_starts, code_starts = np.flatnonzero(np.diff(word[by_word], prepend=-1)), np.flatnonzero(np.diff(code[by_code], prepend=-1))
-    owner_by_code = owner[by_code]
-    doc_by_word, share_by_word = doc[by_word], share[by_word]
-    doc_starts, docs_seen = np.flatnonzero(np.diff(doc, prepend=-1)), np.unique(doc)
-    del owner, by_code, by_word, pair, which, rows
-
-    # One embedding axis at a time, so that temporaries stay as small as one axis.
-    rng = np.random.default_rng(seed)
-    theta = {"E": rng.normal(size=(dim, len(used))).astype(np.float32) * 1e-3, "W": rng.normal(size=(dim, 2)).astype(np.float32) * 0.1, "b": np.zeros(2, np.float32)}
-    theta["E"][0] = ratio**3 / max(np.abs(ratio).max(), 1e-6) ** 3
+    most = max(np.abs(ratio).max(), 1e-6)
+    evidence = (np.abs(ratio) / most).astype(np.float32) ** 2
+    rng, size = np.random.default_rng(seed), len(bags.used)
+    theta = {"E": rng.normal(size=(dim, size)).astype(np.float32) * 1e-3, "W": rng.normal(size=(dim, 2)).astype(np.float32) * 0.1, "b": np.zeros(2, np.float32)}
+    theta["E"][0] = ratio**3 / most**3
     theta["W"][0] = -1, 1
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in theta.items()}
-    cost, truth = (0.5 / kinds)[labels].astype(np.float32)[:, None], np.eye(2, dtype=np.float32)[labels]
-    bags, unit = np.zeros((n, dim), np.float32), np.float32(200)  # a mean over words is small
     for step in range(1, epochs + 1):
-        for d in range(dim):
-            vector = np.add.reduceat(theta["E"][d][code], first_code) * scale
-            bags[docs_seen, d] = np.add.reduceat(vector[word] * share, doc_starts) * unit
-        z = bags @ theta["W"] + theta["b"]
-        z = np.exp(z - z.max(1)[:, None])
-        error = (z / z.sum(1)[:, None] - truth) * cost
-        up = error @ theta["W"].T * unit
-        grad = {"E": np.empty_like(theta["E"]), "W": bags.T @ error, "b": error.sum(0)}
-        for d in range(dim):
-            to_word = np.add.reduceat(up[:, d][doc_by_word] * share_by_word, word_starts) * scale
-            grad["E"][d] = np.add.reduceat(to_word[owner_by_code], code_starts)
+        _, grad = loss_and_gradient(theta, bags, labels)
         for k, g in grad.items():
             first, second = moment[k]
             first += 0.1 * (g - first)
@@ -128,7 +148,7 @@ def fit(texts: list[str | None], labels: np.ndarray, *, dim: int = 8, buckets: i
             move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-10)
             theta[k] -= move * evidence * 0.2 if k == "E" else move * 2
     weights = np.zeros(buckets, np.float32)
-    weights[used] = (theta["W"][:, 1] - theta["W"][:, 0]) @ theta["E"] * unit
+    weights[bags.used] = (theta["W"][:, 1] - theta["W"][:, 0]) @ theta["E"] * UNIT
     return {"weights": weights, "bias": float(theta["b"][1] - theta["b"][0]), "buckets": buckets}
 
 
@@ -169,7 +189,7 @@ def fit_in_task(docs: DataFrame, labels: DataFrame, label: str, fit_, *, folds:
                 values += batch.column(i).to_pylist()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_(columns[1], np.array(columns[0], np.int64), *columns[2:]))], pa.binary())], names=["model"])
 
-    made = sample.coalesce(1).mapInArrow(tidy(run), "model binary").first()
+    made = map_batches(sample.coalesce(1), run, "model binary").first()
     return pickle.loads(made["model"]) if made else fit_([], np.zeros(0, np.int64), *([] for _ in extra))
 
 
@@ -182,7 +202,7 @@ def score(docs: DataFrame, scorer, *, folds: int, held: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, score double, predicted int")
+    scored = map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, score double, predicted int")
     return scored.select("doc_id", F.coalesce(crc_mod("doc_id", folds) == held, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
@@ -207,7 +227,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, max_rows: int = 2000) -> Dat
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, all columns, that the model doesn't take for toxic."""
+    """The rows of ``docs``, all columns, that the model doesn't take for toxic.
+
+    Null and empty texts get the model's bias alone; repeated rows, and rows of a null
+    doc_id, are each judged. Without labels of both classes all rows stay, or none if all
+    labels are 1. Of an empty table nothing stays.
+    """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, **options))
     names = docs.columns
 
@@ -216,4 +241,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
             clean = score_texts(batch.column(names.index("text")), model.value) < 0.5
             yield batch.filter(pa.array(clean))
 
-    return docs.mapInArrow(tidy(run), docs.schema)
+    return map_batches(docs, run, docs.schema)
