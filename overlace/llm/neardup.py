@@ -26,10 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from overlace.llm import kernels as K
-from overlace.llm.common import stored
-from overlace.llm.kernels import tidy
+from overlace.llm.common import discard, map_batches, stored
 
 SHINGLE, PERMUTATIONS, BANDS, ROWS = 5, 96, 32, 6
+#: Pairs of sets that a block looks at at a time.
+PAIRS = 1 << 20
 _rng = np.random.Generator(np.random.PCG64(20))
 TIMES = _rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
 PLUS = _rng.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32)
@@ -119,7 +120,7 @@ def _map_sets(docs: DataFrame, bands: bool) -> DataFrame:
                     [batch.column(0).slice(low, high - low), pa.array(ids, pa.binary()), pa.array(size, pa.int64()), listed], names=["doc_id", "node", "n_shingles", "items"]
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, node binary, n_shingles long, items array<long>")
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, node binary, n_shingles long, items array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -138,46 +139,83 @@ def components(links: DataFrame) -> DataFrame:
         # Small star: u and its smaller neighbours to the smallest of them.
         small = large.groupBy("b").agg(F.min("a").alias("m"))
         linked = large.join(small, "b")
-        edges = stored(linked.where("a != m").select(F.col("m").alias("a"), F.col("a").alias("b")).unionByName(small.select(F.col("m").alias("a"), "b")).distinct())
+        old, edges = edges, stored(linked.where("a != m").select(F.col("m").alias("a"), F.col("a").alias("b")).unionByName(small.select(F.col("m").alias("a"), "b")).distinct())
         now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+        discard(old)
         if now == before:
             return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
         before = now
 
 
-def _checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the size of the intersection and of the union of their full sets."""
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("_b"))
-    both = F.size(F.array_intersect("_a", "_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", both.alias("i"), (F.size("_a") + F.size("_b") - both).alias("u"))
+def _checked(percent: int):
+    """Which of the pairs (a, b) are linked, by their full sets."""
 
+    def check(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        left = sets.select(F.col("node").alias("a"), F.col("items").alias("_a"))
+        right = sets.select(F.col("node").alias("b"), F.col("items").alias("_b"))
+        both = F.size(F.array_intersect("_a", "_b"))
+        sized = pairs.join(left, "a").join(right, "b").select("a", "b", both.alias("i"), (F.size("_a") + F.size("_b") - both).alias("u"))
+        return sized.where(F.col("i") * 100 >= F.col("u") * percent).select("a", "b")
 
-def _block_links(percent: int):
+    return check
+
+
+def _expand(items: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of a column of sets, one after the other, and their offsets."""
+    return np.concatenate(items.to_list()), np.concatenate([[0], np.cumsum([len(x) for x in items])])
+
+
+def linked_pairs(made: np.ndarray, at: np.ndarray, percent: int, stray: np.ndarray, root: np.ndarray) -> list[tuple[int, int]]:
+    """Linked pairs of sets, one of them a stray, of different roots.
+
+    Codes are ordered from rare to frequent. Two linked sets share one of the larger one's
+    first |A| - t |A| + 1 codes and the smaller one's first |B| - 2t / (1 + t) |B| + 1, t
+    the threshold; pairs that do are counted in full.
+    """
+    size, n = np.diff(at), len(at) - 1
+    _, code, times = np.unique(made, return_inverse=True, return_counts=True)
+    rank = np.empty(len(times), np.int64)
+    rank[np.argsort(times, kind="stable")] = np.arange(len(times))
+    owner = np.repeat(np.arange(n), size)
+    code = rank[code]
+    code = code[np.lexsort((code, owner))]
+    place = np.arange(len(code)) - at[owner]
+    large = np.flatnonzero(place <= size[owner] + (-percent * size // 100)[owner])
+    small = np.flatnonzero(place <= size[owner] + (-2 * percent * size // (100 + percent))[owner])
+    small = small[np.argsort(code[small], kind="stable")]
+    begin, end = (np.searchsorted(code[small], code[large], side) for side in ("left", "right"))
+    found, steps, low = [np.zeros(0, np.int64)], np.cumsum(end - begin), 0
+    while low < len(large):
+        high = max(low + 1, int(np.searchsorted(steps, (steps[low - 1] if low else 0) + PAIRS, side="right")))
+        count = end[low:high] - begin[low:high]
+        i, j = np.repeat(owner[large[low:high]], count), owner[small[K.ranges(begin[low:high], count)]]
+        fit = (size[j] < size[i]) | ((size[j] == size[i]) & (j < i))
+        fit &= (100 * size[j] >= percent * size[i]) & (stray[i] | stray[j]) & (root[i] != root[j])
+        found.append(np.unique(i[fit] * n + j[fit]))
+        low = high
+    i, j = np.divmod(np.unique(np.concatenate(found)), max(n, 1))
+    mark, linked = np.zeros(len(times), bool), []
+    heads = np.flatnonzero(np.diff(i, prepend=-1))
+    for low, high in zip(heads, np.append(heads[1:], len(i)), strict=False):  # without pairs no heads
+        own, others = code[at[i[low]] : at[i[low] + 1]], j[low:high]
+        mark[own] = True
+        ends = np.cumsum(size[others])
+        both = np.add.reduceat(mark[code[K.ranges(at[others], size[others])]], ends - size[others], dtype=np.int64)
+        mark[own] = False
+        near = others[100 * both >= percent * (len(own) + size[others] - both)]
+        linked += [(int(i[low]), int(x)) for x in near]
+    return linked
+
+
+def _block_links(percent: int, expand):
     """Links between two blocks of nodes that join different roots, as few as connect what they connect."""
 
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("node").sort_values("node", ignore_index=True)
-        stray, size = rows["stray"].to_numpy(bool), rows["n"].to_numpy(np.int64)
-        at = np.concatenate([[0], np.cumsum([len(x) for x in rows["items"]])])
-        _, code, times = np.unique(np.concatenate(rows["items"].to_list()), return_inverse=True, return_counts=True)
-        owner, shared = np.repeat(np.arange(len(rows)), np.diff(at)), np.flatnonzero(times > 1)
-        number = np.full(len(times), -1)
-        number[shared] = np.arange(len(shared))
-        code = number[code]
-        owner, code = owner[code >= 0], code[code >= 0]
-        order = np.argsort(code, kind="stable")
-        owner, code = owner[order], code[order]
-        both = np.zeros((len(rows), len(rows)), np.float32)
-        for low in range(0, len(shared), 2048):
-            part = slice(*np.searchsorted(code, [low, low + 2048]))
-            has = np.zeros((len(rows), 2048), np.float32)
-            has[owner[part], code[part] - low] = 1
-            both += has @ has.T
-        linked = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (stray[:, None] | stray[None, :])
+        rows = rows.sort_values("stray", ascending=False, kind="stable").drop_duplicates("node", ignore_index=True)
+        made, at = expand(rows["items"])
         names = {r: i for i, r in enumerate(dict.fromkeys(rows["root"]))}
         parent = list(range(len(names)))
-        root_of = [names[r] for r in rows["root"]]
+        root = np.array([names[r] for r in rows["root"]])
 
         def find(i):
             while parent[i] != i:
@@ -186,8 +224,8 @@ def _block_links(percent: int):
             return i
 
         found = []
-        for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
-            a, b = find(root_of[i]), find(root_of[j])
+        for i, j in linked_pairs(made, at, percent, rows["stray"].to_numpy(bool), root):
+            a, b = find(root[i]), find(root[j])
             if a != b:
                 parent[a] = b
                 found.append((rows["node"][i], rows["node"][j]))
@@ -196,32 +234,42 @@ def _block_links(percent: int):
     return run
 
 
-def linked_roots(members: DataFrame, sets: DataFrame, percent: int, *, block: int = 100_000) -> DataFrame:
+def linked_roots(members: DataFrame, sets: DataFrame, percent: int, *, block: int = 100_000, nodes: int = 1_000, check=None, expand=_expand) -> DataFrame:
     """(node, root) of nodes that are linked with others.
 
-    ``members``: (bucket, node, n), buckets of two nodes or more, n the size of the set;
-    ``sets``: (node, items), the full sets of all of them. ``block``: items in a block of
-    sets, about. Memory of a task follows two blocks, and the largest set.
+    ``members``: (bucket, node, n), buckets of two nodes or more, n the size of the set, about;
+    ``sets``: (node, items), the full sets of all of them, or what ``check`` (pairs, sets) and
+    ``expand`` (items) make them from. ``block``: items in a block of
+    sets, about; ``nodes``: sets in it, about. Memory of a task follows two blocks, and the
+    largest set.
     """
-    popular = members.join(members.groupBy("bucket").agg(F.count("*").alias("members")), "bucket").groupBy("node").agg(F.sum("members").alias("popularity"))
-    ranked = members.join(popular, "node")
-    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("popularity", "n", "node")).alias("h")).select("bucket", F.col("h.node").alias("hub"))
+    # A node's buckets are few, so counting them needs no split; the hubs are a table, so that
+    # Spark can split the rows of a large bucket when they meet its hub.
+    ranked = members.join(members.groupBy("node").agg(F.count("*").alias("popularity")), "node")
+    hubs = stored(ranked.groupBy("bucket").agg(F.max(F.struct("popularity", "n", "node")).alias("h")).select("bucket", F.col("h.node").alias("hub")))
     around = stored(members.join(hubs, "bucket").where("node != hub").select("hub", "node", "n").distinct())
-    first = _checked(around.select(F.col("node").alias("a"), F.col("hub").alias("b")), sets)
-    links = stored(first.where(F.col("i") * 100 >= F.col("u") * percent).select("a", "b"))
+    links = stored((check or _checked(percent))(around.select(F.col("node").alias("a"), F.col("hub").alias("b")), sets))
     roots = components(links)
 
-    rooted = around.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     hub_roots = roots.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-    rooted = rooted.join(hub_roots, "hub", "left").withColumn("stray", F.col("root") != F.coalesce("hub_root", "hub")).select("hub", "node", "n", "root", "stray")
+    rooted = around.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = rooted.join(hub_roots, "hub", "left").withColumn("stray", F.col("root") != F.coalesce("hub_root", "hub"))
+    rooted = stored(rooted.select("hub", "node", "n", "root", "stray"))
     # A hub's strays and its other nodes are cut to blocks apart; strays meet strays and others.
-    sizes = rooted.groupBy("hub").agg(
-        F.ceil(F.sum(F.when(F.col("stray"), F.col("n"))) / block).cast("int").alias("s"), F.ceil(F.coalesce(F.sum(F.when(~F.col("stray"), F.col("n"))), F.lit(0)) / block).cast("int").alias("m"), F.count("*").alias("c")
-    ).where("s > 0 and c > 1")
-    dealt = rooted.join(sizes, "hub").withColumn("own", F.when(F.col("stray"), F.pmod(F.xxhash64("node"), "s")).otherwise(F.col("s") + F.pmod(F.xxhash64("node", "hub"), F.greatest("m", F.lit(1)))))
+    blocks = lambda kind: F.ceil(F.greatest(F.sum(F.when(kind, F.col("n"))) / block, F.sum(F.when(kind, 1)) / nodes)).cast("int")
+    sizes = rooted.groupBy("hub").agg(blocks(F.col("stray")).alias("s"), F.coalesce(blocks(~F.col("stray")), F.lit(0)).alias("m"), F.count("*").alias("c"), F.sum("n").alias("total"))
+    sizes = stored(sizes.where("s > 0 and c > 1").withColumn("little", (F.col("c") * 8 <= nodes) & (F.col("total") * 4 <= block)))
+    dealt = rooted.join(sizes, "hub")
+    # Hubs with little around them share a task: pairs across them are true links or none, too.
+    row = sizes.where("little").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("c"), F.coalesce(F.sum("total"), F.lit(0)).alias("total")).first()
+    bundles = max(1, -(-row["c"] // nodes), -(-row["total"] // block))
+    none = F.lit(None).cast("binary")
+    together = dealt.where("little").select(none.alias("hub"), F.pmod(F.xxhash64("hub"), F.lit(bundles)).alias("x"), F.lit(-1).cast("long").alias("y"), "node", "root", "stray")
+    dealt = dealt.where("not little").withColumn("own", F.when(F.col("stray"), F.pmod(F.xxhash64("node"), "s")).otherwise(F.col("s") + F.pmod(F.xxhash64("node", "hub"), F.greatest("m", F.lit(1)))))
     partners = F.when(F.col("stray"), F.sequence(F.lit(0).cast("long"), (F.col("s") + F.col("m") - 1).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), (F.col("s") - 1).cast("long")))
-    met = dealt.withColumn("other", F.explode(partners)).select("hub", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "node", "n", "root", "stray")
-    more = stored(met.join(sets, "node").groupBy("hub", "x", "y").applyInPandas(_block_links(percent), "a binary, b binary"))
+    apart = dealt.withColumn("other", F.explode(partners)).select("hub", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "node", "root", "stray")
+    met_ = together.unionByName(apart).groupBy("hub", "x", "y", "node").agg(F.first("root").alias("root"), F.bool_or("stray").alias("stray"))
+    more = stored(met_.join(sets, "node").groupBy("hub", "x", "y").applyInPandas(_block_links(percent, expand), "a binary, b binary"))
     if more.limit(1).count():
         roots = components(links.unionByName(more))
     return roots
