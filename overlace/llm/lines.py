@@ -5,116 +5,134 @@ space at the ends removed) are one node. MinHash bands make buckets, pairs withi
 are verified by exact Jaccard similarity and a distributed union-find keeps one line, the
 first by (doc_id, line number), of each component.
 
-A shingle is a run of code points, as the 64-bit hash of its bytes. With 50 permutations
-(100 values, 20 bands of 5) a pair at the threshold 0.8 shares a bucket with probability
-1 - (1 - 0.8**5)**20 > 0.9996.
-
-Before the full sets are fetched, pairs of small buckets are bounded: a line's shingles are
-counted in ``BINS`` bins by hash, two lines have at most the sum of the smaller counts in
-common, and a line that no bound lets reach the threshold leaves the bucket. The bound is
-never below the true intersection, so no linked pair goes.
+A shingle is a run of code points, as a 64-bit hash. Signatures are one-permutation
+MinHash: a shingle's hash picks one of ``BANDS * ROWS`` bins, a bin's value is the least
+hash in it, and an empty bin takes the value of another one, found by probing bins in an
+order that is the same for all lines. Each value agrees with the probability of the Jaccard
+similarity, for one hash a shingle. With 22 bands of 6 a pair at the threshold 0.8 shares a
+bucket with probability 1 - (1 - 0.8**6)**22 > 0.998.
+
+Each task groups its lines by bucket before the shuffle and sends one line of each bucket
+to the part of buckets that it belongs to; lines that meet within the task are known to
+share a bucket and go anywhere. So a bucket that holds a third of all lines sends one row
+a task, and a part has a bounded number of entries. Lines that share a bucket travel as
+texts, which are an eighth of their sets; a pair's sets are made where they are compared.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from overlace.llm import kernels as K
-from overlace.llm.common import is_small, stored
-from overlace.llm.kernels import tidy
-from overlace.llm.neardup import PLUS, TIMES, linked_roots
-
-PERMUTATIONS, BANDS, ROWS, BINS = 50, 20, 5, 64
-#: Buckets of more rows aren't bounded: all their lines stay.
-SMALL_BUCKET = 8
-BROADCAST_ROWS = 300_000
-#: 20 bands take five values each of the 50 minima and 50 maxima.
-PICK = np.array([[(b * ROWS + j) * 33 % (2 * PERMUTATIONS) for j in range(ROWS)] for b in range(BANDS)])
-
-
-def split_lines(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every line; a row of n line feeds has n + 1 lines."""
-    feeds = np.flatnonzero(data == 10)
-    starts = np.sort(np.concatenate([at[:-1], feeds + 1]), kind="stable")
-    ends = np.sort(np.concatenate([feeds, at[1:]]), kind="stable")
-    n = np.bincount(np.searchsorted(at[1:], feeds, side="right"), minlength=len(at) - 1) + 1
-    return starts, ends, np.repeat(np.arange(len(at) - 1), n)
-
-
-def stripped(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The lines without white space at their ends; an empty span for those of white space only."""
-    solid = np.flatnonzero(~K.SPACE[data])
-    if not len(solid):
-        return starts, starts
-    first = solid[np.minimum(np.searchsorted(solid, starts), len(solid) - 1)]
-    last = solid[np.maximum(np.searchsorted(solid, ends) - 1, 0)] + 1
-    full = (first >= starts) & (first < ends)
-    return np.where(full, first, starts), np.where(full, last, starts)
-
-
-def shingles(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """All shingles of ``size`` code points of each line in order, and the line offsets; a shorter line is one shingle."""
-    lead = np.flatnonzero((data & 0xC0) != 0x80)
-    low, high = np.searchsorted(lead, starts), np.searchsorted(lead, ends)
-    count = np.where(high > low, np.maximum(high - low - size + 1, 1), 0)
-    begin = K.ranges(low, count)
-    edge = np.append(lead, len(data))
-    until = np.minimum(begin + size, np.repeat(high, count))
-    return K.span_hashes(K.prefix_hashes(data), edge[begin], edge[until]), np.concatenate([[0], np.cumsum(count)])
-
-
-def line_sets(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+from overlace.llm.common import discard, map_batches, met, stored
+from overlace.llm.neardup import linked_roots
+
+BANDS, ROWS = 22, 6
+VALUES = BANDS * ROWS
+#: Bytes of text in a chunk; lines whose buckets a task groups together; entries (line, bucket) in a part of the buckets, about.
+CHUNK, GROUPED, PART = 1 << 18, 40_000, 1_000_000
+#: Probes of an empty bin, each an order of all bins; a line whose probes all fail takes its least value.
+PROBES = np.array([np.random.Generator(np.random.PCG64(31 + k)).permutation(VALUES) for k in range(64)])
+EMPTY = np.uint32(0xFFFFFFFF)
+ODD = np.random.Generator(np.random.PCG64(30)).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BAND_SALT = K.mix(np.arange(1, BANDS + 1, dtype=np.uint64))
+BLANK = b" \t\n\x0b\x0c\r"
+
+
+def text_lines(column):
+    """(row of each line, number of the line in its row, lines) by chunks of rows: bytes, A-Z lower-cased, without
+    white space at the ends. A row of n line feeds has n + 1 lines."""
+    for low, _, part, at in K.chunks(*K.text_bytes(column), CHUNK):
+        raw = K.LOWER[part].tobytes()
+        split = [raw[i:j].split(b"\n") for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        yield low + np.repeat(np.arange(len(split)), counts), K.ranges(np.zeros(len(split), np.int64), counts), [x.strip(BLANK) for row in split for x in row]
+
+
+def digests(lines: list[bytes]) -> list[bytes]:
+    """128 bits of each line."""
+    make = hashlib.blake2b
+    return [make(x, digest_size=16).digest() for x in lines]
+
+
+def _keys(nodes: list[bytes]) -> np.ndarray:
+    """The first 64 bits of each digest."""
+    return np.frombuffer(b"".join(nodes), ">i8").astype(np.int64)[::2]
+
+
+def shingles(lines: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles of ``size`` code points of non-empty lines in order, and the line offsets; a shorter line is one shingle."""
+    points = np.frombuffer(b"\n".join(lines).decode().encode("utf-32-le"), np.uint32).astype(np.uint64)
+    ends = np.append(np.flatnonzero(points == 10), len(points))
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    length = ends - starts
+    total = np.zeros(len(points), np.uint64)
+    for k in range(min(size, len(points))):
+        total[: len(points) - k] += points[k:] * ODD[k]
+    # Of a line's positions the last size - 1 begin no shingle.
+    begins = np.ones(len(points), bool)
+    begins[ends[:-1]] = False
+    for k in range(1, size):
+        begins[np.maximum(ends - k, starts)[length >= 1]] = False
+    short = np.flatnonzero(length < size)
+    begins[starts[short]] = True
+    for i in short.tolist():  # rare: lines below one shingle
+        total[starts[i]] = np.append(points[starts[i] : ends[i]] * ODD[: length[i]], ODD[32 + length[i]]).sum()
+    x = total[begins]
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33)), np.concatenate([[0], np.cumsum(np.maximum(length - size + 1, 1))])
+
+
+def line_sets(lines: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of each line, ascending, and the line offsets."""
-    made, at = shingles(data, starts, ends, size)
-    of = np.repeat(np.arange(len(starts)), np.diff(at))
-    order = np.lexsort((made, of))
-    made, of = made[order], of[order]
+    if not lines:
+        return np.zeros(0, np.uint64), np.zeros(1, np.int64)
+    made, at = shingles(lines, size)
+    for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        made[i:j].sort()
     fresh = np.ones(len(made), bool)
-    fresh[1:] = (made[1:] != made[:-1]) | (of[1:] != of[:-1])
-    made, of = made[fresh], of[fresh]
-    return made, np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(starts)))])
-
-
-def _band_keys(made: np.ndarray, at: np.ndarray) -> np.ndarray:
-    first = at[:-1]
-    x = made * np.uint64(0x9E3779B97F4A7C15)
-    x = ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32)
-    values = np.empty((2 * PERMUTATIONS, len(first)), np.uint64)
-    for k in range(PERMUTATIONS):
-        h = x * TIMES[k] + PLUS[k]
-        values[k], values[PERMUTATIONS + k] = np.minimum.reduceat(h, first), np.maximum.reduceat(h, first)
-    keys = np.empty((len(first), BANDS), np.uint64)
-    for b in range(BANDS):
-        key = np.full(len(first), b + 1, np.uint64)
-        for k in PICK[b]:
-            key = K.mix((key ^ values[k]) * np.uint64(0x9E3779B97F4A7C15))
-        keys[:, b] = key
-    return keys
-
-
-def _hashes(data, starts, ends) -> np.ndarray:
-    """128 bits of each line's bytes: array [lines, 2]."""
-    one = K.span_hashes(K.prefix_hashes(data), starts, ends)
-    turned = np.ascontiguousarray(data[::-1])
-    return np.stack([one, K.span_hashes(K.prefix_hashes(turned), len(data) - ends, len(data) - starts)], 1)
-
-
-def _binary(hashes: np.ndarray, full: np.ndarray) -> pa.Array:
-    """The hashes as 16 bytes each, null where not ``full``."""
-    raw = pa.Array.from_buffers(pa.binary(16), len(hashes), [None, pa.py_buffer(hashes.astype(">u8").tobytes())]).cast(pa.binary())
-    return pc.if_else(pa.array(full), raw, pa.scalar(None, pa.binary()))
-
-
-def _chunks(column):
-    for low, _, part, where in K.chunks(*K.text_bytes(column), 2 << 20):
-        starts, ends, rows = split_lines(part, where)
-        lower = K.LOWER[part]
-        yield low, lower, *stripped(lower, starts, ends), rows
+    fresh[1:] = made[1:] != made[:-1]
+    fresh[at[:-1]] = True
+    return made[fresh], np.concatenate([[0], np.cumsum(np.add.reduceat(fresh, at[:-1], dtype=np.int64))])
+
+
+def signatures(made: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One-permutation MinHash values of non-empty sets (repeated items count once): array [sets, VALUES]."""
+    n = len(at) - 1
+    own = np.full(n * VALUES, EMPTY, np.uint32)
+    place = np.repeat(np.arange(n) * VALUES, np.diff(at)) + (((made >> np.uint64(32)) * np.uint64(VALUES)) >> np.uint64(32)).astype(np.int64)
+    np.minimum.at(own, place, np.minimum((made & np.uint64(0xFFFFFFFF)).astype(np.uint32), EMPTY - np.uint32(1)))
+    out, left = own.copy(), np.flatnonzero(own == EMPTY)
+    for probe in PROBES:
+        if not len(left):
+            break
+        column = left % VALUES
+        out[left] = own[left - column + probe[column]]
+        left = left[out[left] == EMPTY]
+    out = out.reshape(n, VALUES)
+    if len(left):
+        out.ravel()[left] = own.reshape(n, VALUES).min(1)[left // VALUES]
+    return out
+
+
+def band_keys(made: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Band keys of non-empty sets: array [sets, BANDS]."""
+    values = signatures(made, at).reshape(-1, BANDS, ROWS)
+    keys = np.broadcast_to(BAND_SALT, values.shape[:2]).copy()
+    for j in range(ROWS):
+        keys += values[:, :, j] * ODD[j]
+    return K.mix(keys)
+
+
+def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -123,102 +141,149 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for low, data, starts, ends, rows in _chunks(batch.column(1)):
-                first = np.flatnonzero(np.diff(rows, prepend=-1))
-                hashes = _hashes(data, starts, ends)
+            for rows, number, lines in text_lines(batch.column(1)):
+                nodes = digests(lines)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(low + rows)), pa.array(np.arange(len(rows)) - first[rows], pa.int32()), _binary(hashes, ends > starts), pa.array(hashes[:, 0].copy().view(np.int64)), pa.array(ends - starts, pa.int64())],
+                    [batch.column(0).take(pa.array(rows)), pa.array(number, pa.int32()), pa.array([n if x else None for n, x in zip(nodes, lines, strict=True)], pa.binary()), pa.array(_keys(nodes)), pa.array([len(x) for x in lines], pa.int64())],
                     names=["doc_id", "line", "node", "key", "n"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, line int, node binary, key long, n long")
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, line int, node binary, key long, n long")
+
 
+def _entries(keys: np.ndarray, buckets: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A row for each part: of each bucket of these lines one entry (low, key); and entries known
+    to share their bucket (shared_low, shared_part, shared_key), dealt to any part.
 
-def _bands(docs: DataFrame, size: int) -> DataFrame:
-    """(bucket, key) of the distinct lines of each chunk of documents."""
+    A bucket is its part, by its high half, and its low half.
+    """
+    key, bucket = np.repeat(keys, BANDS), buckets.ravel()
+    # Sorted by the high half and the place in one number; should other buckets of that half
+    # stand between equal ones, the part's task, which sees both, puts them together.
+    order = (np.sort((bucket >> np.uint64(32) << np.uint64(32)) | np.arange(len(bucket), dtype=np.uint64)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    key, bucket = key[order], bucket[order]
+    lead = np.ones(len(bucket), bool)
+    lead[1:] = bucket[1:] != bucket[:-1]
+    part = (((bucket >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int32)
+    low = bucket.astype(np.uint32).view(np.int32)
+    number = np.arange(parts)
+    one = np.bincount(part[lead], minlength=parts)  # buckets ascend, so parts do
+    several = ~lead
+    several[:-1] |= ~lead[1:]
+    rest = np.flatnonzero(several)
+    to = (key[rest] % np.uint64(parts)).astype(np.int64)
+    rest = rest[np.argsort(to, kind="stable")]
+    many = np.bincount(to, minlength=parts)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(number, pa.int32()), _lists(low[lead], one), _lists(key[lead].view(np.int64), one), _lists(part[rest], many), _lists(low[rest], many), _lists(key[rest].view(np.int64), many)],
+        names=["part", "low", "key", "shared_part", "shared_low", "shared_key"],
+    )
+
+
+def _joined(column) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy() if column.num_chunks else np.zeros(0, np.int64)
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """(bucket, key) of all entries of a part that share a bucket with another line."""
+    if not table.num_rows:
+        return pa.table({"bucket": pa.array([], pa.int64()), "key": pa.array([], pa.int64())})
+    part = np.int64(table.column("part")[0].as_py())
+    low, key = _joined(table.column("low")), _joined(table.column("key"))
+    # Most entries are alone with their low half: only the others are sorted by key, too.
+    order = np.sort(low.view(np.uint32).astype(np.uint64) << np.uint64(32) | np.arange(len(low), dtype=np.uint64))
+    half = order >> np.uint64(32)
+    several = np.zeros(len(low), bool)
+    several[1:] |= half[1:] == half[:-1]
+    several[:-1] |= half[1:] == half[:-1]
+    order = (order[several] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    order = order[np.lexsort((key[order], low[order]))]
+    low, key = low[order], key[order]
+    fresh = np.ones(len(low), bool)
+    fresh[1:] = (low[1:] != low[:-1]) | (key[1:] != key[:-1])
+    low, key = low[fresh], key[fresh]
+    same = low[1:] == low[:-1]
+    together = np.zeros(len(low), bool)
+    together[1:] |= same
+    together[:-1] |= same
+    name = lambda part, low: (np.asarray(part, np.int64) << 32) | low.view(np.uint32).astype(np.int64)
+    bucket = name(part, low[together])
+    shared = name(_joined(table.column("shared_part")), _joined(table.column("shared_low")).astype(np.int32))
+    return pa.table({"bucket": np.concatenate([bucket, shared]), "key": np.concatenate([key[together], _joined(table.column("shared_key"))])})
+
+
+def shared_buckets(docs: DataFrame, size: int, parts: int) -> DataFrame:
+    """(bucket, key) of the lines that share a bucket with a different line."""
 
     def run(batches):
+        held: dict[bytes, bytes] = {}
         for batch in batches:
-            for _, data, starts, ends, _ in _chunks(batch.column(0)):
-                key, pick = np.unique(K.span_hashes(K.prefix_hashes(data), starts, ends), return_index=True)
-                full = ends[pick] > starts[pick]
-                key, pick = key[full], pick[full]
-                if len(pick):
-                    buckets = _band_keys(*shingles(data, starts[pick], ends[pick], size))
-                    listed = pa.ListArray.from_arrays(pa.array(np.arange(len(pick) + 1, dtype=np.int32) * BANDS), pa.array(buckets.ravel().view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), listed], names=["key", "buckets"])
-
-    return docs.select("text").mapInArrow(tidy(run), "key long, buckets array<long>").select("key", F.explode("buckets").alias("bucket"))
+            for _, _, lines in text_lines(batch.column(0)):
+                held |= {x: None for x in lines if x}
+                if len(held) >= GROUPED:
+                    yield flushed([*held])
+                    held = {}
+        if held:
+            yield flushed([*held])
+
+    def flushed(lines):
+        buckets, low = np.empty((len(lines), BANDS), np.uint64), 0
+        sizes = np.cumsum([len(x) for x in lines])
+        while low < len(lines):  # a chunk of text at a time
+            high = max(low + 1, int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + CHUNK, side="right")))
+            buckets[low:high] = band_keys(*shingles(lines[low:high], size))
+            low = high
+        return _entries(_keys(digests(lines)).view(np.uint64), buckets, parts)
+
+    entries = map_batches(docs.select("text"), run, "part int, low array<int>, key array<long>, shared_part array<int>, shared_low array<int>, shared_key array<long>")
+    return entries.groupBy("part").applyInArrow(_meet, "bucket long, key long")
+
+
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, items): the bytes of the wanted nodes, from the first line that is each.
+
+    ``wanted``: (doc_id, line, node).
+    """
+    spots = stored(wanted.groupBy("doc_id").agg(F.collect_set("line").alias("lines")))  # at most a document's lines
+    texts = met(docs.select("doc_id", "text"), spots, "doc_id")
 
+    def run(batches):
+        for batch in batches:
+            want = [set(x) for x in batch.column(2).to_pylist()]
+            for rows, number, lines in text_lines(batch.column(1)):
+                found = [x for r, k, x in zip(rows.tolist(), number.tolist(), lines, strict=True) if x and k in want[r]]
+                yield pa.RecordBatch.from_arrays([pa.array(digests(found), pa.binary()), pa.array(found, pa.binary())], names=["node", "items"])
 
-def bins(made: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many shingles of each set are in each bin: array [sets, BINS]; False where a count doesn't fit a byte."""
-    of = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    counts = np.bincount(of * BINS + (made >> np.uint64(58)).astype(np.int64), minlength=(len(at) - 1) * BINS).reshape(-1, BINS)
-    return counts.astype(np.uint8), (counts < 256).all(1)
+    return map_batches(texts.select("doc_id", "text", "lines"), run, "node binary, items binary").dropDuplicates(["node"])
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, size: int, *, sketch: bool = False) -> DataFrame:
-    """(node, items): the shingle sets of the wanted nodes, from the first line that is each.
+def _checked(size: int, percent: int):
+    """Which of the pairs (a, b) are linked, by the shingle sets of their texts."""
 
-    ``wanted``: (doc_id, line, node). With ``sketch`` (node, size, bins), the size of the set
-    and its counts by bin, null where one doesn't fit a byte.
-    """
-    spots = wanted.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))  # at most a document's lines
-    texts = docs.select("doc_id", "text").join(F.broadcast(spots) if is_small(spots, BROADCAST_ROWS) else spots, "doc_id")
+    def check(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        left = sets.select(F.col("node").alias("a"), F.col("items").alias("_a"))
+        right = sets.select(F.col("node").alias("b"), F.col("items").alias("_b"))
 
-    def run(batches):
-        for batch in batches:
-            want = batch.column(2).to_pylist()
-            for low, data, starts, ends, rows in _chunks(batch.column(1)):
-                first = np.flatnonzero(np.diff(rows, prepend=-1))
-                pick = np.array([first[i] + x for i in range(len(first)) for x in want[low + i] if first[i] + x < (first[i + 1] if i + 1 < len(first) else len(rows))], np.int64)
-                pick = pick[ends[pick] > starts[pick]]
-                made, at = line_sets(data, starts[pick], ends[pick], size)
-                node = _binary(_hashes(data, starts[pick], ends[pick]), np.ones(len(pick), bool))
-                if sketch:
-                    counts, fit = bins(made, at)
-                    raw = pa.Array.from_buffers(pa.binary(BINS), len(pick), [None, pa.py_buffer(counts.tobytes())]).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([node, pa.array(np.diff(at), pa.int64()), pc.if_else(pa.array(fit), raw, pa.scalar(None, pa.binary()))], names=["node", "size", "bins"])
-                else:
-                    yield pa.RecordBatch.from_arrays([node, pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(made.view(np.int64)))], names=["node", "items"])
-
-    found = texts.select("doc_id", "text", "lines").mapInArrow(tidy(run), "node binary, size long, bins binary" if sketch else "node binary, items array<long>")
-    return found.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-
-
-def may_link(bucket: np.ndarray, size: np.ndarray, counts: np.ndarray, fit: np.ndarray, percent: int) -> np.ndarray:
-    """Which rows, sorted by bucket, may reach ``percent`` with another of their bucket; all rows of the
-    first and the last bucket, which other batches may hold too, and of buckets of more than SMALL_BUCKET rows."""
-    may = (bucket == bucket[0]) | (bucket == bucket[-1])
-    for d in range(1, min(SMALL_BUCKET + 1, len(bucket))):
-        i = np.flatnonzero(bucket[d:] == bucket[:-d])
-        most = np.minimum(counts[i], counts[i + d]).sum(1, dtype=np.int64)
-        near = (100 * most >= percent * (size[i] + size[i + d] - most)) | ~fit[i] | ~fit[i + d] | (d == SMALL_BUCKET)
-        may[i[near]] = may[i[near] + d] = True
-    # A bucket of more rows has a pair at the last distance: all of it stays.
-    if len(bucket) > SMALL_BUCKET:
-        may |= np.isin(bucket, bucket[SMALL_BUCKET:][bucket[SMALL_BUCKET:] == bucket[:-SMALL_BUCKET]])
-    return may
-
-
-def _bounded(members: DataFrame, percent: int) -> DataFrame:
-    """(bucket, node, n) of the rows (bucket, node, n, size, bins) that may be linked within their bucket."""
+        def run(batches):
+            for batch in batches:
+                other = batch.column(3).dictionary_encode()
+                made_b, at_b = line_sets(other.dictionary.to_pylist(), size)
+                made, at = line_sets(batch.column(2).to_pylist(), size)
+                which, linked = other.indices.to_numpy(), np.zeros(len(batch), bool)
+                for i in range(len(batch)):
+                    a, b = made[at[i] : at[i + 1]], made_b[at_b[which[i]] : at_b[which[i] + 1]]
+                    if 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)):
+                        place = np.searchsorted(b, a)
+                        both = np.count_nonzero(b[np.minimum(place, len(b) - 1)] == a)
+                        linked[i] = 100 * both >= percent * (len(a) + len(b) - both)
+                yield batch.select(["a", "b"]).filter(pa.array(linked))
 
-    def run(batches):
-        for batch in batches:
-            if len(batch):
-                fit = batch.column(4).is_valid()
-                raw = pc.fill_null(batch.column(4), bytes(BINS)).cast(pa.large_binary())
-                counts = np.frombuffer(b"".join(raw.to_pylist()), np.uint8).reshape(-1, BINS)
-                may = may_link(batch.column(0).to_numpy(), batch.column(3).to_numpy(), counts, fit.to_numpy(zero_copy_only=False), percent)
-                yield batch.select(["bucket", "node", "n"]).filter(pa.array(may))
+        return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "_a", "_b"), run, "a binary, b binary")
 
-    dealt = members.select("bucket", "node", "n", "size", "bins").repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(tidy(run), "bucket long, node binary, n long")
+    return check
 
 
-def fuzzy_lines(docs: DataFrame, *, percent: int = 80, shingle: int = 8) -> DataFrame:
+def fuzzy_lines(docs: DataFrame, *, percent: int = 80, shingle: int = 5) -> DataFrame:
     """(doc_id, line, component, kept) of every line of every document.
 
     Lines are split at line feeds and count from 0. Two lines are linked when 100 *
@@ -230,23 +295,28 @@ def fuzzy_lines(docs: DataFrame, *, percent: int = 80, shingle: int = 8) -> Data
     """
     lines = stored(lines_of(docs))
     named = lines.where("node is not null and doc_id is not null")
-    w = W.partitionBy("bucket")
-    shared = _bands(docs.where("doc_id is not null"), shingle).withColumn("lo", F.min("key").over(w)).withColumn("hi", F.max("key").over(w)).withColumn("members", F.count("*").over(w))
-    shared = stored(shared.where("lo != hi").select("bucket", "key", "members").distinct())
-    keys = shared.select("key").distinct()
-    nodes = stored(named.join(keys, "key", "left_semi").groupBy("key", "node").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.max("n").alias("n")))
-    small = F.col("members") <= SMALL_BUCKET
-    spots = nodes.select("key", "at.doc_id", "at.line", "node")
-    sketches = stored(_sets(docs, spots.join(shared.where(small).select("key").distinct(), "key", "left_semi").select("doc_id", "line", "node"), shingle, sketch=True))
-    few = _bounded(shared.where(small).join(nodes, "key").join(sketches, "node"), percent)
-    members = stored(few.unionByName(shared.where(~small).join(nodes, "key").select("bucket", "node", "n")))
-    sets = stored(_sets(docs, spots.join(members.select("node").distinct(), "node", "left_semi").select("doc_id", "line", "node"), shingle))
-    roots = linked_roots(members, sets, percent)
-    placed = stored(named.select("doc_id", "line", "node").join(roots, "node", "left").select("doc_id", "line", F.coalesce("root", "node").alias("component")))
-    first = placed.groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("first"))
-    marked = placed.join(first, "component").select("doc_id", "line", "component", ((F.col("doc_id") == F.col("first.doc_id")) & (F.col("line") == F.col("first.line"))).alias("kept"))
-    rest = lines.where("node is null or doc_id is null").select("doc_id", "line", F.lit(None).cast("binary").alias("component"), F.lit(True).alias("kept"))
-    return marked.unionByName(rest)
+    parts = max(1, -(-named.count() * BANDS // PART))
+    shared = shared_buckets(docs.where("doc_id is not null"), shingle, parts).distinct()
+    # Equal lines are one node: partial aggregates take care of very common ones.
+    nodes = stored(named.groupBy("node", "key").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.max("n").alias("n"), F.count("*").alias("times")))
+    members = stored(shared.join(nodes.select("key", "node", "n", "at"), "key").drop("key"))
+    texts = stored(_texts(docs, members.select("node", "at.doc_id", "at.line").distinct()))
+
+    def expand(items: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+        return line_sets(items.to_list(), shingle)
+
+    roots = linked_roots(members.drop("at"), texts, percent, check=_checked(shingle, percent), expand=expand)
+    for df in (members, texts):
+        discard(df)
+
+    rooted = stored(roots.join(nodes.select("node", "at"), "node"))
+    first = stored(rooted.groupBy("root").agg(F.min("at").alias("first")))
+    placed = met(rooted.select("node", "root"), first, "root").select("node", F.col("root").alias("component"), "first")
+    # Lines that occur once and are linked with none are kept; the others need to know which is first.
+    several = stored(nodes.select("node", "at", "times").join(placed, "node", "left").where("times > 1 or component is not null").select("node", F.coalesce("component", "node").alias("component"), F.coalesce("first", "at").alias("first")))
+    marked = met(lines.select("doc_id", "line", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")), several, "node", "left")
+    kept = F.coalesce((F.col("doc_id") == F.col("first.doc_id")) & (F.col("line") == F.col("first.line")), F.lit(True))
+    return marked.select("doc_id", "line", F.coalesce("component", "node").alias("component"), kept.alias("kept"))
 
 
 def line_report(docs: DataFrame, **options) -> DataFrame:

@@ -17,7 +17,7 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     from overlace.llm.lines import line_report
 
-    return line_report(table(spark, sf_dir, "documents"), shingle=5)
+    return line_report(table(spark, sf_dir, "documents"))
 
 
 def op3_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def op4_token_indexed_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from overlace.llm.pii import pseudonyms
 
-    return pseudonyms(table(spark, sf_dir, "documents"))
+    return pseudonyms(table(spark, sf_dir, "documents"), key="public test key")  # a real key is a secret of the caller
 
 
 def op6_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
