@@ -2,13 +2,18 @@
 
 **Model.** Each byte of the lower-cased text (and an end symbol, byte 0xFF) is
 decomposed into eight binary decisions. Every node of that binary decision tree has a
-context tree over the classes of the preceding ``DEPTH`` bytes; each context keeps a
-Krichevsky-Trofimov estimate, and the estimates of all depths 0 to ``DEPTH`` are mixed
-with the context-tree weights. KT estimates depend on counts alone, so the weights of the
-whole training corpus come from one distributed count of (context, byte). A trained tree
-gives one number per (context, byte): the code table, at most
-``CLASSES ** DEPTH * 256`` floats (71 MB) whatever the corpus, which is what is
-broadcast. Scoring reads one entry a byte.
+context tree over the preceding ``DEPTH`` bytes; each context keeps a Krichevsky-Trofimov
+estimate, and the estimates of all depths 0 to ``DEPTH`` are mixed with the context-tree
+weights. KT estimates depend on counts alone, so the whole training corpus enters as one
+distributed count of codes, a code being a context and the byte that follows. The codes of
+all documents are in that table, those that were never trained on with the count 0.
+
+The trees are built in Spark tasks, one for the contexts that end in the same two bytes:
+bottom-up, a context's weighted probability from those of its longer ones; the sums for
+contexts of one byte and none, at most 65,280 rows, are joined on the driver; top-down,
+the probability of every code. The table of codes grows with the corpus. While it is small
+it is broadcast; beyond, documents are dealt to bundles of bounded size, and the distinct
+codes of each bundle are joined with the table by a shuffle.
 
 **Baseline.** Word counts of the training documents. Words of at least a threshold
 count, at most ``TOP_WORDS`` of them, go to the scorers; the document's other words are
@@ -24,38 +29,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from overlace.llm import kernels as K
-from overlace.llm.common import crc_mod, stored
-from overlace.llm.kernels import tidy
+from overlace.llm.common import crc_mod, map_batches, stored
 
-DEPTH = 3
+DEPTH = 5
 END = 255
 TOP_WORDS = 1 << 17
+#: Codes up to which the table is broadcast (12 bytes each); bytes of text in a bundle, about.
+TOP_CODES, BUNDLE = 5_000_000, 16 << 20
+#: Distinct codes that a task holds before it merges them.
+HELD = 2_000_000
 WORD = "[^\\x20\\x09-\\x0D]+"
 A_Z, A_Z_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _classes() -> np.ndarray:
-    """Context classes: each letter, space, other white space, digits, full stop, comma, other ASCII, first bytes, continuation bytes by their low three bits."""
-    kind = np.full(256, 31, np.int32)
-    kind[ord("a") : ord("z") + 1] = np.arange(26)
-    kind[ord(" ")] = 26
-    kind[[9, 10, 11, 12, 13, END]] = 27
-    kind[ord("0") : ord("9") + 1] = 28
-    kind[ord(".")], kind[ord(",")] = 29, 30
-    kind[0xC0:END] = 32
-    kind[0x80:0xC0] = 33 + (np.arange(0x80, 0xC0) & 7)
-    return kind
-
-
-KIND = _classes()
-CLASSES = int(KIND.max()) + 1
-CONTEXTS = CLASSES**DEPTH
-
-
 def codes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """context * 256 + byte at every position of every row, its end symbol included; row offsets.
 
-    Positions before a row's first byte count as the end symbol's class.
+    The byte before is the context's last one. Positions before a row's first byte count
+    as the end symbol.
     """
     n = len(at) - 1
     ends = at[1:] + np.arange(n)
@@ -63,27 +54,46 @@ def codes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = np.ones(len(line), bool)
     inside[ends] = False
     line[inside] = K.LOWER[data]
-    kind = KIND[line]
-    context = np.zeros(len(line), np.int32)
     first = at[:-1] + np.arange(n)
+    code = line.astype(np.int64)
     for back in range(1, DEPTH + 1):
-        past = np.full(len(line), KIND[END], np.int32)
-        past[back:] = kind[:-back]
+        past = np.full(len(line), END, np.int64)
+        past[back:] = line[:-back]
         for j in range(back):  # the row's first bytes: no look into the row before
             place = first + j
-            past[place[place < ends + 1]] = KIND[END]
-        context += past * np.int32(CLASSES ** (back - 1))
-    return context * np.int32(256) + line, np.append(first, len(line))
-
-
-def count_codes(columns) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct codes of text columns and how often each occurs."""
-    total = np.zeros(CONTEXTS * 256, np.int64)
-    for column in columns:
-        for _, _, part, where in K.chunks(*K.text_bytes(column)):
-            np.add.at(total, codes(part, where)[0].astype(np.int64), 1)
-    found = np.flatnonzero(total)
-    return found, total[found]
+            past[place[place < ends + 1]] = END
+        code |= past << 8 * back
+    return code, np.append(first, len(line))
+
+
+def _merged(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, ascending, and their summed counts."""
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    lead = np.flatnonzero(np.diff(code, prepend=-1))
+    return code[lead], np.add.reduceat(n, lead) if len(lead) else n
+
+
+def count_codes(batches):
+    """(code, n) of the codes of texts, and how often each occurs where ``learn`` is true; batches of (text, learn)."""
+    held, size = [], 0
+    for batch in batches:
+        learn = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        for low, high, part, where in K.chunks(*K.text_bytes(batch.column(0))):
+            code, at = codes(part, where)
+            flagged = np.sort(code << 1 | np.repeat(learn[low:high], np.diff(at)))
+            lead = np.flatnonzero(np.diff(flagged, prepend=-1))
+            flagged, n = flagged[lead], np.diff(np.append(lead, len(flagged)))
+            held.append((flagged >> 1, n * (flagged & 1)))
+            size += len(lead)
+            if size > HELD:
+                held = [_merged(*(np.concatenate(x) for x in zip(*held, strict=True)))]
+                size = len(held[0][0])
+                if size > HELD // 2:
+                    yield from held
+                    held, size = [], 0
+    if held:
+        yield _merged(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
 
 def _kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -107,89 +117,126 @@ def _log_gamma_half(n: np.ndarray) -> np.ndarray:
     return np.where(n < 16, small[np.minimum(n, 15)], series)
 
 
-def _decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(zeros, ones) of the 255 binary decisions, from counts[..., 256] of bytes.
+def _mask(depth: int) -> int:
+    return (1 << 8 * depth) - 1
 
-    Decision 2**d + p is the one taken after the d leading bits p.
-    """
-    zeros, ones = np.zeros((2, *counts.shape[:-1], 256), np.int64)
-    level = counts.astype(np.int64)
-    for depth in range(7, -1, -1):
-        pair = level.reshape(*level.shape[:-1], -1, 2)
-        zeros[..., 1 << depth : 2 << depth], ones[..., 1 << depth : 2 << depth] = pair[..., 0], pair[..., 1]
-        level = pair.sum(-1)
-    return zeros, ones
-
-
-def _byte_logs(p_one: np.ndarray) -> np.ndarray:
-    """log10 of each byte's probability, from the probability of a one at each decision."""
-    out = np.zeros((*p_one.shape[:-1], 1))
-    for depth in range(8):
-        p = p_one[..., 1 << depth : 2 << depth]
-        out = np.stack([out + np.log10(1 - p), out + np.log10(p)], -1).reshape(*p.shape[:-1], -1)
-    return out
-
-
-def build(code: np.ndarray, count: np.ndarray) -> dict:
-    """The code table: a row of 256 log10 probabilities for each context seen, and one for
-    each shorter context where the longer wasn't seen.
-
-    Bottom-up: log P_w of a context is log(P_kt/2 + prod P_w(longer)/2), at full depth
-    P_kt. Top-down: a decision's probability mixes KT and the longer context's by the
-    share that either has in P_w.
+
+def _tree(code: np.ndarray, n: np.ndarray, least: int) -> tuple[np.ndarray, list[dict]]:
+    """The binary decisions of the codes, eight each, and the nodes (context, decision) of depths ``DEPTH`` down to ``least``.
+
+    A level has keys (context * 256 + decision; decision 2**d + p is the one taken after
+    the d leading bits p), zeros, ones, ``weighted`` (log of the weighted probability),
+    ``share`` (the longer contexts' part in it) and ``child``, the place of each node of the
+    level below it in ``levels`` among its own. Returns (node of each decision, levels).
     """
-    context, byte = code // 256, code % 256
-    keys, tables = [None] * (DEPTH + 1), [None] * (DEPTH + 1)
-    for depth in range(DEPTH, -1, -1):
-        keys[depth], which = np.unique(context % CLASSES**depth, return_inverse=True)
-        tables[depth] = np.bincount(which * 256 + byte, weights=count, minlength=len(keys[depth]) * 256).astype(np.int64).reshape(-1, 256)
-    longer = [None] * (DEPTH + 1)
-    step, weighted = 2048, None
-    for depth in range(DEPTH, -1, -1):
-        kt = np.concatenate([_kt(*_decisions(tables[depth][i : i + step])) for i in range(0, len(keys[depth]), step)] or [np.zeros((0, 256))])
-        if depth == DEPTH:
-            weighted = kt
-        else:
-            parent = np.searchsorted(keys[depth], keys[depth + 1] % CLASSES**depth)
-            order = np.argsort(parent, kind="stable")
-            heads = np.flatnonzero(np.diff(parent[order], prepend=-1))
-            below = np.add.reduceat(weighted[order], heads) if len(heads) else np.zeros((0, 256))
-            longer[depth] = (1 / (1 + np.exp(np.clip(kt - below, -700, 700)))).astype(np.float32)
-            weighted = np.logaddexp(kt, below) - np.log(2)
-    # Top-down, the mixture with what stands above carried along: `rest` is the weight
-    # that is left for the longer context, `made` the probability of a one so far.
-    logs = [None] * (DEPTH + 1)
-    made, rest = np.zeros((1, 256), np.float32), np.ones((1, 256), np.float32)
-    if not len(keys[0]):
-        keys[0], tables[0], longer[0] = np.zeros(1, np.int64), np.zeros((1, 256), np.int64), np.zeros((1, 256), np.float32)
-    for depth in range(DEPTH + 1):
-        if depth:
-            parent = np.searchsorted(keys[depth - 1], keys[depth] % CLASSES ** (depth - 1))
-            made, rest = next_made[parent], next_rest[parent]
-        table = np.empty((len(keys[depth]), 256), np.float32)
-        next_made, next_rest = np.empty_like(table), np.empty_like(table)
-        for i in range(0, len(table), step):
-            zeros, ones = _decisions(tables[depth][i : i + step])
-            p = (ones + 0.5) / (zeros + ones + 1)
-            share = longer[depth][i : i + step] if depth < DEPTH else 0.0
-            m, r = made[i : i + step], rest[i : i + step]
-            # For a longer context that wasn't seen, its KT estimate is 1/2 at every depth below.
-            table[i : i + step] = _byte_logs(m + r * ((1 - share) * p + share * 0.5)) if depth < DEPTH else _byte_logs(m + r * p)
-            next_made[i : i + step], next_rest[i : i + step] = m + r * (1 - share) * p, r * share
-        logs[depth] = table
-    starts = np.cumsum([0, *(len(k) for k in keys)])
-    index = np.zeros(1, np.int32)
-    for depth in range(1, DEPTH + 1):
-        index = np.tile(index, CLASSES)
-        index[keys[depth]] = starts[depth] + np.arange(len(keys[depth]))
-    return {"index": index, "table": np.concatenate(logs)}
-
-
-def log10_probability(data: np.ndarray, at: np.ndarray, model: dict) -> np.ndarray:
+    byte, context = code & 255, code >> 8
+    step = np.arange(8)
+    decision = (1 << step) | (byte[:, None] >> (8 - step))
+    bit = (byte[:, None] >> (7 - step)) & 1
+    keys, node = np.unique((context[:, None] << 8 | decision).ravel(), return_inverse=True)
+    count = np.repeat(n, 8)
+    ones = np.bincount(node, weights=count * bit.ravel(), minlength=len(keys)).astype(np.int64)
+    zeros = np.bincount(node, weights=count, minlength=len(keys)).astype(np.int64) - ones
+    levels = [{"keys": keys, "zeros": zeros, "ones": ones, "weighted": _kt(zeros, ones), "share": np.zeros(len(keys))}]
+    for depth in range(DEPTH - 1, least - 1, -1):
+        below = levels[-1]
+        keys, child = np.unique(((below["keys"] >> 8) & _mask(depth)) << 8 | (below["keys"] & 255), return_inverse=True)
+        add = lambda x: np.bincount(child, weights=x, minlength=len(keys))  # noqa: B023, E731
+        zeros, ones, longer = add(below["zeros"]).astype(np.int64), add(below["ones"]).astype(np.int64), add(below["weighted"])
+        kt = _kt(zeros, ones)
+        levels.append({"keys": keys, "zeros": zeros, "ones": ones, "weighted": np.logaddexp(kt, longer) - np.log(2), "share": 1 / (1 + np.exp(np.clip(kt - longer, -700, 700))), "child": child})
+    return node, levels
+
+
+def _down(level: dict, made: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The mixture's part above a level (``made``, the probability of a one so far, and ``rest``, the weight left) taken below it."""
+    p = (level["ones"] + 0.5) / (level["zeros"] + level["ones"] + 1)
+    return made + rest * (1 - level["share"]) * p, rest * level["share"]
+
+
+def sums_of_two(table: pa.Table) -> pa.Table:
+    """(context, decision, zeros, ones, weighted) of contexts of one byte, as far as the codes of one ending of two bytes go."""
+    top = _tree(table.column("code").to_numpy(), table.column("n").to_numpy(), 2)[1][-1]
+    return pa.table({"context": (top["keys"] >> 8) & 255, "decision": top["keys"] & 255, "zeros": top["zeros"], "ones": top["ones"], "weighted": top["weighted"]})
+
+
+def upper(context: np.ndarray, decision: np.ndarray, zeros: np.ndarray, ones: np.ndarray, longer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``made`` and ``rest`` below the contexts of one byte, arrays [last byte, decision], from the sums over those of two."""
+    level = {"zeros": np.zeros((256, 256), np.int64), "ones": np.zeros((256, 256), np.int64), "below": np.zeros((256, 256))}
+    for name, values in (("zeros", zeros), ("ones", ones), ("below", longer)):
+        level[name][context, decision] = values
+
+    def weigh(level: dict) -> None:
+        kt = _kt(level["zeros"], level["ones"])
+        level["share"] = 1 / (1 + np.exp(np.clip(kt - level["below"], -700, 700)))
+        level["weighted"] = np.logaddexp(kt, level["below"]) - np.log(2)
+
+    weigh(level)
+    root = {"zeros": level["zeros"].sum(0), "ones": level["ones"].sum(0), "below": level["weighted"].sum(0)}
+    weigh(root)
+    return _down(level, *(np.broadcast_to(x, (256, 256)) for x in _down(root, np.zeros(256), np.ones(256))))
+
+
+def log_probabilities(code: np.ndarray, n: np.ndarray, made: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each code's byte in its context, of the codes of one ending of two bytes."""
+    node, levels = _tree(code, n, 2)
+    top = levels[-1]["keys"]
+    m, r = made[(top >> 8) & 255, top & 255], rest[(top >> 8) & 255, top & 255]
+    for level in reversed(levels[1:]):
+        m, r = _down(level, m, r)
+        m, r = m[level["child"]], r[level["child"]]
+    one = _down(levels[0], m, r)[0][node].reshape(-1, 8)
+    bit = ((code[:, None] & 255) >> (7 - np.arange(8))) & 1
+    return np.log10(np.where(bit == 1, one, 1 - one)).sum(1)
+
+
+def code_table(docs: DataFrame) -> DataFrame:
+    """(code, logp) of every code of the documents (text, learn), learned from the rows where ``learn`` is true."""
+
+    def count(batches):
+        for found, n in count_codes(batches):
+            for low in range(0, len(found), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(found[low : low + (1 << 16)]), pa.array(n[low : low + (1 << 16)])], names=["code", "n"])
+
+    counted = stored(map_batches(docs.select("text", "learn"), count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")))
+    by_ending = lambda: counted.groupBy(F.shiftright("code", 8).bitwiseAND(0xFFFF).alias("ending"))
+    sums = by_ending().applyInArrow(sums_of_two, "context long, decision long, zeros long, ones long, weighted double")
+    top = sums.groupBy("context", "decision").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("weighted")).toPandas()  # at most 256 * 255 rows
+    made, rest = upper(*(top[c].to_numpy() for c in ("context", "decision", "zeros", "ones", "weighted")))
+
+    def solve(table: pa.Table) -> pa.Table:
+        code = table.column("code").to_numpy()
+        return pa.table({"code": code, "logp": log_probabilities(code, table.column("n").to_numpy(), made, rest).astype(np.float32)})
+
+    return stored(by_ending().applyInArrow(solve, "code long, logp float"))
+
+
+class Lookup:
+    """The values of codes, by a hash that names the code's place or one shortly before it."""
+
+    def __init__(self, code: np.ndarray, logp: np.ndarray):
+        self.shift = np.uint64(64 - max(1, len(code).bit_length()))
+        place = self._place(code)
+        order = np.argsort(place, kind="stable")
+        self.code, self.logp = code[order], logp[order]
+        self.first = np.searchsorted(place[order], np.arange((1 << 64 - int(self.shift)) + 1)).astype(np.int32)
+
+    def _place(self, code: np.ndarray) -> np.ndarray:
+        return ((code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, code: np.ndarray) -> np.ndarray:
+        at = self.first[self._place(code)]
+        left = np.flatnonzero(self.code[at] != code)
+        while len(left):  # every code is in the table
+            at[left] += 1
+            left = left[self.code[at[left]] != code[left]]
+        return self.logp[at]
+
+
+def log10_probability(data: np.ndarray, at: np.ndarray, lookup) -> np.ndarray:
     """log10 of the model's probability of each row, its end symbol included."""
     code, where = codes(data, at)
-    each = model["table"].ravel()[model["index"][code >> 8] * 256 + (code & 255)]
-    return np.add.reduceat(each.astype(np.float64), where[:-1]) if len(where) > 1 else np.zeros(0)
+    return np.add.reduceat(lookup(code).astype(np.float64), where[:-1]) if len(where) > 1 else np.zeros(0)
 
 
 def _rows_of_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, pa.Array]:
@@ -202,6 +249,64 @@ def _rows_of_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, pa.Arr
     return rows, pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(where), pa.py_buffer(line)])
 
 
+COLUMNS = ("row", "doc_id", "word", "n_tokens", "n_known", "base", "score", "bytes")
+
+
+def _scorer(ids: pa.DataType, known: pa.Array, c_of: np.ndarray, n_end: int, below: float):
+    """A function of (first row number, doc_ids, texts, lookup) that yields batches of ``COLUMNS``: one
+    row a text and one for each of its words that isn't ``known``, with the word's count in n_tokens."""
+    types = (pa.int64(), ids, pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
+
+    def batch_of(n: int, *values) -> pa.RecordBatch:
+        made = [pa.nulls(n, t) if x is None else x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, t) for x, t in zip(values, types, strict=True)]
+        return pa.RecordBatch.from_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in made], names=list(COLUMNS))
+
+    def run(row: int, doc_ids, texts, lookup):
+        for low, high, part, where in K.chunks(*K.text_bytes(texts)):
+            n = high - low
+            lower = K.LOWER[part]
+            rows, text = _rows_of_words(lower, where)
+            coded = text.dictionary_encode()
+            which = coded.indices.to_numpy()
+            c = c_of[pc.fill_null(pc.index_in(coded.dictionary, known), len(known)).to_numpy()[which]]
+            hit = c > 0
+            tokens = np.bincount(rows, minlength=n) + 1
+            base = K.row_sums(np.log10(c + 0.5) * hit, rows, n) + np.log10(n_end + 0.5) - tokens * below
+            yield batch_of(
+                n, row + low + np.arange(n), doc_ids.slice(low, n), None, tokens, K.row_sums(hit, rows, n).astype(np.int64) + (n_end > 0), base,
+                log10_probability(part, where, lookup), np.diff(where) + 1,
+            )
+            key, times = np.unique(rows[~hit] * len(coded.dictionary) + which[~hit], return_counts=True)
+            if len(key):
+                rare, word = key // len(coded.dictionary), key % len(coded.dictionary)
+                yield batch_of(len(key), row + low + rare, None, coded.dictionary.take(pa.array(word)), times, None, None, None, None)
+
+    return run
+
+
+def _in_bundles(docs: DataFrame, table: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` over bundles of documents, each with the codes that occur in it: by shuffle joins, for a table of any size."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    dealt = stored(docs.withColumn("task", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-size // BUNDLE)))).cast("int")))
+
+    def distinct(bundle: pa.Table) -> pa.Table:
+        parts = [np.unique(codes(part, where)[0]) for _, _, part, where in K.chunks(*K.text_bytes(bundle.column("text")))]
+        found = np.unique(np.concatenate(parts))
+        return pa.table({"task": np.full(len(found), bundle.column("task")[0].as_py(), np.int32), "code": found})
+
+    wanted = dealt.groupBy("task").applyInArrow(distinct, "task int, code long")
+    given = stored(wanted.join(table, "code"))
+
+    def scored(texts: pa.Table, values: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return pa.table({})
+        lookup = Lookup(values.column("code").to_numpy(), values.column("logp").to_numpy())
+        found = pa.Table.from_batches(list(run(0, texts.column("doc_id").combine_chunks(), texts.column("text"), lookup)))
+        return found.append_column("task", pa.array(np.full(found.num_rows, texts.column("task")[0].as_py(), np.int32)))
+
+    return dealt.groupBy("task").cogroup(given.groupBy("task")).applyInArrow(scored, f"{schema}, task int")
+
+
 def score(docs: DataFrame, *, folds: int = 5, held: int = 1) -> DataFrame:
     """Score every text: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
@@ -214,16 +319,7 @@ def score(docs: DataFrame, *, folds: int = 5, held: int = 1) -> DataFrame:
     spark = docs.sparkSession
     held_out = F.coalesce(crc_mod("doc_id", folds) == held, F.lit(False))
     training = docs.where(~held_out).select("text")
-
-    def count(batches):
-        found = pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in count_codes(b.column(0) for b in batches)], names=["code", "n"])
-        for low in range(0, len(found), 1 << 16):
-            yield found.slice(low, 1 << 16)
-
-    counted = training.mapInArrow(tidy(count), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    grams = counted.toPandas()  # at most CLASSES ** DEPTH * 256 rows, whatever the corpus
-    model = spark.sparkContext.broadcast(build(grams["code"].to_numpy(np.int64), grams["n"].to_numpy(np.int64)))
-    del grams
+    table = code_table(docs.select("text", (~held_out).alias("learn")))
 
     lowered = F.translate(F.coalesce("text", F.lit("")), A_Z, A_Z_LOWER)
     vocabulary = stored(training.select(F.explode(F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("c")))
@@ -237,49 +333,36 @@ def score(docs: DataFrame, *, folds: int = 5, held: int = 1) -> DataFrame:
             break
         threshold = 2 ** r["power"]
     frequent = vocabulary.where(F.col("c") >= threshold).toPandas() if threshold else None
-    top = spark.sparkContext.broadcast((pa.array([] if frequent is None else frequent["word"], pa.string()), np.append(np.zeros(0, np.int64) if frequent is None else frequent["c"].to_numpy(np.int64), 0)))
+    known = pa.array([] if frequent is None else frequent["word"], pa.string())
+    c_of = np.append(np.zeros(0, np.int64) if frequent is None else frequent["c"].to_numpy(np.int64), 0)
+    top = spark.sparkContext.broadcast((known, c_of))
     below = np.log10(n_all + 0.5 * (v_all + 1))
 
-    def run(batches):
-        row = 0
-        known, c_of = top.value
-        for batch in batches:
-            data, at = K.text_bytes(batch.column(1))
-            for low, high, part, where in K.chunks(data, at):
-                n = high - low
-                lower = K.LOWER[part]
-                rows, text = _rows_of_words(lower, where)
-                coded = text.dictionary_encode()
-                which = coded.indices.to_numpy()
-                found = pc.fill_null(pc.index_in(coded.dictionary, known), len(known)).to_numpy()[which]
-                c = c_of[found]
-                hit = c > 0
-                tokens = np.bincount(rows, minlength=n) + 1
-                base = K.row_sums(np.log10(c + 0.5) * hit, rows, n) + np.log10(n_end + 0.5) - tokens * below
-                yield _batch(
-                    pa.array(np.arange(row, row + n)), batch.column(0).slice(low, n), None, tokens, K.row_sums(hit, rows, n).astype(np.int64) + (n_end > 0), base,
-                    log10_probability(part, where, model.value), np.diff(where) + 1,
-                )
-                key, times = np.unique(rows[~hit] * len(coded.dictionary) + which[~hit], return_counts=True)
-                if len(key):
-                    rare, word = key // len(coded.dictionary), key % len(coded.dictionary)
-                    yield _batch(pa.array(row + rare), None, coded.dictionary.take(pa.array(word)), times, None, None, None, None)
-                row += n
-
-    kind = docs.schema["doc_id"].dataType
-    arrow = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind.simpleString()]
-
-    def _batch(row, ids, word, tokens, n_known, base, score_, size):
-        n = len(row)
-        make = lambda x, t: pa.nulls(n, t) if x is None else x if isinstance(x, pa.Array) else pa.array(x, t)
-        return pa.RecordBatch.from_arrays(
-            [row.cast(pa.int64()), make(ids, arrow), make(word, pa.string()), make(tokens, pa.int64()), make(n_known, pa.int64()), make(base, pa.float64()), make(score_, pa.float64()), make(size, pa.int64())],
-            names=["row", "doc_id", "word", "n_tokens", "n_known", "base", "score", "bytes"],
-        )
-
-    # A document is known by the task that read it and its place there.
-    parts = docs.select("doc_id", "text").mapInArrow(tidy(run), f"row long, doc_id {kind.simpleString()}, word string, n_tokens long, n_known long, base double, score double, bytes long")
-    parts = stored(parts.withColumn("task", F.spark_partition_id()))
+    # A document is known by the task, or bundle, that read it and its place there.
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"row long, doc_id {kind}, word string, n_tokens long, n_known long, base double, score double, bytes long"
+    texts = docs.select("doc_id", "text")
+    if table.count() <= TOP_CODES:
+        pairs = table.toArrow()
+        model = spark.sparkContext.broadcast((pairs.column("code").to_numpy(), pairs.column("logp").to_numpy()))
+        del pairs
+
+        def run(batches):
+            row, lookup, scorer = 0, None, None
+            for batch in batches:
+                if lookup is None:
+                    lookup, scorer = Lookup(*model.value), _scorer(batch.column(0).type, *top.value, n_end, below)
+                yield from scorer(row, batch.column(0), batch.column(1), lookup)
+                row += len(batch)
+
+        parts = map_batches(texts, run, schema).withColumn("task", F.spark_partition_id())
+    else:
+
+        def run(row, doc_ids, column, lookup):
+            return _scorer(doc_ids.type, *top.value, n_end, below)(row, doc_ids, column, lookup)
+
+        parts = _in_bundles(texts, table, run, schema)
+    parts = stored(parts)
     rare = parts.where("word is not null").select("task", "row", "word", F.col("n_tokens").alias("times"))
     looked_up = rare.join(vocabulary, "word", "left").groupBy("task", "row").agg(
         F.sum(F.when(F.col("c").isNotNull(), F.col("times"))).alias("more"),
@@ -291,4 +374,3 @@ def score(docs: DataFrame, *, folds: int = 5, held: int = 1) -> DataFrame:
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), "score", (-F.col("score") / np.log10(2) / F.col("bytes")).alias("bits_per_byte"),
     )
-
