@@ -13,9 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from overlace.llm.common import is_small, stored
+from overlace.llm.common import met, stored
 
-BROADCAST_ROWS = 300_000
 TOKEN = "[a-z0-9]+"
 
 
@@ -43,10 +42,10 @@ def host_rule(name: str, verdict: str) -> Rule:
 
 #: The longest rule wins; none of these patterns is ever overruled by the method's own.
 HOST_RULES = (host_rule("net/", "block"), host_rule("example.net/en/", "allow"), host_rule("example.com/de/", "block"), host_rule("org/fr/", "allow"))
-#: Host labels of advertising, spam and doubtful shops, and the tokens that every such label holds.
-PATTERN_RULES = tuple(
-    Rule(f"{a}-{b}", rf"^([^/]*[.])?{a}-?{b}[.]", "block", (a, b)) for a, b in (("spam", "farm"), ("cheap", "pills"), ("ads", "track"), ("free", "casino"), ("adult", "cam"))
-)
+#: Host labels of advertising, spam and doubtful shops; each is a rule with a hyphen and a rule
+#: without one, as their tokens differ.
+LABELS = (("spam", "farm"), ("cheap", "pills"), ("ads", "track"), ("free", "casino"), ("adult", "cam"))
+PATTERN_RULES = tuple(Rule(join.join(label), rf"^([^/]*[.])?{join.join(label)}[.]", "block", label if join else ("".join(label),)) for label in LABELS for join in ("-", ""))
 
 
 def split_url(url: str = "url") -> tuple:
@@ -68,7 +67,8 @@ def filter_urls(pages: DataFrame, rules=HOST_RULES + PATTERN_RULES, default: str
 
     A null url, or one without ``://``, has an empty host and path and gets the default.
     Ties between rules of one rank and length go to the smaller name. Repeated rows are
-    all returned. A rule without literal tokens is a candidate for every url. An empty
+    all returned. A rule without literal tokens is a candidate for every url. The tokens of
+    a rule must stand, as whole tokens, in every url that its pattern matches. An empty
     table gives an empty result.
     """
     spark = pages.sparkSession
@@ -76,20 +76,22 @@ def filter_urls(pages: DataFrame, rules=HOST_RULES + PATTERN_RULES, default: str
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
     targets = urls.select(F.concat("host", "path").alias("target")).distinct()
     lowered = F.translate("target", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    tokens = stored(targets.select("target", F.explode(F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all(lowered, F.lit(TOKEN), F.lit(0))))).alias("token")))
+    own = F.regexp_extract_all(lowered, F.lit(TOKEN), F.lit(0))
+    if not all(r.tokens for r in rules):  # the empty token fetches rules that have none
+        own = F.concat(F.array(F.lit("")), own)
+    tokens = stored(targets.select("target", F.explode(F.array_distinct(own)).alias("token")))
 
     listed = spark.createDataFrame([(r.name, r.pattern, r.verdict, r.rank, t) for r in rules for t in r.tokens or ("",)], "name string, pattern string, verdict string, rank int, token string")
-    small = is_small(listed, BROADCAST_ROWS)
-    counts = tokens.join(F.broadcast(listed.select("token").distinct()) if small else listed.select("token").distinct(), "token", "left_semi").groupBy("token").count()
+    counts = met(tokens, listed.select("token").distinct(), "token", "left_semi").groupBy("token").count()
     rarest = listed.join(counts, "token", "left").groupBy("name", "pattern", "verdict", "rank").agg(F.min(F.struct(F.coalesce("count", F.lit(0)), "token")).alias("least"))
     index = stored(rarest.select("name", "pattern", "verdict", "rank", F.col("least.token").alias("token")))
 
-    candidates = tokens.join(F.broadcast(index) if small else index, "token").where(F.expr("target RLIKE pattern"))
+    candidates = met(tokens, index, "token").where(F.expr("target RLIKE pattern"))
     order = F.struct("rank", F.length("name").alias("length"), "name", "verdict")
     # Of equal length the smaller name: max over the rest, then min over the names that reach it.
     best = candidates.groupBy("target").agg(F.max(F.struct("rank", F.length("name").alias("length"))).alias("best"), F.collect_set(order).alias("all"))
-    won = best.select("target", F.array_min(F.filter("all", lambda x: (x["rank"] == F.col("best.rank")) & (x["length"] == F.col("best.length")))).alias("w"))
-    out = urls.withColumn("target", F.concat("host", "path")).join(won, "target", "left")
+    won = stored(best.select("target", F.array_min(F.filter("all", lambda x: (x["rank"] == F.col("best.rank")) & (x["length"] == F.col("best.length")))).alias("w")))
+    out = met(urls.withColumn("target", F.concat("host", "path")), won, "target", "left")
     return out.select("page_id", "host", "path", F.when(F.col("w.rank") > 0, F.col("w.name")).alias("rule"), F.coalesce("w.verdict", F.lit(default)).alias("verdict"))
 
 
