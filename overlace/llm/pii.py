@@ -16,12 +16,13 @@ import datetime
 import hashlib
 import hmac
 import re
+from bisect import bisect_left, insort
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from overlace.llm.kernels import tidy
+from overlace.llm.common import map_batches
 
 ROUNDS = 8
 DIGITS, HEX, UPPER, LOWER = "0123456789", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyz"
@@ -102,24 +103,42 @@ def _address(text: str, key: bytes) -> str | None:
     return ".".join(str(b) for b in value.to_bytes(4, "big"))
 
 
+#: Places of year, month and day in the dates that are known, and how they are written.
+DATES = (("([0-9]{4})-([0-9]{2})-([0-9]{2})", (1, 2, 3), "{0:04d}-{1:02d}-{2:02d}"), ("([0-9]{4})/([0-9]{2})/([0-9]{2})", (1, 2, 3), "{0:04d}/{1:02d}/{2:02d}"), ("([0-9]{2})\\.([0-9]{2})\\.([0-9]{4})", (3, 2, 1), "{2:02d}.{1:02d}.{0:04d}"))
+
+
 def _date(text: str, key: bytes) -> str | None:
+    """A day's pseudonym is the same day in every way of writing dates."""
+    found, places, written = next((m, places, written) for pattern, places, written in DATES if (m := re.fullmatch(pattern, text)))
     try:
-        day = datetime.date.fromisoformat(text).toordinal()
+        day = datetime.date(*(int(found[p]) for p in places)).toordinal()
     except ValueError:
         return None
     if not FIRST_DAY <= day <= LAST_DAY:
         return None
-    return datetime.date.fromordinal(FIRST_DAY + permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date")).isoformat()
+    made = datetime.date.fromordinal(FIRST_DAY + permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date"))
+    return written.format(made.year, made.month, made.day)
 
 
 def _phone(text: str, key: bytes) -> str | None:
-    digits = re.sub("[^0-9]", "", text)
-    return _shaped(text, in_alphabet(digits, DIGITS, key, "phone"), DIGITS)
+    """An international number of 8 to 15 digits keeps its country code; of one in brackets all digits change."""
+    head = re.match(r"\+[0-9]{1,3}", text)
+    code = head[0] if head else ""
+    digits = re.sub("[^0-9]", "", text[len(code) :])
+    if code and (code[1] == "0" or not 8 <= len(code) - 1 + len(digits) <= 15):
+        return None
+    return code + _shaped(text[len(code) :], in_alphabet(digits, DIGITS, key, f"phone{code}"), DIGITS)
+
+
+def _cased(text: str, new: str) -> str:
+    """``new`` with the capitals where ``text`` has them."""
+    return "".join(n.upper() if c.isupper() else n for c, n in zip(text, new, strict=True))
 
 
 def _email(text: str, key: bytes) -> str | None:
+    """Runs of letters and of digits change, capitals stay where they are, and so does the last label."""
     local, _, domain = text.rpartition("@")
-    swap = lambda m: in_alphabet(m[0].lower(), DIGITS if m[0].isdigit() else LOWER, key, "email")
+    swap = lambda m: _cased(m[0], in_alphabet(m[0].lower(), DIGITS if m[0].isdigit() else LOWER, key, "email"))
     host, _, top = domain.rpartition(".")
     return f"{re.sub('[0-9]+|[A-Za-z]+', swap, local)}@{re.sub('[0-9]+|[A-Za-z]+', swap, host)}.{top}"
 
@@ -142,9 +161,9 @@ RULES = (
     (NAMES, r"(?i:\b(?:password|passwd|pwd|token|secret|api_?key)\s*[=:]\s*[\"']?)[A-Za-z0-9]{6,}|\bAKIA[0-9A-Z]{16}\b", _secret),
     (("@",), r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _email),
     ((), r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban),
-    (("+",), r"\+[0-9]{1,3}[ -]?\(?[0-9]{2,4}\)?[ -]?[0-9]{3}[ -]?[0-9]{4}(?![0-9])", _phone),
+    (("+", ") "), r"\+[0-9]{1,3}[ -]?\(?[0-9]{2,4}\)?[ -]?[0-9]{3}[ -]?[0-9]{4}(?![0-9])|(?<![0-9] )\([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])", _phone),
     ((".",), r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])", _address),
-    (("-",), r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])", _date),
+    (("-", "/", "."), r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])|(?<![0-9/])[0-9]{4}/[0-9]{2}/[0-9]{2}(?![0-9/])|(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9]|\.[0-9])", _date),
     ((), r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])", _card),
 )
 #: Numbers in groups, whose pattern may run on into the next number: shorter ends and later starts are tried.
@@ -159,7 +178,11 @@ def _found(text: str, pattern: re.Pattern, make, key: bytes, taken: list) -> Non
     and overlap, the longest counts.
     """
     at, passed = 0, []
-    free = lambda begin, end: all(end <= b or e <= begin for b, e, _ in taken)
+
+    def free(begin: int, end: int) -> bool:  # `taken` is sorted and its spans are apart
+        i = bisect_left(taken, (end,))
+        return not i or taken[i - 1][1] <= begin
+
     while match := pattern.search(text, at):
         begin, end = match.span()
         ends, at = [end], end
@@ -169,7 +192,7 @@ def _found(text: str, pattern: re.Pattern, make, key: bytes, taken: list) -> Non
         passed += [(begin - e, begin, e, made) for e in ends if free(begin, e) and (made := make(text[begin:e], key)) is not None]
     for _, begin, end, made in sorted(passed):
         if free(begin, end):
-            taken.append((begin, end, made))
+            insort(taken, (begin, end, made))
 
 
 def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, int]:
@@ -182,13 +205,13 @@ def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, int]:
             continue
         _found(text, pattern, make, key, taken)
     out, at = [], 0
-    for begin, end, made in sorted(taken):
+    for begin, end, made in taken:
         out += text[at:begin], made
         at = end
     return "".join(out) + text[at:], len(taken)
 
 
-def pseudonyms(docs: DataFrame, *, key: str = "public test key") -> DataFrame:
+def pseudonyms(docs: DataFrame, *, key: str) -> DataFrame:
     """doc_id, text, n_replaced for every document; the text has pseudonyms for its values.
 
     ``docs``: doc_id, text and any other columns. Null text stays null, empty text empty,
@@ -209,4 +232,4 @@ def pseudonyms(docs: DataFrame, *, key: str = "public test key") -> DataFrame:
                 made = [pseudonymise(t, secret) if m else (t, 0) for t, m in zip(texts.to_pylist(), may.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([t for t, _ in made], pa.string()), pa.array([n for _, n in made], pa.int32())], names=["doc_id", "text", "n_replaced"])
 
-    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {kind}, text string, n_replaced int")
+    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {kind}, text string, n_replaced int")
