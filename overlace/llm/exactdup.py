@@ -15,11 +15,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from overlace.llm.common import is_small, stored
+from overlace.llm.common import met, stored
 from overlace.llm.kernels import mix
 
-#: Distinct digests to a bucket, about; rows up to which a set of digests is broadcast.
-BUCKET, BROADCAST_ROWS = 50_000, 300_000
+#: Distinct digests to a bucket, about.
+BUCKET = 50_000
 
 
 def _slots(keys: np.ndarray, seed: int, length: int, segments: int) -> tuple[np.ndarray, np.ndarray]:
@@ -127,11 +127,15 @@ def exact_duplicates(incoming: DataFrame, snapshot: DataFrame | None = None, *,
     rows = stored(both.select("doc_id", "new", sha.alias("text_sha256")).withColumn("digest", digest_of(F.col("text_sha256"))))
     per_digest = (F.count("*").alias("n"), F.max("doc_id").alias("top"))
     new_groups = rows.where("new").groupBy("digest").agg(*per_digest)
-    old_groups = stored(rows.where("not new").groupBy("digest").agg(*per_digest))
-    buckets = max(1, -(-old_groups.count() // bucket))
+    new_groups, old_groups = stored(new_groups), stored(rows.where("not new").groupBy("digest").agg(*per_digest))
+    # Both sides of a bucket are bounded; digests of buckets without a filter are new.
+    buckets = max(1, -(-max(old_groups.count(), new_groups.count()) // bucket))
     filters = stored(build_filters(old_groups, buckets))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    screened = stored(bucketed(new_groups, buckets).groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(_screen, f"digest string, n long, top {kind}, maybe boolean"))
+    known, dealt = filters.select("bucket"), bucketed(new_groups, buckets)
+    screened = met(dealt, known, "bucket", "left_semi").groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(_screen, f"digest string, n long, top {kind}, maybe boolean")
+    fresh = met(dealt, known, "bucket", "left_anti").select("digest", "n", "top", F.lit(False).alias("maybe"))
+    screened = stored(screened.select("digest", "n", "top", "maybe").unionByName(fresh))
 
     found = old_groups.select("digest", F.col("n").alias("n_old"), F.col("top").alias("top_old"))
     positive = screened.where("maybe").join(found, "digest", "left")
@@ -143,11 +147,11 @@ def exact_duplicates(incoming: DataFrame, snapshot: DataFrame | None = None, *,
     # no pairs, and partial aggregates shrink a large group before the shuffle.
     repeated = groups.where("n > 1").select("digest")
     texts = both.select("doc_id", text.alias("text"), sha.alias("text_sha256")).withColumn("digest", digest_of(F.col("text_sha256")))
-    checked = texts.select("digest", "text").join(F.broadcast(repeated) if is_small(repeated, BROADCAST_ROWS) else repeated, "digest", "left_semi")
+    checked = met(texts.select("digest", "text"), repeated, "digest", "left_semi")
     unequal = stored(checked.groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high")).where("low != high").select("digest"))
     if unequal.limit(1).count():
         apart = texts.join(unequal, "digest", "left_semi")
-        by_text = apart.groupBy("digest", "text").agg(*per_digest)
+        by_text = stored(apart.groupBy("digest", "text").agg(*per_digest))  # a table, so that a hot text's rows can be split
         out = rows.join(unequal, "digest", "left_anti").join(groups, "digest").select("doc_id", "text_sha256", "n", "top")
         out = out.unionByName(apart.join(by_text, ["digest", "text"]).select("doc_id", "text_sha256", "n", "top"))
     else:
