@@ -14,13 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from overlace.llm.common import is_small, stored
+from overlace.llm.common import is_small, met, stored
 
 WINDOW, GRAM = 13, 6
 SPAN = WINDOW - GRAM + 1
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-#: Rows up to which a side of a join is broadcast; beyond, the join shuffles.
-BROADCAST_ROWS = 300_000
 
 
 def let(value: Column, body) -> Column:
@@ -52,21 +50,22 @@ def fingerprints(words: Column, lengths: list[int]) -> Column:
     return found
 
 
-def windows_at(words: Column, hits: Column, size: int, reach: int) -> Column:
-    """(start, size) of the windows that hold a gram of ``size - reach`` words whose hash is among ``hits``."""
-    places = let(
-        grams(words, size - reach),
-        lambda hashes: F.filter(F.when(F.size(hashes) > 0, F.sequence(F.lit(1), F.size(hashes))).otherwise(F.array().cast("array<int>")), lambda i: F.array_contains(hits, F.get(hashes, i - 1))),
-    )
+def among(hits: Column) -> Column:
+    """``hits`` in about sqrt(size) slots by remainder, so that looking one up doesn't scan them all."""
+    number = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(hits))).cast("int"))
+    return let(number, lambda m: F.transform(F.sequence(F.lit(0), m - 1), lambda slot: F.filter(hits, lambda h: F.pmod(h, m) == slot)))
+
+
+def windows_at(words: Column, slots: Column, size: int, reach: int) -> Column:
+    """(start, size) of the windows that hold a gram of ``size - reach`` words whose hash is in ``slots``."""
+    every = lambda hashes: F.when(F.size(hashes) > 0, F.sequence(F.lit(1), F.size(hashes))).otherwise(F.array().cast("array<int>"))
+    known = lambda h: F.array_contains(F.get(slots, F.pmod(h, F.size(slots)).cast("int")), h)
+    places = let(grams(words, size - reach), lambda hashes: F.filter(every(hashes), lambda i: known(F.get(hashes, i - 1))))
     last = F.size(words) - (size - 1)
     around = F.transform(F.filter(places, lambda p: last >= 1), lambda p: F.sequence(F.greatest(F.lit(1), F.least(p - reach, last)), F.least(p, last)))
     return F.transform(F.array_distinct(F.flatten(around)), lambda s: F.struct(s.alias("start"), F.lit(size).alias("size")))
 
 
-def _met(df: DataFrame, other: DataFrame, on: str, how: str = "inner") -> DataFrame:
-    return df.join(F.broadcast(other) if is_small(other, BROADCAST_ROWS) else other, on, how)
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every document.
 
@@ -93,16 +92,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             let(words_of("text"), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), fingerprints(w, lengths).alias("marks"))).alias("w"),
         ).select("doc_id", "text_hash", "w.*")
     )
-    hits = stored(_met(read.select("doc_id", "text_hash", F.explode("marks").alias("mark")), marks, "mark").groupBy("doc_id", "text_hash").agg(F.collect_set("mark").alias("hits")))
-    few = F.broadcast(hits) if is_small(hits, BROADCAST_ROWS) else hits
+    hits = stored(met(read.select("doc_id", "text_hash", F.explode("marks").alias("mark")), marks, "mark").groupBy("doc_id", "text_hash").agg(F.collect_set("mark").alias("hits")))
+    few = F.broadcast(hits) if is_small(hits) else hits
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
     # A document's key is its id and text, so repeated rows give their windows once.
-    met = seen.join(few, same(seen, few)).select(seen["doc_id"], seen["text_hash"], words_of("text").alias("words"), "hits")
-    around = windows_at(F.col("words"), F.col("hits"), WINDOW, WINDOW - GRAM)
+    hit = seen.join(few, same(seen, few)).select(seen["doc_id"], seen["text_hash"], words_of("text").alias("words"), among(F.col("hits")).alias("slots"))
+    around = windows_at(F.col("words"), F.col("slots"), WINDOW, WINDOW - GRAM)
     for n in lengths:
-        around = F.concat(around, windows_at(F.col("words"), F.col("hits"), n, 0))
-    spans = met.select("doc_id", "text_hash", "words", F.explode(around).alias("w")).select("doc_id", "text_hash", "w.start", "w.size", cut(F.col("words"), F.col("w.start"), F.col("w.size")).alias("window"))
-    found = stored(_met(spans, windows.select("window").distinct(), "window").distinct())
+        around = F.concat(around, windows_at(F.col("words"), F.col("slots"), n, 0))
+    spans = hit.select("doc_id", "text_hash", "words", F.explode(around).alias("w")).select("doc_id", "text_hash", "w.start", "w.size", cut(F.col("words"), F.col("w.start"), F.col("w.size")).alias("window"))
+    found = stored(met(spans, windows.select("window").distinct(), "window").distinct())
 
     # Words inside any window: windows in order, each adding what reaches beyond the last end.
     hit_words = F.aggregate(
@@ -111,7 +110,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         lambda acc: acc["n"].cast("long"),
     )
     counted = found.groupBy("doc_id", "text_hash").agg(hit_words.alias("n_hit"))
-    listed = _met(found.select("doc_id", "text_hash", "window").distinct(), windows, "window").groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    listed = met(found.select("doc_id", "text_hash", "window").distinct(), windows, "window").select("doc_id", "text_hash", "item_id").distinct().groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
 
     base = read.select("doc_id", "text_hash", "n_words")
     join = lambda a, b: a.join(b.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}), a["doc_id"].eqNullSafe(F.col("_id")) & (F.coalesce(a["text_hash"], F.lit(0)) == F.coalesce(F.col("_hash"), F.lit(0))), "left").drop("_id", "_hash")
