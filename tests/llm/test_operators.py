@@ -97,12 +97,13 @@ def test_contamination_of_odd_and_empty(spark, odd):
 # 2 lines
 
 
-def test_lines_equal_brute_force(spark):
+@pytest.mark.parametrize("size", [5, 8])
+def test_lines_equal_brute_force(spark, size):
     rng = random.Random(2)
     base = [t for t in invented(rng, 12, (6, 12))]
     docs = [(d, "\n".join(b if rng.random() < 0.5 else b[: rng.randrange(5, len(b))] + "x" for b in rng.sample(base, 5)) + rng.choice(["", "\n", "\n \n"])) for d in range(20)] + [(50, None), (51, "")]
     flat = [(d, i, s.translate(LOW).strip("\x20\x09\x0a\x0b\x0c\x0d")) for d, t in docs for i, s in enumerate((t or "").split("\n"))]
-    sets = [frozenset(s[j : j + 8] for j in range(max(1, len(s) - 7))) if s else frozenset() for _, _, s in flat]
+    sets = [frozenset(s[j : j + size] for j in range(max(1, len(s) - size + 1))) if s else frozenset() for _, _, s in flat]
     parent = list(range(len(flat)))
 
     def find(x):
@@ -115,7 +116,7 @@ def test_lines_equal_brute_force(spark):
             if a and b and 100 * len(a & b) >= 80 * len(a | b):
                 parent[max(find(i), find(j))] = min(find(i), find(j))
     kept = {(d, i) for k, (d, i, s) in enumerate(flat) if not s or find(k) == k}
-    got = {(r.doc_id, r.line): r.kept for r in lines.fuzzy_lines(spark.createDataFrame(docs, DOCS)).collect()}
+    got = {(r.doc_id, r.line): r.kept for r in lines.fuzzy_lines(spark.createDataFrame(docs, DOCS), shingle=size).collect()}
     assert got == {(d, i): (d, i) in kept for d, i, _ in flat}
 
 
@@ -132,20 +133,48 @@ def test_one_typo_in_a_short_line_is_fuzzy(spark, tmp_path):
     spark.createDataFrame(docs, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     got = as_dict(queries.op2_fuzzy_lines(spark, str(tmp_path)))
     assert {d: r["dropped"] for d, r in got.items()} == {1: [], 2: [0], 3: [], 4: [0], 5: []}
-    assert (1 - 0.8**lines.ROWS) ** lines.BANDS < 4e-4
+    assert (1 - 0.8**lines.ROWS) ** lines.BANDS < 2e-3
 
 
-def test_bounds_keep_every_linked_pair():
+def test_recall_of_bands_on_random_sets():
+    """Pairs of similarity 0.8 share a bucket, in small sets, whose bins are mostly empty, as in large ones."""
     rng = np.random.default_rng(4)
-    base = [kernels.mix(rng.integers(0, 1 << 63, 60, dtype=np.uint64)) for _ in range(40)]
-    sets = [s for b in base for s in (b, b[:50], rng.permutation(base[0])[:30])]
-    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    counts, fit = lines.bins(np.concatenate(sets), at)
-    bucket = np.repeat(np.arange(40), 3)
-    may = lines.may_link(bucket, np.diff(at), counts, fit, 80)
-    linked = np.array([any(i != j and bucket[i] == bucket[j] and 5 * len(set(a.tolist()) & set(b.tolist())) >= 4 * len(set(a.tolist()) | set(b.tolist())) for j, b in enumerate(sets)) for i, a in enumerate(sets)])
-    assert may[linked].all() and not may[3:-3][~linked[3:-3]].any()
-    assert lines.may_link(np.repeat([1, 2, 3], [2, 12, 2]), np.full(16, 60), counts[:16], fit[:16], 80)[2:14].all()
+    for shared, own in ((8, 1), (24, 3), (80, 10), (400, 50)):
+        pairs = [rng.integers(0, 1 << 63, shared + 2 * own, dtype=np.uint64) for _ in range(400)]
+        sets = [kernels.mix(x) for p in pairs for x in (p[: shared + own], np.concatenate([p[:shared], p[shared + own :]]))]
+        keys = lines.band_keys(np.concatenate(sets), np.arange(len(sets) + 1) * (shared + own))
+        assert (keys[::2] == keys[1::2]).any(1).mean() >= 0.99
+        assert not (keys[:-2:2] == keys[2::2]).any()
+
+
+def test_shingles_equal_sets_of_substrings():
+    texts = ["abcdefg", "abcde", "abcd", "a", "aaaaaaaaaa", "читайте сайта", "漢字かな交じり文", "😀😀b", "abcdefg x", "bcdefg"]
+    for size in (1, 3, 5, 8):
+        made, at = lines.line_sets([t.encode() for t in texts], size)
+        plain = [{t[i : i + size] for i in range(max(1, len(t) - size + 1))} for t in texts]
+        got = [set(made[i:j].tolist()) for i, j in zip(at, at[1:])]
+        assert [len(x) for x in got] == [len(x) for x in plain]
+        assert all(len(a & b) == len(x & y) for a, x in zip(got, plain, strict=True) for b, y in zip(got, plain, strict=True))
+
+
+def test_entries_name_every_line_of_a_shared_bucket():
+    rng = np.random.default_rng(5)
+    tasks = [(rng.permutation(60)[:25].astype(np.uint64) + np.uint64(1)) for _ in range(4)]
+    bucket_of = lambda keys: kernels.mix(np.stack([keys * np.uint64(0) + keys % np.uint64(7 + b) + np.uint64(100 * b) for b in range(lines.BANDS)], 1))
+    batches = [lines._entries(k, bucket_of(k), 3) for k in tasks]
+    got = set()
+    for part in range(3):
+        met = lines._meet(pa.Table.from_batches([b.slice(part, 1) for b in batches]))
+        got |= set(zip(met["bucket"].to_pylist(), met["key"].to_pylist(), strict=True))
+    members = {}
+    keys = np.unique(np.concatenate(tasks))
+    for k, row in zip(keys.tolist(), bucket_of(keys).tolist(), strict=True):
+        for b in row:
+            members.setdefault(b, set()).add(k)
+    named = {}
+    for b, k in got:
+        named.setdefault(b, set()).add(k)
+    assert sorted(map(sorted, named.values())) == sorted(sorted(m) for m in members.values() if len(m) > 1)
 
 
 # 3 language model
@@ -153,7 +182,7 @@ def test_bounds_keep_every_linked_pair():
 
 def brute_ctw(train, test):
     counts, kids = {}, {}
-    past = lambda b, i: tuple(([lm.KIND[lm.END]] * lm.DEPTH + [lm.KIND[x] for x in b[:i]])[::-1][: lm.DEPTH])
+    past = lambda b, i: tuple(([lm.END] * lm.DEPTH + b[:i])[::-1][: lm.DEPTH])
     steps = lambda t: [(past(b, i), 1 << k | x >> (8 - k), x >> (7 - k) & 1) for b in [[*t.translate(LOW).encode(), 255]] for i, x in enumerate(b) for k in range(8)]
     for t in train:
         for c, node, bit in steps(t):
@@ -193,6 +222,34 @@ def test_scores_equal_brute_force(spark):
         assert r["base_score"] == pytest.approx(base) and r["score"] == pytest.approx(s, rel=1e-4)
 
 
+def test_bundles_score_as_the_broadcast_does(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*invented(random.Random(3), 60), None, ""])], DOCS)
+    whole = as_dict(lm.score(docs))
+    monkeypatch.setattr(lm, "TOP_CODES", 1)
+    monkeypatch.setattr(lm, "BUNDLE", 2000)
+    monkeypatch.setattr(lm, "TOP_WORDS", 4)
+    few = as_dict(lm.score(docs))
+    assert few.keys() == whole.keys()
+    for i, r in whole.items():
+        assert all(few[i][k] == (pytest.approx(v) if isinstance(v, float) else v) for k, v in r.items())
+
+
+def test_code_probabilities_of_a_context_sum_to_one():
+    train = "the cat sat on the mat that the cat had".encode()
+    data = np.frombuffer(train * 3, np.uint8)
+    seen = np.unique(lm.codes(data, np.array([0, len(data)]))[0])
+    context = seen[len(seen) // 2] >> 8
+    code, n = lm._merged(np.concatenate([seen, (context << 8) + np.arange(256)]), np.concatenate([np.full(len(seen), 3), np.zeros(256, np.int64)]))
+    groups = [code[(code >> 8 & 0xFFFF) == e] for e in np.unique(code >> 8 & 0xFFFF)]
+    sums = [lm.sums_of_two(pa.table({"code": g, "n": n[np.isin(code, g)]})).to_pandas() for g in groups]
+    import pandas as pd
+
+    top = pd.concat(sums).groupby(["context", "decision"], as_index=False).sum()
+    made, rest = lm.upper(*(top[c].to_numpy() for c in ("context", "decision", "zeros", "ones", "weighted")))
+    of = {int(c): p for g in groups for c, p in zip(g, lm.log_probabilities(g, n[np.isin(code, g)], made, rest), strict=True)}
+    assert sum(10 ** of[int((context << 8) + b)] for b in range(256)) == pytest.approx(1)
+
+
 def test_rare_words_are_joined(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"common common word{i % 7}") for i in range(40)], DOCS)
     whole = as_dict(lm.score(docs))
@@ -225,6 +282,31 @@ def test_urls(spark):
     assert anywhere.where("verdict = 'block'").count() > 3
 
 
+def test_index_finds_what_a_scan_of_all_rules_finds(spark, duck, tmp_path):
+    rng = random.Random(4)
+    labels = [x + j + y for x, y in urls.LABELS for j in ("-", "", ".", "--")] + ["www", "Example", "net", "org", "com", "de", "x1"]
+    made = []
+    for i in range(600):
+        host = ".".join(rng.choice(labels) for _ in range(rng.randrange(1, 5)))
+        host = host.upper() if rng.random() < 0.2 else host
+        made.append((i, rng.choice(["http://", "https://", ""]) + host + rng.choice(["", "/", "/en/", "/de/x", "/fr/", "/EN/", "/spam-farm.x", "?q=spam-farm.", "#a/fr/"])))
+    made += [(600 + i, u) for i, u in enumerate(["http://spamfarm.com/x", "http://www.adultcam.io/", "http://spam-farm.com", "http://notspamfarm.com/", None, "", "://", "http://"])]
+    df = spark.createDataFrame(made, "page_id long, url string")
+    rules = urls.HOST_RULES + urls.PATTERN_RULES
+    df.write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.filter_urls(spark.read.parquet(f"{tmp_path}/pages.parquet")).collect()}
+    for i, url in made:
+        rest = (url or "").partition("://")[2]
+        host = re.match("[^/?#]*", rest)[0]
+        target = host.translate(LOW) + re.match("[^?#]*", rest[len(host) :])[0]
+        hits = sorted((r for r in rules if re.search(r.pattern, target)), key=lambda r: (-r.rank, -len(r.name), r.name))
+        want = (hits[0].name if hits[0].rank else None, hits[0].verdict) if hits else (None, "allow")
+        assert got[i] == want, url
+    assert got[600][1] == got[601][1] == got[602][1] == "block" and got[603][1] == "allow"
+    sql = urls.SQL.replace("FROM pages", f"FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert {p: (r, v) for p, _, _, r, v in duck.execute(sql).fetchall()} == got
+
+
 # 5 pseudonyms
 
 
@@ -241,11 +323,11 @@ def test_permutations_and_formats():
 
 def test_pseudonyms_link_documents(spark, odd):
     df = spark.createDataFrame([(1, "call +1 (555) 123-4567"), (2, "or +1 (555) 123-4567!"), (3, None), (4, ""), (None, "plain")], DOCS)
-    got = as_dict(pii.pseudonyms(df))
+    got = as_dict(pii.pseudonyms(df, key="k"))
     number = lambda t: re.search(r"\+.*\d", t)[0]
     assert number(got[1]["text"]) == number(got[2]["text"]) != "+1 (555) 123-4567"
     assert got[3]["text"] is None and got[4]["text"] == "" and got[None]["text"] == "plain" and got[1]["n_replaced"] == 1
-    assert pii.pseudonyms(odd).count() == odd.count() and pii.pseudonyms(odd.limit(0)).count() == 0
+    assert pii.pseudonyms(odd, key="k").count() == odd.count() and pii.pseudonyms(odd.limit(0), key="k").count() == 0
 
 
 def test_numbers_beside_numbers_get_pseudonyms():
@@ -264,6 +346,79 @@ def test_numbers_beside_numbers_get_pseudonyms():
 
 
 
+def plain_permutation(value, size, key, tweak):
+    """The keyed permutation said again: eight rounds, over and over until the value is in range."""
+    import hashlib
+    import hmac
+
+    if size < 2:
+        return value
+    bits = max(2, len(bin(size - 1)) - 2)
+    small, large = bits // 2, bits - bits // 2
+    while True:
+        halves, widths = [value // 2**small, value % 2**small], [large, small]
+        for r in range(8):
+            seal = int(hmac.new(key, f"{tweak}|{size}|{r}|{halves[1]}".encode(), hashlib.sha256).hexdigest(), 16)
+            halves, widths = [halves[1], halves[0] ^ seal % 2 ** widths[0]], widths[::-1]
+        value = halves[0] * 2**small + halves[1]
+        if value < size:
+            return value
+
+
+def plain_pseudonym(kind, text, key):
+    """A value's pseudonym, kind by kind, said again."""
+    import datetime
+
+    def run(s, letters, tweak):
+        n = plain_permutation(sum(letters.index(c) * len(letters) ** k for k, c in enumerate(reversed(s))), len(letters) ** len(s), key, f"{tweak}{len(s)}")
+        return "".join(letters[n // len(letters) ** k % len(letters)] for k in reversed(range(len(s))))
+
+    def shaped(s, new):
+        out, k = "", 0
+        for c in s:
+            out, k = (out + new[k], k + 1) if c.isdigit() else (out + c, k)
+        return out
+
+    digits = "".join(c for c in text if c.isdigit())
+    if kind == "card":
+        body = run(digits[:-1], "0123456789", "card")
+        check = next(c for c in "0123456789" if sum(int(d) if k % 2 == 0 else sum(map(int, str(2 * int(d)))) for k, d in enumerate(reversed(body + c))) % 10 == 0)
+        return shaped(text, body + check)
+    if kind == "phone":
+        code, rest = text.split(" ", 1) if text[0] == "+" else ("", text)
+        made = shaped(rest, run("".join(c for c in rest if c.isdigit()), "0123456789", f"phone{code}"))
+        return f"{code} {made}" if code else made
+    if kind == "ip":
+        n = plain_permutation(sum(int(p) << 8 * (3 - i) for i, p in enumerate(text.split("."))), 2**32, key, "ip")
+        return f"{n >> 24}.{n >> 16 & 255}.{n >> 8 & 255}.{n & 255}"
+    if kind == "date":
+        first = datetime.date(1900, 1, 1)
+        size = (datetime.date(2100, 1, 1) - first).days
+        day = datetime.date.fromisoformat(text if text[4] in "-" else text.replace("/", "-") if text[4] == "/" else "-".join(reversed(text.split("."))))
+        made = (first + datetime.timedelta(plain_permutation((day - first).days, size, key, "date"))).isoformat()
+        return made if text[4] == "-" else made.replace("-", "/") if text[4] == "/" else ".".join(reversed(made.split("-")))
+    if kind == "email":
+        parts = re.split("([0-9]+|[A-Za-z]+)", text[: text.rindex(".")])
+        new = [p if not p or not p[0].isalnum() else run(p, "0123456789", "email") if p.isdigit() else run(p.lower(), "abcdefghijklmnopqrstuvwxyz", "email") for p in parts]
+        return "".join(n.upper() if c.isupper() else n for c, n in zip("".join(parts), "".join(new), strict=True)) + text[text.rindex(".") :]
+    return text
+
+
+def test_pseudonyms_equal_a_plain_restatement(spark):
+    rng = random.Random(5)
+    values = [("card", "4539 5787 6362 1486"), ("card", "4539578763621486"), ("card", "378282246310005"), ("phone", "+1 (555) 123-4567"), ("phone", "+44 (20) 123 4567"), ("phone", "(555) 123-4567"), ("ip", "10.0.0.25"), ("ip", "255.1.2.3"),
+              ("date", "2024-02-29"), ("date", "2024/02/29"), ("date", "29.02.2024"), ("date", "1999-12-31"), ("email", "a.b@x.org"), ("email", "A.B@x.org"), ("email", "jane_doe99@mail.example.com")]
+    left = [("", v) for v in ("4539578763621487", "10.0.0.256", "2023-02-29", "31.02.2024", "x@y", "plain", "v1.2.3", "2024")]
+    docs, want = [], {}
+    for i in range(120):
+        picked = [rng.choice(values + left) for _ in range(rng.randrange(0, 8))]
+        docs.append((i, "".join(f"word {v}; " for _, v in picked)))
+        want[i] = ("".join(f"word {plain_pseudonym(k, v, b'k')}; " for k, v in picked), sum(k != "" for k, _ in picked))
+    assert {r.doc_id: (r.text, r.n_replaced) for r in pii.pseudonyms(spark.createDataFrame(docs, DOCS), key="k").collect()} == want
+    made = {v: plain_pseudonym(k, v, b"k") for k, v in values}
+    assert len(set(made.values())) == len(values) and made["29.02.2024"] == ".".join(reversed(made["2024-02-29"].split("-"))) and made["A.B@x.org"].lower() == made["a.b@x.org"]
+
+
 # 6 near duplicates
 
 
@@ -318,6 +473,32 @@ def test_blocks_find_what_the_hub_leaves(spark):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_linked_pairs_equal_all_pairs():
+    rng = np.random.default_rng(6)
+    core = rng.integers(0, 1 << 62, 120, dtype=np.uint64)
+    for percent in (80, 85):
+        sets = [np.unique(np.concatenate([rng.permutation(core)[: rng.integers(80, 121)], rng.integers(0, 1 << 62, rng.integers(0, 25), dtype=np.uint64)])) for _ in range(120)] + [core[:1], core[:1], core[1:3]]
+        at = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+        stray, root = rng.random(len(sets)) < 0.5, rng.integers(0, 60, len(sets))
+        plain = [set(x.tolist()) for x in sets]
+        want = {(max(i, j), min(i, j)) for i, x in enumerate(plain) for j, y in enumerate(plain[:i]) if (stray[i] or stray[j]) and root[i] != root[j] and 100 * len(x & y) >= percent * len(x | y)}
+        got = neardup.linked_pairs(np.concatenate(sets), at, percent, stray, root)
+        assert {(max(p), min(p)) for p in got} == want and len(got) == len(want) > 20
+
+
+def test_memory_of_a_block_of_short_sets(spark):
+    """A bucket of 20,000 unlinked sets of ten: blocks are bounded by sets as well as by shingles."""
+    import tracemalloc
+
+    rng = np.random.default_rng(7)
+    sets = [np.sort(rng.choice(4000, 10, replace=False)).astype(np.uint64) for _ in range(2 * 1000)]
+    at = np.arange(len(sets) + 1) * 10
+    tracemalloc.start()
+    neardup.linked_pairs(np.concatenate(sets), at, 85, np.ones(len(sets), bool), np.arange(len(sets)))
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+
+
 def test_near_duplicates_of_odd_and_empty(spark, odd):
     rows = neardup.near_duplicates(odd).collect()
     got = {r.doc_id: r for r in rows}
@@ -353,6 +534,15 @@ def test_exact_duplicates_equal_brute_force(spark, bits):
         assert (got[i]["keep_id"], got[i]["group_size"], got[i]["kept"]) == (max(g), len(g), i == max(g))
 
 
+def test_batch_without_a_snapshot_is_dealt_to_buckets(spark):
+    docs = [(i, f"text {i % 90}") for i in range(200)]
+    df = spark.createDataFrame(docs, DOCS)
+    for snapshot in (None, df.limit(0), df.where("doc_id < 3")):
+        got = {r.doc_id: (r.keep_id, r.group_size) for r in exactdup.exact_duplicates(df.where("doc_id >= 3"), snapshot, bucket=4).collect()}
+        alive = [i for i, _ in docs if i >= 3 or (snapshot is not None and snapshot.count())]
+        assert got == {i: (max(j for j in alive if j % 90 == i % 90), sum(j % 90 == i % 90 for j in alive)) for i in alive}
+
+
 def test_exact_duplicates_of_odd_and_empty(spark, odd):
     rows = exactdup.table_duplicates(odd).collect()
     assert len(rows) == odd.count() and {r.keep_id for r in rows if r.doc_id in (1, 2)} == {2}
@@ -384,7 +574,9 @@ def test_packing_round_trip(spark, odd):
 
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     df = odd.unionByName(odd.withColumn("doc_id", F.col("doc_id") + 100).withColumn("text", F.lit("It's ÉTÉ, n'est-ce pas?! don't_stop 12½ ÷ x²,é, a-b ...")))
-    got = packing.pack(df, group=8).collect()
+    df = df.unionByName(odd.limit(2).withColumn("doc_id", F.lit(300).cast("long")).withColumn("text", F.lit("Hello <|startoftext|> World<|endoftext|>x <|STARTOFTEXT|>")))
+    packed = packing.stored(packing.pack(df, group=8))
+    got = packed.collect()
     ids = {}
     for r in df.collect():
         ids.setdefault(r.doc_id, []).append([*tok.encode(r.text or "", add_special_tokens=False).ids, 1])
@@ -395,9 +587,31 @@ def test_packing_round_trip(spark, odd):
         spans.setdefault(r.sequence_id, []).append((r.offset, r.offset + r.length))
     assert all(s[0][0] == 0 and s[-1][1] <= 4096 and all(b[0] == a[1] for a, b in zip(s, s[1:])) for s in map(sorted, spans.values()))
     assert len(spans) <= len(packing.best_fit_decreasing(np.array([r.length for r in got]), 4096)[2])
+    row = packing.certificate(packed).first()
+    assert (row.bins, row.gap) == (len(spans), len(spans) - row.bound) and 0 <= row.gap <= 1
     assert packing.pack(odd.limit(0)).count() == 0
 
 
+def test_packing_reaches_the_bound_from_small_partitions(spark):
+    rng = np.random.default_rng(80)
+    items = packing.stored(spark.createDataFrame([(i, int(n)) for i, n in enumerate(rng.integers(1, 3000, 400))], "id int, length long"))
+    alone = len(packing.best_fit_decreasing(np.array([r.length for r in items.collect()]), 4096)[2])
+    for group in (8, 50, 1000):
+        row = packing.certificate(packing.pack_pieces(items, group=group)).first()
+        assert row.bound <= row.bins <= alone
+
+
+def test_other_tokenizers_are_left_to_the_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["It's two  words", "", "a<|endoftext|>b\n c"]
+    tok = Tokenizer.from_file(path)
+    got = {low: ids.tolist() for low, ids, at in packing.Parts(path).encode(pa.array(texts))}
+    assert got == {i: [*tok.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+
+
 # 9 and 10 classifiers
 
 
@@ -420,6 +634,35 @@ def test_toxicity_learns_unseen_spellings(spark):
     assert toxicity.keep_clean(d, y).columns == d.columns and toxicity.keep_clean(d, y).count() < 320
 
 
+def test_toxicity_forward_pass_and_gradient():
+    texts, labels = ["You grumpf ta-ren, it's", "ta ren o", "", "grumpf grumpf li", None, "o li sk"], np.array([1, 0, 0, 1, 0, 0])
+    model = toxicity.fit(texts, labels, epochs=5, buckets=1 << 12)
+    code = lambda b: int(kernels.span_hashes(kernels.prefix_hashes(np.frombuffer(b, np.uint8)), np.array([0]), np.array([len(b)]))[0]) % model["buckets"]
+
+    def plain(text):
+        found = re.findall("(?:[a-z0-9']|[^\x00-\x7f])+", (text or "").translate(LOW))
+        gains = []
+        for word in found:
+            w = b"<" + word.encode() + b">"
+            grams = [w] + [w[i : i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1)]
+            gains.append(np.mean([model["weights"][code(g)] for g in grams]))
+        return 1 / (1 + math.exp(-(model["bias"] + (sum(gains) / len(gains) if gains else 0))))
+
+    assert toxicity.score_texts(pa.array(texts), model) == pytest.approx([plain(t) for t in texts], rel=1e-5)
+    bags = toxicity.Bags(texts, 1 << 12)
+    rng = np.random.default_rng(1)
+    theta = {"E": rng.normal(size=(2, len(bags.used))) * 0.01, "W": rng.normal(size=(2, 2)), "b": rng.normal(size=2)}
+    _, grad = toxicity.loss_and_gradient(theta, bags, labels)
+    for k, g in grad.items():
+        for at in [np.unravel_index(i, g.shape) for i in range(0, g.size, max(1, g.size // 20))]:
+            sides = []
+            for d in (1e-3, -1e-3):
+                moved = {n: v.copy() for n, v in theta.items()}
+                moved[k][at] += d
+                sides.append(toxicity.loss_and_gradient(moved, bags, labels)[0])
+            assert (sides[0] - sides[1]) / 2e-3 == pytest.approx(g[at], rel=0.05, abs=2e-3)
+
+
 def test_quality_learns_structure(spark):
     rng = random.Random(9)
     docs = [(i, t.upper().replace(" ", "!! ") if i % 3 == 0 else t, len(t)) for i, t in enumerate(invented(rng, 300, (20, 60)))]

@@ -47,3 +47,41 @@ def test_near_stage_drops_copies_from_0_8(spark):
     got = {r.doc_id for r in corpus_pipeline.near_stage(spark, spark.createDataFrame(docs, "doc_id long, text string"), None).collect()}
     assert got == {0, 3}
     assert (1 - 0.8**neardup.ROWS) ** neardup.BANDS < 1e-4
+
+
+def odd_tables(spark, folder, rows):
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, node string, items string, task string, _row string"
+    spark.createDataFrame([(i, t, None, None, None, "a", "b", "c", "d") for i, t in rows], kinds).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, LONG[:200]), (2, None), (3, ""), (None, "x")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(50, 1, 0), (51, 0, 1), (None, 1, 1), (52, None, None)], "doc_id long, toxic int, quality int").write.parquet(f"{folder}/labels.parquet")
+
+
+LONG = " ".join(f"word{i % 613}x{i % 89}" for i in range(40_000))
+SAID = "a quiet boat went down the river in the early morning light and nobody saw it go"
+ODD = [(1, None), (2, ""), (3, " \t\n"), (4, LONG), (5, SAID), (5, SAID), (6, SAID), (None, SAID), (None, None), (8, "漢字 naïve 😀"), (9, SAID.replace("quiet", "noisy") + " again and again until the evening came with rain and wind from the sea")]
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, and columns with names that the operators use inside."""
+    odd_tables(spark, tmp_path, ODD)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    ids = lambda df: sorted(((r.doc_id is None, r.doc_id) for r in df.collect()))
+    every = sorted((i is None, i) for i, _ in ODD)
+    stages = dict(corpus_pipeline.STAGES)
+    exact = ids(stages["exact_dedup"](spark, docs, str(tmp_path)))
+    assert exact == [(False, i) for i in (2, 3, 4, 6, 8, 9)] + [(True, None)] * 2
+    near = ids(stages["near_dedup"](spark, docs, str(tmp_path)))
+    assert near == [(False, i) for i in (1, 2, 3, 4, 5, 5, 8, 9)] + [(True, None)] * 2
+    assert ids(stages["decontamination"](spark, docs, str(tmp_path))) == every
+    for name in ("toxicity", "exact_dedup", "near_dedup", "decontamination"):
+        assert stages[name](spark, docs, str(tmp_path)).columns == docs.columns
+    packed = stages["packing"](spark, docs, str(tmp_path)).where("piece = 0")
+    assert ids(packed) == every
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def test_stages_on_empty_tables(spark, tmp_path):
+    odd_tables(spark, tmp_path, ODD[:1])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, str(tmp_path)).count() == 0
