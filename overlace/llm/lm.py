@@ -36,10 +36,8 @@ END = 255
 TOP_WORDS = 1 << 17
 #: Codes up to which the table is broadcast (12 bytes each); bytes of text in a bundle, about.
 TOP_CODES, BUNDLE = 5_000_000, 16 << 20
-#: Distinct codes that a task holds before it merges them.
-HELD = 2_000_000
-WORD = "[^\\x20\\x09-\\x0D]+"
-A_Z, A_Z_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Distinct codes that a task holds before it merges them; bits of a row's number beside a code; bytes of text in a chunk.
+HELD, ROW_BITS, CHUNK = 2_000_000, 15, 1 << 20
 
 
 def codes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +77,7 @@ def count_codes(batches):
     held, size = [], 0
     for batch in batches:
         learn = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-        for low, high, part, where in K.chunks(*K.text_bytes(batch.column(0))):
+        for low, high, part, where in K.chunks(*K.text_bytes(batch.column(0)), CHUNK):
             code, at = codes(part, where)
             flagged = np.sort(code << 1 | np.repeat(learn[low:high], np.diff(at)))
             lead = np.flatnonzero(np.diff(flagged, prepend=-1))
@@ -212,31 +210,32 @@ def code_table(docs: DataFrame) -> DataFrame:
 
 
 class Lookup:
-    """The values of codes, by a hash that names the code's place or one shortly before it."""
+    """The values of codes, which are all in the table. Codes are asked for in ascending order."""
 
     def __init__(self, code: np.ndarray, logp: np.ndarray):
-        self.shift = np.uint64(64 - max(1, len(code).bit_length()))
-        place = self._place(code)
-        order = np.argsort(place, kind="stable")
+        order = np.argsort(code)
         self.code, self.logp = code[order], logp[order]
-        self.first = np.searchsorted(place[order], np.arange((1 << 64 - int(self.shift)) + 1)).astype(np.int32)
-
-    def _place(self, code: np.ndarray) -> np.ndarray:
-        return ((code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
     def __call__(self, code: np.ndarray) -> np.ndarray:
-        at = self.first[self._place(code)]
-        left = np.flatnonzero(self.code[at] != code)
-        while len(left):  # every code is in the table
-            at[left] += 1
-            left = left[self.code[at[left]] != code[left]]
-        return self.logp[at]
+        return self.logp[np.searchsorted(self.code, code)]
 
 
 def log10_probability(data: np.ndarray, at: np.ndarray, lookup) -> np.ndarray:
-    """log10 of the model's probability of each row, its end symbol included."""
+    """log10 of the model's probability of each row, its end symbol included.
+
+    Codes are sorted together with their rows, so that each distinct one is looked up once.
+    """
     code, where = codes(data, at)
-    return np.add.reduceat(lookup(code).astype(np.float64), where[:-1]) if len(where) > 1 else np.zeros(0)
+    n, out = len(where) - 1, np.zeros(len(where) - 1)
+    for low in range(0, n, 1 << ROW_BITS):  # a code takes 48 bits
+        high = min(n, low + (1 << ROW_BITS))
+        row = np.repeat(np.arange(high - low), np.diff(where[low : high + 1]))
+        packed = np.sort(code[where[low] : where[high]] << ROW_BITS | row)
+        distinct = packed >> ROW_BITS
+        lead = np.flatnonzero(np.diff(distinct, prepend=-1))
+        each = np.repeat(lookup(distinct[lead]), np.diff(np.append(lead, len(packed))))
+        out[low:high] = np.bincount(packed & ((1 << ROW_BITS) - 1), weights=each, minlength=high - low)
+    return out
 
 
 def _rows_of_words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, pa.Array]:
@@ -262,7 +261,7 @@ def _scorer(ids: pa.DataType, known: pa.Array, c_of: np.ndarray, n_end: int, bel
         return pa.RecordBatch.from_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in made], names=list(COLUMNS))
 
     def run(row: int, doc_ids, texts, lookup):
-        for low, high, part, where in K.chunks(*K.text_bytes(texts)):
+        for low, high, part, where in K.chunks(*K.text_bytes(texts), CHUNK):
             n = high - low
             lower = K.LOWER[part]
             rows, text = _rows_of_words(lower, where)
@@ -321,8 +320,15 @@ def score(docs: DataFrame, *, folds: int = 5, held: int = 1) -> DataFrame:
     training = docs.where(~held_out).select("text")
     table = code_table(docs.select("text", (~held_out).alias("learn")))
 
-    lowered = F.translate(F.coalesce("text", F.lit("")), A_Z, A_Z_LOWER)
-    vocabulary = stored(training.select(F.explode(F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))).alias("word")).groupBy("word").agg(F.count("*").alias("c")))
+
+    def count_words(batches):
+        for batch in batches:
+            for _, _, part, where in K.chunks(*K.text_bytes(batch.column(0))):
+                found = _rows_of_words(K.LOWER[part], where)[1].value_counts()
+                if len(found):
+                    yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["word", "n"])
+
+    vocabulary = stored(map_batches(training, count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("c")))
     sizes = vocabulary.groupBy(F.floor(F.log2("c")).cast("int").alias("power")).agg(F.count("*").alias("v"), F.sum("c").alias("n")).orderBy(F.desc("power")).collect()
     n_end = training.count()
     n_all, v_all = n_end + sum(r["n"] for r in sizes), (n_end > 0) + sum(r["v"] for r in sizes)
