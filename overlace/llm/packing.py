@@ -46,6 +46,12 @@ SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in SHOWN)}
 
 
+def default_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def parts(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased bytes; start, end and row of each part of a text; whether it's letters only.
 
@@ -74,10 +80,12 @@ def parts(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 class Parts:
     """Ids of parts of texts met so far, by hash."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int = END_ID):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
+        #: Bytes that every id fits in.
+        self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self.model = self.tokenizer.model
         self.cuts = (str(self.tokenizer.normalizer), str(self.tokenizer.pre_tokenizer)) == STEPS
         added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -86,7 +94,7 @@ class Parts:
 
     def clear(self) -> None:
         self.hashes, self.starts, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.array([END_ID], np.uint32)
+        self.ids = np.array([self.end_id], np.uint32)
 
     def made(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, letters: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the parts and how many each has."""
@@ -125,10 +133,10 @@ class Parts:
 
     def whole(self, data: np.ndarray) -> np.ndarray:
         """Ids of one text by the library alone, and the end."""
-        return np.array([*self.tokenizer.encode(data.tobytes().decode(), add_special_tokens=False).ids, END_ID], np.uint32)
+        return np.array([*self.tokenizer.encode(data.tobytes().decode(), add_special_tokens=False).ids, self.end_id], np.uint32)
 
     def encode(self, column) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(first row, ids, offsets) of runs of rows; each row ends with ``END_ID``.
+        """(first row, ids, offsets) of runs of rows; each row ends with the end id.
 
         Texts that hold an added token's string, and all texts of a tokenizer of other
         ``STEPS``, are left to the library as a whole.
@@ -327,8 +335,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     Repeated rows are each packed, null doc_ids too. Of pieces that fit equally well, any
     order. An empty table gives an empty result.
     """
-    if tokenizer is None:
-        import public_tokenizers
-
-        tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    return pack_pieces(pieces(docs, tokenizer, capacity), capacity, **options)
+    return pack_pieces(pieces(docs, tokenizer or default_tokenizer(), capacity), capacity, **options)
