@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from overlace.llm import decontaminate, exactdup, urls
+from overlace.llm import decontaminate, exactdup, trie, urls
 from overlace.llm.common import table
 
 
@@ -68,6 +68,24 @@ def op10_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_winnowing, op2_fuzzy_lines, op3_context_tree_weighting, op4_token_indexed_urls, op5_feistel_pseudonyms, op6_minmax_near_dedup, op7_fuse_exact_dedup, op8_certified_packing, op9_factorisation_machine, op10_subword_toxicity)}
+def op11_shared_dictionary_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from overlace.llm.idfiles import round_trip
 
-SQL: dict[str, str] = {"op1_winnowing": decontaminate.SQL, "op4_token_indexed_urls": urls.SQL, "op7_fuse_exact_dedup": exactdup.SQL}
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from overlace.llm.trie import prefix_trie, rebuilt
+
+    return prefix_trie(rebuilt(table(spark, sf_dir, "conversations")))
+
+
+def op13_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from overlace.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_winnowing, op2_fuzzy_lines, op3_context_tree_weighting, op4_token_indexed_urls, op5_feistel_pseudonyms, op6_minmax_near_dedup, op7_fuse_exact_dedup, op8_certified_packing, op9_factorisation_machine, op10_subword_toxicity, op11_shared_dictionary_ids, op12_prefix_trie, op13_block_whitening)}
+
+SQL: dict[str, str] = {"op1_winnowing": decontaminate.SQL, "op4_token_indexed_urls": urls.SQL, "op7_fuse_exact_dedup": exactdup.SQL, "op12_prefix_trie": trie.SQL}
