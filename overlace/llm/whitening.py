@@ -78,7 +78,7 @@ def project(matrix: BlockMatrix, by: np.ndarray) -> DataFrame:
     """(row, y): the rows of ``matrix`` times ``by``."""
     sc, size = SparkContext.getOrCreate(), matrix.colsPerBlock
     cut = [((i // size, 0), Matrices.dense(len(part), by.shape[1], part.ravel(order="F"))) for i in range(0, len(by), size) if len(part := by[i : i + size])]
-    product = matrix.multiply(BlockMatrix(sc.parallelize(cut, len(cut)), size, size, *by.shape)).toIndexedRowMatrix()
+    product = matrix.multiply(BlockMatrix(sc.parallelize(cut, len(cut)), size, by.shape[1], *by.shape)).toIndexedRowMatrix()
     rows = callMLlibFunc("getIndexedRows", product._java_matrix_wrapper._java_model).toDF("row", "vector")
     return rows.select("row", vector_to_array("vector").alias("y"))
 
