@@ -103,6 +103,36 @@ def span_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((total[ends] - total[starts]) * down[starts])
 
 
+PRIME = np.uint64((1 << 31) - 1)
+PRIME_CODES = np.random.Generator(np.random.PCG64(61)).integers(1, int(PRIME), 256, dtype=np.uint64)
+_prime_base = 1_367_130_551
+_prime_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def prime_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a number and of its inverse modulo ``PRIME``."""
+    if len(_prime_powers[0]) < n:
+        for i, base in enumerate((_prime_base, pow(_prime_base, -1, int(PRIME)))):
+            made = np.ones(1, np.uint64)
+            while len(made) < max(n, CHUNK // 4):
+                made = np.concatenate([made, made * np.uint64(pow(base, len(made), int(PRIME))) % PRIME])
+            _prime_powers[i] = made
+    return _prime_powers[0][:n], _prime_powers[1][:n]
+
+
+def strong_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans from two polynomials, one modulo 2**64 and one modulo a prime.
+
+    Modulo a power of two some texts of two letters (Thue-Morse words and their
+    complements) agree for any base; modulo the prime they don't.
+    """
+    up, down = prime_powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(PRIME_CODES[data] * up[:-1] % PRIME, out=total[1:])
+    other = (total[ends] - total[starts]) % PRIME * down[starts] % PRIME
+    return mix(span_hashes(prefix_hashes(data), starts, ends) ^ mix(other + np.uint64(1)))
+
+
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """starts[0], starts[0]+1, ... counts[0] of them, then those of starts[1], and so on."""
     total = int(counts.sum())

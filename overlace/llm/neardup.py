@@ -45,7 +45,7 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, size: int = SHINGLE) -> tuple
     data = K.LOWER[data]
     starts, ends, rows = K.words(data, at, K.SPACE)
     n, n_rows = len(starts), len(at) - 1
-    words = K.span_hashes(K.prefix_hashes(data), starts, ends)
+    words = K.strong_hashes(data, starts, ends)
     number = np.bincount(rows, minlength=n_rows)
     made, of = [], []
     for length in range(1, size + 1):

@@ -78,7 +78,7 @@ def parts(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 class Parts:
-    """Ids of parts of texts met so far, by hash."""
+    """Ids of parts of texts met so far, by hash; the bytes are kept and compared, too."""
 
     def __init__(self, path: str, end_id: int = END_ID):
         from tokenizers import Tokenizer
@@ -95,6 +95,7 @@ class Parts:
     def clear(self) -> None:
         self.hashes, self.starts, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.array([self.end_id], np.uint32)
+        self.spelt, self.spelt_at, self.sizes = np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def made(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, letters: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the parts and how many each has."""
@@ -109,8 +110,8 @@ class Parts:
             ids.append(np.fromiter(chain.from_iterable(found), np.uint32, int(counts[-1].sum())))
         return np.concatenate(ids), np.concatenate(counts)
 
-    def places(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and number of ids of each distinct part; new ones are tokenised."""
+    def places(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, letters: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """The place of each distinct part among those met; new ones are tokenised."""
         if len(self.hashes) + len(hashes) > REMEMBERED:
             self.clear()
         at = np.searchsorted(self.hashes, hashes)
@@ -127,9 +128,18 @@ class Parts:
             order = np.argsort(hashes[new])
             where = at[new][order]
             self.starts, self.counts = np.insert(self.starts, where, begin[order]), np.insert(self.counts, where, counts[order])
+            size = ends[new] - starts[new]
+            spelt_at = len(self.spelt) + np.cumsum(size) - size
+            self.spelt = np.concatenate([self.spelt, data[K.ranges(starts[new], size)]])
+            self.spelt_at, self.sizes = np.insert(self.spelt_at, where, spelt_at[order]), np.insert(self.sizes, where, size[order])
             self.hashes = np.insert(self.hashes, where, hashes[new][order])
             at = np.searchsorted(self.hashes, hashes)
-        return self.starts[at], self.counts[at]
+        return at
+
+    def same(self, at: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray) -> bool:
+        """Whether every part has the bytes of the remembered part at its place."""
+        size = ends - starts
+        return bool((self.sizes[at] == size).all()) and np.array_equal(self.spelt[K.ranges(self.spelt_at[at], size)], data[K.ranges(starts, size)])
 
     def whole(self, data: np.ndarray) -> np.ndarray:
         """Ids of one text by the library alone, and the end."""
@@ -157,11 +167,16 @@ class Parts:
                     yield first + low, ids, where
 
     def by_parts(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        for low, high, part, where in K.chunks(data, at, TEXT):
-            part, starts, ends, rows, letters = parts(part, where)
-            hashes, first, which = np.unique(K.span_hashes(K.prefix_hashes(part), starts, ends), return_index=True, return_inverse=True)
-            begin, count = self.places(hashes, starts[first], ends[first], letters[first], part)
-            n = high - low
+        for low, high, raw, where in K.chunks(data, at, TEXT):
+            part, starts, ends, rows, letters = parts(raw, where)
+            hashes, first, which = np.unique(K.strong_hashes(part, starts, ends), return_index=True, return_inverse=True)
+            place, n = self.places(hashes, starts[first], ends[first], letters[first], part), high - low
+            if not self.same(place[which], starts, ends, part):  # unlike parts of one hash
+                for i in range(n):
+                    ids = self.whole(raw[where[i] : where[i + 1]])
+                    yield low + i, ids, np.array([0, len(ids)])
+                continue
+            begin, count = self.starts[place], self.counts[place]
             # Each row's parts in order, then its end.
             line_begin, line_count = np.zeros(len(rows) + n, np.int64), np.ones(len(rows) + n, np.int64)
             place = np.arange(len(rows)) + rows
@@ -253,7 +268,7 @@ def _pack_group(capacity: int, round_: int):
         lengths = rows["length"].to_numpy(np.int64)
         bin_of, offset, gaps = best_fit_decreasing(lengths, capacity)
         certified = len(gaps) <= lower_bound(*np.unique(lengths, return_counts=True), capacity)
-        return rows.assign(sequence_id=(round_ << 56) + (int(key[0]) << 28) + bin_of, offset=offset, gap=gaps[bin_of], certified=certified)
+        return rows.assign(_round=round_, _group=int(key[0]), _bin=bin_of, offset=offset, gap=gaps[bin_of], certified=certified)
 
     return run
 
@@ -275,7 +290,7 @@ def pack_pieces(items: DataFrame, capacity: int = CAPACITY, *, group: int = GROU
     numbered = stored(items.withColumn("_row", F.monotonically_increasing_id()))
     bound = total_bound(numbered, capacity)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema)
-    schema = f"{fields}, _part long, sequence_id long, offset long, gap long, certified boolean"
+    schema = f"{fields}, _part long, _round long, _group long, _bin long, offset long, gap long, certified boolean"
 
     def packed(part: DataFrame, groups: int, round_: int) -> DataFrame:
         dealt = part.withColumn("_part", F.pmod(F.xxhash64(F.lit(round_), "_row"), F.lit(groups)))
@@ -314,7 +329,9 @@ def pack_pieces(items: DataFrame, capacity: int = CAPACITY, *, group: int = GROU
         discard(again)
     for df in closed:
         current = current.unionByName(df)
-    return current.select(*names, "sequence_id", "offset", "certified")
+    most_groups, most_bins = current.agg(F.max("_group"), F.max("_bin")).first()
+    number_of = (F.col("_round") * ((most_groups or 0) + 1) + F.col("_group")) * ((most_bins or 0) + 1) + F.col("_bin")
+    return current.select(*names, number_of.alias("sequence_id"), "offset", "certified")
 
 
 def certificate(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:

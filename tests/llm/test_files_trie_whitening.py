@@ -173,3 +173,43 @@ def test_whitening_of_odd_and_empty(spark):
         assert whitening.whiten(vectors(spark, rows)).count() == 0
     flat = whitening.whiten(vectors(spark, [(i, [float(i), 2.0 * i, 1.0]) for i in range(10)]))
     assert {r.component for r in flat.collect()} == {1} and abs(flat.agg(F.max("explained")).first()[0] - 1) < 1e-9
+
+
+# Hashes of spans
+
+
+def thue_morse(k):
+    word = "a"
+    for _ in range(k):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_thue_morse_words_aren_t_taken_for_equal(spark, monkeypatch):
+    from overlace.llm import kernels, neardup
+
+    one, two = thue_morse(10)
+    data = np.frombuffer((one + two).encode(), np.uint8)
+    spans = np.array([0, 1024]), np.array([1024, 2048])
+    weak, strong = kernels.span_hashes(kernels.prefix_hashes(data), *spans), kernels.strong_hashes(data, *spans)
+    assert weak[0] == weak[1] and strong[0] != strong[1]
+    docs = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 1}
+    for hashes in (kernels.strong_hashes, lambda data, starts, ends: np.zeros(len(starts), np.uint64)):  # and where all hashes agree
+        monkeypatch.setattr(kernels, "strong_hashes", hashes)
+        words = packing.Parts(packing.default_tokenizer())
+        got = {low + i: ids[at[i] : at[i + 1]].tolist() for texts in ([one], [two, f"{two} {one}"]) for low, ids, at in words.encode(packing.pa.array(texts)) for i in range(len(at) - 1)}
+        assert got == dict(enumerate(ids_of([two, f"{two} {one}"], end=1)))
+
+
+def test_many_rounds_keep_sequences_apart(spark, monkeypatch):
+    """Every round of the exchange gets numbers of its own, however many there were."""
+    made = packing._pack_group
+    monkeypatch.setattr(packing, "_pack_group", lambda capacity, round_: made(capacity, round_ + 300))
+    rng = np.random.default_rng(8)
+    items = packing.stored(spark.createDataFrame([(i, int(n)) for i, n in enumerate(rng.integers(1, 3000, 200))], "id int, length long"))
+    got = packing.pack_pieces(items, group=8).collect()
+    held = defaultdict(list)
+    for r in got:
+        held[r.sequence_id].append((r.offset, r.offset + r.length))
+    assert len(got) == 200 and all(s[0][0] == 0 and s[-1][1] <= 4096 and all(b[0] == a[1] for a, b in zip(s, s[1:])) for s in map(sorted, held.values()))
