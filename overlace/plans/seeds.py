@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from overlace.operators import seeds as K
+from overlace.operators import traces as T
+from overlace.operators.storage import stored
 from overlace.plans.intervals import merged
 from overlace.plans.registry import query
 
@@ -97,6 +99,33 @@ def _(v):
     return K.without_redundant(_bands(v).select("aread", "bread", "comp", "a1", "a2", "b1", "b2"))
 
 
+def _alignments(v):
+    """J6 by chains: the seeds are dealt out once, by pair, for bands and chains."""
+    seqs = v("f_seq")
+    pairs = K.seed_pairs(seqs, 16).repartition("aread", "bread")
+    return T.aligned(T.chained(pairs, K.bands(pairs, 16), 16), seqs)
+
+
+@query("j6_chained_alignments")
+def _(v):
+    return _alignments(v).withColumn("segs", F.size("trace").cast("long")).drop("trace")
+
+
+@query("j7_fused_alignments")
+def _(v):
+    return T.fused(_alignments(v)).withColumn("segs", F.size("trace").cast("long")).drop("trace")
+
+
+@query("c5_stitch_realigned")
+def _(v):
+    """J6, J7 and C5 in a row: fused alignments stitched where they nearly meet, seams aligned anew, with the trace's own sums beside."""
+    seqs = v("f_seq")
+    ovl, trace = T.as_overlaps(stored(T.fused(_alignments(v))), seqs)
+    ovl, trace = T.stitched(ovl, trace, seqs, fuzz=100, low=K.dust(seqs))
+    sums = trace.groupBy("ovl_id").agg(F.sum("blen").alias("b_bases"), F.sum("d").alias("edits"), F.count("*").alias("segs"))
+    return ovl.join(sums, "ovl_id").select("ovl_id", "aread", "bread", "flags", "ab", "ae", "bb", "be", "diffs", "b_bases", "edits", "segs")
+
+
 @query("j8_tandem_self_join", f"{km(12)}, t AS (SELECT rid, pos, pos - LAG(pos) OVER (PARTITION BY rid, kmer ORDER BY pos) AS period FROM km) SELECT rid, COUNT(*) AS hits, MIN(period) AS shortest FROM t WHERE period <= 200 GROUP BY 1")
 def _(v):
     return K.tandem_hits(v("f_seq"), 12).groupBy("rid").agg(F.count("*").alias("hits"), F.min("period").alias("shortest"))
