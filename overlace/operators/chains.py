@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -12,56 +13,93 @@ from overlace.operators import intervals as I  # noqa: E741
 from overlace.operators.overlaps import a_len, comp, discarded, with_trim
 
 
-def _chain_rule(lookahead: int):
-    """Chains of one pair's overlaps, by their sequential rule.
+def chain_pair(rows: pd.DataFrame, lookahead: int, least: int | None = None) -> list[tuple[int, int, int]]:
+    """(ovl_id, chain, place): chains of one pair's overlaps (comp, ab, ae, bb, be, ovl_id, score), by their sequential rule.
 
-    Overlaps that another one contains are dropped. The longest left seeds a chain, which
-    is extended to the right and then to the left by the nearest overlap on the strand
-    that moves on in both reads, at most ``lookahead`` away; and again with what is left.
-    """
+    Overlaps that another one contains are dropped. The one of the best score left (of equal
+    ones the smallest ovl_id) seeds a chain, which is extended to the right and then to the
+    left by the nearest overlap on the strand that moves on in both reads, at most
+    ``lookahead`` away; and again with what is left. With ``least``, a seed has to score
+    more; where none does, the longest one seeds the first chain, and no other follows.
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows_sorted = rows.sort_values(["comp", "ab", "ae", "bb", "be", "ovl_id"])
-        o = rows_sorted.to_dict("records")
-        at = {k: rows_sorted[k].to_numpy() for k in ("comp", "ab", "ae", "bb", "be")}
-        left = []
-        for i, x in enumerate(o):  # each against all others at once
-            holds = (at["comp"] == x["comp"]) & (at["ab"] <= x["ab"]) & (at["ae"] >= x["ae"]) & (at["bb"] <= x["bb"]) & (at["be"] >= x["be"])
-            same = holds & (at["ab"] == x["ab"]) & (at["ae"] == x["ae"]) & (at["bb"] == x["bb"]) & (at["be"] == x["be"])
-            if not (holds & ~same).any() and not same[:i].any():
-                left.append(x)
-        out, chain = [], 0
-        while left:
-            seed = max(left, key=lambda x: (x["ae"] - x["ab"], -x["ovl_id"]))
-            left.remove(seed)
-            line = [seed]
-            for right in (True, False):
-                while True:
-                    at = line[-1] if right else line[0]
-                    best = None
-                    for x in left:
-                        lo, hi = (at, x) if right else (x, at)
-                        if x["comp"] == at["comp"] and all(hi[k] > lo[k] for k in ("ab", "ae", "bb", "be")):
-                            gap = max(abs(hi["ab"] - lo["ae"]), abs(hi["bb"] - lo["be"]))
-                            if gap <= lookahead and (best is None or (gap, x["ovl_id"]) < best[0]):
-                                best = (gap, x["ovl_id"]), x
-                    if best is None:
-                        break
-                    left.remove(best[1])
-                    line = [*line, best[1]] if right else [best[1], *line]
-            out += [(x["ovl_id"], chain, k) for k, x in enumerate(line)]
-            chain += 1
-        return pd.DataFrame(out, columns=["ovl_id", "chain", "place"])
-
-    return run
-
-
-def chain(ovl: DataFrame, *, lookahead: int = 5000) -> DataFrame:
-    """(ovl_id, chain, place) of kept, non-self overlaps. Pairs with one overlap, most of them, stay in the JVM."""
+    Places are sorted once for either direction, so a step looks at the overlaps within
+    ``lookahead`` only, in one numpy pass.
+    """
+    rows = rows.sort_values(["comp", "ab", "ae", "bb", "be", "ovl_id"], ignore_index=True)
+    strand, ab, ae, bb, be, name, score = (rows[c].to_numpy(np.int64) for c in ("comp", "ab", "ae", "bb", "be", "ovl_id", "score"))
+    inner = np.ones(len(rows), bool)
+    for c in np.unique(strand):
+        low, high = np.searchsorted(strand, [c, c + 1])
+        for i in range(low, high):  # only those that begin no later can contain it
+            upto = low + int(np.searchsorted(ab[low:high], ab[i], side="right"))
+            holds = np.flatnonzero((ae[low:upto] >= ae[i]) & (bb[low:upto] <= bb[i]) & (be[low:upto] >= be[i])) + low
+            same = (ab[holds] == ab[i]) & (ae[holds] == ae[i]) & (bb[holds] == bb[i]) & (be[holds] == be[i])
+            inner[i] = bool((~same).any() or (holds[same] < i).any())
+    free = ~inner
+    by_begin, by_end = (np.argsort(x, kind="stable") for x in (ab, ae))
+    begins, ends = ab[by_begin], ae[by_end]
+
+    def next_to(i: int, right: bool) -> int:
+        order, at, x = (by_begin, begins, ae[i]) if right else (by_end, ends, ab[i])
+        j = order[np.searchsorted(at, x - lookahead) : np.searchsorted(at, x + lookahead, side="right")]
+        lo, hi = (i, j) if right else (j, i)
+        j = j[free[j] & (strand[j] == strand[i]) & (ab[hi] > ab[lo]) & (ae[hi] > ae[lo]) & (bb[hi] > bb[lo]) & (be[hi] > be[lo])]
+        if not len(j):
+            return -1
+        lo, hi = (i, j) if right else (j, i)
+        gap = np.maximum(np.abs(ab[hi] - ae[lo]), np.abs(bb[hi] - be[lo]))
+        best = np.lexsort((name[j], gap))[0]
+        return int(j[best]) if gap[best] <= lookahead else -1
+
+    out, chain = [], 0
+    longest = np.maximum(ae - ab, be - bb)
+    for i in np.lexsort((name, -score)).tolist():
+        if not free[i]:
+            continue
+        if least is not None and score[i] <= least:
+            if chain:
+                break
+            left = np.flatnonzero(free)
+            i = int(left[np.lexsort((name[left], -longest[left]))[0]])
+        free[i] = False
+        line = [i]
+        while (j := next_to(line[-1], True)) >= 0:
+            free[j] = False
+            line.append(j)
+        before: list[int] = []
+        while (j := next_to(before[-1] if before else i, False)) >= 0:
+            free[j] = False
+            before.append(j)
+        out += [(int(name[x]), chain, k) for k, x in enumerate(before[::-1] + line)]
+        chain += 1
+    return out
+
+
+def unique_bases(ovl: DataFrame, repeats: DataFrame) -> DataFrame:
+    """(ovl_id, unique): the greater number, of A and B, of an overlap's bases outside ``repeats`` (rid, beg, fin)."""
+    merged = I.merge(repeats.select("rid", "beg", "fin"), ["rid"]).select("rid", "beg", "fin")
+    a = I.intersect_sums(ovl.select("ovl_id", F.col("aread").alias("rid"), F.col("ab").alias("beg"), F.col("ae").alias("fin")), merged, "ovl_id").select("ovl_id", F.col("inside").alias("a_in"))
+    forward = lambda x, y: F.when(comp(), F.col("blen") - F.col(y)).otherwise(F.col(x))
+    b = I.intersect_sums(ovl.select("ovl_id", F.col("bread").alias("rid"), forward("bb", "be").alias("beg"), forward("be", "bb").alias("fin")), merged, "ovl_id").select("ovl_id", F.col("inside").alias("b_in"))
+    return ovl.join(a, "ovl_id").join(b, "ovl_id").select("ovl_id", F.greatest(F.col("ae") - F.col("ab") - F.col("a_in"), F.col("be") - F.col("bb") - F.col("b_in")).alias("unique"))
+
+
+def chain(ovl: DataFrame, *, lookahead: int = 5000, unique: DataFrame | None = None, least: int = 500) -> DataFrame:
+    """(ovl_id, chain, place) of kept, non-self overlaps. Pairs with one overlap, most of them, stay in the JVM.
+
+    With ``unique`` (``unique_bases``) chains grow from overlaps of more than ``least`` unique bases, else from the longest ones.
+    """
     kept = ovl.where(~discarded() & (F.col("aread") != F.col("bread"))).withColumn("comp", comp().cast("int")).withColumn("_n", F.count("*").over(W.partitionBy("aread", "bread")))
     one = kept.where("_n = 1").select("ovl_id", F.lit(0).cast("long").alias("chain"), F.lit(0).cast("long").alias("place"))
-    many = kept.where("_n > 1").select("aread", "bread", "comp", "ab", "ae", "bb", "be", "ovl_id")
-    return one.unionByName(many.groupBy("aread", "bread").applyInPandas(_chain_rule(lookahead), "ovl_id long, chain long, place long"))
+    many = kept.where("_n > 1").select("aread", "bread", "comp", "ab", "ae", "bb", "be", "ovl_id", a_len().alias("score"))
+    if unique is not None:
+        many = many.drop("score").join(unique.select("ovl_id", F.col("unique").alias("score")), "ovl_id")
+    above = None if unique is None else least
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(chain_pair(rows, lookahead, above), columns=["ovl_id", "chain", "place"])
+
+    return one.unionByName(many.groupBy("aread", "bread").applyInPandas(run, "ovl_id long, chain long, place long"))
 
 
 def chain_table(ovl: DataFrame, chains: DataFrame) -> DataFrame:
@@ -103,6 +141,83 @@ def stitch(ovl: DataFrame, *, fuzz: int, differ: int = 40) -> DataFrame:
     ).drop("run")
 
 
+def stitch_longest(rows: pd.DataFrame, fuzz: int, differ: int | None) -> list[tuple]:
+    """(ovl_id, ab, ae, bb, be, diffs, n) of one pair and strand: from the leftmost on, an overlap takes in the longest of the
+    later ones that begin within ``fuzz`` of its end on both reads, the distances differing by less than ``differ`` (None: by
+    anything), moves its end there, and again until none is left."""
+    rows = rows.sort_values(["ab", "ae", "bb", "be", "ovl_id"], ignore_index=True)
+    ab, ae, bb, be, diffs, name = (rows[c].to_numpy(np.int64) for c in ("ab", "ae", "bb", "be", "diffs", "ovl_id"))
+    free, out = np.ones(len(rows), bool), []
+    for i in range(len(rows)):
+        if not free[i]:
+            continue
+        free[i] = False
+        a, b, d, n = ae[i], be[i], diffs[i], 1
+        while True:
+            j = np.arange(max(i + 1, np.searchsorted(ab, a - fuzz, side="right")), np.searchsorted(ab, a + fuzz))
+            on_b = np.abs(bb[j] - b)
+            j = j[free[j] & (on_b < fuzz) & ((np.abs(np.abs(ab[j] - a) - on_b) < differ) if differ is not None else True) & (ae[j] > ab[j])]
+            if not len(j):
+                break
+            k = j[np.argmax(ae[j] - ab[j])]
+            free[k] = False
+            a, b, d, n = ae[k], be[k], d + diffs[k], n + 1
+        out.append((int(name[i]), int(ab[i]), int(a), int(bb[i]), int(b), int(d), n))
+    return out
+
+
+def stitch_fuzz(ovl: DataFrame, *, fuzz: int, differ: int | None = 40) -> DataFrame:
+    """(aread, bread, comp, ovl_id, ab, ae, bb, be, diffs, n): kept overlaps stitched by ``stitch_longest``; single ones stay in the JVM."""
+    kept = ovl.where(~discarded()).withColumn("comp", comp().cast("int")).withColumn("_n", F.count("*").over(W.partitionBy("aread", "bread", "flags")))
+    names = ["aread", "bread", "comp", "ovl_id", "ab", "ae", "bb", "be", "diffs"]
+    one = kept.where("_n = 1").select(*names, F.lit(1).cast("long").alias("n"))
+
+    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(*key, *x) for x in stitch_longest(rows, fuzz, differ)], columns=[*names, "n"])
+
+    many = kept.where("_n > 1").select(*names).groupBy("aread", "bread", "comp")
+    return one.unionByName(many.applyInPandas(run, "aread long, bread long, comp int, ovl_id long, ab long, ae long, bb long, be long, diffs long, n long"))
+
+
+def stitch_chains(ovl: DataFrame, chains: DataFrame, low: DataFrame, *, gap: int, low_gap: int, anchor: int, most: int | None = None, share: float = 0.8) -> DataFrame:
+    """(aread, bread, chain, ovl_id of the first, ab, ae, bb, be, diffs, n): neighbours of a chain (``chain``) merged.
+
+    Their ends are less than ``gap`` apart on both reads, or less than ``low_gap`` where
+    ``share`` of the distance on A or on B is low complexity (``low``: rid, beg, fin). A chain in
+    which an overlap has fewer than ``anchor`` other bases on A or on B isn't merged at all,
+    nor is one of more than ``most`` overlaps. A negative ``gap`` merges any neighbours.
+    """
+    dull = I.merge(low.select("rid", "beg", "fin"), ["rid"]).select("rid", "beg", "fin")
+    turn = lambda x, y: F.when(F.col("comp") == 1, F.col("blen") - F.greatest(x, y)).otherwise(F.least(x, y))
+
+    def inside(rows: DataFrame, read: str, beg, fin, name: str) -> DataFrame:
+        spans = rows.select("ovl_id", F.col(read).alias("rid"), beg.alias("beg"), fin.alias("fin"))
+        return I.intersect_sums(spans, dull, "ovl_id").select("ovl_id", F.col("inside").alias(name))
+
+    o = ovl.withColumn("comp", comp().cast("int")).select("ovl_id", "aread", "bread", "comp", "ab", "ae", "bb", "be", "blen", "diffs").join(chains, "ovl_id")
+    w = W.partitionBy("aread", "bread", "chain").orderBy("place")
+    before = o.withColumn("ae1", F.lag("ae").over(w)).withColumn("be1", F.lag("be").over(w))
+    own_b, gap_b = (turn(F.col("bb"), F.col("be")), turn(F.col("be1"), F.col("bb")))
+    asked = before.withColumn("own_b", own_b).withColumn("gap_b", gap_b)
+    da, db = F.abs(F.col("ae1") - F.col("ab")), F.abs(F.col("be1") - F.col("bb"))
+    full = (
+        asked.join(inside(asked, "aread", F.col("ab"), F.col("ae"), "dull_a"), "ovl_id")
+        .join(inside(asked, "bread", F.col("own_b"), F.col("own_b") + F.col("be") - F.col("bb"), "dull_b"), "ovl_id")
+        .join(inside(asked, "aread", F.least("ae1", "ab"), F.greatest("ae1", "ab"), "gap_dull_a"), "ovl_id")
+        .join(inside(asked, "bread", F.col("gap_b"), F.col("gap_b") + F.abs(F.col("be1") - F.col("bb")), "gap_dull_b"), "ovl_id")
+    )
+    whole = W.partitionBy("aread", "bread", "chain")
+    firm = F.min(F.least(F.col("ae") - F.col("ab") - F.col("dull_a"), F.col("be") - F.col("bb") - F.col("dull_b"))).over(whole) >= anchor
+    if most is not None:
+        firm = firm & (F.count("*").over(whole) <= most)
+    near = F.lit(gap < 0) | ((da < gap) & (db < gap)) | (((da * share <= F.col("gap_dull_a")) | (db * share <= F.col("gap_dull_b"))) & (da < low_gap) & (db < low_gap))
+    marked = full.withColumn("joins", F.coalesce(firm & near & F.col("ae1").isNotNull(), F.lit(False)))
+    run = marked.withColumn("run", F.sum((~F.col("joins")).cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    return run.groupBy("aread", "bread", "chain", "run").agg(
+        F.min_by("ovl_id", "place").alias("ovl_id"), F.min_by("ab", "place").alias("ab"), F.max_by("ae", "place").alias("ae"), F.min_by("bb", "place").alias("bb"), F.max_by("be", "place").alias("be"), F.sum("diffs").alias("diffs"), F.count("*").alias("n")
+    ).drop("run")
+
+
 def hairpins(ovl: DataFrame, *, margin: int = 400, spanners: int = 1) -> DataFrame:
     """(rid, point, beg, fin): missed adapters, where a complement self overlap meets its own mirror and at most
     ``spanners`` other overlaps span the middle; the longer side of the read is kept."""

@@ -19,6 +19,13 @@ def _(v):
     return H.chain(v("f_ovl"))
 
 
+@query("c1_unique_chains")
+def _(v):
+    """Chains that grow from overlaps with unique bases, by the repeat track."""
+    ovl = v("f_ovl")
+    return H.chain(ovl, unique=H.unique_bases(ovl, v("f_track").where("track = 'repeats'").select("rid", "beg", "fin")), least=500)
+
+
 def _table(v):
     return H.chain_table(v("f_ovl"), H.chain(v("f_ovl")))
 
@@ -43,6 +50,18 @@ def _(v):
     return H.stitch(v("f_ovl"), fuzz=2000, differ=1500)
 
 
+@query("c4_longest_partner")
+def _(v):
+    return H.stitch_fuzz(v("f_ovl"), fuzz=2000, differ=1500)
+
+
+@query("c3_stitch_real_chains")
+def _(v):
+    """The chains of C1 merged where their gaps are small or of low complexity."""
+    low = v("f_track").where("track in ('dust', 'tan')").select("rid", "beg", "fin")
+    return H.stitch_chains(v("f_ovl"), stored(H.chain(v("f_ovl"))), low, gap=1000, low_gap=4000, anchor=300, most=20)
+
+
 @query("c3_stitch_chain", STITCH.replace("FUZZ", "3000").replace("DIFFER", "3000") + " SELECT ovl_id, ab, ae, n FROM sg WHERE n > 1")
 def _(v):
     return H.stitch(v("f_ovl"), fuzz=3000, differ=3000).where("n > 1").select("ovl_id", "ab", "ae", "n")
