@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from overlace.functions.scalar import reverse_complement
+from overlace.functions.scalar import floor_div, reverse_complement
 from overlace.operators import intervals as I  # noqa: E741
 from overlace.operators.overlaps import a_len, comp, discarded, with_trim
 
@@ -250,6 +250,41 @@ def gap_patches(ovl: DataFrame, *, margin: int = 400, spanners: int = 1, widest:
     return gaps.join(over, ["aread", "beg", "fin"], "left").where(F.coalesce("n", F.lit(0)) <= spanners).drop("n")
 
 
+def weak_patches(ovl: DataFrame, trace: DataFrame, q: DataFrame, repeats: DataFrame, *, spanners: int = 7, margin: int = 400, in_repeats: int = 800, known: int = 1, longest: int = 10) -> DataFrame:
+    """(aread, beg, fin, bread, comp, b_beg, b_fin): gaps of A between neighbouring overlaps of a pair and strand, moved outwards
+    to segment borders by the traces, with the stretch of B (on its strand) beside them.
+
+    Left out are gaps beside a B segment of quality 0; those whose borders both lie
+    ``margin`` (in ``repeats`` ``in_repeats``) bases within more than ``spanners`` overlaps; those
+    with more than ``known`` segments of known quality inside; and those whose B stretch
+    is over ``longest`` times as long. ``q``: (rid, seg, q) of every segment; ``repeats``: (rid, beg, fin).
+    """
+    kept = ovl.where(~discarded() & (F.col("aread") != F.col("bread"))).withColumn("comp", comp().cast("int")).drop("flags")
+    ends = trace.groupBy("ovl_id").agg(F.min_by("blen", "seg").alias("first"), F.max_by("blen", "seg").alias("last"))
+    w = W.partitionBy("aread", "bread", "comp").orderBy("ab", "ae", "bb", "be", "ovl_id")
+    o = kept.join(ends.withColumnsRenamed({"first": "t_first", "last": "t_last"}), "ovl_id")
+    left = (F.lag("ae").over(w), F.lag(F.col("be") - F.col("t_last")).over(w))
+    gaps = o.select("aread", "bread", "comp", "blen", left[0].alias("ae1"), "ab", left[1].alias("b_beg"), (F.col("bb") + F.col("t_first")).alias("b_fin")).where("ae1 < ab and b_beg < b_fin")
+    seg = gaps.withColumn("s1", floor_div(F.col("ae1") - 1, 100)).withColumn("s2", floor_div(F.col("ab"), 100) + 1).where((F.col("s2") - F.col("s1")) * 100 * longest >= F.col("b_fin") - F.col("b_beg"))
+    gap = seg.select("aread", (F.col("s1") * 100).alias("beg"), (F.col("s2") * 100).alias("fin"), "bread", "comp", "b_beg", "b_fin", "blen").withColumn("_id", F.xxhash64("aread", "bread", "comp", "beg", "fin", "b_beg", "b_fin"))
+    gap = gap.dropDuplicates(["aread", "bread", "comp", "beg", "fin", "b_beg", "b_fin"])
+    # B segments, on B's forward strand, without quality.
+    fw = F.when(F.col("comp") == 1, F.col("blen") - F.col("b_fin")).otherwise(F.col("b_beg"))
+    beside = gap.select("_id", F.col("bread").alias("rid"), F.explode(F.sequence(floor_div(fw, 100), floor_div(fw + F.col("b_fin") - F.col("b_beg"), 100))).alias("seg"))
+    weak = beside.join(q.where("q = 0").select("rid", "seg"), ["rid", "seg"], "left_semi").select("_id").distinct()
+    # A segments between the borders' own ones whose quality is known.
+    inner = gap.where("fin - beg > 200").select("_id", F.col("aread").alias("rid"), F.explode(F.sequence(floor_div(F.col("beg"), 100) + 1, floor_div(F.col("fin"), 100) - 2)).alias("seg"))
+    sound = inner.join(q.where("q != 0").select("rid", "seg"), ["rid", "seg"], "left_semi").groupBy("_id").agg(F.count("*").alias("n")).where(F.col("n") > known).select("_id")
+    # Overlaps over each border, with the margin that holds there.
+    borders = gap.select(F.col("aread").alias("rid"), F.explode(F.array("beg", "fin")).alias("pos")).distinct()
+    inside = I.interval_join(borders.withColumn("beg", F.col("pos")).withColumn("fin", F.col("pos") + 1), repeats.select("rid", "beg", "fin"), "rid").select("rid", "pos").distinct().withColumn("dull", F.lit(True))
+    spans = lambda m: ovl.where(~discarded()).select(F.col("aread").alias("rid"), (F.col("ab") + m + 1).alias("beg"), (F.col("ae") - m - 1).alias("fin"))
+    over = I.stab_counts(borders, spans(margin), ["rid"]).join(I.stab_counts(borders, spans(in_repeats), ["rid"]).withColumnRenamed("n", "n_far"), ["rid", "pos"]).join(inside, ["rid", "pos"], "left")
+    covered = over.where(F.when(F.col("dull"), F.col("n_far")).otherwise(F.col("n")) > spanners).select(F.col("rid").alias("aread"), "pos")
+    held = gap.join(covered.withColumnRenamed("pos", "beg"), ["aread", "beg"], "left_semi").join(covered.withColumnRenamed("pos", "fin"), ["aread", "fin"], "left_semi").select("_id")
+    return gap.join(weak.unionByName(sound).unionByName(held).distinct(), "_id", "left_anti").drop("_id", "blen")
+
+
 def _absorb(rows: pd.DataFrame) -> pd.DataFrame:
     """Best supported first, a patch absorbs what is left of those that overlap it."""
     left = rows.sort_values(["support", "beg", "fin", "bread", "b_beg"], ascending=[False, True, True, True, True]).to_dict("records")

@@ -148,6 +148,14 @@ def trace_sum_check(ovl: DataFrame, trace: DataFrame) -> DataFrame:
     return ovl.join(sums, "ovl_id", "left").select("ovl_id", b_len().alias("expected"), F.coalesce("found", F.lit(0)).alias("found")).where("expected != found")
 
 
+def trace_places(trace: DataFrame, ovl: DataFrame) -> DataFrame:
+    """``trace`` with the strand comp and B's stretch b_from to b_to, on that strand, of each segment."""
+    w = W.partitionBy("ovl_id").orderBy("seg").rowsBetween(W.unboundedPreceding, 0)
+    o = ovl.select("ovl_id", F.col("bb").alias("_bb"), comp().cast("int").alias("comp"))
+    to = trace.withColumn("_after", F.sum("blen").over(w)).join(o, "ovl_id").withColumn("b_to", F.col("_bb") + F.col("_after"))
+    return to.withColumn("b_from", F.col("b_to") - F.col("blen")).drop("_after", "_bb")
+
+
 def segment_error(ovl: DataFrame, trace: DataFrame, most: float) -> DataFrame:
     """A segment other than the last with more than ``most`` percent differences -> diff."""
     last = F.max("seg").over(W.partitionBy("ovl_id"))

@@ -99,11 +99,15 @@ def _(v):
     return K.without_redundant(_bands(v).select("aread", "bread", "comp", "a1", "a2", "b1", "b2"))
 
 
+def alignments(seqs, *, k: int = 16, both: bool = False):
+    """J1 to J6: seeds, bands and chained alignments of all reads; the seeds are dealt out once, by pair. ``both``: of a pair either read is A, too."""
+    pairs = K.seed_pairs(seqs, k).repartition("aread", "bread")
+    found = T.chained(pairs, K.bands(pairs, k), k)
+    return T.aligned(T.both_ways(stored(found), seqs) if both else found, seqs)
+
+
 def _alignments(v):
-    """J6 by chains: the seeds are dealt out once, by pair, for bands and chains."""
-    seqs = v("f_seq")
-    pairs = K.seed_pairs(seqs, 16).repartition("aread", "bread")
-    return T.aligned(T.chained(pairs, K.bands(pairs, 16), 16), seqs)
+    return alignments(v("f_seq"))
 
 
 @query("j6_chained_alignments")
