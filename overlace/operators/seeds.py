@@ -118,6 +118,35 @@ def frequent_removed(seqs: DataFrame, k: int, most: int) -> DataFrame:
     return _with_counts(kmer_codes(seqs, k), code_counts(seqs, k).where(F.col("n") <= most).select("code"), k, "left_semi")
 
 
+def budget_cut(counts: DataFrame, budget: int) -> DataFrame:
+    """One row: ``most``, the largest count up to which k-mers (``counts``: n each) make at most ``budget`` matched pairs, a k-mer of n
+    places n (n - 1) / 2; the ``pairs`` up to it; and those up to the next count that occurs (null without one). 0 where none fits."""
+    per = counts.groupBy(F.col("n").cast("long").alias("n")).agg(F.count("*").alias("kmers"))  # one row for each count
+    pairs = F.col("kmers").cast("decimal(38,0)") * F.col("n") * (F.col("n") - 1) / 2
+    upto = per.withColumn("upto", F.sum(pairs.cast("decimal(38,0)")).over(W.orderBy("n").rowsBetween(W.unboundedPreceding, 0)).cast("long"))
+    fits = F.col("upto") <= budget
+    return upto.agg(F.coalesce(F.max(F.when(fits, F.col("n"))), F.lit(0)).alias("most"), F.coalesce(F.max(F.when(fits, F.col("upto"))), F.lit(0)).alias("pairs"), F.min(F.when(~fits, F.col("upto"))).alias("next_pairs"))
+
+
+def seed_pairs_within(seqs: DataFrame, k: int, budget: int, *, identity: bool = False) -> DataFrame:
+    """``seed_pairs`` of the k-mers whose places, on both strands, make at most ``budget`` pairs; the cut is known before places meet."""
+    most = budget_cut(canonical_counts(seqs, k), budget).first()["most"]
+    return seed_pairs(seqs, k, most=int(most), identity=identity)
+
+
+def canonical_counts(seqs: DataFrame, k: int) -> DataFrame:
+    """(code, n): places of each k-mer or its reverse complement; one that is both stands on both strands at each."""
+
+    def count(batches):
+        for batch in batches:
+            for _, _, code, turned in _spots(batch.column(1), k):
+                found, n = np.unique(np.minimum(code, turned), return_counts=True)
+                own = np.isin(found, code[code == turned], assume_unique=False)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n * (1 + own))], names=["code", "n"])
+
+    return seqs.select("rid", "seq").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
 def seed_pairs(seqs: DataFrame, k: int, *, most: int = 10, identity: bool = False) -> DataFrame:
     """(aread, bread, apos, bpos, comp): equal k-mers of two reads on either strand, bread < aread.
 
@@ -136,17 +165,8 @@ def seed_pairs(seqs: DataFrame, k: int, *, most: int = 10, identity: bool = Fals
                     [batch.column(0).take(pa.array(row)), pa.array(pos), pa.array(size[row] - k - pos), pa.array(strand, pa.int32()), pa.array(np.minimum(code, turned))], names=["rid", "pos", "back", "strand", "code"]
                 )
 
-    def count(batches):
-        for batch in batches:
-            for _, _, code, turned in _spots(batch.column(1), k):
-                found, n = np.unique(np.minimum(code, turned), return_counts=True)
-                own = np.isin(found, code[code == turned], assume_unique=False)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n * (1 + own))], names=["code", "n"])
-
     reads = seqs.select("rid", "seq")
-    # A palindrome stands on both strands at each of its places.
-    counts = reads.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    ok = counts.where(F.col("n").between(1 if identity else 2, most)).select("code")
+    ok = canonical_counts(seqs, k).where(F.col("n").between(1 if identity else 2, most)).select("code")
     spots = reads.mapInArrow(run, "rid long, pos long, back long, strand int, code long").join(ok, "code", "left_semi")
     place = F.struct("rid", "pos", "back", "strand")
     met = spots.groupBy("code").agg(F.collect_list(place).alias("places")).withColumn("a", F.explode("places")).withColumn("b", F.explode("places"))
@@ -270,3 +290,47 @@ def dust(seqs: DataFrame, *, window: int = 64, threshold: float = 2.0) -> DataFr
             yield pd.DataFrame(rows, columns=["rid", "beg", "fin"])
 
     return seqs.select("rid", "seq").mapInPandas(scan, "rid long, beg long, fin long")
+
+
+def perfect_intervals(text: bytes, *, window: int = 64, threshold: float = 2.0) -> list[tuple[int, int]]:
+    """Low-complexity intervals of a sequence, merged: every stretch of at most ``window`` bases whose triplets' equal pairs,
+    divided by the triplets but one, are above ``threshold`` and not below those of any stretch inside it.
+
+    All starts are looked at together, length by length, so the work is bases times window.
+    """
+    out: list[list[int]] = []
+    for low in range(0, max(len(text) - 2, 0), RUN):  # starts from low on, and what they reach
+        codes = np.frombuffer(text[low : low + RUN + window], np.uint8).astype(np.int32)
+        t = codes[:-2] * 65536 + codes[1:-1] * 256 + codes[2:]
+        n = len(t)
+        if n < 2:
+            continue
+        # ``equal`` holds, for each end, how many of the m triplets before it are like it.
+        equal, pairs, best = np.zeros(n, np.int32), np.zeros(n, np.int32), np.full(n, -1.0)
+        longest = np.zeros(n, np.int32)
+        for m in range(1, min(window - 2, n)):  # stretches of m + 1 triplets
+            equal[m:] += t[m:] == t[:-m]
+            size = n - m
+            pairs = pairs[:size] + equal[m:]
+            score = pairs / m
+            inner = np.maximum(best[:size], best[1 : size + 1])
+            longest[:size][(score > threshold) & (score >= inner)] = m + 1
+            best = np.maximum(inner, score)
+        for i in np.flatnonzero(longest[:RUN]).tolist():
+            beg, fin = low + i, low + i + int(longest[i]) + 2
+            if out and beg <= out[-1][1]:
+                out[-1][1] = max(out[-1][1], fin)
+            else:
+                out.append([beg, fin])
+    return [(b, e) for b, e in out]
+
+
+def dust_perfect(seqs: DataFrame, *, window: int = 64, threshold: float = 2.0, shortest: int = 10) -> DataFrame:
+    """(rid, beg, fin): ``perfect_intervals`` of every read, those of ``shortest`` bases or more; each read is scanned where it lies."""
+
+    def scan(batches):
+        for frame in batches:
+            rows = [(rid, b, e) for rid, seq in zip(frame["rid"], frame["seq"], strict=True) for b, e in perfect_intervals((seq or "").encode(), window=window, threshold=threshold) if e - b >= shortest]
+            yield pd.DataFrame(rows, columns=["rid", "beg", "fin"])
+
+    return seqs.select("rid", "seq").mapInPandas(scan, "rid long, beg long, fin long")

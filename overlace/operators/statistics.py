@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from overlace.functions.scalar import floor_div, has
+from overlace.operators.storage import stored
 
 
 def read_stats(reads: DataFrame) -> DataFrame:
@@ -132,6 +133,53 @@ def pair_stats(pairs: DataFrame, steps: tuple[int, ...] = (1000, 10000, 15000, 2
     return pairs.agg(F.count("*").alias("pairs"), F.count_if(same).alias("intra"), *far, F.count_if(~same).alias("inter"))
 
 
+def running_sum(df: DataFrame, value: str, name: str, *, width: int = 10_000) -> DataFrame:
+    """``df`` with the sum of ``value`` over all rows up to each, in the order of rid: sums per range of ``width`` ids first, then within each."""
+    r = df.withColumn("_part", floor_div(F.col("rid"), width))
+    before = r.groupBy("_part").agg(F.sum(value).alias("_s")).withColumn("_base", F.sum("_s").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))).select("_part", F.coalesce("_base", F.lit(0)).alias("_base"))
+    w = W.partitionBy("_part").orderBy("rid").rowsBetween(W.unboundedPreceding, 0)
+    return r.join(before, "_part").withColumn(name, F.col("_base") + F.sum(value).over(w)).drop("_part", "_base")
+
+
+def next_starts(before: DataFrame, size: int, *, parts: int = 64) -> DataFrame:
+    """(rid, next): for a block that begins at a read, the first read of the next one, which is the first whose bases before
+    it (``before``: rid, before) are ``size`` more; null without one.
+
+    Reads and the places asked for are sorted together within stretches of size / ``parts``
+    bases; a place with no read behind it in its stretch takes the first of those after it.
+    """
+    width = max(1, size // parts)
+    have = before.select(F.col("before").alias("at"), F.lit(1).alias("kind"), "rid")
+    ask = before.select((F.col("before") + size).alias("at"), F.lit(0).alias("kind"), "rid")
+    both = have.unionByName(ask).withColumn("stretch", floor_div(F.col("at"), width))
+    ahead = W.partitionBy("stretch").orderBy("at", "kind", "rid").rowsBetween(0, W.unboundedFollowing)
+    found = both.withColumn("next", F.min(F.when(F.col("kind") == 1, F.col("rid"))).over(ahead))
+    later = both.groupBy("stretch").agg(F.min(F.when(F.col("kind") == 1, F.col("rid"))).alias("first")).withColumn("later", F.min("first").over(W.orderBy("stretch").rowsBetween(1, W.unboundedFollowing))).select("stretch", "later")
+    return found.where("kind = 0").join(later, "stretch").select("rid", F.coalesce("next", "later").alias("next"))
+
+
+def exact_blocks(reads: DataFrame, size: int) -> DataFrame:
+    """(rid, block): reads in id order; a block ends with the read that brings its own bases to ``size`` or more.
+
+    Every read points at where the next block would begin if one began there; the blocks
+    that there are follow from the first read by pointer doubling, in as many rounds as the
+    number of blocks has bits.
+    """
+    sums = stored(running_sum(reads.select("rid", "rlen"), "rlen", "upto").select("rid", (F.col("upto") - F.col("rlen")).alias("before")))
+    jump = stored(next_starts(sums, size).where("next is not null"))
+    starts = stored(sums.agg(F.min("rid").alias("rid")).where("rid is not null"))
+    n = starts.count()
+    while True:
+        more = stored(starts.unionByName(starts.join(jump, "rid").select(F.col("next").alias("rid"))).distinct())
+        starts, before, n = more, n, more.count()
+        if n == before:
+            break
+        far = jump.select(F.col("rid").alias("next"), F.col("next").alias("far"))
+        jump = stored(jump.join(far, "next").select("rid", F.col("far").alias("next")))
+    flagged = sums.select("rid").join(starts.withColumn("first", F.lit(1)), "rid", "left").withColumn("first", F.coalesce("first", F.lit(0)))
+    return running_sum(flagged, "first", "n").select("rid", (F.col("n") - 1).cast("long").alias("block"))
+
+
 def blocks(reads: DataFrame, size: int) -> DataFrame:
     """(rid, block): reads in id order by running bases; a block ends with the read that passes a multiple of ``size``.
 

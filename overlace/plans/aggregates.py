@@ -34,6 +34,12 @@ def _(v):
     return T.blocks(v("f_reads"), 200_000)
 
 
+@query("a4_exact_blocks")
+def _(v):
+    """Blocks that begin anew where the last one is full."""
+    return T.exact_blocks(v("f_reads"), 1_000_000)
+
+
 @query("a5_overlap_length_histogram", f"src AS (SELECT LEAST(ae - ab, be - bb) AS x FROM {{f_ovl}}), {HIST} SELECT bin * 500 AS \"from\", n, ROUND(100.0 * cn / tn, 6) AS pct_reads, ROUND(100.0 * cb / tb, 6) AS pct_bases, CAST(FLOOR(cb / cn) AS BIGINT) AS mean FROM c, t")
 def _(v):
     return T.histogram(v("f_ovl").select(F.least(F.col("ae") - F.col("ab"), F.col("be") - F.col("bb")).alias("x")), "x", width=500)
