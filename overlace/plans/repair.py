@@ -159,13 +159,6 @@ def _(v):
     return H.apply_patches(v("f_seq"), stored(H.patch_texts(_patches(v), v("f_seq"))), shortest=500)
 
 
-@query("c9_weak_patches")
-def _(v):
-    """Gaps moved to segment borders, with the rules on B's and A's quality."""
-    q = v("f_q")
-    return H.weak_patches(v("f_ovl"), v("f_trace"), q, C.repeats(v("f_ovl"), 10))
-
-
 @query("c12_converted_intervals", f"""{ALONE}, tr AS (SELECT ROW_NUMBER() OVER () AS k, rid, track, beg, fin FROM {{f_track}}), e AS (SELECT k, rid, track, beg AS x, 0 AS which FROM tr UNION ALL SELECT k, rid, track, fin, 1 FROM tr),
 m AS (SELECT e.k, e.rid, track, which, COALESCE(MIN(CASE WHEN p.beg < x AND x < p.fin THEN p.beg END), x) + COALESCE(SUM(CASE WHEN p.fin <= x THEN length(text) - (p.fin - p.beg) END), 0) AS y FROM e LEFT JOIN pt p ON p.rid = e.rid GROUP BY e.k, e.rid, track, which, x)
 SELECT a.rid, a.track, CAST(a.y AS BIGINT) AS beg, CAST(b.y AS BIGINT) AS fin FROM m a JOIN m b ON a.k = b.k AND a.which = 0 AND b.which = 1 WHERE b.y > a.y""")

@@ -110,10 +110,10 @@ def _alignments(v):
     return alignments(v("f_seq"))
 
 
-@query("a13_budget_cut", f"{km(12)}, n AS (SELECT COUNT(*) AS n FROM km WHERE regexp_full_match(kmer, '[acgt]+') GROUP BY kmer), h AS (SELECT n, SUM(COUNT(*) * n * (n - 1) / 2) OVER (ORDER BY n) AS upto FROM n GROUP BY n) SELECT CAST(COALESCE(MAX(n) FILTER (upto <= 20000), 0) AS BIGINT) AS most, CAST(COALESCE(MAX(upto) FILTER (upto <= 20000), 0) AS BIGINT) AS pairs, CAST(MIN(upto) FILTER (upto > 20000) AS BIGINT) AS next_pairs FROM h")
+@query("a13_budget_cut", f"{km(12)}, n AS (SELECT COUNT(*) AS n FROM km WHERE regexp_full_match(kmer, '[acgt]+') GROUP BY kmer), h AS (SELECT n, SUM(COUNT(*) * n * (n - 1) / 2) OVER (ORDER BY n) AS upto FROM n GROUP BY n) SELECT CAST(COALESCE(MAX(n) FILTER (upto <= 1000000), 0) AS BIGINT) AS most, CAST(COALESCE(MAX(upto) FILTER (upto <= 1000000), 0) AS BIGINT) AS pairs, CAST(MIN(upto) FILTER (upto > 1000000) AS BIGINT) AS next_pairs FROM h")
 def _(v):
     """The frequency cut that keeps matched pairs of 12-mers within a budget."""
-    return K.budget_cut(K.code_counts(v("f_seq"), 12), 20_000)
+    return K.budget_cut(K.code_counts(v("f_seq"), 12), 1_000_000)
 
 
 @query("w6_perfect_intervals")

@@ -51,6 +51,19 @@ def _(v):
     return M.masks(_hits(v), above=10)
 
 
+@query("t4_live_masks", f"""{HITS.replace('ENDS', '0')}, {MASK}, {merged('hy')}, ct AS (SELECT aread AS rid, MAX(alen) AS alen FROM {{f_ovl}} WHERE (flags & 2) = 0 AND aread <> bread AND ab = 0 AND ae = alen AND (blen > alen OR (blen = alen AND bread < aread)) GROUP BY 1)
+SELECT rid, 'maskr' AS track, beg, fin FROM mg UNION ALL SELECT rid, 'maskc', 0, alen FROM ct""")
+def _(v):
+    """T3 and T4 as state by read: the masks of a read are written anew only by batches that have hits of it."""
+    o = stored(v("f_ovl"))
+    spark = o.sparkSession
+    root = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/overlace-stream-{uuid.uuid4().hex}"
+    o.repartition(8, F.col("ovl_id") % 8).write.parquet(f"{root}/blocks")
+    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/blocks")
+    M.live_masks(stream, f"{root}/masks", f"{root}/state", above=10)
+    return M.read_masks(spark, f"{root}/masks")
+
+
 @query("t5_ends_unmasked", f"{HITS.replace('ENDS', '700')}, {MASK}, {merged('hy')} SELECT rid, beg, fin FROM mg")
 def _(v):
     return M.masks(_hits(v, ends=700), above=10)

@@ -8,8 +8,11 @@ replaces what it wrote.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from overlace.functions.scalar import has
 from overlace.operators import intervals as I  # noqa: E741
@@ -62,3 +65,78 @@ def running_totals(stream: DataFrame, table: str, checkpoint: str):
     query = totals.writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
+
+
+# Masks from state by read: a batch touches the reads that it has hits of, and no others.
+
+
+def united(bread: np.ndarray, beg: np.ndarray, fin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Intervals of each B read, those that overlap or touch joined; the same interval again changes nothing."""
+    if not len(beg):
+        return bread, beg, fin
+    order = np.lexsort((beg, bread))
+    bread, beg, fin = bread[order], beg[order], fin[order]
+    rank = np.cumsum(np.diff(bread, prepend=bread[:1]) != 0)
+    far = rank * (1 << 40)  # B reads lie apart on one line
+    upto = np.maximum.accumulate(fin + far)
+    new = np.ones(len(beg), bool)
+    new[1:] = beg[1:] + far[1:] > upto[:-1]
+    last = np.append(new[1:], True)
+    return bread[new], beg[new], (upto - far)[last]
+
+
+def covered_above(beg: np.ndarray, fin: np.ndarray, above: int) -> list[tuple[int, int]]:
+    """Where more than ``above`` of the intervals lie over each other; stretches that touch are one."""
+    place, step = np.concatenate([beg, fin]), np.repeat([1, -1], [len(beg), len(fin)])
+    at, inverse = np.unique(place, return_inverse=True)
+    cov = np.cumsum(np.bincount(inverse, weights=step, minlength=len(at))).astype(np.int64)
+    high = np.concatenate([[False], cov > above, [False]])
+    return list(zip(at[np.flatnonzero(high[1:-1] & ~high[:-2])].tolist(), at[np.flatnonzero(~high[1:-1] & high[:-2])].tolist(), strict=True))
+
+
+STATE = "bread array<long>, beg array<long>, fin array<long>, contained boolean, size long"
+MASKS = "rid long, track string, beg long, fin long"
+
+
+def live_masks(stream: DataFrame, table: str, checkpoint: str, *, above: int, ends: int = 0):
+    """Masks kept as state by read while overlap files arrive; each batch appends those of the reads it touched to ``table``.
+
+    The state of a read is the hits of each B read, joined, so what arrives twice counts
+    once, without a memory of ids. Tracks: ``maskr``, where more than ``above`` B reads
+    cover it, and ``maskc``, the whole of a read that lies in a longer one (of equally
+    long ones, in that of the smaller id). ``ends`` bases at both ends aren't counted.
+    """
+    kept = stream.where(~has(F.col("flags"), "discard") & (F.col("aread") != F.col("bread")))
+    inside = (F.col("ab") == 0) & (F.col("ae") == F.col("alen")) & ((F.col("blen") > F.col("alen")) | ((F.col("blen") == F.col("alen")) & (F.col("bread") < F.col("aread"))))
+    rows = kept.select(F.col("aread").alias("rid"), "bread", F.greatest("ab", F.lit(ends)).alias("beg"), F.least("ae", F.col("alen") - ends).alias("fin"), inside.alias("contained"), F.col("alen").alias("size"))
+
+    def run(key, frames, state):
+        old = state.get if state.exists else ([], [], [], False, 0)
+        columns = [[np.asarray(x, np.int64)] for x in old[:3]]
+        contained, size = bool(old[3]), int(old[4])
+        for frame in frames:
+            some = frame[frame["fin"] > frame["beg"]]
+            for held, name in zip(columns, ("bread", "beg", "fin"), strict=True):
+                held.append(some[name].to_numpy(np.int64))
+            contained, size = contained or bool(frame["contained"].any()), max(size, int(frame["size"].max()))
+        bread, beg, fin = united(*(np.concatenate(x) for x in columns))
+        state.update((bread.tolist(), beg.tolist(), fin.tolist(), contained, size))
+        found = [(key[0], "maskr", b, e) for b, e in covered_above(beg, fin, above)] + [(key[0], "maskc", 0, size)] * contained
+        # A read without a mask says so, too.
+        yield pd.DataFrame(found or [(key[0], "none", 0, 0)], columns=["rid", "track", "beg", "fin"])
+
+    changed = rows.groupBy("rid").applyInPandasWithState(run, MASKS, STATE, "update", GroupStateTimeout.NoTimeout)
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table}/batch={number}")
+
+    query = changed.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def read_masks(spark: SparkSession, table: str) -> DataFrame:
+    """(rid, track, beg, fin): of each read the masks of the last batch that touched it."""
+    every = spark.read.schema(f"{MASKS}, batch long").parquet(table)
+    last = every.groupBy("rid").agg(F.max("batch").alias("batch"))
+    return every.join(last, ["rid", "batch"]).where("track != 'none'").select("rid", "track", "beg", "fin")
