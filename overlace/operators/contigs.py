@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from overlace.functions.scalar import floor_div
 from overlace.operators.overlaps import a_len, comp, discarded
+from overlace.operators.traces import edit_paths
 
 #: Bases of a tile and of a piece; diagonals on either side that an alignment may use; bases put in at one place; rows and tiles handled at a time.
 SEG, BAND, SLOTS, ROWS, ALIGNED = 100, 32, 3, 512, 2048
@@ -186,6 +187,82 @@ def _consensus_of(parts: pa.ListArray) -> list[str | None]:
     return out
 
 
+def grown_profiles(groups: list[list[np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each group of sequences (codes): counts of the codes 0-4 (4 for a gap) in every column of their profile, and which
+    columns are bases of the first one.
+
+    The k-th sequences of all groups are aligned at a time, each to the consensus of its
+    group's profile so far. Bases that it has between two columns of the consensus go, from
+    the left, to columns there in which most have a gap, and to new columns when those are
+    used up, so an insertion may have any length.
+    """
+    profiles = []
+    for g in groups:
+        counts = np.zeros((len(g[0]), 5), np.int32)
+        counts[np.arange(len(g[0])), g[0]] = 1
+        profiles.append((counts, np.ones(len(g[0]), bool)))
+    for k in range(1, max(map(len, groups), default=0)):
+        some = [i for i, g in enumerate(groups) if len(g) > k]
+        kept = [np.flatnonzero(profiles[i][0][:, :4].max(1) >= profiles[i][0][:, 4]) for i in some]
+        paths = edit_paths([(profiles[i][0][x, :4].argmax(1).astype(np.uint8), groups[i][k]) for i, x in zip(some, kept, strict=True)])
+        for i, columns, (place, _) in zip(some, kept, paths, strict=True):
+            (counts, own), tile, n = profiles[i], groups[i][k], k
+            bounds = np.concatenate([[0], place[1:]]) if len(columns) else np.array([0])
+            has = np.diff(bounds) > 0
+            at = bounds[:-1].copy()  # the base that stands in each column: the first of its bases,
+            if len(columns) and bounds[1] > 1:  # but for the first column, which may have bases before it
+                like = np.flatnonzero(tile[: bounds[1]] == counts[columns[0], :4].argmax())
+                at[0] = like[0] if len(like) else 0
+            stands = np.full(len(counts), 4, np.uint8)
+            stands[columns[has]] = tile[at[has]]
+            # What is left are runs of bases behind a column (or before the first one).
+            loose = np.ones(len(tile), bool)
+            loose[at[has]] = False
+            spare = np.flatnonzero(loose)
+            behind = np.searchsorted(at[has], spare) - 1  # which standing base is before it
+            columns_before = np.concatenate([[-1], columns[has]])[behind + 1] if len(spare) else np.zeros(0, np.int64)
+            where, what = [], []
+            for c in np.unique(columns_before).tolist():
+                run, x = tile[spare[columns_before == c]], c + 1
+                while len(run) and x < len(counts) and counts[x, :4].max() < counts[x, 4]:
+                    stands[x], run, x = run[0], run[1:], x + 1
+                where += [x] * len(run)
+                what += run.tolist()
+            counts[np.arange(len(counts)), stands] += 1
+            if where:
+                fresh = np.zeros((len(where), 5), np.int32)
+                fresh[:, 4] = n
+                fresh[np.arange(len(what)), what] += 1
+                counts, own = np.insert(counts, where, fresh, axis=0), np.insert(own, where, False)
+            profiles[i] = counts, own
+    return profiles
+
+
+def _grown_consensus_of(parts: pa.ListArray) -> list[str | None]:
+    """A base of the first tile is the one most tiles have there, of equals the first of a, c, g, t and gap; a base of another column stands where more than half of the tiles have one."""
+    t = Tiles(parts)
+    groups: dict[int, list[np.ndarray]] = {}
+    for row, code, size in zip(t.row.tolist(), t.codes, t.length.tolist(), strict=True):
+        groups.setdefault(row, []).append(np.where(code[:size] < 4, code[:size], 0))  # other letters read as a
+    out: list[str | None] = [None] * len(parts)
+    for row, (counts, own) in zip(groups, grown_profiles(list(groups.values())), strict=True):
+        best = np.where(own, counts.argmax(1), np.where(counts[:, :4].sum(1) * 2 > counts.sum(1), counts[:, :4].argmax(1), 4))
+        out[row] = LETTERS[best[best < 4]].tobytes().decode()
+    return out
+
+
+def grown_consensus(parts: DataFrame) -> DataFrame:
+    """(aread, seg, seq): the tiles of each A tile aligned one after the other to a profile that grows, and voted on column by column."""
+
+    def run(batches):
+        for batch in batches:
+            for low in range(0, len(batch), ROWS):
+                part = batch.slice(low, ROWS)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(_grown_consensus_of(part.column(2)), pa.string())], names=["aread", "seg", "seq"])
+
+    return parts.select("aread", "seg", "parts").mapInArrow(run, "aread long, seg long, seq string").where("seq is not null")
+
+
 def tile_texts(parts: DataFrame) -> DataFrame:
     """(aread, seg, k, text): the tiles of 20 bases or more, on the strand of A."""
 

@@ -200,6 +200,12 @@ def _consensus(v):
     return G.consensus(G.tile_pieces(v("f_trace"), v("f_ovl"), v("f_seq")))
 
 
+@query("r3_grown_consensus")
+def _(v):
+    """Consensus by a profile that grows: insertions of any length, tiles of any length."""
+    return G.grown_consensus(G.tile_pieces(v("f_trace"), v("f_ovl"), v("f_seq")))
+
+
 @query("r3_tile_texts", f"{TEXTS} SELECT aread, seg, CAST(k AS INT) AS k, text FROM tx")
 def _(v):
     """What the consensus is made of: the A tile and its B tiles, cut from pieces."""
