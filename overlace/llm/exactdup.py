@@ -159,6 +159,68 @@ def exact_duplicates(incoming: DataFrame, snapshot: DataFrame | None = None, *,
     return out.select("doc_id", F.col("top").alias("keep_id"), F.col("n").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("top")).alias("kept"), "text_sha256")
 
 
+def build_snapshot(docs: DataFrame, folder: str, *, bucket: int = BUCKET) -> None:
+    """Write the snapshot of ``docs`` (doc_id, text) to ``folder``, once: distinct digests by bucket (with their number of rows,
+    their largest doc_id and one text), and a filter for each bucket. The number of buckets is fixed then.
+
+    Null text counts as empty, null doc_ids count in a group and never win against others.
+    """
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), F.sha2(text.cast("binary"), 256).alias("digest"))
+    groups = stored(rows.groupBy("digest").agg(F.count("*").alias("n"), F.max("doc_id").alias("top")))
+    buckets = max(1, -(-groups.count() // bucket))
+    bucketed(groups, buckets).write.partitionBy("bucket").parquet(f"{folder}/digests")
+    # Equal texts are one row; a digest of unlike texts has several.
+    bucketed(rows.select("digest", "text").distinct(), buckets).write.partitionBy("bucket").parquet(f"{folder}/texts")
+    build_filters(groups, buckets).withColumn("buckets", F.lit(buckets)).write.parquet(f"{folder}/filters")
+
+
+def against_snapshot(batch: DataFrame, folder: str, *, bucket: int = BUCKET) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256, in_snapshot of every row of ``batch`` (doc_id, text), against a stored snapshot.
+
+    The batch is grouped by text on its own. Its digests meet the snapshot's filters; what
+    they rule out is new. The others join the digests of their buckets, and those found
+    there join their texts byte for byte; nothing else of the snapshot is read. Of equal
+    texts the row with the largest doc_id stays, wherever it lies. Odd rows: as in
+    ``exact_duplicates``.
+    """
+    spark = batch.sparkSession
+    text = F.coalesce("text", F.lit(""))
+    rows = stored(batch.select("doc_id", text.alias("text"), F.sha2(text.cast("binary"), 256).alias("digest")))
+    own = stored(rows.groupBy("digest", "text").agg(F.count("*").alias("n"), F.max("doc_id").alias("top")))
+    filters = spark.read.parquet(f"{folder}/filters")
+    first = filters.select("buckets").first()
+    buckets = first["buckets"] if first else 1
+    asked = bucketed(own.select("digest").distinct(), buckets)
+    # A large batch cuts a bucket's digests to parts, and each part gets a copy of the filter.
+    parts = max(1, -(-asked.count() // (buckets * bucket)))
+    dealt = asked.withColumn("part", F.pmod(F.xxhash64(F.lit(7), "digest"), F.lit(parts)))
+    copies = filters.drop("buckets").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+
+    def screen(rows_: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        return _screen(rows_, held).drop(columns="part")
+
+    maybe = dealt.groupBy("bucket", "part").cogroup(copies.groupBy("bucket", "part")).applyInPandas(screen, "digest string, maybe boolean").where("maybe").select("digest")
+    positive = stored(bucketed(maybe, buckets))
+    wanted = [r["bucket"] for r in positive.select("bucket").distinct().collect()] if buckets <= 1 << 16 else None
+
+    def old(name: str) -> DataFrame:
+        df = spark.read.parquet(f"{folder}/{name}")
+        df = df if wanted is None else df.where(F.col("bucket").isin(wanted))  # other buckets' files aren't opened
+        return df.join(positive.select("digest"), "digest", "left_semi")
+
+    found = stored(old("digests").select("digest", F.col("n").alias("n_old"), F.col("top").alias("top_old"))) if first else None
+    if found is None or not found.limit(1).count():
+        merged = own.select("digest", "text", "n", "top", F.lit(False).alias("in_snapshot"))
+    else:
+        same = own.join(old("texts").select("digest", "text"), ["digest", "text"]).select("digest", "text", F.lit(True).alias("in_snapshot"))
+        met_ = own.join(same, ["digest", "text"], "left").join(found, "digest", "left")
+        inside = F.coalesce("in_snapshot", F.lit(False))
+        merged = met_.select("digest", "text", (F.col("n") + F.when(inside, F.col("n_old")).otherwise(0)).alias("n"), F.when(inside, F.greatest("top", "top_old")).otherwise(F.col("top")).alias("top"), inside.alias("in_snapshot"))
+    out = rows.join(merged, ["digest", "text"])
+    return out.select("doc_id", F.col("top").alias("keep_id"), F.col("n").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("top")).alias("kept"), F.col("digest").alias("text_sha256"), "in_snapshot")
+
+
 def table_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``exact_duplicates`` within one table: half of its rows, by a hash of the id, are taken
     for the stored snapshot and the other half for the incoming batch."""
