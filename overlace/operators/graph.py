@@ -112,14 +112,16 @@ def neighbourhood(edge: DataFrame, start: DataFrame, hops: int) -> DataFrame:
     return found
 
 
-def best_next(edge: DataFrame, *, lookahead: int = 6) -> DataFrame:
+def best_next(edge: DataFrame, *, lookahead: int = 6, leaving: DataFrame | None = None) -> DataFrame:
     """(rid, side, next): of all walks of at most ``lookahead`` edges that leave by one side and go on
     by it, the most visited vertex (the smallest of equals); ``next`` is the first step of a shortest walk to it.
 
     Walks are counted per (start, vertex, length) with their smallest first step, never listed.
+    ``leaving``, (rid, side), names the starts; all without it.
     """
     step = edge.select("src", "side", "dst").distinct()
-    walks = step.select(F.col("src").alias("rid"), "side", F.col("dst").alias("at"), F.col("dst").alias("first"), F.lit(1).cast("long").alias("n"))
+    begin = step if leaving is None else step.join(leaving.select(F.col("rid").alias("src"), "side"), ["src", "side"], "left_semi")
+    walks = begin.select(F.col("src").alias("rid"), "side", F.col("dst").alias("at"), F.col("dst").alias("first"), F.lit(1).cast("long").alias("n"))
     on = step.select(F.col("src").alias("at"), "side", F.col("dst").alias("to"))
     seen = []
     for depth in range(1, lookahead + 1):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from overlace.operators import graph as G
+from overlace.operators import tours
 from overlace.plans.overlaps import TRIMMED, trim
 from overlace.plans.registry import query
 
@@ -109,6 +110,13 @@ def _(v):
     return _paths(v)
 
 
+@query("g12_claimed_backbones")
+def _(v):
+    """Paths of the overlaps' own edges that claim vertices by the quality of their starts, with the path that each end meets."""
+    edges = G.edges(v("f_ovl"), trim(v)).select("src", "dst", "side", "ovh", "c", "div")
+    return tours.backbones(G.remove_duplicates(edges))
+
+
 @query("g13_path_joins")
 def _(v):
     return G.path_joins(G.stored(_paths(v)), v("f_graph"))
