@@ -11,7 +11,10 @@ all documents are in that table, those that were never trained on with the count
 The trees are built in Spark tasks, one for the contexts that end in the same two bytes:
 bottom-up, a context's weighted probability from those of its longer ones; the sums for
 contexts of one byte and none, at most 65,280 rows, are joined on the driver; top-down,
-the probability of every code. The table of codes grows with the corpus. While it is small
+the probability of every code. An ending of more than ``SPLIT`` codes is split by one byte
+more, and again, up to a whole context, which has 256 codes; the nodes between a split
+ending and its parts are rows of tables, summed on the way up and joined on the way down.
+The table of codes grows with the corpus. While it is small
 it is broadcast; beyond, documents are dealt to bundles of bounded size, and the distinct
 codes of each bundle are joined with the table by a shuffle.
 
@@ -29,13 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from overlace.llm import kernels as K
-from overlace.llm.common import crc_mod, map_batches, stored
+from overlace.llm.common import crc_mod, discard, map_batches, met, stored
 
 DEPTH = 5
 END = 255
 TOP_WORDS = 1 << 17
 #: Codes up to which the table is broadcast (12 bytes each); bytes of text in a bundle, about.
 TOP_CODES, BUNDLE = 5_000_000, 16 << 20
+#: Codes of one ending up to which one task builds its trees.
+SPLIT = 500_000
 #: Distinct codes that a task holds before it merges them; bits of a row's number beside a code; bytes of text in a chunk.
 HELD, ROW_BITS, CHUNK = 2_000_000, 15, 1 << 20
 
@@ -175,11 +180,15 @@ def upper(context: np.ndarray, decision: np.ndarray, zeros: np.ndarray, ones: np
     return _down(level, *(np.broadcast_to(x, (256, 256)) for x in _down(root, np.zeros(256), np.ones(256))))
 
 
-def log_probabilities(code: np.ndarray, n: np.ndarray, made: np.ndarray, rest: np.ndarray) -> np.ndarray:
-    """log10 of the probability of each code's byte in its context, of the codes of one ending of two bytes."""
-    node, levels = _tree(code, n, 2)
+def log_probabilities(code: np.ndarray, n: np.ndarray, made: np.ndarray, rest: np.ndarray, depth: int = 2) -> np.ndarray:
+    """log10 of the probability of each code's byte in its context, of the codes of one ending of ``depth`` bytes.
+
+    ``made`` and ``rest`` are what the shorter contexts leave: arrays [last byte, decision] for two bytes, [decision] for more.
+    """
+    node, levels = _tree(code, n, depth)
     top = levels[-1]["keys"]
-    m, r = made[(top >> 8) & 255, top & 255], rest[(top >> 8) & 255, top & 255]
+    place = ((top >> 8) & 255, top & 255) if depth == 2 else top & 255
+    m, r = made[place], rest[place]
     for level in reversed(levels[1:]):
         m, r = _down(level, m, r)
         m, r = m[level["child"]], r[level["child"]]
@@ -188,6 +197,82 @@ def log_probabilities(code: np.ndarray, n: np.ndarray, made: np.ndarray, rest: n
     return np.log10(np.where(bit == 1, one, 1 - one)).sum(1)
 
 
+def _ending(depth: int):
+    return F.shiftright("code", 8).bitwiseAND(F.lit(_mask(depth)))
+
+
+def with_endings(counted: DataFrame) -> tuple[DataFrame, bool]:
+    """The codes with the ending (depth in bytes, value) whose task takes them, and whether any ending was split.
+
+    An ending of more than ``SPLIT`` codes gives way to those of one byte more.
+    """
+    rows, split = counted.withColumn("depth", F.lit(2)), False
+    for depth in range(2, DEPTH):
+        large = stored(rows.where(F.col("depth") == depth).groupBy(_ending(depth).alias("large")).agg(F.count("*").alias("codes")).where(F.col("codes") > SPLIT).select("large"))
+        if large.isEmpty():
+            discard(large)
+            break
+        split = True
+        found = met(rows.withColumn("large", _ending(depth)), large.withColumn("deeper", F.lit(depth + 1)), "large", "left")
+        rows = found.withColumn("depth", F.coalesce(F.when(F.col("depth") == depth, F.col("deeper")), F.col("depth"))).drop("large", "deeper")
+    return rows.withColumn("ending", F.shiftright("code", 8).bitwiseAND(F.expr("shiftleft(1L, 8 * depth) - 1"))), split
+
+
+def sums_of_ending(table: pa.Table) -> pa.Table:
+    """The nodes (depth, context, decision, zeros, ones, weighted) of the context that all codes of a task end in."""
+    depth = table.column("depth")[0].as_py()
+    top = _tree(table.column("code").to_numpy(), table.column("n").to_numpy(), depth)[1][-1]
+    whole = np.full(len(top["keys"]), depth, np.int32)
+    return pa.table({"depth": whole, "context": (top["keys"] >> 8) & _mask(depth), "decision": top["keys"] & 255, "zeros": top["zeros"], "ones": top["ones"], "weighted": top["weighted"]})
+
+
+def _columns(batch: pa.RecordBatch) -> dict:
+    return {name: batch.column(i).to_numpy(zero_copy_only=False) for i, name in enumerate(batch.schema.names)}
+
+
+def split_nodes(tops: DataFrame) -> dict[int, DataFrame]:
+    """Depth to nodes (context, decision, zeros, ones, weighted, share) of the contexts that were split, from those of their parts."""
+
+    def weigh(batches):
+        for batch in batches:
+            c = _columns(batch)
+            kt, longer = _kt(c["zeros"], c["ones"]), c.pop("longer")
+            yield pa.RecordBatch.from_pydict({**c, "weighted": np.logaddexp(kt, longer) - np.log(2), "share": 1 / (1 + np.exp(np.clip(kt - longer, -700, 700)))})
+
+    columns, nodes = ["context", "decision", "zeros", "ones", "weighted"], {}
+    below = tops.where(F.col("depth") == DEPTH).select(columns)
+    for depth in range(DEPTH - 1, 1, -1):
+        sums = below.groupBy(F.col("context").bitwiseAND(F.lit(_mask(depth))).alias("context"), "decision").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("longer"))
+        nodes[depth] = stored(map_batches(sums, weigh, "context long, decision long, zeros long, ones long, weighted double, share double"))
+        below = nodes[depth].select(columns).unionByName(tops.where(F.col("depth") == depth).select(columns))
+    return nodes
+
+
+def left_by_split(nodes: dict[int, DataFrame], tops: DataFrame, made: np.ndarray, rest: np.ndarray) -> DataFrame:
+    """(depth, ending, decision, made, rest): what the shorter contexts leave to each part of a split ending."""
+
+    def down(batches):
+        for batch in batches:
+            c = _columns(batch)
+            if "made" not in c:
+                c["made"], c["rest"] = (x[c["context"] & 255, c["decision"]] for x in (made, rest))
+            m, r = _down(c, c["made"], c["rest"])
+            yield pa.RecordBatch.from_pydict({"parent": c["context"], "decision": c["decision"], "made": m, "rest": r})
+
+    schema, left = "parent long, decision long, made double, rest double", {}
+    for depth in range(2, DEPTH):
+        rows = nodes[depth].drop("weighted")
+        if depth > 2:
+            rows = rows.withColumn("parent", F.col("context").bitwiseAND(F.lit(_mask(depth - 1)))).join(left[depth - 1], ["parent", "decision"]).drop("parent")
+        left[depth] = stored(map_batches(rows, down, schema))
+    given = None
+    for depth, rows in left.items():
+        part = tops.where(F.col("depth") == depth + 1).withColumn("parent", F.col("context").bitwiseAND(F.lit(_mask(depth)))).join(rows, ["parent", "decision"])
+        part = part.select("depth", F.col("context").alias("ending"), "decision", "made", "rest")
+        given = part if given is None else given.unionByName(part)
+    return given
+
+
 def code_table(docs: DataFrame) -> DataFrame:
     """(code, logp) of every code of the documents (text, learn), learned from the rows where ``learn`` is true."""
 
@@ -197,8 +282,13 @@ def code_table(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(found[low : low + (1 << 16)]), pa.array(n[low : low + (1 << 16)])], names=["code", "n"])
 
     counted = stored(map_batches(docs.select("text", "learn"), count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")))
-    by_ending = lambda: counted.groupBy(F.shiftright("code", 8).bitwiseAND(0xFFFF).alias("ending"))
-    sums = by_ending().applyInArrow(sums_of_two, "context long, decision long, zeros long, ones long, weighted double")
+    rows, split = with_endings(counted)
+    whole, parts = rows.where("depth = 2").drop("depth").groupBy("ending"), rows.where("depth > 2").groupBy("depth", "ending")
+    sums = whole.applyInArrow(sums_of_two, "context long, decision long, zeros long, ones long, weighted double")
+    if split:
+        tops = stored(parts.applyInArrow(sums_of_ending, "depth int, context long, decision long, zeros long, ones long, weighted double"))
+        nodes = split_nodes(tops)
+        sums = sums.unionByName(nodes[2].withColumn("context", F.col("context").bitwiseAND(255)).drop("share"))
     top = sums.groupBy("context", "decision").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("weighted")).toPandas()  # at most 256 * 255 rows
     made, rest = upper(*(top[c].to_numpy() for c in ("context", "decision", "zeros", "ones", "weighted")))
 
@@ -206,7 +296,17 @@ def code_table(docs: DataFrame) -> DataFrame:
         code = table.column("code").to_numpy()
         return pa.table({"code": code, "logp": log_probabilities(code, table.column("n").to_numpy(), made, rest).astype(np.float32)})
 
-    return stored(by_ending().applyInArrow(solve, "code long, logp float"))
+    def solve_part(table: pa.Table, given: pa.Table) -> pa.Table:
+        code, at = table.column("code").to_numpy(), given.column("decision").to_numpy()
+        m, r = np.zeros(256), np.zeros(256)
+        m[at], r[at] = given.column("made").to_numpy(), given.column("rest").to_numpy()
+        return pa.table({"code": code, "logp": log_probabilities(code, table.column("n").to_numpy(), m, r, table.column("depth")[0].as_py()).astype(np.float32)})
+
+    schema = "code long, logp float"
+    solved = whole.applyInArrow(solve, schema)
+    if split:
+        solved = solved.unionByName(parts.cogroup(left_by_split(nodes, tops, made, rest).groupBy("depth", "ending")).applyInArrow(solve_part, schema))
+    return stored(solved)
 
 
 class Lookup:

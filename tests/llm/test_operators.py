@@ -250,6 +250,21 @@ def test_code_probabilities_of_a_context_sum_to_one():
     assert sum(10 ** of[int((context << 8) + b)] for b in range(256)) == pytest.approx(1)
 
 
+@pytest.mark.parametrize("most", [1, 40])
+def test_split_endings_give_the_scores_of_whole_ones(spark, monkeypatch, most):
+    rng = random.Random(most)
+    docs = spark.createDataFrame([(i, "".join(rng.choice("aab ") for _ in range(rng.randrange(90))) + "é" * (i % 3)) for i in range(60)] + [(99, None), (100, "")], DOCS)
+    whole = as_dict(lm.score(docs))
+    monkeypatch.setattr(lm, "SPLIT", most)
+    parts = as_dict(lm.score(docs))
+    assert all(parts[i]["score"] == pytest.approx(whole[i]["score"], rel=1e-6) for i in whole)
+    counted = spark.createDataFrame([(rng.randrange(1 << 24) << 24 | rng.randrange(2) << 8 | rng.randrange(256), 1) for _ in range(2000)], "code long, n long").distinct()
+    rows, split = lm.with_endings(counted)
+    sizes = rows.groupBy("depth", "ending").count().collect()
+    assert split and sum(r["count"] for r in sizes) == counted.count()
+    assert all(r["count"] <= most or r.depth == lm.DEPTH for r in sizes) and {r.depth for r in sizes} - {2}
+
+
 def test_rare_words_are_joined(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"common common word{i % 7}") for i in range(40)], DOCS)
     whole = as_dict(lm.score(docs))
