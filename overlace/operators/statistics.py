@@ -103,6 +103,21 @@ def tighten_trim(trim: DataFrame, ovl: DataFrame, *, step: int = 100) -> DataFra
     return t.select("rid", F.when(ok, F.col("b")).otherwise(0).alias("tb"), F.when(ok, F.col("e")).otherwise(0).alias("te"))
 
 
+def tighten_by_quality(trim: DataFrame, ovl: DataFrame, q: DataFrame, reads: DataFrame, *, bad: int = 25, run: int = 5, shortest: int = 1000) -> DataFrame:
+    """(rid, tb, te): a trim that reaches beyond the kept non-self overlaps is made anew, by quality inside their extent.
+
+    The extent's left end is rounded up and its right end down to segments. Trims within the extent stay as they are;
+    a read without such overlaps gets (0, 0).
+    """
+    kept = ovl.where(~has(F.col("flags"), "discard") & (F.col("aread") != F.col("bread"))).groupBy(F.col("aread").alias("rid")).agg(F.min("ab").alias("lo"), F.max("ae").alias("hi"))
+    beyond = trim.select("rid", "tb", "te").join(kept, "rid", "left").withColumn("anew", F.col("lo").isNull() | (F.col("tb") < F.col("lo")) | (F.col("te") > F.col("hi")))
+    room = beyond.where("anew and lo is not null").select("rid", floor_div(F.col("lo") + 99, 100).alias("first"), floor_div(F.col("hi"), 100).alias("behind"))
+    inside = q.join(room, "rid").where("seg >= first and seg < behind").select("rid", "seg", "q")
+    made = trim_by_quality(inside, reads, bad=bad, run=run, shortest=shortest).withColumnsRenamed({"tb": "b", "te": "e"})
+    end = lambda old, new: F.when(~F.col("anew"), F.col(old)).otherwise(F.coalesce(new, F.lit(0))).cast("long").alias(old)
+    return beyond.join(made, "rid", "left").select("rid", end("tb", "b"), end("te", "e"))
+
+
 def q_histogram(q: DataFrame, trim: DataFrame, anchors: DataFrame, *, shortest: int = 1000, most: int = 100) -> DataFrame:
     """(q, n): values of segments wholly in the trim and in an anchor of at least three segments."""
     wide = anchors.where("fin - beg >= 300")

@@ -79,6 +79,16 @@ def _(v):
     return T.exact_trim(T.segment_quality(v("f_trace"), v("f_ovl"), v("f_reads")))
 
 
+@query("w9_tighten_by_quality", f"""k AS (SELECT aread AS rid, MIN(ab) AS lo, MAX(ae) AS hi FROM {{f_ovl}} WHERE (flags & 2) = 0 AND aread <> bread GROUP BY 1), {A8},
+bd AS (SELECT r.rid, tb, te, lo, hi, lo IS NULL OR tb < lo OR te > hi AS anew FROM {{f_reads}} r LEFT JOIN k ON k.rid = r.rid),
+qs AS (SELECT q8.rid, seg, q FROM q8 JOIN bd ON bd.rid = q8.rid AND anew AND seg >= (lo + 99) // 100 AND seg < hi // 100),
+{W8.replace('LEAST(e, rlen) - b >= 1000', 'b IS NOT NULL AND LEAST(e, rlen) - b >= 1000')}
+SELECT bd.rid, CASE WHEN anew THEN COALESCE(w8.tb, 0) ELSE bd.tb END AS tb, CASE WHEN anew THEN COALESCE(w8.te, 0) ELSE bd.te END AS te FROM bd LEFT JOIN w8 ON w8.rid = bd.rid""")
+def _(v):
+    reads = v("f_reads")
+    return T.tighten_by_quality(reads.select("rid", "tb", "te"), v("f_ovl"), T.segment_quality(v("f_trace"), v("f_ovl"), reads), reads)
+
+
 @query("w9_tighten_trim", "k AS (SELECT aread AS rid, MIN(ab) AS lo, MAX(ae) AS hi FROM {f_ovl} WHERE (flags & 2) = 0 AND aread <> bread GROUP BY 1), t AS (SELECT r.rid, lo, GREATEST(tb, CAST(FLOOR((lo + 99) / 100) AS BIGINT) * 100) AS b, LEAST(te, hi) AS e FROM {f_reads} r LEFT JOIN k ON k.rid = r.rid) SELECT rid, CASE WHEN lo IS NOT NULL AND e > b THEN b ELSE 0 END AS tb, CASE WHEN lo IS NOT NULL AND e > b THEN e ELSE 0 END AS te FROM t")
 def _(v):
     return T.tighten_trim(trim(v), v("f_ovl"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from overlace.functions.scalar import has
 from overlace.operators import coverage as C
 from overlace.operators import intervals as I  # noqa: E741
 from overlace.plans.registry import query
@@ -181,3 +182,42 @@ def _(v):
     c = F.col
     return a.select("rid", "beg", "fin", intersection(c("beg"), c("fin"), c("tb"), c("te")).alias("shared"), contained(c("beg"), c("fin"), c("tb"), c("te")).alias("inside"))
 
+
+
+@query("w15_walked_chimers", """o AS (SELECT aread AS rid, ab, ae, ROW_NUMBER() OVER (PARTITION BY aread ORDER BY bread, flags & 1, ab, ae, bb, be, ovl_id) AS k FROM {f_ovl} WHERE (flags & 2) = 0),
+n AS (SELECT aread AS rid, COUNT(*) AS n FROM {f_ovl} GROUP BY 1),
+x AS (SELECT o.rid, MIN(ab) AS lo, GREATEST(MAX(ae), MIN(tb)) AS hi, MAX(k) AS ks FROM o JOIN {f_reads} r ON r.rid = o.rid JOIN n ON n.rid = o.rid AND n.n >= 1 GROUP BY 1 HAVING MIN(ab) < MIN(te)),
+st AS (SELECT x.rid, lo, hi, ks, COUNT(*) FILTER (ab = lo) AS f, COUNT(*) FILTER (ae = hi) AS l, MAX(ae) FILTER (ab = lo) AS pl FROM x JOIN o ON o.rid = x.rid GROUP BY 1, 2, 3, 4),
+w AS (SELECT rid, lo, hi, ks, CAST(0 AS BIGINT) AS k, pl, pl AS far, 0 AS seen, FALSE AS ok FROM st WHERE f >= 1 AND l >= 1 AND pl < hi
+ UNION ALL SELECT rid, lo, hi, ks, k, CASE WHEN mv THEN far ELSE pl END, far, CASE WHEN mv THEN 0 ELSE seen END, ok FROM (
+  SELECT rid, lo, hi, ks, nk AS k, pl, ok OR pl = hi AS ok, CASE WHEN sp THEN GREATEST(far, ae) ELSE far END AS far, seen + CASE WHEN sp THEN 1 ELSE 0 END AS seen, seen + CASE WHEN sp THEN 1 ELSE 0 END >= 1 AS mv
+  FROM (SELECT w.*, o.k AS nk, o.ae, pl < hi AND o.ab <= pl - LEAST(100, pl - lo) AND o.ae >= pl + LEAST(100, hi - pl) AS sp FROM w JOIN o ON o.rid = w.rid AND o.k = w.k + 1) y) z)
+SELECT rid, CAST(NULL AS BIGINT) AS pos, 'overlaps' AS why FROM n WHERE n < 1 UNION ALL SELECT rid, NULL, 'ends' FROM st WHERE f < 1 OR l < 1 UNION ALL SELECT rid, pl, 'gap' FROM w WHERE k = ks AND NOT ok""")
+def _(v):
+    return C.walked_chimers(v("f_ovl"), v("f_reads").select("rid", "tb", "te"))
+
+
+GAPS = """al AS (SELECT *, flags & 1 AS comp, ROW_NUMBER() OVER (PARTITION BY aread, bread ORDER BY flags & 1, ab, ae, bb, be, ovl_id) AS k FROM {f_ovl} WHERE (flags & 2) = 0 AND aread <> bread),
+tw AS (SELECT DISTINCT a.ovl_id FROM al a JOIN al b ON a.aread = b.aread AND a.bread = b.bread AND a.k <> b.k AND a.ab < b.ae AND b.ab < a.ae AND (b.ae - b.ab > a.ae - a.ab OR (b.ae - b.ab = a.ae - a.ab AND b.k < a.k))),
+sd AS (SELECT aread AS rid, (ab + 450) // 100 AS b, CAST(FLOOR((ae - 450) / 100) AS BIGINT) AS e FROM al WHERE ovl_id NOT IN (SELECT ovl_id FROM tw)),
+wh AS (SELECT rid, MIN(b) AS lo, MAX(e) AS hi FROM sd GROUP BY 1 HAVING MAX(e) > MIN(b)),
+ct AS (SELECT rid, bin, COUNT(*) AS n FROM (SELECT rid, UNNEST(RANGE(b, e)) AS bin FROM sd WHERE e > b) GROUP BY 1, 2),
+lw AS (SELECT rid, hi, bin, bin - ROW_NUMBER() OVER (PARTITION BY rid ORDER BY bin) AS isl FROM (SELECT w.rid, w.hi, w.bin FROM (SELECT rid, hi, UNNEST(RANGE(lo, hi)) AS bin FROM wh) w LEFT JOIN ct ON ct.rid = w.rid AND ct.bin = w.bin WHERE COALESCE(n, 0) <= 1)),
+br AS (SELECT rid, MIN(bin) * 100 - 100 AS beg, (MAX(bin) + 2) * 100 AS fin, MAX(bin) + 1 = hi AS at_end FROM lw GROUP BY rid, hi, isl),
+sh AS (SELECT *, flags & 1 AS comp FROM {f_ovl} WHERE (flags & (2048 + 32768 + 131072 + 128)) = 0 AND ovl_id NOT IN (SELECT ovl_id FROM tw)),
+bg AS (SELECT a.aread AS rid, a.ab, b.ae FROM sh a JOIN sh b ON a.aread = b.aread AND a.bread = b.bread AND a.comp = b.comp AND (b.ab, b.ae, b.bb, b.be, b.ovl_id) > (a.ab, a.ae, a.bb, a.be, a.ovl_id) AND ABS(a.ae - b.ab) < 400 AND ABS(a.be - b.bb) < 400),
+wr AS (SELECT rid, beg, fin, at_end, NOT at_end AND (EXISTS (SELECT 1 FROM {f_track} t WHERE t.rid = br.rid AND t.beg < br.beg AND t.fin > br.fin) OR EXISTS (SELECT 1 FROM bg WHERE bg.rid = br.rid AND bg.ab < br.beg - 450 AND bg.ae > br.fin + 450)) AS kept FROM br)"""
+
+
+@query("w10_weak_runs", f"{GAPS} SELECT rid, beg, fin, at_end, kept FROM wr")
+def _(v):
+    return C.weak_runs(v("f_ovl"), exclude=v("f_track"), fuzz=400)
+
+
+@query("w10_break_drops", f"""{GAPS}, bs AS (SELECT aread AS rid, ab AS start FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY aread ORDER BY ab - ae, bread, flags & 1, ab, ae, bb, be, ovl_id) AS i FROM {{f_ovl}} WHERE (flags & 2) = 0) WHERE i = 1),
+lm AS (SELECT wr.rid, MAX(beg) FILTER (beg <= start) AS lo, MIN(fin) FILTER (beg > start) AS hi FROM wr JOIN bs ON bs.rid = wr.rid WHERE NOT kept GROUP BY 1)
+SELECT ovl_id, aread AS rid FROM {{f_ovl}} JOIN lm ON lm.rid = aread WHERE (flags & 2) = 0 AND (ab < lo OR ae > hi)""")
+def _(v):
+    ovl = v("f_ovl")
+    runs = C.weak_runs(ovl, exclude=v("f_track"), fuzz=400)
+    return C.drop_at_breaks(ovl.where("(flags & 2) = 0"), runs).where(has(F.col("flags"), "gap")).select("ovl_id", F.col("aread").alias("rid"))

@@ -18,7 +18,7 @@ j5_diagonal_band_filter w6_dust_mask g2_classify_reads g3_make_edges g6_componen
 s1_read_fasta s15_path_lines k1_write_fasta w23_split_long_reads t4_emit_masks w3_repeat_edge_extension w14_chimer_walls w15_chimer_spans c7_missed_adapter_trim c9_gap_patches c10_distinct_patches
 c11_segment_patches c12_apply_patches c12_converted_intervals r3_tile_texts r10_classify_contigs r14_classified_report p7_tip_window p8_anchor_bases_lowcomp p16_flagged_identity_filters o2_order_checks
 o3_concatenate_split o5_take_n o6_union_anti_semi overlap_scan k8_read_lists t2_merge_multi_hits t6_checkpoint_resume j2_self_rules j6_align_candidates j8_tandem_self_join w24_restriction_sites
-recipe_coverage recipe_mask_patched recipe_filter recipe_scrub recipe_patch_reads recipe_analyse_contigs recipe_organelle_reads""".split()
+w9_tighten_by_quality w10_weak_runs w10_break_drops w15_walked_chimers recipe_coverage recipe_mask_patched recipe_filter recipe_scrub recipe_patch_reads recipe_analyse_contigs recipe_organelle_reads""".split()
 NAMES = sorted(registry.SQL) if os.environ.get("OVERLACE_ALL") else SOME
 
 
