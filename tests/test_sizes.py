@@ -14,6 +14,11 @@ def plan(spark, name: str) -> str:
     return registry.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["c11_outside_patches", "c11_segment_patches", "r2_tile_rank"])
+def test_qualities_are_not_broadcast(name, spark):
+    assert not re.search(r"BroadcastHashJoin \[(bread#\w+, b_seg|aread#\w+, seg)", plan(spark, name))
+
+
 @pytest.mark.parametrize("name", ["r1_tiles"])
 def test_segments_are_not_shuffled(name, spark):
     above = plan(spark, name).split("Generate explode(sequence", 1)[0]
