@@ -23,3 +23,8 @@ def test_qualities_are_not_broadcast(name, spark):
 def test_segments_are_not_shuffled(name, spark):
     above = plan(spark, name).split("Generate explode(sequence", 1)[0]
     assert "Exchange" not in above
+
+
+@pytest.mark.parametrize("name", ["a8_segment_quality", "p11_trim_leading_indels", "j11_project_interval_via_trace"])
+def test_segments_are_not_dealt_by_overlap(name, spark):
+    assert not re.search(r"hashpartitioning\(ovl_id#\w+, \d", plan(spark, name))
