@@ -28,3 +28,11 @@ def test_segments_are_not_shuffled(name, spark):
 @pytest.mark.parametrize("name", ["a8_segment_quality", "p11_trim_leading_indels", "j11_project_interval_via_trace"])
 def test_segments_are_not_dealt_by_overlap(name, spark):
     assert not re.search(r"hashpartitioning\(ovl_id#\w+, \d", plan(spark, name))
+
+
+@pytest.mark.parametrize("name", ["j1_kmer_seed_join", "j2_self_rules", "j4_symmetric_emit", "j5_diagonal_band_filter", "j6_align_candidates", "j7_redundancy_removal"])
+def test_kmers_are_not_shuffled_one_by_one(name, spark):
+    """Stretches of k-mers go to buckets; neither a k-mer's number nor single seeds are dealt."""
+    found = plan(spark, name)
+    assert "hashpartitioning(bucket" in found and "hashpartitioning(code" not in found
+    assert not re.search(r"hashpartitioning\(aread#\w+L?, bread#\w+L?, comp#\w+, panel#\w+L?, band", found)
