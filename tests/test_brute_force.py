@@ -234,6 +234,27 @@ def test_best_next_looks_six_edges_ahead(spark):
     assert {(r.rid, r.side): r.next for r in graph.best_next(df).collect()} == want
 
 
+@pytest.mark.parametrize("lookahead", [1, 2, 4, 7])
+def test_walks_join_every_third_edge_only(lookahead, spark, monkeypatch):
+    rng, tables, keep = random.Random(lookahead), [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df: tables.append(1) or keep(df))
+    edges = {(a, rng.choice("lr"), b) for a in range(12) for b in rng.sample(range(12), 2)}
+    df = spark.createDataFrame([(a, b, s) for a, s, b in edges], "src long, dst long, side string")
+    want, leaving = {}, [(a, s) for a, s, _ in edges if a < 7]
+    for start, side in leaving:
+        n, way = Counter(), {}
+        walks = [(b, b) for a, s, b in edges if a == start and s == side]
+        for depth in range(1, lookahead + 1):
+            for first, at in walks:
+                n[at] += 1
+                way[at] = min(way.get(at, (depth, first)), (depth, first))
+            walks = [(first, b) for first, at in walks for a, s, b in edges if a == at and s == side and b != start]
+        want[start, side] = way[min(n, key=lambda v: (-n[v], v))][1]
+    got = graph.best_next(df, lookahead=lookahead, leaving=spark.createDataFrame(leaving, "rid long, side string").distinct()).collect()
+    assert {(r.rid, r.side): r.next for r in got} == want
+    assert len(tables) <= 3 + (lookahead - 1) // 3  # a table for every three edges, not for each
+
+
 # intervals and order
 
 
