@@ -36,3 +36,11 @@ def test_kmers_are_not_shuffled_one_by_one(name, spark):
     found = plan(spark, name)
     assert "hashpartitioning(bucket" in found and "hashpartitioning(code" not in found
     assert not re.search(r"hashpartitioning\(aread#\w+L?, bread#\w+L?, comp#\w+, panel#\w+L?, band", found)
+
+
+@pytest.mark.parametrize("name", ["r3_tile_texts", "r3_tile_consensus", "r5_position_map", "r4_assemble_corrected"])
+def test_tiles_meet_reads_once(name, spark):
+    """Segments aren't dealt by overlap or B read; tiles go to their pieces and back."""
+    found = plan(spark, name)
+    assert not re.search(r"hashpartitioning\(ovl_id#\w+, \d", found)
+    assert not re.search(r"hashpartitioning\(bread#\w+, \d+\)[^\n]*\n[^\n]*Project \[[^\n]*seg#", found)
