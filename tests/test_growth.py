@@ -77,3 +77,11 @@ def test_distinct_reads_are_dealt_out_by_read(spark):
     assert {tuple(r) for r in got.collect()} == {("x", 3, 2, 1, 1, 2, 1, 8), (None, 1, 1, 1, 0, 0, 1, 21), (None, 4, 2, 2, 1, 2, 2, 11)}
     # No row is spread to one for each level and distinct count.
     assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_walks_are_counted_not_listed(spark):
+    # Seven layers, each vertex leads to all of the next one: 60**6 walks from each vertex of the first.
+    n, layers = 60, 7
+    edge = spark.range(n * n * (layers - 1)).selectExpr(f"id div {n} as src", f"(id div {n * n} + 1) * {n} + id % {n} as dst", "'l' as side")
+    got = {r.rid: r.next for r in graph.best_next(edge).collect()}
+    assert got == {v: (v // n + 1) * n for v in range(n * (layers - 1))}
