@@ -37,6 +37,8 @@ BANDS, ROWS = 22, 6
 VALUES = BANDS * ROWS
 #: Bytes of text in a chunk; lines whose buckets a task groups together; entries (line, bucket) in a part of the buckets, about.
 CHUNK, GROUPED, PART = 1 << 18, 40_000, 1_000_000
+#: Bits of the map of lines whose texts are wanted, at most.
+MARKS = 1 << 25
 #: Probes of an empty bin, each an order of all bins; a line whose probes all fail takes its least value.
 PROBES = np.array([np.random.Generator(np.random.PCG64(31 + k)).permutation(VALUES) for k in range(64)])
 EMPTY = np.uint32(0xFFFFFFFF)
@@ -239,22 +241,40 @@ def shared_buckets(docs: DataFrame, size: int, parts: int) -> DataFrame:
     return entries.groupBy("part").applyInArrow(_meet, "bucket long, key long")
 
 
+def _bit(rows: np.ndarray, number: np.ndarray, bits: int) -> np.ndarray:
+    """The bit, of so many, of each line, by a hash of its doc_id and its number."""
+    return (K.mix(rows.view(np.uint64) + number.astype(np.uint64) * ODD[40]) & np.uint64(bits - 1)).astype(np.int64)
+
+
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, items): the bytes of the wanted nodes, from the first line that is each.
+    """(node, items): the bytes of the wanted nodes, from the first line that is each, and of some other nodes.
 
-    ``wanted``: (doc_id, line, node).
+    ``wanted``: (doc_id, line, node). Documents stay where they are: every task gets a bit map of the wanted lines, of
+    at most ``MARKS`` bits. Lines that hit a bit by chance come along; a fuller map lets more of them through, and loses none.
     """
-    spots = stored(wanted.groupBy("doc_id").agg(F.collect_set("line").alias("lines")))  # at most a document's lines
-    texts = met(docs.select("doc_id", "text"), spots, "doc_id")
+    spots = stored(wanted.select(F.xxhash64("doc_id").alias("row"), "line").distinct())
+    bits = min(MARKS, 1 << max(6, (spots.count() * 8).bit_length()))
+
+    def mark(batches):
+        for batch in batches:
+            at = _bit(batch.column(0).to_numpy(), batch.column(1).to_numpy(), bits)
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array((np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64))], names=["word", "bits"])
+
+    marked = map_batches(spots, mark, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(bits // 64, np.uint64)
+    words[marked.column("word").to_numpy()] = marked.column("bits").to_numpy().view(np.uint64)
 
     def run(batches):
         for batch in batches:
-            want = [set(x) for x in batch.column(2).to_pylist()]
+            hashes = batch.column(0).to_numpy()
             for rows, number, lines in text_lines(batch.column(1)):
-                found = [x for r, k, x in zip(rows.tolist(), number.tolist(), lines, strict=True) if x and k in want[r]]
-                yield pa.RecordBatch.from_arrays([pa.array(digests(found), pa.binary()), pa.array(found, pa.binary())], names=["node", "items"])
+                at = _bit(hashes[rows], number, bits)
+                hit = np.flatnonzero(words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1))
+                found = [x for i in hit.tolist() if (x := lines[i])]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(digests(found), pa.binary()), pa.array(found, pa.binary())], names=["node", "items"])
 
-    return map_batches(texts.select("doc_id", "text", "lines"), run, "node binary, items binary").dropDuplicates(["node"])
+    return map_batches(docs.select(F.xxhash64("doc_id").alias("row"), "text"), run, "node binary, items binary").dropDuplicates(["node"])
 
 
 def _checked(size: int, percent: int):

@@ -126,6 +126,18 @@ def test_lines_of_odd_and_empty(spark, odd):
     assert lines.line_report(odd.limit(0)).count() == 0
 
 
+def test_wanted_lines_are_read_without_moving_documents(spark, monkeypatch):
+    docs = spark.range(300).selectExpr("id as doc_id", "concat_ws('\n', transform(sequence(0, 9), i -> concat('line ', i, ' of ', id))) as text")
+    wanted = [(d, d % 10, lines.digests([f"line {d % 10} of {d}".encode()])[0]) for d in range(0, 300, 20)]
+    frame = spark.createDataFrame(wanted, "doc_id long, line int, node binary")
+    texts = lines._texts(docs, frame)
+    got = {bytes(r.node): bytes(r.items) for r in texts.collect()}
+    assert {n: f"line {k} of {d}".encode() for d, k, n in wanted}.items() <= got.items() and len(got) < 1000
+    assert "Join" not in texts._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(lines, "MARKS", 64)  # a full map loses none
+    assert {n for _, _, n in wanted} <= {bytes(r.node) for r in lines._texts(docs, frame).collect()}
+
+
 def test_one_typo_in_a_short_line_is_fuzzy(spark, tmp_path):
     line = "Subscribe to our newsletter for weekly updates and news"
     other = "читайте также другие новости нашего сайта на сегодня и завтра"
