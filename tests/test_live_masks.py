@@ -63,3 +63,18 @@ def test_intervals_join_by_b_read():
     assert [x.tolist() for x in got] == [[1, 2, 2], [0, 0, 5], [12, 4, 9]]
     assert [x.tolist() for x in masks.united(*(np.zeros(0, np.int64),) * 3)] == [[], [], []]
     assert masks.covered_above(np.array([0, 5, 10]), np.array([10, 10, 20]), 0) == [(0, 20)] and masks.covered_above(np.array([0, 5]), np.array([10, 8]), 1) == [(5, 8)]
+
+
+def test_reads_share_a_state(spark, tmp_path, monkeypatch):
+    """State is by group of reads, not by read, and the reads of a group keep apart."""
+    monkeypatch.setattr(masks, "GROUPS", 3)
+    rows = made(random.Random(8), 900, list(range(20, 60)))
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/blocks")
+    query = masks.live_masks(spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/blocks"), f"{tmp_path}/masks", f"{tmp_path}/state", above=4)
+    assert set(map(tuple, masks.read_masks(spark, f"{tmp_path}/masks").collect())) == plain(rows, 4, 0)
+    assert 1 <= query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 3
+
+
+def test_intervals_of_more_keys():
+    x = [np.array(v) for v in ([1, 0, 1, 1], [5, 5, 5, 6], [0, 3, 4, 2], [4, 9, 8, 3])]
+    assert [v.tolist() for v in masks.united(*x)] == [[0, 1, 1], [5, 5, 6], [3, 0, 2], [9, 8, 3]]
